@@ -69,3 +69,155 @@ FROM counts c LEFT JOIN codes k ON c.disposition = k.disposition_code""")
 def q_calls_window_described(spark, sf_dir):
     return C.with_disposition(C.call_counts(X.calls(spark, sf_dir)),
                               X.codes(spark, sf_dir))
+
+
+# --------------------------------------------------------------- transit ----
+@register("entries_stream_count", _with(X.TURNSTILE_SQL) + """
+SELECT station_id, count(*) AS entries FROM turnstile GROUP BY station_id""")
+def q_entries_stream_count(spark, sf_dir):
+    return T.entries_per_station(X.turnstile(spark, sf_dir))
+
+
+@register("entries_table_count", _with(X.TURNSTILE_SQL) + """
+SELECT station_id, count(*) AS entries FROM (
+  SELECT station_id, row_number() OVER (PARTITION BY "key" ORDER BY "offset" DESC) AS rn
+  FROM turnstile) WHERE rn = 1 GROUP BY station_id""")
+def q_entries_table_count(spark, sf_dir):
+    return T.entries_per_station_table(X.turnstile(spark, sf_dir))
+
+
+@register("entries_summary_json", _with(X.TURNSTILE_SQL) + """
+SELECT station_id,
+       CAST(json_object('station_id', station_id, 'count', count(*)) AS VARCHAR) AS value
+FROM turnstile GROUP BY station_id""")
+def q_entries_summary_json(spark, sf_dir):
+    return T.summary_json(T.entries_per_station(X.turnstile(spark, sf_dir)))
+
+
+@register("station_table", _with(X.STATION_RECORDS_SQL) + """
+SELECT station_id, station_name, station_order, line FROM (
+  SELECT *, row_number() OVER (PARTITION BY station_id ORDER BY stop_id DESC) AS rn
+  FROM records) WHERE rn = 1""")
+def q_station_table(spark, sf_dir):
+    return T.station_table(X.stops(spark, sf_dir))
+
+
+@register("line_stations", _with(X.LINE_STATIONS_SQL) + """
+SELECT * FROM line_stations""")
+def q_line_stations(spark, sf_dir):
+    return T.line_stations(X.stops(spark, sf_dir))
+
+
+@register("line_flag_filter", _with(X.STOPS_SQL) + "SELECT * FROM stops WHERE red")
+def q_line_flag_filter(spark, sf_dir):
+    return T.stops_on_line(X.stops(spark, sf_dir), "red")
+
+
+@register("line_topology", _with(X.STOPS_SQL, """per_line AS (
+  SELECT stop_id, station_id, station_name, station_order, 'red' AS line FROM stops WHERE red
+  UNION ALL
+  SELECT stop_id, station_id, station_name, station_order, 'blue' FROM stops WHERE blue
+  UNION ALL
+  SELECT stop_id, station_id, station_name, station_order, 'green' FROM stops WHERE green)""",
+  """firsts AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY line, station_name
+                                               ORDER BY station_order, stop_id) AS rn
+                 FROM per_line) WHERE rn = 1)""") + """
+SELECT line, station_name, station_id, station_order,
+       lag(station_id) OVER (PARTITION BY line ORDER BY station_order, stop_id)
+         AS prev_station_id,
+       lead(station_id) OVER (PARTITION BY line ORDER BY station_order, stop_id)
+         AS next_station_id
+FROM firsts""")
+def q_line_topology(spark, sf_dir):
+    return T.line_topology(X.stops(spark, sf_dir))
+
+
+SLOTS_SQL = """ev AS (
+  SELECT line, station_id, CASE WHEN direction = 'a' THEN 'a' ELSE 'b' END AS slot,
+         "timestamp" AS t, "offset" AS o, 1 AS seq, train_id,
+         replace(train_status, '_', ' ') AS status
+  FROM arrivals
+  UNION ALL
+  SELECT line, prev_station_id, CASE WHEN prev_direction = 'a' THEN 'a' ELSE 'b' END,
+         "timestamp", "offset", 0, NULL, NULL
+  FROM arrivals WHERE prev_station_id IS NOT NULL AND prev_direction IS NOT NULL),
+kev AS (SELECT ev.* FROM ev JOIN line_stations ls
+          ON ev.line = ls.line AND ev.station_id = ls.station_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY line, station_id, slot
+                                   ORDER BY t DESC, o DESC, seq DESC) AS rn FROM kev),
+slots AS (
+  SELECT line, station_id,
+         max(CASE WHEN slot = 'a' THEN train_id END) AS dir_a,
+         max(CASE WHEN slot = 'a' THEN status END) AS dir_a_status,
+         max(CASE WHEN slot = 'b' THEN train_id END) AS dir_b,
+         max(CASE WHEN slot = 'b' THEN status END) AS dir_b_status
+  FROM r WHERE rn = 1 GROUP BY line, station_id)"""
+
+
+@register("slot_occupancy", _with(X.LINE_STATIONS_SQL, X.ARRIVALS_SQL, SLOTS_SQL) + """
+SELECT * FROM slots""")
+def q_slot_occupancy(spark, sf_dir):
+    return T.slot_occupancy(X.arrivals(spark, sf_dir), T.line_stations(X.stops(spark, sf_dir)))
+
+
+@register("arrivals_known", _with(X.LINE_STATIONS_SQL, X.ARRIVALS_SQL) + """
+SELECT a.line, a.station_id, a.train_id, a.direction, a."offset"
+FROM arrivals a JOIN line_stations ls ON a.line = ls.line AND a.station_id = ls.station_id""")
+def q_arrivals_known(spark, sf_dir):
+    known = T.arrivals_at_known_stations(X.arrivals(spark, sf_dir),
+                                         T.line_stations(X.stops(spark, sf_dir)))
+    return known.select("line", "station_id", "train_id", "direction", "offset")
+
+
+ENTRIES_SQL = """entries AS (
+  SELECT station_id, count(*) AS entries FROM turnstile GROUP BY station_id)"""
+
+
+@register("entries_on_lines", _with(X.LINE_STATIONS_SQL, X.TURNSTILE_SQL, ENTRIES_SQL) + """
+SELECT ls.line, ls.station_id, ls.station_name, ls.station_order,
+       COALESCE(e.entries, 0) AS entries
+FROM line_stations ls LEFT JOIN entries e ON ls.station_id = e.station_id""")
+def q_entries_on_lines(spark, sf_dir):
+    return T.entries_on_lines(T.line_stations(X.stops(spark, sf_dir)),
+                              T.entries_per_station(X.turnstile(spark, sf_dir)))
+
+
+TITLE_SQL = ("array_to_string(list_transform(string_split(replace({s}, '_', ' '), ' '), "
+             "lambda x: upper(substr(x, 1, 1)) || lower(substr(x, 2))), ' ')")
+WEATHER_NOW_SQL = """last_w AS (
+  SELECT temperature, status FROM weather ORDER BY "timestamp" DESC, "offset" DESC LIMIT 1),
+weather_now AS (
+  SELECT CAST(trunc(COALESCE(CAST(w.temperature AS DOUBLE), 70.0)) AS INTEGER) AS temperature,
+         """ + TITLE_SQL.format(s="COALESCE(w.status, 'sunny')") + """ AS weather
+  FROM (SELECT 1 AS one) d LEFT JOIN last_w w ON true)"""
+
+
+@register("current_weather", _with(X.WEATHER_SQL, WEATHER_NOW_SQL) + """
+SELECT * FROM weather_now""")
+def q_current_weather(spark, sf_dir):
+    return T.current_weather(X.weather(spark, sf_dir))
+
+
+@register("status_board", _with(X.LINE_STATIONS_SQL, X.ARRIVALS_SQL, SLOTS_SQL,
+                                X.TURNSTILE_SQL, ENTRIES_SQL, X.WEATHER_SQL,
+                                WEATHER_NOW_SQL) + """
+SELECT ls.line,
+       CASE ls.line WHEN 'blue' THEN '#1E90FF' WHEN 'red' THEN '#DC143C'
+                    WHEN 'green' THEN '#32CD32' ELSE '0xFFFFFF' END AS color_code,
+       ls.station_id, ls.station_name, ls.station_order,
+       COALESCE(s.dir_a, '---') AS dir_a, s.dir_a_status,
+       COALESCE(s.dir_b, '---') AS dir_b, s.dir_b_status,
+       COALESCE(e.entries, 0) AS entries, wn.temperature, wn.weather
+FROM line_stations ls
+LEFT JOIN slots s ON ls.line = s.line AND ls.station_id = s.station_id
+LEFT JOIN entries e ON ls.station_id = e.station_id
+CROSS JOIN weather_now wn
+ORDER BY CASE ls.line WHEN 'blue' THEN 0 WHEN 'green' THEN 1 WHEN 'red' THEN 2 ELSE 3 END,
+         ls.station_order, ls.station_id""")
+def q_status_board(spark, sf_dir):
+    stations = T.line_stations(X.stops(spark, sf_dir))
+    return T.status_board(stations,
+                          T.slot_occupancy(X.arrivals(spark, sf_dir), stations),
+                          T.entries_per_station(X.turnstile(spark, sf_dir)),
+                          T.current_weather(X.weather(spark, sf_dir)))
