@@ -221,3 +221,211 @@ def q_status_board(spark, sf_dir):
                           T.slot_occupancy(X.arrivals(spark, sf_dir), stations),
                           T.entries_per_station(X.turnstile(spark, sf_dir)),
                           T.current_weather(X.weather(spark, sf_dir)))
+
+
+# ------------------------------------------------ simulator model, scalars ----
+CURVE_VALUES_SQL = ", ".join(f"({h}, {r})" for h, r in
+                             __import__("dispatchboard.sources.files", fromlist=["x"])
+                             .RIDERSHIP_CURVE_VALUES)
+
+
+@register("expected_entries", _with("""seed AS (
+  SELECT CAST(s_suppkey AS INTEGER) AS station_id, s_acctbal AS avg_weekday_rides
+  FROM supplier)""", f"""curve AS (
+  SELECT * FROM (VALUES {CURVE_VALUES_SQL}) v(hour, ridership_ratio))""") + """
+SELECT e.event_id, CAST(e.user_id AS INTEGER) AS station_id, e.ts AS step_time,
+       CAST(greatest(floor(round_even(s.avg_weekday_rides, 0) * c.ridership_ratio / 300.0), 0)
+            AS BIGINT) AS expected_entries
+FROM events e
+JOIN seed s ON CAST(e.user_id AS INTEGER) = s.station_id
+JOIN curve c ON hour(e.ts) = c.hour""")
+def q_expected_entries(spark, sf_dir):
+    from dispatchboard.sources.files import read_ridership_curve
+    return T.expected_entries(X.turnstile_steps(spark, sf_dir), X.ridership_seed(spark, sf_dir),
+                              read_ridership_curve(spark), step_seconds=300)
+
+
+@register("name_slug", """
+SELECT p_partkey,
+       replace(replace(replace(replace(lower(p_name), '/', '_and_'), ' ', '_'), '-', '_'),
+               '''', '') AS slug
+FROM part""")
+def q_name_slug(spark, sf_dir):
+    p = X.table(spark, sf_dir, "part")
+    return p.select("p_partkey", S.name_slug("p_name").alias("slug"))
+
+
+@register("epoch_key", """
+SELECT event_id, CAST(round_even(epoch_us(ts) / 1000.0, 0) AS BIGINT) AS key_ms FROM events""")
+def q_epoch_key(spark, sf_dir):
+    e = X.table(spark, sf_dir, "events")
+    return e.select("event_id", S.epoch_ms_key("ts").alias("key_ms"))
+
+
+@register("calendar_parts", """
+SELECT event_id, CAST(hour(ts) AS INTEGER) AS hour_of_day,
+       CAST(isodow(ts) - 1 AS INTEGER) AS day_of_week
+FROM events""")
+def q_calendar_parts(spark, sf_dir):
+    e = X.table(spark, sf_dir, "events")
+    return e.select("event_id", S.hour_of_day("ts").alias("hour_of_day"),
+                    S.day_of_week("ts").alias("day_of_week"))
+
+
+# ------------------------------------------------------------ sources ----
+CALLS_LOG_SQL = X.CALLS_SQL
+
+
+@register("calls_json_decode", _with(X.CALLS_SQL) + """
+SELECT crime_id, original_crime_type_name, call_date_time, disposition FROM calls""")
+def q_calls_json_decode(spark, sf_dir):
+    from dispatchboard.schemas import CALL
+    c = X.calls(spark, sf_dir)
+    # PRJ-16 encode to UTF-8 bytes as on the topic, then PRJ-1 + PRJ-2 back.
+    wire = c.select(S.encode_json(
+        "crime_id", "original_crime_type_name",
+        F.col("call_date_time").cast("timestamp").alias("call_date_time"),
+        "disposition").cast("binary").alias("value"))
+    decoded = wire.select(S.decode_json("value", CALL).alias("d")).select("d.*")
+    return decoded.select("crime_id", "original_crime_type_name",
+                          F.col("call_date_time").cast("timestamp_ntz").alias("call_date_time"),
+                          "disposition")
+
+
+@register("calls_bad_records", _with(X.CALLS_SQL) + """
+SELECT "offset", '<' || CAST(json_object('crime_id', crime_id) AS VARCHAR) AS value
+FROM calls WHERE "offset" % 10 = 0""")
+def q_calls_bad_records(spark, sf_dir):
+    from dispatchboard.streaming.quarantine import split_malformed
+    from dispatchboard.schemas import CALL
+    c = X.calls(spark, sf_dir)
+    body = F.to_json(F.struct("crime_id"))
+    # Every 10th message arrives corrupted (a stray leading byte).
+    wire = c.select("offset", F.when(F.col("offset") % 10 == 0, F.concat(F.lit("<"), body))
+                    .otherwise(body).cast("binary").alias("value"))
+    _, bad = split_malformed(wire, CALL, "crime_id")
+    return bad.select("offset", F.col("value").cast("string").alias("value"))
+
+
+@register("incremental_pull", """
+SELECT * FROM orders
+WHERE o_orderdate > COALESCE((SELECT max(o_orderdate) FROM orders
+                              WHERE o_orderdate < TIMESTAMP '1998-01-01'),
+                             TIMESTAMP '0001-01-01')
+ORDER BY o_orderdate""")
+def q_incremental_pull(spark, sf_dir):
+    from dispatchboard.session import scratch_path
+    from dispatchboard.sources.incremental import commit_mark, incremental_pull, read_mark
+    orders = X.table(spark, sf_dir, "orders")
+    store = scratch_path(spark, "marks")
+    # Orders only ever get later dates, so the date is the increasing column.
+    # The previous poll saw the orders placed before 1998; its mark is stored.
+    before = orders.where(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz"))
+    seen = incremental_pull(before, "o_orderdate", read_mark(spark, store, "orders"),
+                            ordered=False)
+    commit_mark(seen, "o_orderdate", store, "orders")
+    return incremental_pull(orders, "o_orderdate", read_mark(spark, store, "orders"))
+
+
+# Event types published as the board's feeds (SET-1 input).
+FEED_TOPICS = {"view": S.TOPIC_WEATHER, "click": S.TOPIC_ARRIVALS,
+               "signup": S.TOPIC_STATIONS_TABLE, "purchase": S.TOPIC_SUMMARY,
+               "error": S.TOPIC_TURNSTILE}
+
+
+def _feeds(spark, sf_dir):
+    """Four differently shaped feeds over ``events``, as topic-log rows."""
+    from dispatchboard.sinks.topics import as_records
+    e = X.table(spark, sf_dir, "events")
+
+    def feed(ev_type, value_cols):
+        rows = e.where(F.col("event_type") == ev_type)
+        return as_records(rows, [F.col("ts").cast("timestamp").alias("ts")], value_cols,
+                          FEED_TOPICS[ev_type], offset_col="event_id", time_col="ts")
+
+    weather = feed("view", [F.col("value").cast("float").alias("temperature"),
+                            F.concat(F.col("event_type"), F.lit("_sky")).alias("status")])
+    arrivals = feed("click", [(F.col("event_id") % 30).cast("int").alias("station_id"),
+                              F.concat(F.lit("T"), F.col("user_id")).alias("train_id")])
+    stations = feed("signup", [F.col("user_id").cast("int").alias("station_id")])
+    summary = feed("purchase", [F.col("user_id").cast("int").alias("station_id")])
+    turnstile = feed("error", [F.col("user_id").cast("int").alias("station_id")])
+    # Feeds carry extra columns of their own; the union aligns them by name.
+    return (weather.withColumn("feed_note", F.lit("weather")), arrivals, stations,
+            summary, turnstile)
+
+
+FEED_TOPICS_SQL = ("CASE event_type " + " ".join(
+    f"WHEN '{k}' THEN '{v}'" for k, v in FEED_TOPICS.items()) + " END")
+
+
+@register("topic_route", f"""
+WITH m AS (SELECT {FEED_TOPICS_SQL} AS topic FROM events)
+SELECT topic,
+       CASE WHEN topic = '{S.TOPIC_WEATHER}' THEN 'weather'
+            WHEN topic = '{S.TOPIC_STATIONS_TABLE}' THEN 'station'
+            WHEN topic = '{S.TOPIC_ARRIVALS}' THEN 'arrival'
+            WHEN topic LIKE '%org.chicago.cta.station%' THEN 'unhandled'
+            WHEN topic = '{S.TOPIC_SUMMARY}' THEN 'summary'
+            ELSE 'ignored' END AS route,
+       count(*) AS messages
+FROM m GROUP BY ALL""")
+def q_topic_route(spark, sf_dir):
+    merged = T.merge_topics(*_feeds(spark, sf_dir))
+    return (T.route_by_topic(merged).groupBy("topic", "route")
+            .agg(F.count(F.lit(1)).alias("messages")))
+
+
+@register("topic_subscribe", f"""
+SELECT event_id AS "offset", 'T' || CAST(user_id AS VARCHAR) AS train_id
+FROM events WHERE event_type = 'click'""")
+def q_topic_subscribe(spark, sf_dir):
+    from dispatchboard.sources.topics import subscribe_pattern
+    merged = T.merge_topics(*_feeds(spark, sf_dir))
+    sub = subscribe_pattern(merged, S.ARRIVALS_TOPIC_PATTERN)
+    v = F.from_json(F.col("value").cast("string"), "station_id int, train_id string")
+    return sub.select("offset", v["train_id"].alias("train_id"))
+
+
+START_POSITIONS = {0: 1000, 1: 500, 3: 2000}
+
+
+@register("start_position", """
+SELECT CAST(event_id % 4 AS INTEGER) AS "partition", event_id // 4 AS "offset",
+       event_type
+FROM events
+WHERE (event_id % 4 = 0 AND event_id // 4 >= 1000) OR (event_id % 4 = 1 AND event_id // 4 >= 500)
+   OR event_id % 4 = 2 OR (event_id % 4 = 3 AND event_id // 4 >= 2000)""")
+def q_start_position(spark, sf_dir):
+    from dispatchboard.sources.topics import apply_start
+    e = X.table(spark, sf_dir, "events")
+    log = e.select((F.col("event_id") % 4).cast("int").alias("partition"),
+                   F.floor(F.col("event_id") / 4).cast("bigint").alias("offset"),
+                   "event_type")
+    return apply_start(log, START_POSITIONS)
+
+
+@register("station_checks", _with(X.STOPS_SQL) + """
+SELECT 'not_null_stop_id' AS "check", count(*) FILTER (WHERE stop_id IS NULL) AS violations
+FROM stops
+UNION ALL SELECT 'not_null_direction_id', count(*) FILTER (WHERE direction_id IS NULL) FROM stops
+UNION ALL SELECT 'not_null_stop_name', count(*) FILTER (WHERE stop_name IS NULL) FROM stops
+UNION ALL SELECT 'not_null_station_name', count(*) FILTER (WHERE station_name IS NULL) FROM stops
+UNION ALL SELECT 'not_null_station_descriptive_name',
+  count(*) FILTER (WHERE station_descriptive_name IS NULL) FROM stops
+UNION ALL SELECT 'not_null_station_id', count(*) FILTER (WHERE station_id IS NULL) FROM stops
+UNION ALL SELECT 'not_null_red', count(*) FILTER (WHERE red IS NULL) FROM stops
+UNION ALL SELECT 'not_null_blue', count(*) FILTER (WHERE blue IS NULL) FROM stops
+UNION ALL SELECT 'not_null_green', count(*) FILTER (WHERE green IS NULL) FROM stops
+UNION ALL SELECT 'max_length_direction_id', count(*) FILTER (WHERE length(direction_id) > 1)
+  FROM stops
+UNION ALL SELECT 'max_length_stop_name', count(*) FILTER (WHERE length(stop_name) > 70) FROM stops
+UNION ALL SELECT 'max_length_station_name', count(*) FILTER (WHERE length(station_name) > 70)
+  FROM stops
+UNION ALL SELECT 'max_length_station_descriptive_name',
+  count(*) FILTER (WHERE length(station_descriptive_name) > 200) FROM stops
+UNION ALL SELECT 'unique_stop_id', count(*) FROM (
+  SELECT stop_id FROM stops WHERE stop_id IS NOT NULL GROUP BY stop_id HAVING count(*) > 1)""")
+def q_station_checks(spark, sf_dir):
+    from dispatchboard.sinks.tables import check_stations
+    return check_stations(X.stops(spark, sf_dir))
