@@ -429,3 +429,17 @@ UNION ALL SELECT 'unique_stop_id', count(*) FROM (
 def q_station_checks(spark, sf_dir):
     from dispatchboard.sinks.tables import check_stations
     return check_stations(X.stops(spark, sf_dir))
+
+
+# ------------------------------------------------------------- streams ----
+from dispatchboard.plans import streams as STREAMS  # noqa: E402
+
+_COUNTS_ONLY = WINDOW_COUNTS_SQL + "SELECT * FROM counts"
+register("stream_window_counts", _COUNTS_ONLY)(STREAMS.stream_window_counts)
+register("stream_window_described", ORACLES["calls_window_described"])(
+    STREAMS.stream_window_described)
+register("stream_bounded_counts")(STREAMS.stream_bounded_counts)
+register("stream_progress")(STREAMS.stream_progress)
+register("stream_slots", ORACLES["slot_occupancy"])(STREAMS.stream_slots)
+register("stream_upsert", ORACLES["station_table"])(STREAMS.stream_upsert)
+register("stream_entries", ORACLES["entries_stream_count"])(STREAMS.stream_entries)

@@ -9,10 +9,10 @@ from pyspark.sql.types import (BinaryType, BooleanType, DoubleType, FloatType,
 TOPIC_LOG = StructType([
     StructField("key", BinaryType(), True),
     StructField("value", BinaryType(), True),
-    StructField("topic", StringType(), False),
-    StructField("partition", IntegerType(), False),
-    StructField("offset", LongType(), False),
-    StructField("timestamp", TimestampType(), False),
+    StructField("topic", StringType(), True),
+    StructField("partition", IntegerType(), True),
+    StructField("offset", LongType(), True),
+    StructField("timestamp", TimestampType(), True),
 ])
 
 # Police call record carried as JSON. crime_id is declared non-null; from_json

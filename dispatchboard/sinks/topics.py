@@ -38,7 +38,7 @@ def as_records(df: DataFrame, key_cols, value_cols, topic: str,
 
 def topic_exists(spark: SparkSession, location: str, topic: str) -> bool:
     """SNK-5 guard for a topic log on a local or mounted path."""
-    path = f"{location}/topic={topic}"
+    path = f"{location}/{topic}"
     if path.startswith("/") or path.startswith("file:"):
         return os.path.isdir(path.replace("file:", ""))
     jvm = spark.sparkContext._jvm
@@ -68,12 +68,11 @@ def publish(df: DataFrame, key_cols, value_cols, topic: str, location: str,
         return
     if if_absent and topic_exists(df.sparkSession, location, topic):
         return
-    recs.write.mode("append").partitionBy("topic").parquet(location)
+    recs.write.mode("append").parquet(f"{location}/{topic}")
 
 
 def read_published(spark: SparkSession, location: str, topic: str) -> DataFrame:
-    return (spark.read.option("basePath", location)
-            .parquet(f"{location}/topic={topic}").select(*LOG_COLUMNS))
+    return spark.read.parquet(f"{location}/{topic}").select(*LOG_COLUMNS)
 
 
 # SRC-7

@@ -2,10 +2,10 @@
 
 A topic is read either from Kafka (``format="kafka"``; needs the Kafka
 package on the cluster's classpath, untested here since no broker exists) or
-from a *topic log*: a parquet directory with the Kafka source's columns,
-partitioned by ``topic``. Both give the same six columns, so everything
-downstream is shared. Subscribing to one topic prunes the log's directory
-partitions; a pattern is an ``rlike`` on the partition column.
+from a *topic log*: one parquet folder per topic under a log root, holding
+the Kafka source's columns. Both give the same six columns, so everything
+downstream is shared. Subscribing to one topic reads only its folder; a
+pattern reads the root and keeps the topics whose name matches.
 """
 
 from __future__ import annotations
@@ -57,8 +57,7 @@ def read_topic(spark: SparkSession, location: str, topic: str, stream: bool = Tr
         return _kafka(spark, stream, location, "subscribe", topic, starting,
                       max_offsets_per_trigger)
     df = (_log_reader(spark, stream, max_files_per_trigger)
-          .option("basePath", location).parquet(f"{location}/topic={topic}")
-          .select(*LOG_COLUMNS))
+          .parquet(f"{location}/{topic}").select(*LOG_COLUMNS))
     return apply_start(df, starting)
 
 
@@ -70,7 +69,7 @@ def read_topics(spark: SparkSession, location: str, pattern: str, stream: bool =
     if fmt == "kafka":
         return _kafka(spark, stream, location, "subscribePattern", pattern, starting,
                       max_offsets_per_trigger)
-    df = (_log_reader(spark, stream, max_files_per_trigger).parquet(location)
+    df = (_log_reader(spark, stream, max_files_per_trigger).parquet(f"{location}/*")
           .select(*LOG_COLUMNS))
     return apply_start(subscribe_pattern(df, pattern), starting)
 
