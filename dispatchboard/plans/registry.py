@@ -443,3 +443,61 @@ register("stream_progress")(STREAMS.stream_progress)
 register("stream_slots", ORACLES["slot_occupancy"])(STREAMS.stream_slots)
 register("stream_upsert", ORACLES["station_table"])(STREAMS.stream_upsert)
 register("stream_entries", ORACLES["entries_stream_count"])(STREAMS.stream_entries)
+
+
+# --------------------------------------------------- files and publishing ----
+@register("code_table_json", _with(X.CODES_SQL) + "SELECT * FROM codes")
+def q_code_table_json(spark, sf_dir):
+    """SRC-4: the code table written as JSON-array files and read back."""
+    from dispatchboard.session import scratch_path
+    from dispatchboard.sources.files import read_codes, write_json_arrays
+    path = scratch_path(spark, "codes-json")
+    write_json_arrays(X.codes(spark, sf_dir), path)
+    return read_codes(spark, path)
+
+
+@register("csv_roundtrip", _with(X.STOPS_SQL) + "SELECT * FROM stops")
+def q_csv_roundtrip(spark, sf_dir):
+    """SRC-5: stop rows (quoted commas included) through a header CSV."""
+    from dispatchboard.session import scratch_path
+    from dispatchboard.sources.files import read_stations, write_stations
+    path = scratch_path(spark, "stops-csv")
+    write_stations(X.stops(spark, sf_dir), path)
+    return read_stations(spark, path)
+
+
+@register("publish_roundtrip", _with(X.CALLS_SQL) + """
+SELECT crime_id, original_crime_type_name, call_date_time, disposition FROM calls""")
+def q_publish_roundtrip(spark, sf_dir):
+    """SNK-2 + SNK-5: keyed publish, a second publish skipped because the
+    topic exists, then a bounded read of the topic decoded back."""
+    from dispatchboard.schemas import CALL
+    from dispatchboard.session import scratch_path
+    from dispatchboard.sinks.topics import publish, read_published, require_topics
+    loc = scratch_path(spark, "log-publish")
+    c = X.calls(spark, sf_dir).withColumn("call_date_time",
+                                          F.col("call_date_time").cast("timestamp"))
+    cols = ["crime_id", "original_crime_type_name", "call_date_time", "disposition"]
+    for _ in range(2):
+        publish(c, ["crime_id"], cols, S.TOPIC_CALLS, loc, offset_col="offset",
+                if_absent=True)
+    require_topics(spark, loc, S.TOPIC_CALLS)
+    v = S.decode_json("value", CALL)
+    return (read_published(spark, loc, S.TOPIC_CALLS).select(v.alias("d"))
+            .select("d.crime_id", "d.original_crime_type_name",
+                    F.col("d.call_date_time").cast("timestamp_ntz").alias("call_date_time"),
+                    "d.disposition"))
+
+
+@register("json_file_publish", _with(X.CODES_SQL) + "SELECT * FROM codes")
+def q_json_file_publish(spark, sf_dir):
+    """SRC-7: a JSON-array file becomes one message per element."""
+    from dispatchboard.schemas import DISPOSITION
+    from dispatchboard.session import scratch_path
+    from dispatchboard.sinks.topics import publish_json_file, read_published
+    from dispatchboard.sources.files import write_json_arrays
+    src, loc = scratch_path(spark, "codes-src"), scratch_path(spark, "log-codes")
+    write_json_arrays(X.codes(spark, sf_dir), src)
+    publish_json_file(spark, src, "radio.codes", loc, schema=DISPOSITION)
+    v = S.decode_json("value", DISPOSITION)
+    return read_published(spark, loc, "radio.codes").select(v.alias("d")).select("d.*")
