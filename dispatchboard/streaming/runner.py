@@ -59,11 +59,13 @@ class StreamResult:
 
 def start(df: DataFrame, name: str, mode: str = "complete",
           trigger: str = "availableNow", keys: Sequence[str] | None = None,
-          path: str | None = None) -> StreamResult:
+          path: str | None = None, transform=None) -> StreamResult:
     """Start ``df`` (a streaming frame) as query ``name`` writing to a folder.
 
     ``keys`` are required for update mode: rows are upserted by key, later
-    batches winning.
+    batches winning. ``transform`` (complete mode) maps each micro-batch's
+    full result, a static frame, before it is written; batch-only steps such
+    as a second aggregation go there.
     """
     spark = df.sparkSession
     path = path or scratch_path(spark, name)
@@ -71,6 +73,8 @@ def start(df: DataFrame, name: str, mode: str = "complete",
 
     if mode == "complete":
         def sink(batch: DataFrame, batch_id: int) -> None:
+            if transform is not None:
+                batch = transform(batch)
             batch.write.mode("overwrite").parquet(f"{path}/v={batch_id:020d}")
             (spark.range(1).select(F.lit(batch_id).cast("bigint").alias("version"))
              .write.mode("append").parquet(f"{path}/_versions"))
