@@ -179,21 +179,20 @@ def status_board(stations: DataFrame, slots: DataFrame, entries: DataFrame,
                  weather: DataFrame, sort: bool = True) -> DataFrame:
     """One row per (line, station): both slots, entries, current weather.
 
-    ``weather`` must be the one-row frame of ``current_weather``; it is
-    attached by a broadcast equi-join on a constant key, never a cross join
-    of data-sized inputs.
+    ``weather`` must be the one-row frame of ``current_weather``; it enters
+    as one scalar subquery (computed once, then a constant of the plan), so
+    no join against it is needed.
     """
-    w = F.broadcast(weather.withColumn("_one", F.lit(1)))
+    now = weather.select(F.struct("temperature", "weather").alias("w")).scalar()
     board = (stations.join(slots, ["line", "station_id"], "left")
              .join(entries, "station_id", "left")
-             .withColumn("_one", F.lit(1))
-             .join(w, "_one", "left")
              .select("line", color_code("line").alias("color_code"),
                      "station_id", "station_name", "station_order",
                      or_placeholder("dir_a").alias("dir_a"), "dir_a_status",
                      or_placeholder("dir_b").alias("dir_b"), "dir_b_status",
                      F.coalesce(F.col("entries"), F.lit(0).cast("bigint")).alias("entries"),
-                     "temperature", "weather"))
+                     now.getField("temperature").alias("temperature"),
+                     now.getField("weather").alias("weather")))
     if sort:
         board = board.orderBy(board_line_rank("line"), "station_order", "station_id")
     return board
