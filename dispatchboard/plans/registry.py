@@ -443,6 +443,7 @@ register("stream_progress")(STREAMS.stream_progress)
 register("stream_slots", ORACLES["slot_occupancy"])(STREAMS.stream_slots)
 register("stream_upsert", ORACLES["station_table"])(STREAMS.stream_upsert)
 register("stream_entries", ORACLES["entries_stream_count"])(STREAMS.stream_entries)
+register("stream_board", ORACLES["status_board"])(STREAMS.stream_board)
 
 
 # --------------------------------------------------- files and publishing ----

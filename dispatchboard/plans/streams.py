@@ -134,3 +134,70 @@ def stream_entries(spark, sf_dir):
             .select("v.*"))
     return runner.run(T.entries_per_station(rows), "turnstile_summary", "update",
                       keys=["station_id"])
+
+
+def _summary_query(spark, log_root: str, turnstile_stream: DataFrame):
+    """AGG-2 + SNK-4: running entries per station, each trigger's updated
+    rows published to the summary topic as JSON keyed by station. The batch
+    id is the offset, so later counts of a station win on the board."""
+    from dispatchboard.sinks.topics import as_records
+    counts = T.entries_per_station(turnstile_stream)
+    ck = scratch_path(spark, "summary-ck")
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        recs = as_records(batch.withColumn("_off", F.lit(batch_id))
+                          .select("station_id", F.col("entries").alias("count"), "_off"),
+                          ["station_id"], ["station_id", "count"], S.TOPIC_SUMMARY,
+                          offset_col="_off")
+        # One file per trigger: the rows are one per changed station.
+        recs.coalesce(1).write.mode("overwrite").parquet(
+            f"{log_root}/{S.TOPIC_SUMMARY}/batch={batch_id:020d}")
+
+    return (counts.writeStream.queryName("turnstile_summary_topic").outputMode("update")
+            .option("checkpointLocation", ck).foreachBatch(sink)
+            .trigger(availableNow=True).start())
+
+
+BOARD_TOPICS = (S.TOPIC_WEATHER, S.TOPIC_STATIONS_TABLE, S.TOPIC_ARRIVALS, S.TOPIC_SUMMARY)
+
+
+def stream_board(spark, sf_dir):
+    """The assembled board as a stream, from four published feeds."""
+    from dispatchboard.sources.topics import read_topics
+    from dispatchboard.streaming.board import BoardState
+    root = _log(spark, "board")
+    # Feeds: station changelog (every record, stop-id order), arrivals,
+    # weather readings, and raw turnstile entries.
+    recs = T.station_records(X.stops(spark, sf_dir)).withColumnRenamed("station_order", "order")
+    publish(recs.repartition(LOG_FILES), ["station_id"],
+            ["station_id", "station_name", "order", "line"], S.TOPIC_STATIONS_TABLE, root,
+            offset_col="stop_id")
+    a = X.arrivals(spark, sf_dir)
+    publish(a.repartition(LOG_FILES), [F.col("key").alias("timestamp")],
+            [f.name for f in ARRIVAL.fields], S.TOPIC_ARRIVALS, root,
+            offset_col="offset", time_col="timestamp")
+    w = X.weather(spark, sf_dir)
+    publish(w.repartition(LOG_FILES), [F.col("key").alias("timestamp")],
+            ["temperature", "status"], S.TOPIC_WEATHER, root,
+            offset_col="offset", time_col="timestamp")
+    turn_root = _log(spark, "turnstile")
+    t = X.turnstile(spark, sf_dir)
+    publish(t.repartition(LOG_FILES), [F.col("key").alias("timestamp")],
+            [f.name for f in TURNSTILE.fields], S.TOPIC_TURNSTILE, turn_root,
+            offset_col="offset", time_col="timestamp")
+    turn = (read_topic(spark, turn_root, S.TOPIC_TURNSTILE,
+                       max_files_per_trigger=FILES_PER_TRIGGER)
+            .select(F.from_json(F.col("value").cast("string"), TURNSTILE).alias("v"))
+            .select("v.*"))
+    _summary_query(spark, root, turn).awaitTermination()
+
+    pattern = "^(" + "|".join(x.replace(".", r"\.") for x in BOARD_TOPICS) + ")$"
+    feeds = read_topics(spark, root, pattern, max_files_per_trigger=4 * LOG_FILES)
+    state = BoardState(spark, scratch_path(spark, "board-state"))
+    q = (feeds.writeStream.queryName("status_board").outputMode("append")
+         .option("checkpointLocation", f"{state.path}/_checkpoint")
+         .foreachBatch(state.apply).trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return state.read()

@@ -42,8 +42,14 @@ class KeyedTable:
         self.spark, self.path = spark, path.rstrip("/")
         self.keys, self.order = list(keys), list(order)
         self.changelog = changelog
+        # Versions this writer has committed; batch ids only grow, so the
+        # newest one below a batch is known without reading the pointers.
+        self._written: list[int] = []
 
     def _version(self, below: int | None = None):
+        mine = [v for v in self._written if below is None or v < below]
+        if mine:
+            return max(mine)
         try:
             v = self.spark.read.parquet(f"{self.path}/{VERSIONS}")
         except Exception:
@@ -61,7 +67,9 @@ class KeyedTable:
         payload = [c for c in batch.columns if c not in self.keys]
         latest = latest_by(batch, self.keys, self.order, payload)
         if self.changelog:
-            latest.write.mode("overwrite").parquet(f"{self.changelog}/batch={batch_id:020d}")
+            # Every write is a changelog record, not only the last per key:
+            # readers that keep their own per-key maps must see them all.
+            batch.write.mode("overwrite").parquet(f"{self.changelog}/batch={batch_id:020d}")
         base = self._version(below=batch_id)
         merged = latest
         if base is not None:
@@ -70,6 +78,7 @@ class KeyedTable:
         merged.write.mode("overwrite").parquet(f"{self.path}/v={batch_id:020d}")
         (self.spark.range(1).select(F.lit(batch_id).cast("bigint").alias("version"))
          .write.mode("append").parquet(f"{self.path}/{VERSIONS}"))
+        self._written.append(batch_id)
 
 
 def upsert_latest(batch_df: DataFrame, batch_id: int, table: KeyedTable) -> None:

@@ -23,12 +23,14 @@ EARLIEST, LATEST = -2, -1
 
 
 def _log_reader(spark: SparkSession, stream: bool, max_files_per_trigger: int | None):
+    # A log has no partition columns; files may sit in per-batch subfolders
+    # (written by replay-safe sinks), so directories are searched, not parsed.
     if stream:
-        r = spark.readStream.schema(TOPIC_LOG)
+        r = spark.readStream.schema(TOPIC_LOG).option("recursiveFileLookup", "true")
         if max_files_per_trigger:
             r = r.option("maxFilesPerTrigger", max_files_per_trigger)
         return r
-    return spark.read.schema(TOPIC_LOG)
+    return spark.read.schema(TOPIC_LOG).option("recursiveFileLookup", "true")
 
 
 def _kafka(spark: SparkSession, stream: bool, servers: str, sub_key: str, sub: str,
