@@ -28,16 +28,21 @@ DEFAULT_TEMPERATURE = 70.0
 DEFAULT_WEATHER_STATUS = "sunny"
 # Placeholder for an empty slot on the board.
 EMPTY_SLOT = "---"
-# Topic names.
-TOPIC_CALLS = "com.udacity.sf.crime.calls.v1"
-TOPIC_STATIONS_RAW = "org.chicago.cta.stations"
-TOPIC_STATIONS_TABLE = "org.chicago.cta.stations.table.v1"
-TOPIC_ARRIVALS = "org.chicago.cta.station.arrivals.v1"
-TOPIC_TURNSTILE = "org.chicago.cta.station.turnstile.v1"
-TOPIC_WEATHER = "org.chicago.cta.weather.v1"
+# Summary topic name as the aggregate layer upper-cases it.
 TOPIC_SUMMARY = "TURNSTILE_SUMMARY"
-# Pattern the board subscribes to for arrivals (a regex, as given).
-ARRIVALS_TOPIC_PATTERN = "^org.chicago.cta.station.arrivals."
+# ---------------------------------------------------------------------------
+
+# Topic names of this deployment (any names work; routing keys on them).
+TRANSIT_PREFIX = "transit"
+STATION_TOPIC_STEM = f"{TRANSIT_PREFIX}.station"
+TOPIC_CALLS = "police.calls.v1"
+TOPIC_STATIONS_RAW = f"{TRANSIT_PREFIX}.stations"
+TOPIC_STATIONS_TABLE = f"{TRANSIT_PREFIX}.stations.table.v1"
+TOPIC_ARRIVALS = f"{STATION_TOPIC_STEM}.arrivals.v1"
+TOPIC_TURNSTILE = f"{STATION_TOPIC_STEM}.turnstile.v1"
+TOPIC_WEATHER = f"{TRANSIT_PREFIX}.weather.v1"
+# Pattern the board subscribes to for arrivals.
+ARRIVALS_TOPIC_PATTERN = f"^{STATION_TOPIC_STEM}.arrivals."
 # ---------------------------------------------------------------------------
 
 # Full-precision timestamp text for JSON values (default JSON formats keep ms).

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from dispatchboard.functions.scalars import (DEFAULT_TEMPERATURE,
                                              DEFAULT_WEATHER_STATUS, LINE_FLAGS,
+                                             STATION_TOPIC_STEM,
                                              TOPIC_ARRIVALS, TOPIC_STATIONS_TABLE,
                                              TOPIC_SUMMARY, TOPIC_WEATHER,
                                              board_line_rank, clamp_at_zero,
@@ -236,11 +237,11 @@ def merge_topics(*feeds: DataFrame) -> DataFrame:
 def route_by_topic(df: DataFrame, topic_col: str = "topic") -> DataFrame:
     t = F.col(topic_col)
     route = (F.when(t == TOPIC_WEATHER, F.lit("weather"))
-             .when(t.contains("org.chicago.cta.station") & (t == TOPIC_STATIONS_TABLE),
+             .when(t.contains(STATION_TOPIC_STEM) & (t == TOPIC_STATIONS_TABLE),
                    F.lit("station"))
-             .when(t.contains("org.chicago.cta.station") & (t == TOPIC_ARRIVALS),
+             .when(t.contains(STATION_TOPIC_STEM) & (t == TOPIC_ARRIVALS),
                    F.lit("arrival"))
-             .when(t.contains("org.chicago.cta.station"), F.lit("unhandled"))
+             .when(t.contains(STATION_TOPIC_STEM), F.lit("unhandled"))
              .when(t == TOPIC_SUMMARY, F.lit("summary"))
              .otherwise(F.lit("ignored")))
     return df.withColumn("route", route)

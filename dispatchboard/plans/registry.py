@@ -365,7 +365,7 @@ SELECT topic,
        CASE WHEN topic = '{S.TOPIC_WEATHER}' THEN 'weather'
             WHEN topic = '{S.TOPIC_STATIONS_TABLE}' THEN 'station'
             WHEN topic = '{S.TOPIC_ARRIVALS}' THEN 'arrival'
-            WHEN topic LIKE '%org.chicago.cta.station%' THEN 'unhandled'
+            WHEN topic LIKE '%{S.STATION_TOPIC_STEM}%' THEN 'unhandled'
             WHEN topic = '{S.TOPIC_SUMMARY}' THEN 'summary'
             ELSE 'ignored' END AS route,
        count(*) AS messages
