@@ -245,6 +245,27 @@ def q_expected_entries(spark, sf_dir):
                               read_ridership_curve(spark), step_seconds=300)
 
 
+@register("expected_entries_calendar", _with("""seed AS (
+  SELECT CAST(s_suppkey AS INTEGER) AS station_id, s_acctbal AS avg_weekday_rides,
+         s_acctbal / 2 AS avg_saturday_rides, s_acctbal / 3 AS avg_sunday_rides
+  FROM supplier)""", f"""curve AS (
+  SELECT * FROM (VALUES {CURVE_VALUES_SQL}) v(hour, ridership_ratio))""") + """
+SELECT e.event_id, CAST(e.user_id AS INTEGER) AS station_id, e.ts AS step_time,
+       CAST(greatest(floor(round_even(
+         CASE WHEN isodow(e.ts) <= 5 THEN s.avg_weekday_rides
+              WHEN isodow(e.ts) = 6 THEN s.avg_saturday_rides
+              ELSE s.avg_sunday_rides END, 0) * c.ridership_ratio / 300.0), 0)
+            AS BIGINT) AS expected_entries
+FROM events e
+JOIN seed s ON CAST(e.user_id AS INTEGER) = s.station_id
+JOIN curve c ON hour(e.ts) = c.hour""")
+def q_expected_entries_calendar(spark, sf_dir):
+    from dispatchboard.sources.files import read_ridership_curve
+    return T.expected_entries(X.turnstile_steps(spark, sf_dir), X.ridership_seed(spark, sf_dir),
+                              read_ridership_curve(spark), step_seconds=300,
+                              day_type="calendar")
+
+
 @register("name_slug", """
 SELECT p_partkey,
        replace(replace(replace(replace(lower(p_name), '/', '_and_'), ' ', '_'), '-', '_'),
