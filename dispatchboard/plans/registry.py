@@ -216,7 +216,11 @@ CROSS JOIN weather_now wn
 ORDER BY CASE ls.line WHEN 'blue' THEN 0 WHEN 'green' THEN 1 WHEN 'red' THEN 2 ELSE 3 END,
          ls.station_order, ls.station_id""")
 def q_status_board(spark, sf_dir):
-    stations = T.line_stations(X.stops(spark, sf_dir))
+    # Used three times below: computed once, lineage cut in the shared
+    # checkpoint folder, so the stop table is scanned once.
+    from dispatchboard.session import checkpoint_root
+    checkpoint_root(spark)
+    stations = T.line_stations(X.stops(spark, sf_dir)).checkpoint()
     return T.status_board(stations,
                           T.slot_occupancy(X.arrivals(spark, sf_dir), stations),
                           T.entries_per_station(X.turnstile(spark, sf_dir)),

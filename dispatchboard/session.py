@@ -34,7 +34,8 @@ def build_session(master: str = "local[8]", app: str = "dispatchboard",
          .config("spark.driver.memory", "16g")
          .config("spark.sql.streaming.stateStore.providerClass",
                  "org.apache.spark.sql.execution.streaming.state."
-                 "RocksDBStateStoreProvider"))
+                 "RocksDBStateStoreProvider")
+         .config("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true"))
     for k, v in (extra or {}).items():
         b = b.config(k, v)
     spark = b.getOrCreate()

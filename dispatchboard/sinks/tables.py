@@ -76,7 +76,7 @@ class KeyedTable:
             old = self.spark.read.parquet(f"{self.path}/v={base:020d}")
             merged = latest_by(old.unionByName(latest), self.keys, self.order, payload)
         merged.write.mode("overwrite").parquet(f"{self.path}/v={batch_id:020d}")
-        (self.spark.range(1).select(F.lit(batch_id).cast("bigint").alias("version"))
+        (self.spark.range(0, 1, 1, 1).select(F.lit(batch_id).cast("bigint").alias("version"))
          .write.mode("append").parquet(f"{self.path}/{VERSIONS}"))
         self._written.append(batch_id)
 

@@ -59,7 +59,7 @@ class BoardState:
         finally:
             routed.unpersist()
         self.render().write.mode("overwrite").parquet(f"{self.path}/board/v={batch_id:020d}")
-        (self.spark.range(1).select(F.lit(batch_id).cast("bigint").alias("version"))
+        (self.spark.range(0, 1, 1, 1).select(F.lit(batch_id).cast("bigint").alias("version"))
          .write.mode("append").parquet(f"{self.path}/board/_versions"))
 
     def _stations(self, routed: DataFrame, batch_id: int) -> None:

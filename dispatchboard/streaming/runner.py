@@ -76,7 +76,7 @@ def start(df: DataFrame, name: str, mode: str = "complete",
             if transform is not None:
                 batch = transform(batch)
             batch.write.mode("overwrite").parquet(f"{path}/v={batch_id:020d}")
-            (spark.range(1).select(F.lit(batch_id).cast("bigint").alias("version"))
+            (spark.range(0, 1, 1, 1).select(F.lit(batch_id).cast("bigint").alias("version"))
              .write.mode("append").parquet(f"{path}/_versions"))
     elif mode == "append":
         def sink(batch: DataFrame, batch_id: int) -> None:
