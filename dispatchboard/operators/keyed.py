@@ -14,9 +14,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Row bound under which a lookup side may be broadcast. A lookup with more
-# rows is joined by shuffle instead; nothing is dropped either way.
+# Bounds under which a lookup side may be broadcast. A larger lookup is
+# joined by shuffle instead; nothing is dropped either way.
 BROADCAST_MAX_ROWS = 1_000_000
+BROADCAST_MAX_BYTES = 64 << 20
 
 
 def _cols(cs) -> list[Column]:
@@ -74,15 +75,23 @@ def first_by(df: DataFrame, keys, order, payload: Sequence[str] | None = None
             .select(*key_names, *[F.col("_first")[c].alias(c) for c in payload]))
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                    max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Mark ``df`` for broadcast only when it provably has at most
-    ``max_rows`` rows; otherwise return it unchanged for a shuffle join.
+    ``max_rows`` rows and about ``max_bytes`` of data; otherwise return it
+    unchanged for a shuffle join.
 
-    The proof is ``limit(max_rows + 1).count()``, which stops reading once the
-    bound is passed, so the check costs at most ``max_rows`` rows. A streaming
-    frame is never marked (its size is unbounded by definition).
+    The proof is one aggregate over ``limit(max_rows + 1)``: it stops reading
+    once the row bound is passed, counts the rows and sums their JSON size
+    (a close stand-in for their in-memory size). A streaming frame is never
+    marked (its size is unbounded by definition).
     """
     if df.isStreaming:
         return df
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    row = (df.limit(max_rows + 1)
+           .agg(F.count(F.lit(1)).alias("n"),
+                F.sum(F.octet_length(F.to_json(F.struct(*[F.col(c) for c in df.columns]))))
+                .alias("b"))
+           .first())
+    n, b = row["n"], row["b"] or 0
+    return F.broadcast(df) if n <= max_rows and b <= max_bytes else df

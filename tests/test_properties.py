@@ -51,3 +51,25 @@ def test_upsert_replay_is_idempotent(spark):
     tab.upsert(b1, 1)
     tab.upsert(b1, 1)  # replayed batch
     assert sorted(map(tuple, tab.read().collect())) == [(1, 2, "c"), (2, 1, "b")]
+
+
+def test_sized_broadcast_respects_bounds(spark):
+    small = spark.range(10).withColumnRenamed("id", "k")
+    big = spark.range(100).withColumnRenamed("id", "k")
+    probe = spark.range(1000).withColumnRenamed("id", "k")
+
+    def strategy(lookup):
+        import contextlib
+        import io
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            probe.join(lookup, "k").explain()
+        return "BroadcastHashJoin" if "BroadcastHashJoin" in buf.getvalue() else "other"
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert strategy(K.sized_broadcast(small, max_rows=50)) == "BroadcastHashJoin"
+        assert strategy(K.sized_broadcast(big, max_rows=50)) == "other"
+        assert strategy(K.sized_broadcast(small, max_rows=50, max_bytes=10)) == "other"
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
