@@ -469,6 +469,7 @@ register("stream_slots", ORACLES["slot_occupancy"])(STREAMS.stream_slots)
 register("stream_upsert", ORACLES["station_table"])(STREAMS.stream_upsert)
 register("stream_entries", ORACLES["entries_stream_count"])(STREAMS.stream_entries)
 register("stream_board", ORACLES["status_board"])(STREAMS.stream_board)
+register("stream_entries_table", ORACLES["entries_table_count"])(STREAMS.stream_entries_table)
 
 
 # --------------------------------------------------- files and publishing ----
