@@ -219,7 +219,7 @@ def expected_entries(steps: DataFrame, seed: DataFrame, curve: DataFrame,
         raise ValueError(f"unknown day_type {day_type!r}")
     seed_cols = seed.select("station_id", "avg_weekday_rides", "avg_saturday_rides",
                             "avg_sunday-holiday_rides")
-    curve_cols = F.broadcast(curve.select(F.col("hour").alias("_hour"), "ridership_ratio"))
+    curve_cols = sized_broadcast(curve.select(F.col("hour").alias("_hour"), "ridership_ratio"))
     joined = (steps.join(sized_broadcast(seed_cols), "station_id")
               .join(curve_cols, hour_of_day(time_col) == F.col("_hour")))
     riders = round_half_even(rides) * F.col("ridership_ratio") / F.lit(float(step_seconds))

@@ -318,18 +318,24 @@ def q_calls_json_decode(spark, sf_dir):
 
 
 @register("calls_bad_records", _with(X.CALLS_SQL) + """
-SELECT "offset", '<' || CAST(json_object('crime_id', crime_id) AS VARCHAR) AS value
-FROM calls WHERE "offset" % 10 = 0""")
+SELECT "offset",
+       CASE WHEN original_crime_type_name = 'error' THEN NULL ELSE crime_id END AS crime_id,
+       COALESCE(original_crime_type_name = 'error', false) AS quarantined
+FROM calls""")
 def q_calls_bad_records(spark, sf_dir):
+    """PRJ-20 over every call: messages of ``error`` events arrive with a
+    stray leading byte and go to quarantine; the rest decode and pass on."""
     from dispatchboard.streaming.quarantine import split_malformed
     from dispatchboard.schemas import CALL
     c = X.calls(spark, sf_dir)
     body = F.to_json(F.struct("crime_id"))
-    # Every 10th message arrives corrupted (a stray leading byte).
-    wire = c.select("offset", F.when(F.col("offset") % 10 == 0, F.concat(F.lit("<"), body))
+    corrupt = F.coalesce(F.col("original_crime_type_name") == "error", F.lit(False))
+    wire = c.select("offset", F.when(corrupt, F.concat(F.lit("<"), body))
                     .otherwise(body).cast("binary").alias("value"))
-    _, bad = split_malformed(wire, CALL, "crime_id")
-    return bad.select("offset", F.col("value").cast("string").alias("value"))
+    good, bad = split_malformed(wire, CALL, "crime_id")
+    return (good.select("offset", "crime_id", F.lit(False).alias("quarantined"))
+            .unionByName(bad.select("offset", F.lit(None).cast("string").alias("crime_id"),
+                                    F.lit(True).alias("quarantined"))))
 
 
 @register("incremental_pull", """

@@ -28,14 +28,30 @@ def read_codes(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("multiline", "true").schema(DISPOSITION).json(path)
 
 
+def _array_lines(batches):
+    """One partition's JSON objects as the lines of one JSON array: ``[``,
+    the first object, ``,`` + each further object, ``]``. Rows stream through
+    in Arrow batches; no partition is held whole."""
+    import pandas as pd
+    yield pd.DataFrame({"value": ["["]})
+    first = True
+    for pdf in batches:
+        if pdf.empty:
+            continue
+        sep = pd.Series(",", index=pdf.index)
+        if first:
+            sep.iloc[0] = ""
+            first = False
+        yield pd.DataFrame({"value": sep + pdf["_j"]})
+    yield pd.DataFrame({"value": ["]"]})
+
+
 def write_json_arrays(df: DataFrame, path: str) -> None:
-    """Write ``df`` as JSON-array files readable by ``read_codes``: one array
-    per Spark partition, built inside that partition's own task."""
-    part = F.spark_partition_id()
-    (df.select(part.alias("_p"), F.to_json(F.struct(*df.columns)).alias("_j"))
-       .groupBy("_p").agg(F.concat(F.lit("["), F.concat_ws(",", F.collect_list("_j")),
-                                   F.lit("]")).alias("value"))
-       .select("value").write.mode("overwrite").text(path))
+    """Write ``df`` as JSON-array files readable by ``read_codes``: one file
+    (one array) per Spark partition, written by that partition's task."""
+    (df.select(F.to_json(F.struct(*df.columns)).alias("_j"))
+       .mapInPandas(_array_lines, "value string")
+       .write.mode("overwrite").text(path))
 
 
 # SRC-5
