@@ -213,10 +213,9 @@ def stream_board(spark, sf_dir):
 
 
 def stream_entries_table(spark, sf_dir):
-    """AGG-3 as a stream: latest row per message key kept in a keyed table
-    by ``foreachBatch`` (two chained aggregations cannot share one streaming
-    plan), then counted per station on each trigger."""
-    from dispatchboard.sinks.tables import KeyedTable
+    """AGG-3 as a stream: the keyed table lives in the state store (latest
+    row per message key), and its changes are counted per station."""
+    from dispatchboard.streaming.table_counts import run_table_counts
     loc = _log(spark, "turnstile")
     t = X.turnstile(spark, sf_dir)
     publish(t.repartition(LOG_FILES), [F.col("key").alias("timestamp")],
@@ -226,20 +225,5 @@ def stream_entries_table(spark, sf_dir):
     rows = log.select(F.col("key").cast("string").alias("key"), "offset",
                       F.from_json(F.col("value").cast("string"), TURNSTILE)["station_id"]
                       .alias("station_id"))
-    path = scratch_path(spark, "turnstile-table")
-    table = KeyedTable(spark, f"{path}/latest", ["key"], ["offset"])
-    counts_path = f"{path}/counts"
-
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        table.upsert(batch, batch_id)
-        counts = T.entries_per_station(table.read())
-        counts.write.mode("overwrite").parquet(f"{counts_path}/v={batch_id:020d}")
-
-    q = (rows.writeStream.queryName("turnstile_table").outputMode("append")
-         .option("checkpointLocation", f"{path}/_checkpoint").foreachBatch(sink)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
-    last = max(p.batchId for p in q.recentProgress if p.numInputRows > 0)
-    return spark.read.parquet(f"{counts_path}/v={last:020d}")
+    return run_table_counts(spark, rows, scratch_path(spark, "turnstile-table"),
+                            max_files_per_trigger=FILES_PER_TRIGGER)

@@ -24,24 +24,15 @@ def start_console(df: DataFrame, name: str, mode: str = "complete",
             .queryName(name).trigger(processingTime=trigger).start())
 
 
-# SNK-3
-class KeyedTable:
-    """Latest row per key, kept as immutable versions.
-
-    ``upsert(batch_df, batch_id)`` merges a micro-batch into the version
-    before ``batch_id`` and writes version ``batch_id``; the pointer table
-    then names it. A replayed batch re-merges the same base and rewrites its
-    own version and its own changelog part, so at-least-once delivery from
-    ``foreachBatch`` yields exactly-once contents. Readers only ever see a
-    complete version. Each upsert rewrites the table, which suits tables the
-    size of a station list; big tables belong in a format with MERGE.
-    """
-
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str],
-                 order: Sequence[str], changelog: str | None = None):
+class VersionedTable:
+    """A table kept as immutable versions ``v=<batch_id>`` plus a pointer
+    table of committed versions. Writing version ``batch_id`` from the
+    version before it makes a replayed micro-batch rewrite its own version
+    with the same contents, so ``foreachBatch`` delivery (at least once)
+    gives exactly-once contents. Readers only ever see a complete version."""
+
+    def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
-        self.keys, self.order = list(keys), list(order)
-        self.changelog = changelog
         # Versions this writer has committed; batch ids only grow, so the
         # newest one below a batch is known without reading the pointers.
         self._written: list[int] = []
@@ -63,6 +54,34 @@ class KeyedTable:
         v = self._version()
         return None if v is None else self.spark.read.parquet(f"{self.path}/v={v:020d}")
 
+    def _base(self, batch_id: int) -> DataFrame | None:
+        v = self._version(below=batch_id)
+        return None if v is None else self.spark.read.parquet(f"{self.path}/v={v:020d}")
+
+    def _commit(self, df: DataFrame, batch_id: int) -> None:
+        df.write.mode("overwrite").parquet(f"{self.path}/v={batch_id:020d}")
+        (self.spark.range(0, 1, 1, 1).select(F.lit(batch_id).cast("bigint").alias("version"))
+         .write.mode("append").parquet(f"{self.path}/{VERSIONS}"))
+        self._written.append(batch_id)
+
+
+# SNK-3
+class KeyedTable(VersionedTable):
+    """Latest row per key, kept as immutable versions.
+
+    ``upsert(batch_df, batch_id)`` merges a micro-batch into the version
+    before ``batch_id`` and writes version ``batch_id``. Each upsert rewrites
+    the table, which suits tables the size of a station list or a board;
+    a keyed table that grows with the input belongs in the state store
+    (see ``streaming.table_counts``).
+    """
+
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str],
+                 order: Sequence[str], changelog: str | None = None):
+        super().__init__(spark, path)
+        self.keys, self.order = list(keys), list(order)
+        self.changelog = changelog
+
     def upsert(self, batch: DataFrame, batch_id: int) -> None:
         payload = [c for c in batch.columns if c not in self.keys]
         latest = latest_by(batch, self.keys, self.order, payload)
@@ -70,15 +89,31 @@ class KeyedTable:
             # Every write is a changelog record, not only the last per key:
             # readers that keep their own per-key maps must see them all.
             batch.write.mode("overwrite").parquet(f"{self.changelog}/batch={batch_id:020d}")
-        base = self._version(below=batch_id)
+        base = self._base(batch_id)
         merged = latest
         if base is not None:
-            old = self.spark.read.parquet(f"{self.path}/v={base:020d}")
-            merged = latest_by(old.unionByName(latest), self.keys, self.order, payload)
-        merged.write.mode("overwrite").parquet(f"{self.path}/v={batch_id:020d}")
-        (self.spark.range(0, 1, 1, 1).select(F.lit(batch_id).cast("bigint").alias("version"))
-         .write.mode("append").parquet(f"{self.path}/{VERSIONS}"))
-        self._written.append(batch_id)
+            merged = latest_by(base.unionByName(latest), self.keys, self.order, payload)
+        self._commit(merged, batch_id)
+
+
+class CountTable(VersionedTable):
+    """Running totals per key: each micro-batch adds its signed deltas to the
+    version before it. Keys whose total reaches 0 are dropped. Meant for
+    small key sets (one row per station); the deltas are summed with a
+    partial aggregate first, so the merge sees one row per key."""
+
+    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str],
+                 value: str = "entries"):
+        super().__init__(spark, path)
+        self.keys, self.value = list(keys), value
+
+    def add(self, deltas: DataFrame, batch_id: int, delta_col: str = "delta") -> None:
+        summed = deltas.groupBy(*self.keys).agg(F.sum(delta_col).cast("bigint").alias(self.value))
+        base = self._base(batch_id)
+        merged = summed if base is None else (
+            base.unionByName(summed).groupBy(*self.keys)
+            .agg(F.sum(self.value).cast("bigint").alias(self.value)))
+        self._commit(merged.where(F.col(self.value) != 0), batch_id)
 
 
 def upsert_latest(batch_df: DataFrame, batch_id: int, table: KeyedTable) -> None:

@@ -1,0 +1,137 @@
+"""AGG-3 as a stream: entries per station over a table keyed by message key.
+
+The reference declares the turnstile feed as a table, so a record whose
+message key was seen before replaces the older one, and the count per
+station is over the latest record of each key. Two aggregations in a row
+cannot share one streaming plan, and the keyed table grows with the input,
+so it lives in Spark's state store, not in files:
+
+1. ``compact`` (``foreachBatch``): the latest row of each message key within
+   the micro-batch, by a hash aggregate with a map-side partial step, so a
+   key that holds a third of all rows sends one row per map task. The result
+   is appended to a compacted log as ``batch=<id>`` (rewritten on replay).
+2. ``latest`` (``transformWithStateInPandas``, RocksDB state): grouped by
+   message key over the compacted log, at most one row per key and upstream
+   batch. The state holds the (offset, station) of the key's latest row; a
+   newer row emits ``(old station, -1)`` and ``(new station, +1)``. An older
+   or repeated row emits nothing, so reading a compacted file twice is
+   harmless.
+3. ``sum`` (``foreachBatch``): the deltas of a batch are summed per station
+   and added to a ``CountTable`` (one row per station).
+
+Each query has its own checkpoint under the shared checkpoint root, so both
+resume after a lost executor or driver.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor
+from pyspark.sql.types import (IntegerType, LongType, StringType, StructField,
+                               StructType)
+
+from dispatchboard.operators.keyed import latest_by
+from dispatchboard.sinks.tables import CountTable
+from dispatchboard.streaming.runner import trigger_kwargs
+
+COMPACTED = StructType([StructField("key", StringType()), StructField("offset", LongType()),
+                        StructField("station_id", IntegerType())])
+LATEST_STATE = StructType([StructField("offset", LongType()),
+                           StructField("station_id", IntegerType())])
+DELTAS = "station_id int, delta long"
+ROCKSDB_PROVIDER = ("org.apache.spark.sql.execution.streaming.state."
+                    "RocksDBStateStoreProvider")
+
+
+class LatestStation(StatefulProcessor):
+    """Per message key: keep the latest (offset, station); emit count deltas
+    when it changes. Rows of a key arrive as Arrow batches and are scanned
+    once for their greatest offset; nothing is held beyond one batch."""
+
+    def init(self, handle) -> None:
+        self.latest = handle.getValueState("latest", LATEST_STATE)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues
+                        ) -> Iterator[pd.DataFrame]:
+        best_off, best_station = None, None
+        for pdf in rows:
+            if pdf.empty:
+                continue
+            i = pdf["offset"].idxmax()
+            off = int(pdf.at[i, "offset"])
+            if best_off is None or off > best_off:
+                st = pdf.at[i, "station_id"]
+                best_off, best_station = off, (None if pd.isna(st) else int(st))
+        if best_off is None:
+            return
+        current = self.latest.get() if self.latest.exists() else None
+        if current is not None and current[0] >= best_off:
+            return
+        stations, deltas = [], []
+        if current is not None:
+            stations.append(current[1])
+            deltas.append(-1)
+        stations.append(best_station)
+        deltas.append(1)
+        self.latest.update((best_off, best_station))
+        yield pd.DataFrame({"station_id": pd.array(stations, dtype="Int32"),
+                            "delta": pd.array(deltas, dtype="int64")})
+
+    def close(self) -> None:
+        pass
+
+
+def compact_query(turnstile: DataFrame, compacted: str, checkpoint: str,
+                  trigger: str = "availableNow", key: str = "key", order: str = "offset"):
+    """Step 1: latest row per message key within each micro-batch."""
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        (latest_by(batch.select(key, order, "station_id"), key, order, [order, "station_id"])
+         .write.mode("overwrite").parquet(f"{compacted}/batch={batch_id:020d}"))
+
+    return (turnstile.writeStream.queryName("turnstile_compact").outputMode("append")
+            .option("checkpointLocation", checkpoint).foreachBatch(sink)
+            .trigger(**trigger_kwargs(trigger)).start())
+
+
+def count_query(spark: SparkSession, compacted: str, counts: CountTable, checkpoint: str,
+                trigger: str = "availableNow", max_files_per_trigger: int | None = None):
+    """Steps 2 and 3: keyed latest state, then running totals per station."""
+    # Custom keyed state needs the RocksDB store (it also spills to disk, so
+    # state larger than executor memory is fine). The provider is recorded in
+    # the checkpoint when the query first starts.
+    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB_PROVIDER:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    r = (spark.readStream.schema(COMPACTED).option("recursiveFileLookup", "true"))
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    deltas = (r.parquet(compacted).groupBy("key")
+              .transformWithStateInPandas(LatestStation(), DELTAS, "Append", "None"))
+    return (deltas.writeStream.queryName("turnstile_table_counts").outputMode("append")
+            .option("checkpointLocation", checkpoint)
+            .foreachBatch(lambda b, i: counts.add(b, i))
+            .trigger(**trigger_kwargs(trigger)).start())
+
+
+def _wait(q) -> None:
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+
+
+def run_table_counts(spark: SparkSession, turnstile: DataFrame, root: str,
+                     max_files_per_trigger: int | None = None) -> DataFrame:
+    """Drain the available turnstile rows through all three steps and return
+    entries per station (stations whose count is 0 are left out).
+
+    On a live feed start both queries with a processing-time trigger and let
+    them run side by side; here they run one after the other."""
+    counts = CountTable(spark, f"{root}/counts", ["station_id"], "entries")
+    _wait(compact_query(turnstile, f"{root}/compacted", f"{root}/_ck_compact"))
+    _wait(count_query(spark, f"{root}/compacted", counts, f"{root}/_ck_counts",
+                      max_files_per_trigger=max_files_per_trigger))
+    out = counts.read()
+    return out if out is not None else spark.createDataFrame([], "station_id int, entries long")
