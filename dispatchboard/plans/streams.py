@@ -36,11 +36,16 @@ def publish_calls(spark, sf_dir, location) -> None:
             S.TOPIC_CALLS, location, offset_col="offset", time_col="call_date_time")
 
 
-def call_stream(spark, location, max_files=FILES_PER_TRIGGER) -> tuple[DataFrame, DataFrame]:
+# Call fields the flagship reads (the rest of the record is skipped unparsed).
+FLAGSHIP_FIELDS = ("crime_id", C.TYPE_COL, C.TIME_COL, C.DISPOSITION_COL)
+
+
+def call_stream(spark, location, max_files=FILES_PER_TRIGGER,
+                fields=FLAGSHIP_FIELDS) -> tuple[DataFrame, DataFrame]:
     """SRC-1 + PRJ-1 + PRJ-2 + PRJ-20: decoded calls and quarantined rows."""
     log = read_topic(spark, location, S.TOPIC_CALLS, stream=True,
                      max_files_per_trigger=max_files)
-    return split_malformed(log, CALL, "crime_id")
+    return split_malformed(log, CALL, "crime_id", fields=fields)
 
 
 def _call_query(spark, sf_dir, described: bool, loc: str | None = None):

@@ -3,6 +3,8 @@ output and the stream goes on. Works on tables and streams alike."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -10,14 +12,35 @@ from pyspark.sql.types import StructType
 from dispatchboard.functions.scalars import decode_json, is_malformed
 
 
+def narrowed(schema: StructType, fields: Sequence[str] | None) -> StructType:
+    """``schema`` cut to ``fields`` (in schema order). The JSON reader skips
+    fields it is not asked for, so a query pays only for what it reads."""
+    if fields is None:
+        return schema
+    keep = set(fields)
+    return StructType([f for f in schema.fields if f.name in keep])
+
+
 def split_malformed(df: DataFrame, schema: StructType, required: str,
-                    value_col: str = "value") -> tuple[DataFrame, DataFrame]:
+                    value_col: str = "value",
+                    fields: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """(good, bad): ``good`` has the decoded fields expanded; ``bad`` keeps
     the raw rows whose value is present but whose required field did not
-    decode (malformed JSON gives an all-null struct under PERMISSIVE)."""
-    dec = df.withColumn("_d", decode_json(value_col, schema))
-    bad_flag = is_malformed(value_col, "_d", required)
-    good = dec.where(~bad_flag | F.col(value_col).isNull()).select(
-        *[c for c in df.columns if c != value_col], "_d.*")
-    bad = dec.where(bad_flag).select(*df.columns)
+    decode (malformed JSON gives an all-null struct under PERMISSIVE).
+
+    Each value is decoded once. The good/bad tag is produced next to the
+    decoded struct by a one-element ``inline``, so the optimizer cannot push
+    the split below the decode and parse every message a second time.
+    ``fields`` limits decoding to the fields a query uses (``required`` is
+    always kept).
+    """
+    if fields is not None:
+        fields = list(dict.fromkeys([required, *fields]))
+    dec = df.withColumn("_d", decode_json(value_col, narrowed(schema, fields)))
+    tag = F.struct(F.col("_d").alias("_dec"),
+                   is_malformed(value_col, "_d", required).alias("_bad"))
+    rest = [c for c in df.columns if c != value_col]
+    tagged = dec.select(*df.columns, F.inline(F.array(tag)))
+    good = tagged.where(~F.col("_bad")).select(*rest, "_dec.*")
+    bad = tagged.where(F.col("_bad")).select(*df.columns)
     return good, bad
