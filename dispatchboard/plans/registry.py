@@ -323,19 +323,19 @@ SELECT "offset",
        COALESCE(original_crime_type_name = 'error', false) AS quarantined
 FROM calls""")
 def q_calls_bad_records(spark, sf_dir):
-    """PRJ-20 over every call: messages of ``error`` events arrive with a
-    stray leading byte and go to quarantine; the rest decode and pass on."""
-    from dispatchboard.streaming.quarantine import split_malformed
+    """PRJ-20 over every call, in one pass: messages of ``error`` events
+    arrive with a stray leading byte and are flagged for quarantine; the
+    rest decode and pass on."""
+    from dispatchboard.streaming.quarantine import tag_malformed
     from dispatchboard.schemas import CALL
     c = X.calls(spark, sf_dir)
     body = F.to_json(F.struct("crime_id"))
     corrupt = F.coalesce(F.col("original_crime_type_name") == "error", F.lit(False))
     wire = c.select("offset", F.when(corrupt, F.concat(F.lit("<"), body))
                     .otherwise(body).cast("binary").alias("value"))
-    good, bad = split_malformed(wire, CALL, "crime_id")
-    return (good.select("offset", "crime_id", F.lit(False).alias("quarantined"))
-            .unionByName(bad.select("offset", F.lit(None).cast("string").alias("crime_id"),
-                                    F.lit(True).alias("quarantined"))))
+    tagged = tag_malformed(wire, CALL, "crime_id", fields=["crime_id"])
+    return tagged.select("offset", F.when(~F.col("_bad"), F.col("_dec.crime_id"))
+                         .alias("crime_id"), F.col("_bad").alias("quarantined"))
 
 
 @register("incremental_pull", """

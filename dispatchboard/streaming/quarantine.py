@@ -21,16 +21,16 @@ def narrowed(schema: StructType, fields: Sequence[str] | None) -> StructType:
     return StructType([f for f in schema.fields if f.name in keep])
 
 
-def split_malformed(df: DataFrame, schema: StructType, required: str,
-                    value_col: str = "value",
-                    fields: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """(good, bad): ``good`` has the decoded fields expanded; ``bad`` keeps
-    the raw rows whose value is present but whose required field did not
-    decode (malformed JSON gives an all-null struct under PERMISSIVE).
-
-    Each value is decoded once. The good/bad tag is produced next to the
-    decoded struct by a one-element ``inline``, so the optimizer cannot push
-    the split below the decode and parse every message a second time.
+def tag_malformed(df: DataFrame, schema: StructType, required: str,
+                  value_col: str = "value",
+                  fields: Sequence[str] | None = None) -> DataFrame:
+    """Every row once, with ``_dec`` (the decoded struct) and ``_bad`` (value
+    present but the required field did not decode; malformed JSON gives an
+    all-null struct under PERMISSIVE).
+
+    Each value is decoded once. The tag is produced next to the decoded
+    struct by a one-element ``inline``, so the optimizer cannot push a filter
+    on it below the decode and parse every message a second time.
     ``fields`` limits decoding to the fields a query uses (``required`` is
     always kept).
     """
@@ -39,8 +39,16 @@ def split_malformed(df: DataFrame, schema: StructType, required: str,
     dec = df.withColumn("_d", decode_json(value_col, narrowed(schema, fields)))
     tag = F.struct(F.col("_d").alias("_dec"),
                    is_malformed(value_col, "_d", required).alias("_bad"))
+    return dec.select(*df.columns, F.inline(F.array(tag)))
+
+
+def split_malformed(df: DataFrame, schema: StructType, required: str,
+                    value_col: str = "value",
+                    fields: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(good, bad): ``good`` has the decoded fields expanded; ``bad`` keeps
+    the raw rows that did not decode (see ``tag_malformed``)."""
+    tagged = tag_malformed(df, schema, required, value_col, fields)
     rest = [c for c in df.columns if c != value_col]
-    tagged = dec.select(*df.columns, F.inline(F.array(tag)))
     good = tagged.where(~F.col("_bad")).select(*rest, "_dec.*")
     bad = tagged.where(F.col("_bad")).select(*df.columns)
     return good, bad
