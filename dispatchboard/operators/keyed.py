@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Bounds under which a lookup side may be broadcast. A larger lookup is
@@ -75,6 +75,56 @@ def first_by(df: DataFrame, keys, order, payload: Sequence[str] | None = None
             .select(*key_names, *[F.col("_first")[c].alias(c) for c in payload]))
 
 
+# WIN-2 building block
+def neighbours(df: DataFrame, group: Sequence[str], order: Sequence[str], value: str,
+               prev_col: str = "prev", next_col: str = "next",
+               slices: int | None = None) -> DataFrame:
+    """Add the previous and next ``value`` within each ``group`` along
+    ``order`` (unique within a group): ``lag``/``lead`` over a window
+    partitioned by ``group``, without gathering any group in one task.
+
+    Rows are range-partitioned on (group, order) into ``slices`` ordered
+    slices (default: the shuffle width), so a group of any size is cut
+    across many tasks. ``lag``/``lead`` run within each (slice, group)
+    piece; the first and last row of a piece take their missing neighbour
+    from the adjacent piece of the same group, read off a summary with one
+    row per piece (at most ``slices`` per group).
+
+    The sliced rows are checkpointed to the shared checkpoint folder before
+    they are read twice (rows and summary). Range bounds come from a sample,
+    so two evaluations of the range shuffle could cut different slices; the
+    checkpoint fixes one cut, and survives lost executors.
+    """
+    from dispatchboard.session import checkpoint_root
+    checkpoint_root(df.sparkSession)
+    group, order = list(group), list(order)
+    n = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sliced = (df.repartitionByRange(n, *[F.col(c) for c in group + order])
+              .withColumn("_slice", F.spark_partition_id()))
+    w = Window.partitionBy("_slice", *group).orderBy(*order)
+    local = sliced.select(
+        "*", F.lag(value).over(w).alias("_lag"), F.lead(value).over(w).alias("_lead"),
+        F.lag(F.lit(True)).over(w).isNull().alias("_first"),
+        F.lead(F.lit(True)).over(w).isNull().alias("_last")).checkpoint()
+    # One row per piece: its first and last value (wrapped, so a null value
+    # is told apart from a missing piece).
+    held = F.struct(F.col(value).alias("v"))
+    ends = (local.where(F.col("_first") | F.col("_last")).groupBy("_slice", *group)
+            .agg(F.max(F.when(F.col("_first"), held)).alias("_head"),
+                 F.max(F.when(F.col("_last"), held)).alias("_tail")))
+    across = Window.partitionBy(*group).orderBy("_slice")
+    links = ends.select("_slice", *group,
+                        F.lag("_tail").over(across)["v"].alias("_before"),
+                        F.lead("_head").over(across)["v"].alias("_after"))
+    # ``local`` is already hash-partitioned on (slice, group) by its window,
+    # so this join moves only the summary.
+    out = local.join(links, ["_slice", *group], "left")
+    return out.select(
+        *df.columns,
+        F.when(F.col("_first"), F.col("_before")).otherwise(F.col("_lag")).alias(prev_col),
+        F.when(F.col("_last"), F.col("_after")).otherwise(F.col("_lead")).alias(next_col))
+
+
 def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
                     max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Mark ``df`` for broadcast only when it provably has at most

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dispatchboard.functions.scalars import (DEFAULT_TEMPERATURE,
@@ -26,7 +26,8 @@ from dispatchboard.functions.scalars import (DEFAULT_TEMPERATURE,
                                              line_color, or_placeholder,
                                              round_half_even, slot_of, spaced,
                                              title_words, truncate_int)
-from dispatchboard.operators.keyed import first_by, latest_by, sized_broadcast
+from dispatchboard.operators.keyed import (first_by, latest_by, neighbours,
+                                          sized_broadcast)
 
 # Stop rows arrive in the order of their increasing id (incremental pull), so
 # the last write per station is the row with the greatest stop_id.
@@ -67,8 +68,9 @@ def line_topology(stops: DataFrame) -> DataFrame:
 
     Stops of a line are those with its flag set. Within a line each station
     name counts once, at its first stop in (order, stop_id); that stop gives
-    the name its station id. The window runs over one row per (line, name),
-    so its partitions are bounded by the size of the network, not the data.
+    the name its station id. Neighbours along (order, stop_id) come from
+    ``neighbours``, which cuts each line into range slices, so a line of any
+    length is spread over many tasks.
     """
     flags = F.array_compact(F.array(*[F.when(F.col(f), F.lit(f)) for f in LINE_FLAGS]))
     per_line = stops.select("stop_id", "station_id", "station_name", "station_order",
@@ -76,11 +78,10 @@ def line_topology(stops: DataFrame) -> DataFrame:
     firsts = first_by(per_line, ["line", "station_name"],
                       ["station_order", "stop_id"],
                       ["station_id", "station_order", "stop_id"])
-    w = Window.partitionBy("line").orderBy("station_order", "stop_id")
-    return firsts.select(
-        "line", "station_name", "station_id", "station_order",
-        F.lag("station_id").over(w).alias("prev_station_id"),
-        F.lead("station_id").over(w).alias("next_station_id"))
+    linked = neighbours(firsts, ["line"], ["station_order", "stop_id"], "station_id",
+                        "prev_station_id", "next_station_id")
+    return linked.select("line", "station_name", "station_id", "station_order",
+                         "prev_station_id", "next_station_id")
 
 
 # AGG-2: stream reading, every entry event counts.

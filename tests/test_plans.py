@@ -46,3 +46,11 @@ def test_lookups_broadcast(spark):
 def test_filters_reach_the_scan(spark):
     assert "EqualTo(event_type,view)" in plan(QUERIES["current_weather"](spark, SF_SMALL))
     assert "GreaterThan(o_orderdate" in plan(QUERIES["incremental_pull"](spark, SF_SMALL))
+
+
+def test_topology_never_windows_a_whole_line(spark):
+    """WIN-2: lag/lead run per (slice, line); the only window keyed on the
+    line alone is over the per-slice summary, ordered by slice."""
+    p = plan(QUERIES["line_topology"](spark, SF_SMALL), "extended")
+    assert "windowspecdefinition(line, station_order" not in p
+    assert "windowspecdefinition(_slice, line, station_order" in p

@@ -73,3 +73,24 @@ def test_sized_broadcast_respects_bounds(spark):
         assert strategy(K.sized_broadcast(small, max_rows=50, max_bytes=10)) == "other"
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_neighbours_equal_whole_group_window(spark):
+    """WIN-2 building block: sliced lag/lead equals lag/lead over a window
+    holding each whole group, for a hot group spanning every slice, groups
+    of one row, and null values."""
+    import random
+    from pyspark.sql import Window
+    from dispatchboard.operators.keyed import neighbours
+    rnd = random.Random(7)
+    rows = [("hot", o, k, rnd.choice([None, 1, 2, 3])) for o, k in
+            ((rnd.randint(0, 50), k) for k in range(600))]
+    rows += [(f"g{i}", rnd.randint(0, 5), 1000 + i, i) for i in range(40)]
+    rows += [("mid", o, 2000 + o, o) for o in range(30)]
+    df = spark.createDataFrame(rows, "g string, o int, k int, v int")
+    w = Window.partitionBy("g").orderBy("o", "k")
+    want = sorted(df.select("g", "o", "k", F.lag("v").over(w).alias("prev"),
+                            F.lead("v").over(w).alias("next")).collect())
+    for slices in (1, 3, 16):
+        got = neighbours(df, ["g"], ["o", "k"], "v", slices=slices)
+        assert sorted(got.select("g", "o", "k", "prev", "next").collect()) == want
