@@ -12,12 +12,11 @@ from dispatchboard.functions import scalars as S
 from dispatchboard.operators import calls as C
 from dispatchboard.operators import transit as T
 from dispatchboard.plans import fixtures as X
-from dispatchboard.schemas import ARRIVAL, CALL, STOPS, TURNSTILE
+from dispatchboard.schemas import ARRIVAL, STOPS, TURNSTILE
 from dispatchboard.session import scratch_path
 from dispatchboard.sinks.topics import publish
 from dispatchboard.sources.topics import read_topic
-from dispatchboard.streaming import runner
-from dispatchboard.streaming.quarantine import split_malformed
+from dispatchboard.streaming import apps, runner
 
 # Files per topic log and files per micro-batch: several batches per run.
 LOG_FILES = 4
@@ -36,37 +35,22 @@ def publish_calls(spark, sf_dir, location) -> None:
             S.TOPIC_CALLS, location, offset_col="offset", time_col="call_date_time")
 
 
-# Call fields the flagship reads (the rest of the record is skipped unparsed).
-FLAGSHIP_FIELDS = ("crime_id", C.TYPE_COL, C.TIME_COL, C.DISPOSITION_COL)
-
-
-def call_stream(spark, location, max_files=FILES_PER_TRIGGER,
-                fields=FLAGSHIP_FIELDS) -> tuple[DataFrame, DataFrame]:
-    """SRC-1 + PRJ-1 + PRJ-2 + PRJ-20: decoded calls and quarantined rows."""
-    log = read_topic(spark, location, S.TOPIC_CALLS, stream=True,
-                     max_files_per_trigger=max_files)
-    return split_malformed(log, CALL, "crime_id", fields=fields)
+def call_stream(spark, location, max_files=FILES_PER_TRIGGER) -> tuple[DataFrame, DataFrame]:
+    return apps.call_stream(spark, location, max_files_per_trigger=max_files)
 
 
 def _call_query(spark, sf_dir, described: bool, loc: str | None = None):
-    """One named query of the flagship over the published calls.
-
-    The stream keeps distinct triples and per-bucket counts in state; each
-    trigger turns the bucket counts into the sliding windows (and joins the
-    codes) as a batch step. Results are stored unsorted and read sorted
-    (SRT-1), so a trigger does not run its stateful plan twice for a sort.
-    """
+    """One named query of the flagship over the published calls, through the
+    application launcher. Results are stored unsorted and read sorted
+    (SRT-1), so a trigger does not run its stateful plan twice for a sort."""
     if loc is None:
         loc = _log(spark, "calls")
         publish_calls(spark, sf_dir, loc)
     good, _ = call_stream(spark, loc)
-    buckets = C.call_bucket_counts(good)
-    if not described:
-        return runner.start(buckets, "crime_type_count", "complete",
-                            transform=C.windows_from_buckets)
-    codes = X.codes(spark, sf_dir)
-    return runner.start(buckets, "crime_type_count_described", "complete",
-                        transform=lambda b: C.with_disposition(C.windows_from_buckets(b), codes))
+    codes = X.codes(spark, sf_dir) if described else None
+    (res,) = apps.start_call_queries(good, codes, "availableNow", _log(spark, "results"),
+                                     described_only=described)
+    return res
 
 
 def stream_call_queries(spark, sf_dir):
@@ -74,8 +58,9 @@ def stream_call_queries(spark, sf_dir):
     running side by side in one session (each with its own state)."""
     loc = _log(spark, "calls")
     publish_calls(spark, sf_dir, loc)
-    q1 = _call_query(spark, sf_dir, False, loc)
-    q2 = _call_query(spark, sf_dir, True, loc)
+    good, _ = call_stream(spark, loc)
+    q1, q2 = apps.start_call_queries(good, X.codes(spark, sf_dir), "availableNow",
+                                     _log(spark, "results"))
     q1.wait(), q2.wait()
     return q1, q2
 
@@ -150,35 +135,8 @@ def stream_entries(spark, sf_dir):
                       keys=["station_id"])
 
 
-def _summary_query(spark, log_root: str, turnstile_stream: DataFrame):
-    """AGG-2 + SNK-4: running entries per station, each trigger's updated
-    rows published to the summary topic as JSON keyed by station. The batch
-    id is the offset, so later counts of a station win on the board."""
-    from dispatchboard.sinks.topics import as_records
-    counts = T.entries_per_station(turnstile_stream)
-    ck = scratch_path(spark, "summary-ck")
-
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        recs = as_records(batch.withColumn("_off", F.lit(batch_id))
-                          .select("station_id", F.col("entries").alias("count"), "_off"),
-                          ["station_id"], ["station_id", "count"], S.TOPIC_SUMMARY,
-                          offset_col="_off")
-        # One file per trigger: the rows are one per changed station.
-        recs.coalesce(1).write.mode("overwrite").parquet(
-            f"{log_root}/{S.TOPIC_SUMMARY}/batch={batch_id:020d}")
-
-    return (counts.writeStream.queryName("turnstile_summary_topic").outputMode("update")
-            .option("checkpointLocation", ck).foreachBatch(sink)
-            .trigger(availableNow=True).start())
-
-
-BOARD_TOPICS = (S.TOPIC_WEATHER, S.TOPIC_STATIONS_TABLE, S.TOPIC_ARRIVALS, S.TOPIC_SUMMARY)
-
-
 def stream_board(spark, sf_dir):
     """The assembled board as a stream, from four published feeds."""
-    from dispatchboard.sources.topics import read_topics
-    from dispatchboard.streaming.board import BoardState
     root = _log(spark, "board")
     # Feeds: station changelog (every record, stop-id order), arrivals,
     # weather readings, and raw turnstile entries.
@@ -199,18 +157,13 @@ def stream_board(spark, sf_dir):
     publish(t.repartition(LOG_FILES), [F.col("key").alias("timestamp")],
             [f.name for f in TURNSTILE.fields], S.TOPIC_TURNSTILE, turn_root,
             offset_col="offset", time_col="timestamp")
-    turn = (read_topic(spark, turn_root, S.TOPIC_TURNSTILE,
-                       max_files_per_trigger=FILES_PER_TRIGGER)
-            .select(F.from_json(F.col("value").cast("string"), TURNSTILE).alias("v"))
-            .select("v.*"))
-    _summary_query(spark, root, turn).awaitTermination()
-
-    pattern = "^(" + "|".join(x.replace(".", r"\.") for x in BOARD_TOPICS) + ")$"
-    feeds = read_topics(spark, root, pattern, max_files_per_trigger=4 * LOG_FILES)
-    state = BoardState(spark, scratch_path(spark, "board-state"))
-    q = (feeds.writeStream.queryName("status_board").outputMode("append")
-         .option("checkpointLocation", f"{state.path}/_checkpoint")
-         .foreachBatch(state.apply).trigger(availableNow=True).start())
+    turn = apps.turnstile_stream(spark, turn_root, max_files_per_trigger=FILES_PER_TRIGGER)
+    q = apps.start_summary_query(spark, turn, root, "availableNow")
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    q, state = apps.start_board(spark, root, scratch_path(spark, "board-state"),
+                                "availableNow", max_files_per_trigger=4 * LOG_FILES)
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))

@@ -172,3 +172,27 @@ def test_upsert_latest_replay(spark):
     TB.upsert_latest(b1, 1, t)
     TB.upsert_latest(b1, 1, t)  # replay
     assert sorted((r.k, r.v) for r in t.read().collect()) == [(1, "c"), (2, "b")]
+
+
+def test_calls_app_command_line(spark):
+    """The calls application, as launched from the command line, writes both
+    named queries' results; they equal the batch flagship."""
+    from dispatchboard.operators import calls as C
+    from dispatchboard.plans import fixtures as X
+    from dispatchboard.plans.streams import publish_calls
+    from dispatchboard.sources.files import write_json_arrays
+    from dispatchboard.streaming import apps
+    from tests.conftest import SF_SMALL
+    loc, codes, out = (scratch_path(spark, n) for n in ("log-app", "codes-app", "out-app"))
+    publish_calls(spark, SF_SMALL, loc)
+    write_json_arrays(X.codes(spark, SF_SMALL), codes)
+    apps.main(["calls", "--source", loc, "--codes", codes, "--out", out,
+               "--trigger", "availableNow", "--max-files-per-trigger", "1"])
+    want = C.with_disposition(C.call_counts(X.calls(spark, SF_SMALL), sort=False),
+                              X.codes(spark, SF_SMALL))
+    for name, expected in (("crime_type_count", want.drop("description")),
+                           ("crime_type_count_described", want)):
+        res = runner.StreamResult(None, f"{out}/{name}", "complete").read(spark)
+        cols = sorted(expected.columns)
+        assert (sorted(res.select(cols).collect(), key=repr)
+                == sorted(expected.select(cols).collect(), key=repr))
