@@ -131,15 +131,19 @@ def slot_occupancy(arrivals: DataFrame, stations: DataFrame,
 
     One hash aggregate per (line, station): ``max_by`` with the ordering
     masked to one slot picks each slot's last event, and the partial
-    aggregate keeps the shuffle to one row per key and map task.
+    aggregate keeps the shuffle to one row per key and map task. The known
+    stations are joined after it: the join keys are the group keys, so the
+    result is the same, and the join sees one row per station on each side
+    however large either input is.
     """
-    known = sized_broadcast(stations.select("line", "station_id"))
-    ev = slot_events(arrivals, time_col, offset_col).join(known, ["line", "station_id"])
+    ev = slot_events(arrivals, time_col, offset_col)
     order = F.struct("event_time", "event_offset", "seq")
     who = F.struct("train_id", "status")
     last_in = {s: F.max_by(who, F.when(F.col("slot") == s, order)) for s in ("a", "b")}
-    return (ev.groupBy("line", "station_id")
-            .agg(last_in["a"].alias("_a"), last_in["b"].alias("_b"))
+    slots = (ev.groupBy("line", "station_id")
+             .agg(last_in["a"].alias("_a"), last_in["b"].alias("_b")))
+    known = sized_broadcast(stations.select("line", "station_id").distinct())
+    return (slots.join(known, ["line", "station_id"])
             .select("line", "station_id",
                     F.col("_a.train_id").alias("dir_a"),
                     F.col("_a.status").alias("dir_a_status"),
@@ -147,10 +151,11 @@ def slot_occupancy(arrivals: DataFrame, stations: DataFrame,
                     F.col("_b.status").alias("dir_b_status")))
 
 
-# JOI-2: arrivals whose (line, station) is known to the board.
+# JOI-2: arrivals whose (line, station) is known to the board (a semi join:
+# each arrival at most once, however the station list is keyed).
 def arrivals_at_known_stations(arrivals: DataFrame, stations: DataFrame) -> DataFrame:
     known = sized_broadcast(stations.select("line", "station_id"))
-    return arrivals.join(known, ["line", "station_id"])
+    return arrivals.join(known, ["line", "station_id"], "left_semi")
 
 
 # JOI-3: each station's total lands on every line that has the station.
