@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 # joined by shuffle instead; nothing is dropped either way.
 BROADCAST_MAX_ROWS = 1_000_000
 BROADCAST_MAX_BYTES = 64 << 20
+# Rows under which a whole input may be ordered inside one task (one window
+# partition per group); a larger input is cut into range slices.
+ONE_TASK_MAX_ROWS = 100_000
 
 
 def _cols(cs) -> list[Column]:
@@ -78,7 +81,8 @@ def first_by(df: DataFrame, keys, order, payload: Sequence[str] | None = None
 # WIN-2 building block
 def neighbours(df: DataFrame, group: Sequence[str], order: Sequence[str], value: str,
                prev_col: str = "prev", next_col: str = "next",
-               slices: int | None = None) -> DataFrame:
+               slices: int | None = None,
+               one_task_max_rows: int = ONE_TASK_MAX_ROWS) -> DataFrame:
     """Add the previous and next ``value`` within each ``group`` along
     ``order`` (unique within a group): ``lag``/``lead`` over a window
     partitioned by ``group``, without gathering any group in one task.
@@ -94,10 +98,18 @@ def neighbours(df: DataFrame, group: Sequence[str], order: Sequence[str], value:
     they are read twice (rows and summary). Range bounds come from a sample,
     so two evaluations of the range shuffle could cut different slices; the
     checkpoint fixes one cut, and survives lost executors.
+
+    An input proven to hold at most ``one_task_max_rows`` rows (a check that
+    stops reading after that many) takes the plain window instead: then no
+    group can be large.
     """
+    group, order = list(group), list(order)
+    if not df.isStreaming and df.limit(one_task_max_rows + 1).count() <= one_task_max_rows:
+        w = Window.partitionBy(*group).orderBy(*order)
+        return df.select("*", F.lag(value).over(w).alias(prev_col),
+                         F.lead(value).over(w).alias(next_col))
     from dispatchboard.session import checkpoint_root
     checkpoint_root(df.sparkSession)
-    group, order = list(group), list(order)
     n = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sliced = (df.repartitionByRange(n, *[F.col(c) for c in group + order])
               .withColumn("_slice", F.spark_partition_id()))

@@ -63,14 +63,15 @@ def stops_on_line(stops: DataFrame, line: str) -> DataFrame:
 
 
 # DED-3 + WIN-2 + SRT-3
-def line_topology(stops: DataFrame) -> DataFrame:
+def line_topology(stops: DataFrame, one_task_max_rows: int | None = None) -> DataFrame:
     """Previous and next station along each line.
 
     Stops of a line are those with its flag set. Within a line each station
     name counts once, at its first stop in (order, stop_id); that stop gives
     the name its station id. Neighbours along (order, stop_id) come from
-    ``neighbours``, which cuts each line into range slices, so a line of any
-    length is spread over many tasks.
+    ``neighbours``, which cuts each line into range slices unless the
+    (line, name) rows are proven few, so a line of any length is spread over
+    many tasks.
     """
     flags = F.array_compact(F.array(*[F.when(F.col(f), F.lit(f)) for f in LINE_FLAGS]))
     per_line = stops.select("stop_id", "station_id", "station_name", "station_order",
@@ -78,8 +79,9 @@ def line_topology(stops: DataFrame) -> DataFrame:
     firsts = first_by(per_line, ["line", "station_name"],
                       ["station_order", "stop_id"],
                       ["station_id", "station_order", "stop_id"])
+    bound = {} if one_task_max_rows is None else {"one_task_max_rows": one_task_max_rows}
     linked = neighbours(firsts, ["line"], ["station_order", "stop_id"], "station_id",
-                        "prev_station_id", "next_station_id")
+                        "prev_station_id", "next_station_id", **bound)
     return linked.select("line", "station_name", "station_id", "station_order",
                          "prev_station_id", "next_station_id")
 

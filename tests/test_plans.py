@@ -49,10 +49,13 @@ def test_filters_reach_the_scan(spark):
 
 
 def test_topology_never_windows_a_whole_line(spark):
-    """WIN-2: lag/lead run per (slice, line); the only window keyed on the
-    line alone is over the per-slice summary, ordered by slice. (The
-    per-slice window sits behind the checkpoint, so it is not in this plan.)"""
+    """WIN-2 beyond the small-input bound: lag/lead run per (slice, line);
+    the only window keyed on the line alone is over the per-slice summary,
+    ordered by slice. (The per-slice window sits behind the checkpoint, so it
+    is not in this plan.)"""
     import re
-    p = plan(QUERIES["line_topology"](spark, SF_SMALL), "extended")
+    from dispatchboard.operators import transit as T
+    from dispatchboard.plans import fixtures as X
+    p = plan(T.line_topology(X.stops(spark, SF_SMALL), one_task_max_rows=0), "extended")
     assert not re.search(r"windowspecdefinition\(line#\d+, station_order", p)
     assert re.search(r"windowspecdefinition\(line#\d+, _slice", p)

@@ -92,5 +92,8 @@ def test_neighbours_equal_whole_group_window(spark):
     want = sorted(df.select("g", "o", "k", F.lag("v").over(w).alias("prev"),
                             F.lead("v").over(w).alias("next")).collect())
     for slices in (1, 3, 16):
-        got = neighbours(df, ["g"], ["o", "k"], "v", slices=slices)
+        got = neighbours(df, ["g"], ["o", "k"], "v", slices=slices, one_task_max_rows=0)
         assert sorted(got.select("g", "o", "k", "prev", "next").collect()) == want
+    # proven small: the plain window
+    got = neighbours(df, ["g"], ["o", "k"], "v")
+    assert sorted(got.select("g", "o", "k", "prev", "next").collect()) == want
