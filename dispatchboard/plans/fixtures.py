@@ -52,6 +52,19 @@ CODES_SQL = """codes AS (
   FROM nation)"""
 
 
+# --- a code table that grows with the data: parts as codes -----------------
+# (for the file round trips; the flagship's lookup stays the small one above)
+def part_codes(spark, sf_dir) -> DataFrame:
+    p = table(spark, sf_dir, "part")
+    return p.select(F.col("p_partkey").cast("string").alias("disposition_code"),
+                    F.col("p_name").alias("description"))
+
+
+PART_CODES_SQL = """codes AS (
+  SELECT CAST(p_partkey AS VARCHAR) AS disposition_code, p_name AS description
+  FROM part)"""
+
+
 # --- turnstile entries: events as riders ------------------------------------
 def turnstile(spark, sf_dir) -> DataFrame:
     e = table(spark, sf_dir, "events")

@@ -479,13 +479,13 @@ register("stream_entries_table", ORACLES["entries_table_count"])(STREAMS.stream_
 
 
 # --------------------------------------------------- files and publishing ----
-@register("code_table_json", _with(X.CODES_SQL) + "SELECT * FROM codes")
+@register("code_table_json", _with(X.PART_CODES_SQL) + "SELECT * FROM codes")
 def q_code_table_json(spark, sf_dir):
     """SRC-4: the code table written as JSON-array files and read back."""
     from dispatchboard.session import scratch_path
     from dispatchboard.sources.files import read_codes, write_json_arrays
     path = scratch_path(spark, "codes-json")
-    write_json_arrays(X.codes(spark, sf_dir), path)
+    write_json_arrays(X.part_codes(spark, sf_dir), path)
     return read_codes(spark, path)
 
 
@@ -522,7 +522,7 @@ def q_publish_roundtrip(spark, sf_dir):
                     "d.disposition"))
 
 
-@register("json_file_publish", _with(X.CODES_SQL) + "SELECT * FROM codes")
+@register("json_file_publish", _with(X.PART_CODES_SQL) + "SELECT * FROM codes")
 def q_json_file_publish(spark, sf_dir):
     """SRC-7: a JSON-array file becomes one message per element."""
     from dispatchboard.schemas import DISPOSITION
@@ -530,7 +530,7 @@ def q_json_file_publish(spark, sf_dir):
     from dispatchboard.sinks.topics import publish_json_file, read_published
     from dispatchboard.sources.files import write_json_arrays
     src, loc = scratch_path(spark, "codes-src"), scratch_path(spark, "log-codes")
-    write_json_arrays(X.codes(spark, sf_dir), src)
+    write_json_arrays(X.part_codes(spark, sf_dir), src)
     publish_json_file(spark, src, "radio.codes", loc, schema=DISPOSITION)
     v = S.decode_json("value", DISPOSITION)
     return read_published(spark, loc, "radio.codes").select(v.alias("d")).select("d.*")
