@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dispatchboard.operators.keyed import latest_by
+from dispatchboard.sinks import versions
 from dispatchboard.schemas import STOPS_MAX_LENGTH, STOPS_NOT_NULL
 
-VERSIONS = "_versions"
 
 
 # SNK-1
@@ -25,44 +25,24 @@ def start_console(df: DataFrame, name: str, mode: str = "complete",
 
 
 class VersionedTable:
-    """A table kept as immutable versions ``v=<batch_id>`` plus a pointer
-    table of committed versions. Writing version ``batch_id`` from the
-    version before it makes a replayed micro-batch rewrite its own version
-    with the same contents, so ``foreachBatch`` delivery (at least once)
-    gives exactly-once contents. Readers only ever see a complete version."""
+    """A table kept as immutable versions ``v=<batch_id>`` (see
+    ``sinks.versions``). Writing version ``batch_id`` from the newest version
+    before it makes a replayed micro-batch rewrite its own version with the
+    same contents, so ``foreachBatch`` delivery (at least once) gives
+    exactly-once contents. Readers only ever see a committed version, and
+    only the newest two are kept."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
-        # Versions this writer has committed; batch ids only grow, so the
-        # newest one below a batch is known without reading the pointers.
-        self._written: list[int] = []
-
-    def _version(self, below: int | None = None):
-        mine = [v for v in self._written if below is None or v < below]
-        if mine:
-            return max(mine)
-        try:
-            v = self.spark.read.parquet(f"{self.path}/{VERSIONS}")
-        except Exception:
-            return None
-        if below is not None:
-            v = v.where(F.col("version") < below)
-        row = v.agg(F.max("version").alias("v")).first()
-        return None if row is None else row["v"]
 
     def read(self) -> DataFrame | None:
-        v = self._version()
-        return None if v is None else self.spark.read.parquet(f"{self.path}/v={v:020d}")
+        return versions.read_latest(self.spark, self.path)
 
     def _base(self, batch_id: int) -> DataFrame | None:
-        v = self._version(below=batch_id)
-        return None if v is None else self.spark.read.parquet(f"{self.path}/v={v:020d}")
+        return versions.read_latest(self.spark, self.path, below=batch_id)
 
     def _commit(self, df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.path}/v={batch_id:020d}")
-        (self.spark.range(0, 1, 1, 1).select(F.lit(batch_id).cast("bigint").alias("version"))
-         .write.mode("append").parquet(f"{self.path}/{VERSIONS}"))
-        self._written.append(batch_id)
+        versions.commit(df, self.path, batch_id)
 
 
 # SNK-3

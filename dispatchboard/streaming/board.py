@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from dispatchboard.functions.scalars import is_known_line
 from dispatchboard.operators import transit as T
 from dispatchboard.schemas import ARRIVAL, STATION, TURNSTILE_SUMMARY, WEATHER
+from dispatchboard.sinks import versions
 from dispatchboard.sinks.tables import KeyedTable
 
 
@@ -58,9 +59,7 @@ class BoardState:
                 self.weather.upsert(w, batch_id)
         finally:
             routed.unpersist()
-        self.render().write.mode("overwrite").parquet(f"{self.path}/board/v={batch_id:020d}")
-        (self.spark.range(0, 1, 1, 1).select(F.lit(batch_id).cast("bigint").alias("version"))
-         .write.mode("append").parquet(f"{self.path}/board/_versions"))
+        versions.commit(self.render(), f"{self.path}/board", batch_id)
 
     def _stations(self, routed: DataFrame, batch_id: int) -> None:
         st = (_decoded(routed, "station", STATION)
@@ -96,6 +95,4 @@ class BoardState:
                               T.current_weather(weather), sort=False)
 
     def read(self) -> DataFrame:
-        v = (self.spark.read.parquet(f"{self.path}/board/_versions")
-             .agg(F.max("version").alias("v")).first()["v"])
-        return self.spark.read.parquet(f"{self.path}/board/v={v:020d}")
+        return versions.read_latest(self.spark, f"{self.path}/board")

@@ -4,7 +4,8 @@ Results of a streaming query land in a folder under the shared checkpoint
 root, never in driver memory:
 
 * complete mode: each micro-batch writes the whole result as a new version
-  (``v=<batch>``); readers take the newest complete version.
+  (``v=<batch>``); readers take the newest committed version, and only the
+  newest two are kept (``sinks.versions``).
 * append mode: each micro-batch writes its own part (``batch=<id>``),
   overwritten on replay, so at-least-once delivery gives exactly-once files.
 * update mode: rows are merged into a ``KeyedTable`` by key.
@@ -21,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dispatchboard.session import scratch_path
+from dispatchboard.sinks import versions
 from dispatchboard.sinks.tables import KeyedTable
 
 
@@ -51,9 +53,7 @@ class StreamResult:
         if self.mode == "update":
             return self.table.read()
         if self.mode == "complete":
-            versions = spark.read.parquet(f"{self.path}/_versions")
-            v = versions.agg(F.max("version").alias("v")).first()["v"]
-            return spark.read.parquet(f"{self.path}/v={v:020d}")
+            return versions.read_latest(spark, self.path)
         return spark.read.parquet(f"{self.path}/parts").drop("batch")
 
 
@@ -75,9 +75,7 @@ def start(df: DataFrame, name: str, mode: str = "complete",
         def sink(batch: DataFrame, batch_id: int) -> None:
             if transform is not None:
                 batch = transform(batch)
-            batch.write.mode("overwrite").parquet(f"{path}/v={batch_id:020d}")
-            (spark.range(0, 1, 1, 1).select(F.lit(batch_id).cast("bigint").alias("version"))
-             .write.mode("append").parquet(f"{path}/_versions"))
+            versions.commit(batch, path, batch_id)
     elif mode == "append":
         def sink(batch: DataFrame, batch_id: int) -> None:
             (batch.write.mode("overwrite")

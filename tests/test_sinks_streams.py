@@ -196,3 +196,19 @@ def test_calls_app_command_line(spark):
         cols = sorted(expected.columns)
         assert (sorted(res.select(cols).collect(), key=repr)
                 == sorted(expected.select(cols).collect(), key=repr))
+
+
+def test_versions_keep_newest_committed(spark):
+    """Readers take the newest committed version; only two are kept; a
+    folder without the writer's marker (a rewrite in progress) is ignored."""
+    from dispatchboard.sinks import versions as V
+    path = scratch_path(spark, "versions-test")
+    for b in range(4):
+        V.commit(spark.range(b + 1), path, b)
+    assert V.committed(spark, path) == [2, 3]
+    assert V.read_latest(spark, path).count() == 4
+    assert V.read_latest(spark, path, below=3).count() == 3
+    os.makedirs(V.version_path(path, 9))  # started, never finished
+    assert V.latest(spark, path) == 3
+    V.commit(spark.range(4), path, 3)  # replay of batch 3
+    assert V.committed(spark, path) == [2, 3]
