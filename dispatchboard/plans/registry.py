@@ -469,7 +469,11 @@ _COUNTS_ONLY = WINDOW_COUNTS_SQL + "SELECT * FROM counts"
 register("stream_window_counts", _COUNTS_ONLY)(STREAMS.stream_window_counts)
 register("stream_window_described", ORACLES["calls_window_described"])(
     STREAMS.stream_window_described)
-register("stream_bounded_counts")(STREAMS.stream_bounded_counts)
+register("stream_bounded_counts", _COUNTS_ONLY + """
+WHERE window_end <= (SELECT make_timestamp(
+                              CAST(floor(epoch_us(max(call_date_time)) / 1000) AS BIGINT) * 1000
+                              - 3600000000)
+                     FROM calls)""")(STREAMS.stream_bounded_counts)
 register("stream_progress")(STREAMS.stream_progress)
 register("stream_slots", ORACLES["slot_occupancy"])(STREAMS.stream_slots)
 register("stream_upsert", ORACLES["station_table"])(STREAMS.stream_upsert)

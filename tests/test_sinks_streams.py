@@ -212,3 +212,27 @@ def test_versions_keep_newest_committed(spark):
     assert V.latest(spark, path) == 3
     V.commit(spark.range(4), path, 3)  # replay of batch 3
     assert V.committed(spark, path) == [2, 3]
+
+
+def test_bounded_counts_drop_late_calls(spark):
+    """Bounded flagship: a call older than the watermark is dropped; windows
+    are emitted once they close. Spark filters late rows against the
+    watermark of the batch before (eviction uses the current one), so the
+    late call comes two triggers after the call that set the watermark."""
+    import datetime as dt
+    from dispatchboard.operators import calls as C
+    src = scratch_path(spark, "bounded-test")
+    ddl = "call_date_time timestamp, original_crime_type_name string, disposition string"
+    t = lambda h, m: dt.datetime(2024, 1, 1, h, m)
+    files = [[(t(12, 0), "theft", "A")], [(t(12, 30), "theft", "A")],
+             [(t(10, 0), "theft", "A"), (t(14, 5), "theft", "A")]]
+    for i, rows in enumerate(files):
+        spark.createDataFrame(rows, ddl).coalesce(1).write.parquet(f"{src}/f{i}")
+    stream = (spark.readStream.schema(ddl).option("recursiveFileLookup", "true")
+              .option("maxFilesPerTrigger", 1).parquet(src))
+    out = runner.run(C.bounded_call_counts(stream), "bounded_test", "append")
+    got = sorted((r.window_start.time(), r.call_count) for r in out.collect())
+    # The watermark ends at 13:05, so windows ending by then are out; the
+    # 10:00 call met an 11:00 watermark and is gone (no 09:10 .. 10:00 rows).
+    assert got == [(dt.time(11, 10), 1), (dt.time(11, 20), 1), (dt.time(11, 30), 1),
+                   (dt.time(11, 40), 2), (dt.time(11, 50), 2), (dt.time(12, 0), 2)]
