@@ -15,12 +15,25 @@ from dispatchboard.plans import fixtures as X
 from dispatchboard.schemas import ARRIVAL, STOPS, TURNSTILE
 from dispatchboard.session import scratch_path
 from dispatchboard.sinks.topics import publish
-from dispatchboard.sources.topics import read_topic
+from dispatchboard.sources.topics import log_file_count, read_topic
 from dispatchboard.streaming import apps, runner
 
-# Files per topic log and files per micro-batch: several batches per run.
+# Micro-batches per run over a published log: enough to carry state from
+# one trigger to the next, at any scale.
 LOG_FILES = 4
-FILES_PER_TRIGGER = 1
+
+
+def _spread(df: DataFrame) -> DataFrame:
+    """A table to publish as a log. Its own scan tasks write it (no shuffle);
+    only a table with fewer partitions than ``LOG_FILES`` (a small one) is
+    split round-robin, so a stream over it still runs several triggers."""
+    return df if df.rdd.getNumPartitions() >= LOG_FILES else df.repartition(LOG_FILES)
+
+
+def _per_trigger(spark, location, topic=None, triggers=LOG_FILES) -> int:
+    """Files per trigger so that the published log is read in about
+    ``triggers`` micro-batches."""
+    return max(1, -(-log_file_count(spark, location, topic) // triggers))
 
 
 def _log(spark: SparkSession, name: str) -> str:
@@ -30,12 +43,14 @@ def _log(spark: SparkSession, name: str) -> str:
 def publish_calls(spark, sf_dir, location) -> None:
     c = X.calls(spark, sf_dir).withColumn(
         "call_date_time", F.col("call_date_time").cast("timestamp"))
-    publish(c.repartition(LOG_FILES), None,
+    publish(_spread(c), None,
             ["crime_id", "original_crime_type_name", "call_date_time", "disposition"],
             S.TOPIC_CALLS, location, offset_col="offset", time_col="call_date_time")
 
 
-def call_stream(spark, location, max_files=FILES_PER_TRIGGER) -> tuple[DataFrame, DataFrame]:
+def call_stream(spark, location, max_files="auto") -> tuple[DataFrame, DataFrame]:
+    if max_files == "auto":
+        max_files = _per_trigger(spark, location, S.TOPIC_CALLS)
     return apps.call_stream(spark, location, max_files_per_trigger=max_files)
 
 
@@ -95,10 +110,11 @@ def stream_slots(spark, sf_dir):
     """STR-6 as a stream: arrivals topic log -> slot aggregate, complete mode."""
     loc = _log(spark, "arrivals")
     a = X.arrivals(spark, sf_dir)
-    publish(a.repartition(LOG_FILES), [F.col("key").alias("timestamp")],
+    publish(_spread(a), [F.col("key").alias("timestamp")],
             [f.name for f in ARRIVAL.fields], S.TOPIC_ARRIVALS, loc,
             offset_col="offset", time_col="timestamp")
-    log = read_topic(spark, loc, S.TOPIC_ARRIVALS, max_files_per_trigger=FILES_PER_TRIGGER)
+    log = read_topic(spark, loc, S.TOPIC_ARRIVALS,
+                     max_files_per_trigger=_per_trigger(spark, loc, S.TOPIC_ARRIVALS))
     arr = (log.select("timestamp", "offset",
                       F.from_json(F.col("value").cast("string"), ARRIVAL).alias("v"))
            .select("timestamp", "offset", "v.*"))
@@ -110,9 +126,10 @@ def stream_upsert(spark, sf_dir):
     """SNK-3: raw stop rows stream into the keyed station table."""
     loc = _log(spark, "stations")
     stops = X.stops(spark, sf_dir).withColumnRenamed("station_order", "order")
-    publish(stops.repartition(LOG_FILES), ["stop_id"], [f.name for f in STOPS.fields],
+    publish(_spread(stops), ["stop_id"], [f.name for f in STOPS.fields],
             S.TOPIC_STATIONS_RAW, loc, offset_col="stop_id")
-    log = read_topic(spark, loc, S.TOPIC_STATIONS_RAW, max_files_per_trigger=FILES_PER_TRIGGER)
+    log = read_topic(spark, loc, S.TOPIC_STATIONS_RAW,
+                     max_files_per_trigger=_per_trigger(spark, loc, S.TOPIC_STATIONS_RAW))
     raw = (log.select(F.from_json(F.col("value").cast("string"), STOPS).alias("v"))
            .select("v.*").withColumnRenamed("order", "station_order"))
     recs = T.station_records(raw)
@@ -131,10 +148,11 @@ def stream_entries(spark, sf_dir):
     """AGG-2 in update mode, rows upserted by station (the summary table)."""
     loc = _log(spark, "turnstile")
     t = X.turnstile(spark, sf_dir)
-    publish(t.repartition(LOG_FILES), [F.col("key").alias("timestamp")],
+    publish(_spread(t), [F.col("key").alias("timestamp")],
             [f.name for f in TURNSTILE.fields], S.TOPIC_TURNSTILE, loc,
             offset_col="offset", time_col="timestamp")
-    log = read_topic(spark, loc, S.TOPIC_TURNSTILE, max_files_per_trigger=FILES_PER_TRIGGER)
+    log = read_topic(spark, loc, S.TOPIC_TURNSTILE,
+                     max_files_per_trigger=_per_trigger(spark, loc, S.TOPIC_TURNSTILE))
     rows = (log.select(F.from_json(F.col("value").cast("string"), TURNSTILE).alias("v"))
             .select("v.*"))
     return runner.run(T.entries_per_station(rows), "turnstile_summary", "update",
@@ -147,29 +165,30 @@ def stream_board(spark, sf_dir):
     # Feeds: station changelog (every record, stop-id order), arrivals,
     # weather readings, and raw turnstile entries.
     recs = T.station_records(X.stops(spark, sf_dir)).withColumnRenamed("station_order", "order")
-    publish(recs.repartition(LOG_FILES), ["station_id"],
+    publish(_spread(recs), ["station_id"],
             ["station_id", "station_name", "order", "line"], S.TOPIC_STATIONS_TABLE, root,
             offset_col="stop_id")
     a = X.arrivals(spark, sf_dir)
-    publish(a.repartition(LOG_FILES), [F.col("key").alias("timestamp")],
+    publish(_spread(a), [F.col("key").alias("timestamp")],
             [f.name for f in ARRIVAL.fields], S.TOPIC_ARRIVALS, root,
             offset_col="offset", time_col="timestamp")
     w = X.weather(spark, sf_dir)
-    publish(w.repartition(LOG_FILES), [F.col("key").alias("timestamp")],
+    publish(_spread(w), [F.col("key").alias("timestamp")],
             ["temperature", "status"], S.TOPIC_WEATHER, root,
             offset_col="offset", time_col="timestamp")
     turn_root = _log(spark, "turnstile")
     t = X.turnstile(spark, sf_dir)
-    publish(t.repartition(LOG_FILES), [F.col("key").alias("timestamp")],
+    publish(_spread(t), [F.col("key").alias("timestamp")],
             [f.name for f in TURNSTILE.fields], S.TOPIC_TURNSTILE, turn_root,
             offset_col="offset", time_col="timestamp")
-    turn = apps.turnstile_stream(spark, turn_root, max_files_per_trigger=FILES_PER_TRIGGER)
+    turn = apps.turnstile_stream(spark, turn_root, max_files_per_trigger=_per_trigger(
+        spark, turn_root, S.TOPIC_TURNSTILE))
     q = apps.start_summary_query(spark, turn, root, "availableNow")
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     q, state = apps.start_board(spark, root, scratch_path(spark, "board-state"),
-                                "availableNow", max_files_per_trigger=4 * LOG_FILES)
+                                "availableNow", max_files_per_trigger=_per_trigger(spark, root))
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
@@ -182,12 +201,13 @@ def stream_entries_table(spark, sf_dir):
     from dispatchboard.streaming.table_counts import run_table_counts
     loc = _log(spark, "turnstile")
     t = X.turnstile(spark, sf_dir)
-    publish(t.repartition(LOG_FILES), [F.col("key").alias("timestamp")],
+    publish(_spread(t), [F.col("key").alias("timestamp")],
             [f.name for f in TURNSTILE.fields], S.TOPIC_TURNSTILE, loc,
             offset_col="offset", time_col="timestamp")
-    log = read_topic(spark, loc, S.TOPIC_TURNSTILE, max_files_per_trigger=FILES_PER_TRIGGER)
+    log = read_topic(spark, loc, S.TOPIC_TURNSTILE,
+                     max_files_per_trigger=_per_trigger(spark, loc, S.TOPIC_TURNSTILE))
     rows = log.select(F.col("key").cast("string").alias("key"), "offset",
                       F.from_json(F.col("value").cast("string"), TURNSTILE)["station_id"]
                       .alias("station_id"))
     return run_table_counts(spark, rows, scratch_path(spark, "turnstile-table"),
-                            max_files_per_trigger=FILES_PER_TRIGGER)
+                            count_triggers=LOG_FILES)

@@ -76,6 +76,21 @@ def read_topics(spark: SparkSession, location: str, pattern: str, stream: bool =
     return apply_start(subscribe_pattern(df, pattern), starting)
 
 
+def log_file_count(spark: SparkSession, location: str, topic: str | None = None) -> int:
+    """Data files of a topic log (or of every topic under ``location``), by
+    one recursive listing on the driver; no data is read."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(location if topic is None else f"{location}/{topic}")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return 0
+    it, n = fs.listFiles(path, True), 0
+    while it.hasNext():
+        name = it.next().getPath().getName()
+        n += not (name.startswith("_") or name.startswith("."))
+    return n
+
+
 def subscribe_pattern(log: DataFrame, pattern: str) -> DataFrame:
     """Pattern subscription over any frame in topic-log shape."""
     return log.where(F.col("topic").rlike(pattern))

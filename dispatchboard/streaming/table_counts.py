@@ -123,15 +123,20 @@ def _wait(q) -> None:
 
 
 def run_table_counts(spark: SparkSession, turnstile: DataFrame, root: str,
-                     max_files_per_trigger: int | None = None) -> DataFrame:
+                     count_triggers: int | None = None) -> DataFrame:
     """Drain the available turnstile rows through all three steps and return
     entries per station (stations whose count is 0 are left out).
 
     On a live feed start both queries with a processing-time trigger and let
-    them run side by side; here they run one after the other."""
+    them run side by side; here they run one after the other, the second in
+    about ``count_triggers`` micro-batches (all at once when None)."""
+    from dispatchboard.sources.topics import log_file_count
     counts = CountTable(spark, f"{root}/counts", ["station_id"], "entries")
     _wait(compact_query(turnstile, f"{root}/compacted", f"{root}/_ck_compact"))
+    per = None
+    if count_triggers:
+        per = max(1, -(-log_file_count(spark, f"{root}/compacted") // count_triggers))
     _wait(count_query(spark, f"{root}/compacted", counts, f"{root}/_ck_counts",
-                      max_files_per_trigger=max_files_per_trigger))
+                      max_files_per_trigger=per))
     out = counts.read()
     return out if out is not None else spark.createDataFrame([], "station_id int, entries long")
