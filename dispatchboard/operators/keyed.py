@@ -101,15 +101,17 @@ def neighbours(df: DataFrame, group: Sequence[str], order: Sequence[str], value:
 
     An input proven to hold at most ``one_task_max_rows`` rows (a check that
     stops reading after that many) takes the plain window instead: then no
-    group can be large.
+    group can be large. The input is checkpointed first, so the check and
+    the work read one copy instead of computing the input twice.
     """
+    from dispatchboard.session import checkpoint_root
+    checkpoint_root(df.sparkSession)
     group, order = list(group), list(order)
-    if not df.isStreaming and df.limit(one_task_max_rows + 1).count() <= one_task_max_rows:
+    df = df.checkpoint()
+    if df.limit(one_task_max_rows + 1).count() <= one_task_max_rows:
         w = Window.partitionBy(*group).orderBy(*order)
         return df.select("*", F.lag(value).over(w).alias(prev_col),
                          F.lead(value).over(w).alias(next_col))
-    from dispatchboard.session import checkpoint_root
-    checkpoint_root(df.sparkSession)
     n = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sliced = (df.repartitionByRange(n, *[F.col(c) for c in group + order])
               .withColumn("_slice", F.spark_partition_id()))
