@@ -50,7 +50,7 @@ def call_stream(spark: SparkSession, source: str, topic: str = S.TOPIC_CALLS,
 
 def start_call_queries(calls: DataFrame, codes: DataFrame | None = None,
                        trigger: str = "10 seconds", out: str | None = None,
-                       described_only: bool = False) -> list:
+                       described_only: bool = False, shared: bool = False) -> list:
     """Start the flagship's named queries over a decoded call stream.
 
     ``out=None`` prints each trigger's full result, sorted, to the console
@@ -60,6 +60,10 @@ def start_call_queries(calls: DataFrame, codes: DataFrame | None = None,
     per slide bucket in state, and each trigger turns the buckets into
     windows (and joins the codes) as a batch step. Returns
     ``runner.StreamResult`` objects (folders) or console queries.
+
+    ``shared=True`` (with ``out`` and ``codes``) runs one stateful query
+    instead of two and writes both results from its batch step, so the
+    dedup and bucket state are kept once, not once per output.
     """
     named = []
     if not described_only:
@@ -74,6 +78,9 @@ def start_call_queries(calls: DataFrame, codes: DataFrame | None = None,
             started.append(start_console(df, name, "complete", trigger))
         return started
     buckets = C.call_bucket_counts(calls)
+    out = out.rstrip("/")
+    if shared and len(named) == 2:
+        return _start_shared(buckets, codes, trigger, out)
     for name, lookup in named:
         if lookup is None:
             transform = C.windows_from_buckets
@@ -81,10 +88,31 @@ def start_call_queries(calls: DataFrame, codes: DataFrame | None = None,
             def transform(b, lookup=lookup):
                 return C.with_disposition(C.windows_from_buckets(b), lookup)
         started.append(runner.start(buckets, name, "complete", trigger,
-                                    path=f"{out.rstrip('/')}/{name}", transform=transform))
+                                    path=f"{out}/{name}", transform=transform))
     return started
 
 
+def _start_shared(buckets: DataFrame, codes: DataFrame, trigger: str, out: str) -> list:
+    from dispatchboard.sinks import versions
+    plain, described = f"{out}/crime_type_count", f"{out}/crime_type_count_described"
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        # Both results come from this batch's windows; keep them for the
+        # second write instead of running the stateful plan again.
+        windows = C.windows_from_buckets(batch).persist()
+        try:
+            versions.commit(windows, plain, batch_id)
+            versions.commit(C.with_disposition(windows, codes), described, batch_id)
+        finally:
+            windows.unpersist()
+
+    q = (buckets.writeStream.queryName("crime_type_counts").outputMode("complete")
+         .option("checkpointLocation", f"{out}/_checkpoint_shared").foreachBatch(sink)
+         .trigger(**runner.trigger_kwargs(trigger)).start())
+    return [runner.StreamResult(q, plain, "complete"),
+            runner.StreamResult(q, described, "complete")]
+
+
 def start_summary_query(spark: SparkSession, turnstile: DataFrame, log_root: str,
                         trigger: str = "10 seconds", checkpoint: str | None = None):
     """AGG-2 + SNK-4: running entries per station; each trigger's updated
@@ -144,6 +172,8 @@ def main(argv: list[str] | None = None) -> None:
     c.add_argument("--trigger", default="10 seconds")
     c.add_argument("--max-offsets-per-trigger", type=int)
     c.add_argument("--max-files-per-trigger", type=int)
+    c.add_argument("--shared", action="store_true",
+                   help="one stateful query writes both results (needs --out, --codes)")
     b = sub.add_parser("board", help="transit status board")
     b.add_argument("--logs", required=True, help="topic-log root of the feeds")
     b.add_argument("--out", required=True)
@@ -157,7 +187,7 @@ def main(argv: list[str] | None = None) -> None:
         good, _ = call_stream(spark, a.source, a.topic, "kafka" if a.kafka else "log",
                               a.max_files_per_trigger, a.max_offsets_per_trigger)
         codes = read_codes(spark, a.codes) if a.codes else None
-        start_call_queries(good, codes, a.trigger, a.out)
+        start_call_queries(good, codes, a.trigger, a.out, shared=a.shared)
     else:
         summary = start_summary_query(
             spark, turnstile_stream(spark, a.logs, max_files_per_trigger=a.max_files_per_trigger),

@@ -174,9 +174,11 @@ def test_upsert_latest_replay(spark):
     assert sorted((r.k, r.v) for r in t.read().collect()) == [(1, "c"), (2, "b")]
 
 
-def test_calls_app_command_line(spark):
+@pytest.mark.parametrize("shared", [False, True])
+def test_calls_app_command_line(spark, shared):
     """The calls application, as launched from the command line, writes both
-    named queries' results; they equal the batch flagship."""
+    results (two named queries, or one shared stateful query); they equal
+    the batch flagship."""
     from dispatchboard.operators import calls as C
     from dispatchboard.plans import fixtures as X
     from dispatchboard.plans.streams import publish_calls
@@ -187,7 +189,8 @@ def test_calls_app_command_line(spark):
     publish_calls(spark, SF_SMALL, loc)
     write_json_arrays(X.codes(spark, SF_SMALL), codes)
     apps.main(["calls", "--source", loc, "--codes", codes, "--out", out,
-               "--trigger", "availableNow", "--max-files-per-trigger", "1"])
+               "--trigger", "availableNow", "--max-files-per-trigger", "1"]
+              + (["--shared"] if shared else []))
     want = C.with_disposition(C.call_counts(X.calls(spark, SF_SMALL), sort=False),
                               X.codes(spark, SF_SMALL))
     for name, expected in (("crime_type_count", want.drop("description")),
