@@ -64,16 +64,24 @@ class KeyedTable(VersionedTable):
 
     def upsert(self, batch: DataFrame, batch_id: int) -> None:
         payload = [c for c in batch.columns if c not in self.keys]
-        latest = latest_by(batch, self.keys, self.order, payload)
         if self.changelog:
-            # Every write is a changelog record, not only the last per key:
-            # readers that keep their own per-key maps must see them all.
-            batch.write.mode("overwrite").parquet(f"{self.changelog}/batch={batch_id:020d}")
-        base = self._base(batch_id)
-        merged = latest
-        if base is not None:
-            merged = latest_by(base.unionByName(latest), self.keys, self.order, payload)
-        self._commit(merged, batch_id)
+            # The batch is read twice (changelog, merge): keep it once.
+            batch = batch.persist()
+        try:
+            latest = latest_by(batch, self.keys, self.order, payload)
+            if self.changelog:
+                # Every write is a changelog record, not only the last per
+                # key: readers that keep their own per-key maps see them all.
+                batch.write.mode("overwrite").parquet(
+                    f"{self.changelog}/batch={batch_id:020d}")
+            base = self._base(batch_id)
+            merged = latest
+            if base is not None:
+                merged = latest_by(base.unionByName(latest), self.keys, self.order, payload)
+            self._commit(merged, batch_id)
+        finally:
+            if self.changelog:
+                batch.unpersist()
 
 
 class CountTable(VersionedTable):
