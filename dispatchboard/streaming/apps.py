@@ -187,22 +187,24 @@ def main(argv: list[str] | None = None) -> None:
         good, _ = call_stream(spark, a.source, a.topic, "kafka" if a.kafka else "log",
                               a.max_files_per_trigger, a.max_offsets_per_trigger)
         codes = read_codes(spark, a.codes) if a.codes else None
-        start_call_queries(good, codes, a.trigger, a.out, shared=a.shared)
+        started = start_call_queries(good, codes, a.trigger, a.out, shared=a.shared)
+        queries = [getattr(q, "query", q) for q in started]
     else:
         summary = start_summary_query(
             spark, turnstile_stream(spark, a.logs, max_files_per_trigger=a.max_files_per_trigger),
             a.logs, a.trigger)
         if drain:  # the board should see every summary written by this run
             summary.awaitTermination()
-        start_board(spark, a.logs, a.out, a.trigger, a.max_files_per_trigger)
+        board, _ = start_board(spark, a.logs, a.out, a.trigger, a.max_files_per_trigger)
+        queries = [summary, board]
     if drain:
-        for q in spark.streams.active:
+        for q in queries:
             q.awaitTermination()
-        failed = [q for q in spark.streams.active if q.exception() is not None]
-        if failed:
-            raise RuntimeError(str(failed[0].exception()))
     else:
         spark.streams.awaitAnyTermination()
+    failed = [q for q in queries if q.exception() is not None]
+    if failed:
+        raise RuntimeError(str(failed[0].exception()))
 
 if __name__ == "__main__":
     main()

@@ -299,3 +299,36 @@ def test_table_counts_stream_resumes_from_checkpoint(spark):
         got = run_table_counts(spark, rows, root, count_triggers=2)
     want = T.entries_per_station_table(turn.withColumn("key", F.col("key").cast("string")))
     assert sorted(got.collect()) == sorted(want.collect())
+
+
+def test_board_app_command_line(spark):
+    """The board application, from the command line, over published feeds:
+    the board it renders equals the batch board."""
+    from dispatchboard.operators import transit as T
+    from dispatchboard.plans import fixtures as X
+    from dispatchboard.schemas import ARRIVAL, TURNSTILE
+    from dispatchboard.streaming import apps
+    from dispatchboard.streaming.board import BoardState
+    from tests.conftest import SF_SMALL
+    logs, out = scratch_path(spark, "board-logs"), scratch_path(spark, "board-out")
+    recs = T.station_records(X.stops(spark, SF_SMALL)).withColumnRenamed("station_order", "order")
+    TP.publish(recs, ["station_id"], ["station_id", "station_name", "order", "line"],
+               S.TOPIC_STATIONS_TABLE, logs, offset_col="stop_id")
+    TP.publish(X.arrivals(spark, SF_SMALL), [F.col("key").alias("timestamp")],
+               [f.name for f in ARRIVAL.fields], S.TOPIC_ARRIVALS, logs,
+               offset_col="offset", time_col="timestamp")
+    TP.publish(X.weather(spark, SF_SMALL), [F.col("key").alias("timestamp")],
+               ["temperature", "status"], S.TOPIC_WEATHER, logs,
+               offset_col="offset", time_col="timestamp")
+    TP.publish(X.turnstile(spark, SF_SMALL), [F.col("key").alias("timestamp")],
+               [f.name for f in TURNSTILE.fields], S.TOPIC_TURNSTILE, logs,
+               offset_col="offset", time_col="timestamp")
+    apps.main(["board", "--logs", logs, "--out", out, "--trigger", "availableNow"])
+    got = BoardState(spark, out).read()
+    stations = T.line_stations(X.stops(spark, SF_SMALL))
+    want = T.status_board(stations, T.slot_occupancy(X.arrivals(spark, SF_SMALL), stations),
+                          T.entries_per_station(X.turnstile(spark, SF_SMALL)),
+                          T.current_weather(X.weather(spark, SF_SMALL)), sort=False)
+    cols = sorted(want.columns)
+    assert (sorted(got.select(cols).collect(), key=repr)
+            == sorted(want.select(cols).collect(), key=repr))
