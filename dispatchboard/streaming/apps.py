@@ -190,6 +190,11 @@ def main(argv: list[str] | None = None) -> None:
         started = start_call_queries(good, codes, a.trigger, a.out, shared=a.shared)
         queries = [getattr(q, "query", q) for q in started]
     else:
+        # SNK-5: refuse to start without the feeds (the summary topic is
+        # made by the summary query below).
+        from dispatchboard.sinks.topics import require_topics
+        require_topics(spark, a.logs, S.TOPIC_STATIONS_TABLE, S.TOPIC_ARRIVALS,
+                       S.TOPIC_WEATHER, S.TOPIC_TURNSTILE)
         summary = start_summary_query(
             spark, turnstile_stream(spark, a.logs, max_files_per_trigger=a.max_files_per_trigger),
             a.logs, a.trigger)

@@ -332,3 +332,11 @@ def test_board_app_command_line(spark):
     cols = sorted(want.columns)
     assert (sorted(got.select(cols).collect(), key=repr)
             == sorted(want.select(cols).collect(), key=repr))
+
+
+def test_board_app_refuses_missing_feeds(spark):
+    from dispatchboard.streaming import apps
+    logs = scratch_path(spark, "board-empty")
+    with pytest.raises(RuntimeError, match="missing input topics"):
+        apps.main(["board", "--logs", logs, "--out", scratch_path(spark, "board-x"),
+                   "--trigger", "availableNow"])
