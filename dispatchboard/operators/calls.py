@@ -136,11 +136,18 @@ def disposition_lookup(codes: DataFrame) -> DataFrame:
 
 
 # JOI-1
-def with_disposition(counts: DataFrame, codes: DataFrame) -> DataFrame:
-    """Left join on ``disposition`` (USING: the key appears once, first).
+def prepared_codes(codes: DataFrame) -> DataFrame:
+    """The code table as the join's right side: renamed (PRJ-4) and marked
+    for broadcast once its size is proven small. Prepare it once for a
+    stream, not on every trigger."""
+    return sized_broadcast(disposition_lookup(codes))
 
-    A null disposition never matches; a code listed twice doubles its rows.
-    The code table is broadcast only after its row count is proven small.
-    """
-    lookup = sized_broadcast(disposition_lookup(codes))
+
+def join_disposition(counts: DataFrame, lookup: DataFrame) -> DataFrame:
+    """Left join on ``disposition`` (USING: the key appears once, first).
+    A null disposition never matches; a code listed twice doubles its rows."""
     return counts.join(lookup, on=DISPOSITION_COL, how="left")
+
+
+def with_disposition(counts: DataFrame, codes: DataFrame) -> DataFrame:
+    return join_disposition(counts, prepared_codes(codes))

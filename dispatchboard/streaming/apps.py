@@ -79,20 +79,22 @@ def start_call_queries(calls: DataFrame, codes: DataFrame | None = None,
         return started
     buckets = C.call_bucket_counts(calls)
     out = out.rstrip("/")
+    # The code table is sized once here, not on every trigger.
+    lookup = C.prepared_codes(codes) if codes is not None else None
     if shared and len(named) == 2:
-        return _start_shared(buckets, codes, trigger, out)
-    for name, lookup in named:
-        if lookup is None:
+        return _start_shared(buckets, lookup, trigger, out)
+    for name, uses_codes in named:
+        if uses_codes is None:
             transform = C.windows_from_buckets
         else:
-            def transform(b, lookup=lookup):
-                return C.with_disposition(C.windows_from_buckets(b), lookup)
+            def transform(b):
+                return C.join_disposition(C.windows_from_buckets(b), lookup)
         started.append(runner.start(buckets, name, "complete", trigger,
                                     path=f"{out}/{name}", transform=transform))
     return started
 
 
-def _start_shared(buckets: DataFrame, codes: DataFrame, trigger: str, out: str) -> list:
+def _start_shared(buckets: DataFrame, lookup: DataFrame, trigger: str, out: str) -> list:
     from dispatchboard.sinks import versions
     plain, described = f"{out}/crime_type_count", f"{out}/crime_type_count_described"
 
@@ -102,7 +104,7 @@ def _start_shared(buckets: DataFrame, codes: DataFrame, trigger: str, out: str)
         windows = C.windows_from_buckets(batch).persist()
         try:
             versions.commit(windows, plain, batch_id)
-            versions.commit(C.with_disposition(windows, codes), described, batch_id)
+            versions.commit(C.join_disposition(windows, lookup), described, batch_id)
         finally:
             windows.unpersist()
 
