@@ -19,9 +19,10 @@ def start_console(df: DataFrame, name: str, mode: str = "complete",
                   trigger: str = "10 seconds"):
     """Full result after every trigger, untruncated (debug output only; the
     console sink brings each result to the driver)."""
+    from dispatchboard.streaming.triggers import trigger_kwargs
     return (df.writeStream.format("console").outputMode(mode)
             .option("truncate", "false").option("numRows", 1 << 30)
-            .queryName(name).trigger(processingTime=trigger).start())
+            .queryName(name).trigger(**trigger_kwargs(trigger)).start())
 
 
 class VersionedTable:

@@ -24,17 +24,7 @@ from pyspark.sql import functions as F
 from dispatchboard.session import scratch_path
 from dispatchboard.sinks import versions
 from dispatchboard.sinks.tables import KeyedTable
-
-
-def trigger_kwargs(trigger: str) -> dict:
-    """"availableNow" drains what is there and stops (tests, scheduled pulls);
-    "once" is one batch; anything else is a processing-time interval such as
-    "10 seconds" (the reference's trigger) or "30 minutes" (the table poll)."""
-    if trigger == "availableNow":
-        return {"availableNow": True}
-    if trigger == "once":
-        return {"once": True}
-    return {"processingTime": trigger}
+from dispatchboard.streaming.triggers import trigger_kwargs  # noqa: F401 (re-export)
 
 
 class StreamResult:

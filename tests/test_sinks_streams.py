@@ -340,3 +340,13 @@ def test_board_app_refuses_missing_feeds(spark):
     with pytest.raises(RuntimeError, match="missing input topics"):
         apps.main(["board", "--logs", logs, "--out", scratch_path(spark, "board-x"),
                    "--trigger", "availableNow"])
+
+
+def test_calls_app_console(spark):
+    """Without --out the calls app prints both named queries' results."""
+    from dispatchboard.plans.streams import publish_calls
+    from dispatchboard.streaming import apps
+    from tests.conftest import SF_SMALL
+    loc = scratch_path(spark, "log-console")
+    publish_calls(spark, SF_SMALL, loc)
+    apps.main(["calls", "--source", loc, "--trigger", "availableNow"])
