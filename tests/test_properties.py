@@ -97,3 +97,13 @@ def test_neighbours_equal_whole_group_window(spark):
     # proven small: the plain window
     got = neighbours(df, ["g"], ["o", "k"], "v")
     assert sorted(got.select("g", "o", "k", "prev", "next").collect()) == want
+
+
+def test_bucket_first_windows_equal_spark_window(spark):
+    """Batch flagship plan: counting per slide bucket and then expanding each
+    bucket group into its windows equals Spark's sliding window()."""
+    d = K.distinct_calls(X.calls(spark, SF_ORACLE))
+    via_buckets = C.windows_from_buckets(C.bucket_counts(d))
+    direct = C.windowed_counts(d)
+    assert via_buckets.exceptAll(direct).count() == 0
+    assert direct.exceptAll(via_buckets).count() == 0
