@@ -53,7 +53,12 @@ def windowed_counts(df: DataFrame, time_col: str = TIME_COL,
 
 # SRT-1
 def by_count_desc(df: DataFrame, col: str = "call_count") -> DataFrame:
-    return df.orderBy(F.col(col).desc())
+    """Largest counts first. The window and group columns break ties: a
+    range-partitioned sort cannot split rows with equal sort keys, and most
+    windows share a few small counts, so without them one task would sort
+    most of the result."""
+    ties = [c for c in ("window_start", TYPE_COL, DISPOSITION_COL) if c in df.columns]
+    return df.orderBy(F.col(col).desc(), *ties)
 
 
 # Flagship: DED-1, STR-1, WIN-1, AGG-1, SRT-1 (reference semantics).

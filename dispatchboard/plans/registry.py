@@ -355,7 +355,8 @@ def q_incremental_pull(spark, sf_dir):
     seen = incremental_pull(before, "o_orderdate", read_mark(spark, store, "orders"),
                             ordered=False)
     commit_mark(seen, "o_orderdate", store, "orders")
-    return incremental_pull(orders, "o_orderdate", read_mark(spark, store, "orders"))
+    return incremental_pull(orders, "o_orderdate", read_mark(spark, store, "orders"),
+                            tiebreak=["o_orderkey"])
 
 
 # Event types published as the board's feeds (SET-1 input).

@@ -14,9 +14,13 @@ from pyspark.sql import functions as F
 
 
 def incremental_pull(df: DataFrame, column: str, last_seen=None,
-                     ordered: bool = True) -> DataFrame:
+                     ordered: bool = True, tiebreak=()) -> DataFrame:
+    """Rows past ``last_seen`` in ``column`` order. ``tiebreak`` columns (a
+    unique key) let the range-partitioned sort split a value shared by many
+    rows across tasks; the pull's order among equal values is not defined
+    anyway."""
     out = df if last_seen is None else df.where(F.col(column) > F.lit(last_seen))
-    return out.orderBy(column) if ordered else out
+    return out.orderBy(column, *tiebreak) if ordered else out
 
 
 def read_mark(spark: SparkSession, store: str, source: str):
@@ -44,8 +48,8 @@ def commit_mark(pulled: DataFrame, column: str, store: str, source: str) -> None
 
 
 def jdbc_pull(spark: SparkSession, url: str, table: str, column: str, last_seen,
-              fetchsize: int = 500, **props) -> DataFrame:
+              fetchsize: int = 500, tiebreak=(), **props) -> DataFrame:
     """The same pull against a database (untested here: no database)."""
     df = (spark.read.format("jdbc").option("url", url).option("dbtable", table)
           .option("fetchsize", fetchsize).options(**props).load())
-    return incremental_pull(df, column, last_seen)
+    return incremental_pull(df, column, last_seen, tiebreak=tiebreak)

@@ -62,3 +62,13 @@ def test_topology_never_windows_a_whole_line(spark):
     p = plan(T.line_topology(X.stops(spark, SF_SMALL), one_task_max_rows=0), "extended")
     assert not re.search(r"windowspecdefinition\(line#\d+, station_order", p)
     assert re.search(r"windowspecdefinition\(line#\d+, _slice", p)
+
+
+def test_sorts_break_ties_for_range_partitioning(spark):
+    """SRT-1: the range shuffle of the final sort is keyed on count plus the
+    group, so rows sharing a count can be spread over tasks."""
+    import re
+    p = plan(QUERIES["calls_window_counts"](spark, SF_SMALL), "extended")
+    assert re.search(r"rangepartitioning\(call_count#\d+L DESC NULLS LAST, window_start", p)
+    p = plan(QUERIES["incremental_pull"](spark, SF_SMALL), "extended")
+    assert re.search(r"rangepartitioning\(o_orderdate#\d+ ASC NULLS FIRST, o_orderkey", p)
