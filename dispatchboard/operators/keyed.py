@@ -140,7 +140,8 @@ def neighbours(df: DataFrame, group: Sequence[str], order: Sequence[str], value:
 
 
 def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                    max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+                    max_bytes: int = BROADCAST_MAX_BYTES,
+                    materialize: bool = False) -> DataFrame:
     """Mark ``df`` for broadcast only when it provably has at most
     ``max_rows`` rows and about ``max_bytes`` of data; otherwise return it
     unchanged for a shuffle join.
@@ -149,9 +150,17 @@ def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
     once the row bound is passed, counts the rows and sums their JSON size
     (a close stand-in for their in-memory size). A streaming frame is never
     marked (its size is unbounded by definition).
+
+    ``materialize`` checkpoints ``df`` first, for a side that is itself the
+    result of a shuffle (an aggregate): the check and the join then read one
+    copy instead of computing it twice.
     """
     if df.isStreaming:
         return df
+    if materialize:
+        from dispatchboard.session import checkpoint_root
+        checkpoint_root(df.sparkSession)
+        df = df.checkpoint()
     row = (df.limit(max_rows + 1)
            .agg(F.count(F.lit(1)).alias("n"),
                 F.sum(F.octet_length(F.to_json(F.struct(*[F.col(c) for c in df.columns]))))

@@ -144,7 +144,8 @@ def slot_occupancy(arrivals: DataFrame, stations: DataFrame,
     last_in = {s: F.max_by(who, F.when(F.col("slot") == s, order)) for s in ("a", "b")}
     slots = (ev.groupBy("line", "station_id")
              .agg(last_in["a"].alias("_a"), last_in["b"].alias("_b")))
-    known = sized_broadcast(stations.select("line", "station_id").distinct())
+    known = sized_broadcast(stations.select("line", "station_id").distinct(),
+                            materialize=True)
     return (slots.join(known, ["line", "station_id"])
             .select("line", "station_id",
                     F.col("_a.train_id").alias("dir_a"),
@@ -156,7 +157,7 @@ def slot_occupancy(arrivals: DataFrame, stations: DataFrame,
 # JOI-2: arrivals whose (line, station) is known to the board (a semi join:
 # each arrival at most once, however the station list is keyed).
 def arrivals_at_known_stations(arrivals: DataFrame, stations: DataFrame) -> DataFrame:
-    known = sized_broadcast(stations.select("line", "station_id"))
+    known = sized_broadcast(stations.select("line", "station_id"), materialize=True)
     return arrivals.join(known, ["line", "station_id"], "left_semi")
 
 
