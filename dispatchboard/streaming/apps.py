@@ -8,9 +8,10 @@
   turnstile summary query that feeds it (AGG-2 + SNK-4).
 
 Sources are topic logs (parquet, one folder per topic) or Kafka
-(``fmt="kafka"``; the Kafka package must be on the classpath). Run with
-``spark-submit -m``-style launchers or ``python -m dispatchboard.streaming.apps``;
-each query checkpoints under the shared ``spark.checkpoint.dir``.
+(``fmt="kafka"``; the Kafka package must be on the classpath). Run
+``python -m dispatchboard.streaming.apps calls|board ...``, or call ``main``
+from a script given to spark-submit; each query checkpoints under the shared
+``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
