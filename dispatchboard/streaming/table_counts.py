@@ -29,7 +29,6 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 from pyspark.sql.types import (IntegerType, LongType, StringType, StructField,
                                StructType)
