@@ -25,9 +25,9 @@ LOG_FILES = 4
 
 def _spread(df: DataFrame) -> DataFrame:
     """A table to publish as a log. Its own scan tasks write it (no shuffle);
-    only a table with fewer partitions than ``LOG_FILES`` (a small one) is
+    only a table stored in fewer files than ``LOG_FILES`` (a small one) is
     split round-robin, so a stream over it still runs several triggers."""
-    return df if df.rdd.getNumPartitions() >= LOG_FILES else df.repartition(LOG_FILES)
+    return df if len(df.inputFiles()) >= LOG_FILES else df.repartition(LOG_FILES)
 
 
 def _per_trigger(spark, location, topic=None, triggers=LOG_FILES) -> int:
