@@ -1,12 +1,14 @@
 """Result versions of a micro-batch sink.
 
-A version is the folder ``<path>/v=<batch_id>``; it counts once Spark's
-writer has left its ``_SUCCESS`` marker there. Readers take the newest
-committed version, found by one listing of ``<path>`` (no pointer table that
-grows with every trigger). After a commit only the newest ``keep`` versions
-stay, so storage holds a bounded number of results however long a stream
-runs. A replayed batch rewrites its own folder; while it does, that folder
-has no marker and readers see the version before it, which is kept.
+A version is the folder ``<path>/v=<batch_id>``; it counts once its
+``_COMMITTED`` marker exists, written after Spark's write returned (our own
+marker, so clusters that switch off the writer's ``_SUCCESS`` file work the
+same). Readers take the newest committed version, found by one listing of
+``<path>`` (no pointer table that grows with every trigger). After a commit
+only the newest ``keep`` versions stay, so storage holds a bounded number of
+results however long a stream runs. A replayed batch rewrites its own
+folder; while it does, that folder has no marker and readers see the
+version before it, which is kept.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 KEEP = 2
 _PREFIX = "v="
+_MARKER = "_COMMITTED"
 
 
 def _fs(spark: SparkSession, path: str):
@@ -33,7 +36,7 @@ def committed(spark: SparkSession, path: str) -> list[int]:
     for st in fs.listStatus(root):
         name = st.getPath().getName()
         if st.isDirectory() and name.startswith(_PREFIX) and name[len(_PREFIX):].isdigit():
-            if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), _MARKER)):
                 ids.append(int(name[len(_PREFIX):]))
     return sorted(ids)
 
@@ -57,8 +60,10 @@ def commit(df: DataFrame, path: str, batch_id: int, keep: int = KEEP) -> None:
     ``keep`` committed versions."""
     df.write.mode("overwrite").parquet(version_path(path, batch_id))
     spark = df.sparkSession
-    ids = committed(spark, path)
     fs, _ = _fs(spark, path)
     jvm = spark.sparkContext._jvm
+    # The overwrite above removed any marker of an earlier attempt.
+    fs.create(jvm.org.apache.hadoop.fs.Path(version_path(path, batch_id), _MARKER), True).close()
+    ids = committed(spark, path)
     for old in ids[:-keep] if keep > 0 else []:
         fs.delete(jvm.org.apache.hadoop.fs.Path(version_path(path, old)), True)
