@@ -107,3 +107,27 @@ def test_bucket_first_windows_equal_spark_window(spark):
     direct = C.windowed_counts(d)
     assert via_buckets.exceptAll(direct).count() == 0
     assert direct.exceptAll(via_buckets).count() == 0
+
+
+def test_quarantine_split_partitions_rows(spark):
+    """PRJ-20: good and bad outputs together hold every row once; a row is
+    bad exactly when it has a value that yields no crime_id."""
+    import json
+    import random
+    from dispatchboard.schemas import CALL
+    from dispatchboard.streaming.quarantine import split_malformed
+    rnd = random.Random(3)
+    rows = []
+    for i in range(300):
+        kind = rnd.choice(["ok", "no_id", "garbage", "null"])
+        v = {"ok": json.dumps({"crime_id": str(i), "disposition": "A"}),
+             "no_id": json.dumps({"disposition": "A"}),
+             "garbage": "<" + "x" * rnd.randint(0, 5),
+             "null": None}[kind]
+        rows.append((i, v, kind in ("no_id", "garbage")))
+    df = spark.createDataFrame([(i, v) for i, v, _ in rows], "offset long, value string")
+    good, bad = split_malformed(df, CALL, "crime_id")
+    g = {r.offset for r in good.select("offset").collect()}
+    b = {r.offset for r in bad.select("offset").collect()}
+    assert not g & b and g | b == {i for i, _, _ in rows}
+    assert b == {i for i, _, is_bad in rows if is_bad}
