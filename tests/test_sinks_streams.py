@@ -350,3 +350,22 @@ def test_calls_app_console(spark):
     loc = scratch_path(spark, "log-console")
     publish_calls(spark, SF_SMALL, loc)
     apps.main(["calls", "--source", loc, "--trigger", "availableNow"])
+
+
+def test_log_publishing_helpers(spark):
+    """A small table is spread over LOG_FILES files; a table already in that
+    many files is written by its own tasks; triggers are sized from the
+    published file count."""
+    from dispatchboard.plans import streams as ST
+    from dispatchboard.sources.topics import log_file_count
+    src = scratch_path(spark, "spread-src")
+    spark.range(0, 100, 1, 1).write.parquet(f"{src}/one")
+    spark.range(0, 100, 1, 6).write.parquet(f"{src}/six")
+    one, six = spark.read.parquet(f"{src}/one"), spark.read.parquet(f"{src}/six")
+    assert ST._spread(one).rdd.getNumPartitions() == ST.LOG_FILES
+    assert ST._spread(six) is six
+    loc = scratch_path(spark, "log-count")
+    TP.publish(ST._spread(six), None, ["id"], "t", loc, offset_col="id")
+    assert log_file_count(spark, loc, "t") == 6
+    assert ST._per_trigger(spark, loc, "t") == 2
+    assert log_file_count(spark, loc, "missing") == 0
