@@ -22,7 +22,8 @@ def test_query_matches_oracle(spark, con, name):
     assert r["match"], r
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
+@pytest.mark.parametrize("name", sorted(
+    n for n in set(QUERIES) - set(ORACLES) if n != "pipeline" and not n.startswith("op")))
 def test_query_without_oracle_runs(spark, name):
     df = QUERIES[name](spark, SF_SMALL)
     assert df.count() >= 0
@@ -36,4 +37,5 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_sql_or_is_known_rows_only():
-    assert set(QUERIES) - set(ORACLES) == {"stream_progress"}
+    own = {n for n in QUERIES if n != "pipeline" and not n.startswith("op")}
+    assert own - set(ORACLES) == {"stream_progress"}
