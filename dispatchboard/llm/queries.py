@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dispatchboard.llm import exact, mixing, packing, sharding, simhash
+from dispatchboard.llm import exact, licenses, mixing, packing, sharding, simhash, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,10 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("targets")[0].alias("target"), "taken")
 
 
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(_table(spark, sf_dir, "documents")).drop("at")
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -42,14 +46,18 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(_table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op4_packing, op5_simhash, op6_exact_dedup,
-                                   op9_sharding)}
+QUERIES = {f.__name__: f for f in (op1_mixing, op3_licenses, op4_packing, op5_simhash,
+                                   op6_exact_dedup, op8_toxicity, op9_sharding)}
 
 ORACLES = {
     "op6_exact_dedup": """

@@ -1,0 +1,62 @@
+import zlib
+
+import numpy as np
+import pytest
+
+from dispatchboard.llm import queries, toxicity
+from tests.conftest import SF_ORACLE
+from tests.llm.cases import DOCS, docs_frame, empty_frame, from_table
+
+SF = "/root/testdata/sf0.1"
+
+
+@pytest.fixture(scope="module")
+def scores(spark):
+    return queries.op8_toxicity(spark, SF).toPandas()
+
+
+def test_held_out_labels_are_found(spark, scores):
+    labels = from_table(spark, SF, "labels").toPandas()
+    fold = scores["doc_id"].map(lambda d: zlib.crc32(str(d).encode()) % 5 == 0)
+    assert (scores["held_out"] == fold).all() and len(scores) == from_table(spark, SF).count()
+    assert scores["score"].between(0, 1).all()
+    assert (scores["predicted"] == (scores["score"] >= 0.5)).all()
+    held = scores[scores["held_out"]].merge(labels, on="doc_id")
+    hit = (held["predicted"] == 1) & (held["toxic"] == 1)
+    assert hit.sum() >= 0.9 * held["toxic"].sum()
+    assert hit.sum() >= 0.9 * held["predicted"].sum()
+
+
+def test_held_out_labels_change_nothing(spark):
+    from pyspark.sql import functions as F
+    docs, labels = from_table(spark, SF_ORACLE), from_table(spark, SF_ORACLE, "labels")
+    flipped = labels.withColumn("toxic", F.when(toxicity.held_out(F.col("doc_id")), 1 - F.col("toxic"))
+                                .otherwise(F.col("toxic")))
+    a, b = toxicity.train(docs, labels), toxicity.train(docs, flipped)
+    assert a.weights == b.weights and a.bias == b.bias and a.weights
+
+
+def test_negative_corrected_risk_is_followed_upwards():
+    # Positives and unlabelled texts that a wide model could tell apart by heart.
+    rng = np.random.default_rng(0)
+    rows, features = np.arange(60), np.arange(60)
+    positive = np.arange(60) < 20
+    weights, bias = toxicity.non_negative_pu(rows, features, np.ones(60), positive, 60, prior=0.9)
+    odds = weights + bias
+    loss = np.logaddexp(0, odds)
+    assert loss[~positive].mean() - 0.9 * loss[positive].mean() > -1.0
+    assert odds[positive].min() > 0 and rng is not None
+
+
+def test_cases(spark):
+    labels = spark.createDataFrame([(1, 1), (1, 0), (6, None), (None, 1)], "doc_id long, toxic int")
+    rows = toxicity.scored(docs_frame(spark), labels).collect()
+    assert len(rows) == len(DOCS) and all(0 <= r["score"] <= 1 for r in rows)
+    assert all(r["held_out"] for r in rows if r["doc_id"] is None)
+    none = toxicity.scored(docs_frame(spark), labels.where("false")).collect()
+    assert {r["score"] for r in none} == {0.0}
+    assert toxicity.scored(empty_frame(spark), labels).collect() == []
+    model = toxicity.Model({"hate": 5.0}, -1.0)
+    kept = toxicity.drop_toxic(docs_frame(spark, [(1, "hate hate hate", "en", "a", 1), (2, None, "en", "a", 1)]),
+                               labels, model)
+    assert [r["doc_id"] for r in kept.collect()] == [2] and kept.columns == docs_frame(spark).columns
