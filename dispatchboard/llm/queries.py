@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dispatchboard.llm import exact, licenses, mixing, packing, sharding, simhash, toxicity
+from dispatchboard.llm import exact, lattice, licenses, mixing, packing, sharding, simhash, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,10 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("targets")[0].alias("target"), "taken")
 
 
+def op2_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.license_scan(_table(spark, sf_dir, "documents")).drop("at")
 
@@ -56,8 +60,8 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
-QUERIES = {f.__name__: f for f in (op1_mixing, op3_licenses, op4_packing, op5_simhash,
-                                   op6_exact_dedup, op8_toxicity, op9_sharding)}
+QUERIES = {f.__name__: f for f in (op1_mixing, op2_lattice, op3_licenses, op4_packing,
+                                   op5_simhash, op6_exact_dedup, op8_toxicity, op9_sharding)}
 
 ORACLES = {
     "op6_exact_dedup": """
