@@ -23,7 +23,8 @@ from __future__ import annotations
 from collections import defaultdict, deque
 from collections.abc import Sequence
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -182,16 +183,17 @@ def _mixed(rows: DataFrame, at: str, sources, weights, share, most, seed) -> Dat
     schema = T.StructType([*(f for f in full.schema.fields if f.name in out),
                            T.StructField("copies", T.LongType())])
 
-    def choose(some: pd.DataFrame) -> pd.DataFrame:
+    def choose(some: pa.Table) -> pa.Table:
         """Documents in drawn order, each that still fits."""
-        some = some.sort_values(["draw", "size"], kind="stable")
-        room, extra = int(some["room"].iloc[0]), []
-        for n in some["size"].tolist():
+        some = some.take(pc.sort_indices(some, [("draw", "ascending"), ("size", "ascending")]))
+        room, extra = some["room"][0].as_py(), []
+        for n in some["size"].to_pylist():
             extra.append(int(0 < n <= room))
             room -= n * extra[-1]
-        return some.assign(copies=some["passes"] + extra)[schema.names]
+        copies = pc.add(some["passes"], pa.array(extra, pa.int64()))
+        return some.append_column("copies", copies).select(schema.names)
 
-    split = full.where(edge).groupBy("sources", "bucket").applyInPandas(choose, schema)
+    split = full.where(edge).groupBy("sources", "bucket").applyInArrow(choose, schema)
     return (plain.select(*out).union(split.select(*out))
             .withColumn("taken", F.col("copies") * F.col("size")))
 

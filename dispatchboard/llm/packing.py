@@ -23,7 +23,8 @@ from collections.abc import Callable, Iterator
 from unicodedata import is_normalized
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -93,28 +94,32 @@ def tokenized_pieces(docs: DataFrame, tokenizer: str, sequence: int = SEQUENCE_T
               T.StructField("piece", T.IntegerType()), T.StructField("start", T.LongType()),
               T.StructField("length", T.LongType()), T.StructField("ids_crc32", T.LongType()),
               T.StructField("place", T.LongType())]
+    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
     if with_ids:
+        kinds.append(pa.binary())
         fields.append(T.StructField("ids", T.BinaryType()))
     last = np.array([end], "<u4").tobytes()
     step = 4 * sequence
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _encoder(tokenizer)
         for batch in batches:
-            out = []
-            for doc_id, text, place in zip(batch["doc_id"], batch["text"], batch["place"]):
+            owner, columns = [], [[] for _ in fields[1:]]
+            for i, (text, place) in enumerate(zip(batch["text"].to_pylist(), batch["place"].to_pylist())):
                 ids = encode((text or "").encode("utf-8", "replace")) + last
                 for piece, k in enumerate(range(0, len(ids), step)):
                     part = ids[k:k + step]
-                    row = (doc_id, piece, k // 4, len(part) // 4, zlib.crc32(part), place)
-                    out.append((*row, part) if with_ids else row)
-            made = pd.DataFrame(out, columns=[f.name for f in fields])
-            made["doc_id"] = made["doc_id"].astype(batch["doc_id"].dtype)
-            yield made
+                    owner.append(i)
+                    for column, value in zip(columns, (piece, k // 4, len(part) // 4, zlib.crc32(part),
+                                                       place, part)):
+                        column.append(value)
+            made = [pa.array(c, t) for c, t in zip(columns, kinds)]
+            yield pa.RecordBatch.from_arrays([batch["doc_id"].take(pa.array(owner, pa.int64())), *made],
+                                             [f.name for f in fields])
 
     return (rows.select("doc_id", F.col("text").cast("string").alias("text"),
                         F.xxhash64(at).alias("place"))
-            .mapInPandas(cut, T.StructType(fields)))
+            .mapInArrow(cut, T.StructType(fields)))
 
 
 def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
@@ -162,15 +167,15 @@ def pack(pieces: DataFrame, sequence: int = SEQUENCE_TOKENS, group: int = GROUP_
     out = T.StructType([*kept, T.StructField("sequence_id", T.LongType()),
                         T.StructField("offset", T.LongType())])
 
-    def placed(key: tuple, some: pd.DataFrame) -> pd.DataFrame:
-        some = some.sort_values(["length", "place", "piece"], ascending=[False, True, True],
-                                kind="stable")
+    def placed(key: tuple, some: pa.Table) -> pa.Table:
+        some = some.take(pc.sort_indices(some, [("length", "descending"), ("place", "ascending"),
+                                                ("piece", "ascending")]))
         where, offset = sum_of_squares(some["length"].to_numpy(), sequence)
-        some = some.assign(sequence_id=where + (int(key[0]) << 32), offset=offset)
-        return some[out.names]
+        return (some.append_column("sequence_id", pa.array(where + (key[0].as_py() << 32)))
+                .append_column("offset", pa.array(offset)).select(out.names))
 
     dealt = F.pmod(F.xxhash64("place", "piece"), F.lit(groups))
-    return pieces.groupBy(dealt.alias("group")).applyInPandas(placed, out)
+    return pieces.groupBy(dealt.alias("group")).applyInArrow(placed, out)
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, sequence: int = SEQUENCE_TOKENS,

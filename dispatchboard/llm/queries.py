@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dispatchboard.llm import exact, lattice, licenses, mixing, packing, sharding, simhash, toxicity
+from dispatchboard.llm import (exact, language, lattice, licenses, mixing, packing, sharding,
+                                simhash, toxicity, warc)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,6 +51,10 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.fused(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "documents"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -60,8 +65,14 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(_table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES = {f.__name__: f for f in (op1_mixing, op2_lattice, op3_licenses, op4_packing,
-                                   op5_simhash, op6_exact_dedup, op8_toxicity, op9_sharding)}
+                                   op5_simhash, op6_exact_dedup, op7_language, op8_toxicity,
+                                   op9_sharding, op10_warc)}
 
 ORACLES = {
     "op6_exact_dedup": """
@@ -69,4 +80,13 @@ ORACLES = {
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = max(doc_id) OVER w AS kept, sha256(text) AS text_sha256
         FROM t WINDOW w AS (PARTITION BY text)""",
+    "op10_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS size
+                   FROM pages),
+        q AS (SELECT *, size >= 100 AND page_id > min(page_id) OVER w AS again,
+                     min(page_id) OVER w AS first FROM p WINDOW w AS (PARTITION BY html))
+        SELECT page_id, size AS payload_bytes, sha256(html) AS payload_digest,
+               CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN again THEN first END AS refers_to
+        FROM q""",
 }
