@@ -105,7 +105,8 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -> Da
     pairs instead of the pairs."""
     all_ = variants(prints, max_bits)
     shared = all_.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-    parts = (all_.join(shared, "key")
+    # Always by a merge join, which can split a hot key: the same plan at every size.
+    parts = (all_.join(shared.hint("merge"), "key")
              .withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
              .withColumn("own", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
