@@ -42,7 +42,7 @@ TOPIC_ARRIVALS = f"{STATION_TOPIC_STEM}.arrivals.v1"
 TOPIC_TURNSTILE = f"{STATION_TOPIC_STEM}.turnstile.v1"
 TOPIC_WEATHER = f"{TRANSIT_PREFIX}.weather.v1"
 # Pattern the board subscribes to for arrivals.
-ARRIVALS_TOPIC_PATTERN = f"^{STATION_TOPIC_STEM}.arrivals."
+ARRIVALS_TOPIC_PATTERN = f"^{STATION_TOPIC_STEM}.arrivals.*"
 # ---------------------------------------------------------------------------
 
 # Full-precision timestamp text for JSON values (default JSON formats keep ms).
@@ -59,9 +59,10 @@ def as_text(c="value") -> Column:
     return _c(c).cast("string")
 
 
-# PRJ-2 JSON decode; expand with ``select("d.*")``
+# PRJ-2 JSON decode; expand with ``select("d.*")``. Times are read in any form
+# Spark's reader takes: T or a space, any precision, with or without a zone.
 def decode_json(c, schema: StructType) -> Column:
-    return F.from_json(as_text(c), schema, JSON_OPTIONS)
+    return F.from_json(as_text(c), schema)
 
 
 # PRJ-16 JSON encode of named columns (UTF-8 text; cast to binary for a topic)
@@ -161,6 +162,12 @@ def slot_of(direction) -> Column:
     return F.when(_c(direction) == "a", F.lit("a")).otherwise(F.lit("b"))
 
 
-# PRJ-20 a value that is present but did not decode
-def is_malformed(value, decoded, required: str) -> Column:
-    return _c(value).isNotNull() & _c(decoded).getField(required).isNull()
+# PRJ-20 a value that is present but isn't a JSON object. The text is parsed a
+# second time only where no wanted field was found in it.
+def is_malformed(value, decoded, fields) -> Column:
+    empty = F.lit(True)
+    for f in fields:
+        empty = empty & _c(decoded).getField(f).isNull()
+    text = as_text(value)
+    is_object = F.coalesce(F.get_json_object(text, "$").startswith("{"), F.lit(False))
+    return text.isNotNull() & F.when(empty, ~is_object).otherwise(F.lit(False))

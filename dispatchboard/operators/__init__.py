@@ -1,2 +1,2 @@
 """DataFrame -> DataFrame operators. None of them starts a job, except
-``sized_broadcast``, which runs one bounded count to prove a size limit."""
+``neighbours``, which checkpoints its sliced rows."""

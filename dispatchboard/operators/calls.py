@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dispatchboard.operators.keyed import distinct_calls, sized_broadcast
+from dispatchboard.operators.keyed import distinct_calls
 
 TIME_COL = "call_date_time"
 TYPE_COL = "original_crime_type_name"
@@ -142,10 +142,9 @@ def disposition_lookup(codes: DataFrame) -> DataFrame:
 
 # JOI-1
 def prepared_codes(codes: DataFrame) -> DataFrame:
-    """The code table as the join's right side: renamed (PRJ-4) and marked
-    for broadcast once its size is proven small. Prepare it once for a
-    stream, not on every trigger."""
-    return sized_broadcast(disposition_lookup(codes))
+    """The code table as the join's right side, renamed (PRJ-4). Spark
+    broadcasts it where its real size is below the session's threshold."""
+    return disposition_lookup(codes)
 
 
 def join_disposition(counts: DataFrame, lookup: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Deduplication, latest-row-per-key and bounded broadcast.
+"""Deduplication, latest row per key, neighbours along an order.
 
 ``latest_by`` and ``first_by`` are single hash aggregates with ``max_by`` /
 ``min_by`` over a struct ordering. Spark runs them with a map-side partial
@@ -13,15 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-
-# Bounds under which a lookup side may be broadcast. A larger lookup is
-# joined by shuffle instead; nothing is dropped either way.
-BROADCAST_MAX_ROWS = 1_000_000
-BROADCAST_MAX_BYTES = 64 << 20
-# Rows under which a whole input may be ordered inside one task (one window
-# partition per group); a larger input is cut into range slices.
-ONE_TASK_MAX_ROWS = 100_000
-
+from pyspark.sql.types import NumericType
 
 def _cols(cs) -> list[Column]:
     if isinstance(cs, (str, Column)):
@@ -58,6 +50,9 @@ def latest_by(df: DataFrame, keys, order, payload: Sequence[str] | None = None
     if payload is None:
         payload = [c for c in df.columns if c not in key_names]
     ordering = F.struct(*order_cols) if len(order_cols) > 1 else order_cols[0]
+    if len(payload) == 1 and isinstance(df.schema[payload[0]].dataType, NumericType):
+        # A fixed-width value is updated in place, so Spark aggregates by hash.
+        return df.groupBy(*key_names).agg(F.max_by(payload[0], ordering).alias(payload[0]))
     latest = F.max_by(F.struct(*[F.col(c) for c in payload]), ordering)
     return (df.groupBy(*key_names).agg(latest.alias("_latest"))
             .select(*key_names, *[F.col("_latest")[c].alias(c) for c in payload]))
@@ -81,8 +76,7 @@ def first_by(df: DataFrame, keys, order, payload: Sequence[str] | None = None
 # WIN-2 building block
 def neighbours(df: DataFrame, group: Sequence[str], order: Sequence[str], value: str,
                prev_col: str = "prev", next_col: str = "next",
-               slices: int | None = None,
-               one_task_max_rows: int = ONE_TASK_MAX_ROWS) -> DataFrame:
+               slices: int | None = None) -> DataFrame:
     """Add the previous and next ``value`` within each ``group`` along
     ``order`` (unique within a group): ``lag``/``lead`` over a window
     partitioned by ``group``, without gathering any group in one task.
@@ -98,20 +92,10 @@ def neighbours(df: DataFrame, group: Sequence[str], order: Sequence[str], value:
     they are read twice (rows and summary). Range bounds come from a sample,
     so two evaluations of the range shuffle could cut different slices; the
     checkpoint fixes one cut, and survives lost executors.
-
-    An input proven to hold at most ``one_task_max_rows`` rows (a check that
-    stops reading after that many) takes the plain window instead: then no
-    group can be large. The input is checkpointed first, so the check and
-    the work read one copy instead of computing the input twice.
     """
     from dispatchboard.session import checkpoint_root
     checkpoint_root(df.sparkSession)
     group, order = list(group), list(order)
-    df = df.checkpoint()
-    if df.limit(one_task_max_rows + 1).count() <= one_task_max_rows:
-        w = Window.partitionBy(*group).orderBy(*order)
-        return df.select("*", F.lag(value).over(w).alias(prev_col),
-                         F.lead(value).over(w).alias(next_col))
     n = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sliced = (df.repartitionByRange(n, *[F.col(c) for c in group + order])
               .withColumn("_slice", F.spark_partition_id()))
@@ -137,34 +121,3 @@ def neighbours(df: DataFrame, group: Sequence[str], order: Sequence[str], value:
         *df.columns,
         F.when(F.col("_first"), F.col("_before")).otherwise(F.col("_lag")).alias(prev_col),
         F.when(F.col("_last"), F.col("_after")).otherwise(F.col("_lead")).alias(next_col))
-
-
-def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                    max_bytes: int = BROADCAST_MAX_BYTES,
-                    materialize: bool = False) -> DataFrame:
-    """Mark ``df`` for broadcast only when it provably has at most
-    ``max_rows`` rows and about ``max_bytes`` of data; otherwise return it
-    unchanged for a shuffle join.
-
-    The proof is one aggregate over ``limit(max_rows + 1)``: it stops reading
-    once the row bound is passed, counts the rows and sums their JSON size
-    (a close stand-in for their in-memory size). A streaming frame is never
-    marked (its size is unbounded by definition).
-
-    ``materialize`` checkpoints ``df`` first, for a side that is itself the
-    result of a shuffle (an aggregate): the check and the join then read one
-    copy instead of computing it twice.
-    """
-    if df.isStreaming:
-        return df
-    if materialize:
-        from dispatchboard.session import checkpoint_root
-        checkpoint_root(df.sparkSession)
-        df = df.checkpoint()
-    row = (df.limit(max_rows + 1)
-           .agg(F.count(F.lit(1)).alias("n"),
-                F.sum(F.octet_length(F.to_json(F.struct(*[F.col(c) for c in df.columns]))))
-                .alias("b"))
-           .first())
-    n, b = row["n"], row["b"] or 0
-    return F.broadcast(df) if n <= max_rows and b <= max_bytes else df

@@ -3,13 +3,15 @@ weather, and the assembled status board.
 
 Every function maps DataFrames to a DataFrame with no user state code, so the
 aggregates below run unchanged on a stream (complete or update mode) and on a
-table. Lookups that are bounded by the size of the network (stations, lines)
-are broadcast behind ``sized_broadcast``; everything that grows with the event
-volume is aggregated with map-side partial aggregation before any shuffle.
+table. Everything that grows with the event volume is aggregated with map-side
+partial aggregation before any shuffle; lookups (stations, codes) are joined
+without a hint, so Spark broadcasts those whose real size is below the
+session's threshold and shuffles the others.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -26,8 +28,7 @@ from dispatchboard.functions.scalars import (DEFAULT_TEMPERATURE,
                                              line_color, or_placeholder,
                                              round_half_even, slot_of, spaced,
                                              title_words, truncate_int)
-from dispatchboard.operators.keyed import (first_by, latest_by, neighbours,
-                                          sized_broadcast)
+from dispatchboard.operators.keyed import first_by, latest_by, neighbours
 
 # Stop rows arrive in the order of their increasing id (incremental pull), so
 # the last write per station is the row with the greatest stop_id.
@@ -63,15 +64,14 @@ def stops_on_line(stops: DataFrame, line: str) -> DataFrame:
 
 
 # DED-3 + WIN-2 + SRT-3
-def line_topology(stops: DataFrame, one_task_max_rows: int | None = None) -> DataFrame:
+def line_topology(stops: DataFrame) -> DataFrame:
     """Previous and next station along each line.
 
     Stops of a line are those with its flag set. Within a line each station
     name counts once, at its first stop in (order, stop_id); that stop gives
     the name its station id. Neighbours along (order, stop_id) come from
-    ``neighbours``, which cuts each line into range slices unless the
-    (line, name) rows are proven few, so a line of any length is spread over
-    many tasks.
+    ``neighbours``, which cuts each line into range slices, so a line of any
+    length is spread over many tasks.
     """
     flags = F.array_compact(F.array(*[F.when(F.col(f), F.lit(f)) for f in LINE_FLAGS]))
     per_line = stops.select("stop_id", "station_id", "station_name", "station_order",
@@ -79,9 +79,8 @@ def line_topology(stops: DataFrame, one_task_max_rows: int | None = None) -> Dat
     firsts = first_by(per_line, ["line", "station_name"],
                       ["station_order", "stop_id"],
                       ["station_id", "station_order", "stop_id"])
-    bound = {} if one_task_max_rows is None else {"one_task_max_rows": one_task_max_rows}
     linked = neighbours(firsts, ["line"], ["station_order", "stop_id"], "station_id",
-                        "prev_station_id", "next_station_id", **bound)
+                        "prev_station_id", "next_station_id")
     return linked.select("line", "station_name", "station_id", "station_order",
                          "prev_station_id", "next_station_id")
 
@@ -144,8 +143,7 @@ def slot_occupancy(arrivals: DataFrame, stations: DataFrame,
     last_in = {s: F.max_by(who, F.when(F.col("slot") == s, order)) for s in ("a", "b")}
     slots = (ev.groupBy("line", "station_id")
              .agg(last_in["a"].alias("_a"), last_in["b"].alias("_b")))
-    known = sized_broadcast(stations.select("line", "station_id").distinct(),
-                            materialize=True)
+    known = stations.select("line", "station_id").distinct()
     return (slots.join(known, ["line", "station_id"])
             .select("line", "station_id",
                     F.col("_a.train_id").alias("dir_a"),
@@ -157,7 +155,7 @@ def slot_occupancy(arrivals: DataFrame, stations: DataFrame,
 # JOI-2: arrivals whose (line, station) is known to the board (a semi join:
 # each arrival at most once, however the station list is keyed).
 def arrivals_at_known_stations(arrivals: DataFrame, stations: DataFrame) -> DataFrame:
-    known = sized_broadcast(stations.select("line", "station_id"), materialize=True)
+    known = stations.select("line", "station_id")
     return arrivals.join(known, ["line", "station_id"], "left_semi")
 
 
@@ -228,8 +226,8 @@ def expected_entries(steps: DataFrame, seed: DataFrame, curve: DataFrame,
         raise ValueError(f"unknown day_type {day_type!r}")
     seed_cols = seed.select("station_id", "avg_weekday_rides", "avg_saturday_rides",
                             "avg_sunday-holiday_rides")
-    curve_cols = sized_broadcast(curve.select(F.col("hour").alias("_hour"), "ridership_ratio"))
-    joined = (steps.join(sized_broadcast(seed_cols), "station_id")
+    curve_cols = curve.select(F.col("hour").alias("_hour"), "ridership_ratio")
+    joined = (steps.join(seed_cols, "station_id")
               .join(curve_cols, hour_of_day(time_col) == F.col("_hour")))
     riders = round_half_even(rides) * F.col("ridership_ratio") / F.lit(float(step_seconds))
     return joined.select(
@@ -242,15 +240,17 @@ def merge_topics(*feeds: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), feeds)
 
 
-# PRJ-9: which handler a message goes to, by topic name.
-def route_by_topic(df: DataFrame, topic_col: str = "topic") -> DataFrame:
-    t = F.col(topic_col)
-    route = (F.when(t == TOPIC_WEATHER, F.lit("weather"))
-             .when(t.contains(STATION_TOPIC_STEM) & (t == TOPIC_STATIONS_TABLE),
-                   F.lit("station"))
-             .when(t.contains(STATION_TOPIC_STEM) & (t == TOPIC_ARRIVALS),
-                   F.lit("arrival"))
-             .when(t.contains(STATION_TOPIC_STEM), F.lit("unhandled"))
-             .when(t == TOPIC_SUMMARY, F.lit("summary"))
-             .otherwise(F.lit("ignored")))
-    return df.withColumn("route", route)
+# PRJ-9: which handler a message goes to, by topic name. ``names`` are the
+# deployment's own topics where they differ from the defaults.
+DEFAULT_TOPICS = {"weather": TOPIC_WEATHER, "station": TOPIC_STATIONS_TABLE,
+                  "arrival": TOPIC_ARRIVALS, "summary": TOPIC_SUMMARY}
+
+
+def route_by_topic(df: DataFrame, topic_col: str = "topic",
+                   names: Mapping[str, str] | None = None) -> DataFrame:
+    t, own = F.col(topic_col), {**DEFAULT_TOPICS, **(names or {})}
+    route = F.lit(None).cast("string")
+    for handler, name in own.items():
+        route = F.when(t == name, F.lit(handler)).otherwise(route)
+    rest = F.when(t.contains(STATION_TOPIC_STEM), F.lit("unhandled")).otherwise(F.lit("ignored"))
+    return df.withColumn("route", F.coalesce(route, rest))

@@ -17,6 +17,7 @@ from dispatchboard.operators import calls as C
 from dispatchboard.operators import keyed as K
 from dispatchboard.operators import transit as T
 from dispatchboard.plans import fixtures as X
+from dispatchboard.sources.files import RIDERSHIP_CURVE_VALUES
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -199,9 +200,7 @@ def q_current_weather(spark, sf_dir):
     return T.current_weather(X.weather(spark, sf_dir))
 
 
-@register("status_board", _with(X.LINE_STATIONS_SQL, X.ARRIVALS_SQL, SLOTS_SQL,
-                                X.TURNSTILE_SQL, ENTRIES_SQL, X.WEATHER_SQL,
-                                WEATHER_NOW_SQL) + """
+STATUS_BOARD_SQL = """
 SELECT ls.line,
        CASE ls.line WHEN 'blue' THEN '#1E90FF' WHEN 'red' THEN '#DC143C'
                     WHEN 'green' THEN '#32CD32' ELSE '0xFFFFFF' END AS color_code,
@@ -214,7 +213,11 @@ LEFT JOIN slots s ON ls.line = s.line AND ls.station_id = s.station_id
 LEFT JOIN entries e ON ls.station_id = e.station_id
 CROSS JOIN weather_now wn
 ORDER BY CASE ls.line WHEN 'blue' THEN 0 WHEN 'green' THEN 1 WHEN 'red' THEN 2 ELSE 3 END,
-         ls.station_order, ls.station_id""")
+         ls.station_order, ls.station_id"""
+
+
+@register("status_board", _with(X.LINE_STATIONS_SQL, X.ARRIVALS_SQL, SLOTS_SQL, X.TURNSTILE_SQL,
+                                ENTRIES_SQL, X.WEATHER_SQL, WEATHER_NOW_SQL) + STATUS_BOARD_SQL)
 def q_status_board(spark, sf_dir):
     # Used three times below: computed once, lineage cut in the shared
     # checkpoint folder, so the stop table is scanned once.
@@ -228,9 +231,7 @@ def q_status_board(spark, sf_dir):
 
 
 # ------------------------------------------------ simulator model, scalars ----
-CURVE_VALUES_SQL = ", ".join(f"({h}, {r})" for h, r in
-                             __import__("dispatchboard.sources.files", fromlist=["x"])
-                             .RIDERSHIP_CURVE_VALUES)
+CURVE_VALUES_SQL = ", ".join(f"({h}, {r})" for h, r in RIDERSHIP_CURVE_VALUES)
 
 
 @register("expected_entries", _with("""seed AS (
@@ -298,9 +299,6 @@ def q_calendar_parts(spark, sf_dir):
 
 
 # ------------------------------------------------------------ sources ----
-CALLS_LOG_SQL = X.CALLS_SQL
-
-
 @register("calls_json_decode", _with(X.CALLS_SQL) + """
 SELECT crime_id, original_crime_type_name, call_date_time, disposition FROM calls""")
 def q_calls_json_decode(spark, sf_dir):
@@ -333,30 +331,27 @@ def q_calls_bad_records(spark, sf_dir):
     corrupt = F.coalesce(F.col("original_crime_type_name") == "error", F.lit(False))
     wire = c.select("offset", F.when(corrupt, F.concat(F.lit("<"), body))
                     .otherwise(body).cast("binary").alias("value"))
-    tagged = tag_malformed(wire, CALL, "crime_id", fields=["crime_id"])
+    tagged = tag_malformed(wire, CALL, fields=["crime_id"])
     return tagged.select("offset", F.when(~F.col("_bad"), F.col("_dec.crime_id"))
                          .alias("crime_id"), F.col("_bad").alias("quarantined"))
 
 
 @register("incremental_pull", """
 SELECT * FROM orders
-WHERE o_orderdate > COALESCE((SELECT max(o_orderdate) FROM orders
-                              WHERE o_orderdate < TIMESTAMP '1998-01-01'),
-                             TIMESTAMP '0001-01-01')
-ORDER BY o_orderdate""")
+WHERE o_orderkey > COALESCE((SELECT max(o_orderkey) FROM orders
+                             WHERE o_orderkey <= (SELECT max(o_orderkey) // 2 FROM orders)), 0)
+ORDER BY o_orderkey""")
 def q_incremental_pull(spark, sf_dir):
+    """Two polls of a growing table: the first sees the older half of the
+    orders, the second returns what was added since."""
     from dispatchboard.session import scratch_path
-    from dispatchboard.sources.incremental import commit_mark, incremental_pull, read_mark
+    from dispatchboard.sources.incremental import poll, upper_bound
     orders = X.table(spark, sf_dir, "orders")
-    store = scratch_path(spark, "marks")
-    # Orders only ever get later dates, so the date is the increasing column.
-    # The previous poll saw the orders placed before 1998; its mark is stored.
-    before = orders.where(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz"))
-    seen = incremental_pull(before, "o_orderdate", read_mark(spark, store, "orders"),
-                            ordered=False)
-    commit_mark(seen, "o_orderdate", store, "orders")
-    return incremental_pull(orders, "o_orderdate", read_mark(spark, store, "orders"),
-                            tiebreak=["o_orderkey"])
+    store, pulled = scratch_path(spark, "marks"), []
+    half = (upper_bound(orders, "o_orderkey") or 0) // 2
+    for table in (orders.where(F.col("o_orderkey") <= half), orders):
+        poll(table, "o_orderkey", store, "orders", lambda new, last: pulled.append(new))
+    return pulled[-1]
 
 
 # Event types published as the board's feeds (SET-1 input).
@@ -403,8 +398,12 @@ SELECT topic,
        count(*) AS messages
 FROM m GROUP BY ALL""")
 def q_topic_route(spark, sf_dir):
-    merged = T.merge_topics(*_feeds(spark, sf_dir))
-    return (T.route_by_topic(merged).groupBy("topic", "route")
+    # All feeds from one scan: each message's topic and value by its kind.
+    e = X.table(spark, sf_dir, "events")
+    topic = F.lit(None).cast("string")
+    for kind, name in FEED_TOPICS.items():
+        topic = F.when(F.col("event_type") == kind, F.lit(name)).otherwise(topic)
+    return (T.route_by_topic(e.select(topic.alias("topic"))).groupBy("topic", "route")
             .agg(F.count(F.lit(1)).alias("messages")))
 
 
@@ -475,12 +474,39 @@ WHERE window_end <= (SELECT make_timestamp(
                               CAST(floor(epoch_us(max(call_date_time)) / 1000) AS BIGINT) * 1000
                               - 3600000000)
                      FROM calls)""")(STREAMS.stream_bounded_counts)
-register("stream_progress")(STREAMS.stream_progress)
+register("stream_progress", """
+SELECT q.query, (SELECT count(*) FROM events) AS num_input_rows
+FROM (VALUES ('crime_type_count'), ('crime_type_count_described')) q(query)""")(STREAMS.stream_progress)
 register("stream_slots", ORACLES["slot_occupancy"])(STREAMS.stream_slots)
 register("stream_upsert", ORACLES["station_table"])(STREAMS.stream_upsert)
+register("stream_changelog", _with(X.STATION_RECORDS_SQL) + """
+SELECT stop_id, station_id, station_name, station_order, line FROM records""")(
+    STREAMS.stream_changelog)
 register("stream_entries", ORACLES["entries_stream_count"])(STREAMS.stream_entries)
 register("stream_board", ORACLES["status_board"])(STREAMS.stream_board)
+register("stream_board_resumed", ORACLES["status_board"])(STREAMS.stream_board_resumed)
+
+
+def _feed_sql(sql: str) -> str:
+    """A feed's CTE without every fifth message (offset 2, 7, ...)."""
+    name, body = sql.split(" AS (", 1)
+    return f'{name} AS (SELECT * FROM ({body} WHERE "offset" % 5 <> 2)'
+
+
+register("stream_board_bad_records", _with(
+    X.LINE_STATIONS_SQL, _feed_sql(X.ARRIVALS_SQL), SLOTS_SQL, _feed_sql(X.TURNSTILE_SQL),
+    ENTRIES_SQL, _feed_sql(X.WEATHER_SQL), WEATHER_NOW_SQL)
+    + STATUS_BOARD_SQL)(STREAMS.stream_board_bad_records)
 register("stream_entries_table", ORACLES["entries_table_count"])(STREAMS.stream_entries_table)
+register("stream_quarantine", _with(X.CALLS_SQL) + """
+SELECT "offset" FROM calls WHERE "offset" % 7 = 3""")(STREAMS.stream_quarantine)
+register("stream_latest", """
+SELECT event_id FROM events WHERE event_type NOT IN ('view', 'click')""")(STREAMS.stream_latest)
+register("calls_json_formats", _COUNTS_ONLY.replace("d AS (", """mixed AS (
+  SELECT * REPLACE (CASE WHEN "offset" % 4 = 3 THEN date_trunc('milliseconds', call_date_time)
+                         ELSE call_date_time END AS call_date_time) FROM calls),
+d AS (""", 1).replace("disposition FROM calls", "disposition FROM mixed", 1))(
+    STREAMS.calls_json_formats)
 
 
 # --------------------------------------------------- files and publishing ----

@@ -12,28 +12,16 @@ from dispatchboard.functions import scalars as S
 from dispatchboard.operators import calls as C
 from dispatchboard.operators import transit as T
 from dispatchboard.plans import fixtures as X
-from dispatchboard.schemas import ARRIVAL, STOPS, TURNSTILE
+from dispatchboard.schemas import ARRIVAL, STATION, STOPS, TURNSTILE
 from dispatchboard.session import scratch_path
-from dispatchboard.sinks.topics import publish
-from dispatchboard.sources.topics import log_file_count, read_topic
+from dispatchboard.sinks.topics import as_records, publish
+from dispatchboard.sources.topics import LOG_COLUMNS, read_topic
 from dispatchboard.streaming import apps, runner
+from dispatchboard.streaming.quarantine import split_malformed
 
-# Micro-batches per run over a published log: enough to carry state from
-# one trigger to the next, at any scale.
-LOG_FILES = 4
-
-
-def _spread(df: DataFrame) -> DataFrame:
-    """A table to publish as a log. Its own scan tasks write it (no shuffle);
-    only a table stored in fewer files than ``LOG_FILES`` (a small one) is
-    split round-robin, so a stream over it still runs several triggers."""
-    return df if len(df.inputFiles()) >= LOG_FILES else df.repartition(LOG_FILES)
-
-
-def _per_trigger(spark, location, topic=None, triggers=LOG_FILES) -> int:
-    """Files per trigger so that the published log is read in about
-    ``triggers`` micro-batches."""
-    return max(1, -(-log_file_count(spark, location, topic) // triggers))
+# Intake limit of the registered streams (STR-8): files of a log a trigger
+# takes. Logs are written by their table's own scan tasks.
+FILES_PER_TRIGGER = 1000
 
 
 def _log(spark: SparkSession, name: str) -> str:
@@ -43,14 +31,12 @@ def _log(spark: SparkSession, name: str) -> str:
 def publish_calls(spark, sf_dir, location) -> None:
     c = X.calls(spark, sf_dir).withColumn(
         "call_date_time", F.col("call_date_time").cast("timestamp"))
-    publish(_spread(c), None,
+    publish(c, None,
             ["crime_id", "original_crime_type_name", "call_date_time", "disposition"],
             S.TOPIC_CALLS, location, offset_col="offset", time_col="call_date_time")
 
 
-def call_stream(spark, location, max_files="auto") -> tuple[DataFrame, DataFrame]:
-    if max_files == "auto":
-        max_files = _per_trigger(spark, location, S.TOPIC_CALLS)
+def call_stream(spark, location, max_files=FILES_PER_TRIGGER) -> tuple[DataFrame, DataFrame]:
     return apps.call_stream(spark, location, max_files_per_trigger=max_files)
 
 
@@ -89,8 +75,83 @@ def stream_window_described(spark, sf_dir):
 
 
 def stream_progress(spark, sf_dir):
-    q1, q2 = stream_call_queries(spark, sf_dir)
-    return runner.progress_frame(spark, q1.query, q2.query)
+    """STR-5: rows each named query took in, summed over all its reports."""
+    reports = runner.ProgressTable(spark, f"{_log(spark, 'progress')}/reports")
+    try:
+        q1, q2 = stream_call_queries(spark, sf_dir)
+        rows = reports.wait(q1.query, q2.query).read()
+    finally:
+        reports.close()
+    own = rows.where(F.col("id").isin(str(q1.query.id), str(q2.query.id)))
+    return own.groupBy("query").agg(F.sum("num_input_rows").alias("num_input_rows"))
+
+
+# Message texts of the same call: time forms a feed may use, in turn, and
+# calls without an id.
+def publish_mixed_calls(spark, sf_dir, location) -> None:
+    t = F.col("call_date_time").cast("timestamp")
+    micros, millis = "HH:mm:ss.SSSSSS", "HH:mm:ss.SSS"
+    forms = [F.date_format(t, f"yyyy-MM-dd'T'{micros}"), F.date_format(t, f"yyyy-MM-dd {micros}"),
+             F.date_format(t, f"yyyy-MM-dd'T'{micros}XXX"), F.date_format(t, f"yyyy-MM-dd'T'{millis}")]
+    turn = F.col("offset") % len(forms)
+    text = F.lit(None).cast("string")
+    for i, form in enumerate(forms):
+        text = F.when(turn == i, form).otherwise(text)
+    c = X.calls(spark, sf_dir).select(
+        "offset", F.when(F.col("offset") % 3 > 0, F.col("crime_id")).alias("crime_id"),
+        "original_crime_type_name", text.alias("call_date_time"), "disposition")
+    publish(c, None, ["crime_id", "original_crime_type_name", "call_date_time", "disposition"],
+            S.TOPIC_CALLS, location, offset_col="offset")
+
+
+def calls_json_formats(spark, sf_dir):
+    """The flagship over messages as a feed writes them."""
+    loc = _log(spark, "calls")
+    publish_mixed_calls(spark, sf_dir, loc)
+    return _call_query(spark, sf_dir, False, loc).wait().read(spark)
+
+
+def stream_quarantine(spark, sf_dir):
+    """PRJ-20 as a stream: offsets of the messages that don't decode, kept
+    in the quarantine output while the others go on."""
+    from dispatchboard.streaming.quarantine import start_quarantine
+    loc = _log(spark, "calls")
+    c = X.calls(spark, sf_dir).withColumn("call_date_time", F.col("call_date_time").cast("timestamp"))
+    cols = ["crime_id", "original_crime_type_name", "call_date_time", "disposition"]
+    _broken(c, F.col("offset") % 7 == 3, None, cols, S.TOPIC_CALLS, loc, offset_col="offset")
+    _, bad = call_stream(spark, loc)
+    return start_quarantine(bad, "calls_quarantine", _log(spark, "quarantine"),
+                            "availableNow").wait().read(spark).select("offset")
+
+
+def _broken(df, where, key_cols, value_cols, topic, location, **options) -> None:
+    """Publish ``df`` with the messages chosen by ``where`` cut short."""
+    broken = F.coalesce(where, F.lit(False))
+    publish(df.where(~broken), key_cols, value_cols, topic, location, **options)
+    text = F.col("value").cast("string")
+    (as_records(df.where(broken), key_cols, value_cols, topic, **options)
+     .withColumn("value", F.substring(text, 2, 1 << 30).cast("binary"))
+     .write.mode("append").parquet(f"{location}/{topic}"))
+
+
+def stream_latest(spark, sf_dir):
+    """SRC-3: a stream from "latest" reads what is published after its start
+    and nothing before, also over a restart."""
+    loc, store = _log(spark, "latest"), f"{_log(spark, 'latest-start')}/start"
+    e = X.table(spark, sf_dir, "events").select("event_id", "event_type")
+    early = F.col("event_type").isin("view", "click")
+
+    def read():
+        return runner.start(
+            read_topic(spark, loc, "events", starting="latest", start_store=store).select("offset", "value"),
+            "latest", "append", path=out).wait()
+    out = _log(spark, "latest-out")
+    publish(e.where(early), None, ["event_id"], "events", loc, offset_col="event_id")
+    read()
+    publish(e.where(~early).withColumn("offset", F.col("event_id") + (1 << 40)), None, ["event_id"],
+            "events", loc, offset_col="offset")
+    return (read().read(spark).select(F.get_json_object(F.col("value").cast("string"), "$.event_id")
+                                      .cast("long").alias("event_id")))
 
 
 def stream_bounded_counts(spark, sf_dir):
@@ -110,11 +171,11 @@ def stream_slots(spark, sf_dir):
     """STR-6 as a stream: arrivals topic log -> slot aggregate, complete mode."""
     loc = _log(spark, "arrivals")
     a = X.arrivals(spark, sf_dir)
-    publish(_spread(a), [F.col("key").alias("timestamp")],
+    publish(a, [F.col("key").alias("timestamp")],
             [f.name for f in ARRIVAL.fields], S.TOPIC_ARRIVALS, loc,
             offset_col="offset", time_col="timestamp")
     log = read_topic(spark, loc, S.TOPIC_ARRIVALS,
-                     max_files_per_trigger=_per_trigger(spark, loc, S.TOPIC_ARRIVALS))
+                     max_files_per_trigger=FILES_PER_TRIGGER)
     arr = (log.select("timestamp", "offset",
                       F.from_json(F.col("value").cast("string"), ARRIVAL).alias("v"))
            .select("timestamp", "offset", "v.*"))
@@ -122,77 +183,117 @@ def stream_slots(spark, sf_dir):
     return runner.run(T.slot_occupancy(arr, stations), "slots", "complete")
 
 
-def stream_upsert(spark, sf_dir):
-    """SNK-3: raw stop rows stream into the keyed station table."""
-    loc = _log(spark, "stations")
+def publish_stops(spark, sf_dir, location) -> None:
     stops = X.stops(spark, sf_dir).withColumnRenamed("station_order", "order")
-    publish(_spread(stops), ["stop_id"], [f.name for f in STOPS.fields],
-            S.TOPIC_STATIONS_RAW, loc, offset_col="stop_id")
-    log = read_topic(spark, loc, S.TOPIC_STATIONS_RAW,
-                     max_files_per_trigger=_per_trigger(spark, loc, S.TOPIC_STATIONS_RAW))
-    raw = (log.select(F.from_json(F.col("value").cast("string"), STOPS).alias("v"))
-           .select("v.*").withColumnRenamed("order", "station_order"))
-    recs = T.station_records(raw)
-    changelog = scratch_path(spark, "station-changelog")
-    from dispatchboard.sinks.tables import KeyedTable
-    table = KeyedTable(spark, scratch_path(spark, "station-table"), ["station_id"],
-                       ["stop_id"], changelog=changelog)
-    q = (recs.writeStream.queryName("station_table").outputMode("append")
-         .option("checkpointLocation", f"{table.path}/_checkpoint")
-         .foreachBatch(lambda b, i: table.upsert(b, i)).trigger(availableNow=True).start())
+    publish(stops, ["stop_id"], [f.name for f in STOPS.fields], S.TOPIC_STATIONS_RAW, location,
+            offset_col="stop_id")
+
+
+def _stations(spark, sf_dir, changes: str):
+    """The station job over the raw stops; its changelog goes to ``changes``."""
+    loc = _log(spark, "stations")
+    publish_stops(spark, sf_dir, loc)
+    q, table = apps.start_station_job(spark, loc, _log(spark, "station-job"), changes, "availableNow",
+                                      max_files_per_trigger=FILES_PER_TRIGGER)
+    _ended(q)
+    return table
+
+
+def _ended(q) -> None:
     q.awaitTermination()
-    return table.read().select("station_id", "station_name", "station_order", "line")
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+
+
+def stream_upsert(spark, sf_dir):
+    """SNK-3: raw stop rows stream into the keyed station table."""
+    return (_stations(spark, sf_dir, _log(spark, "changes")).read()
+            .select("station_id", "station_name", "station_order", "line"))
+
+
+def stream_changelog(spark, sf_dir):
+    """SNK-3: every write to the station table, read back from its topic."""
+    changes = _log(spark, "changes")
+    _stations(spark, sf_dir, changes)
+    log = read_topic(spark, changes, S.TOPIC_STATIONS_TABLE, stream=False)
+    good, _ = split_malformed(log, STATION)
+    return good.select(F.col("offset").alias("stop_id"), "station_id", "station_name",
+                       F.col("order").alias("station_order"), "line")
 
 
 def stream_entries(spark, sf_dir):
     """AGG-2 in update mode, rows upserted by station (the summary table)."""
     loc = _log(spark, "turnstile")
     t = X.turnstile(spark, sf_dir)
-    publish(_spread(t), [F.col("key").alias("timestamp")],
+    publish(t, [F.col("key").alias("timestamp")],
             [f.name for f in TURNSTILE.fields], S.TOPIC_TURNSTILE, loc,
             offset_col="offset", time_col="timestamp")
     log = read_topic(spark, loc, S.TOPIC_TURNSTILE,
-                     max_files_per_trigger=_per_trigger(spark, loc, S.TOPIC_TURNSTILE))
+                     max_files_per_trigger=FILES_PER_TRIGGER)
     rows = (log.select(F.from_json(F.col("value").cast("string"), TURNSTILE).alias("v"))
             .select("v.*"))
     return runner.run(T.entries_per_station(rows), "turnstile_summary", "update",
                       keys=["station_id"])
 
 
+def _board_feeds(spark, sf_dir) -> dict:
+    """Rows, key, value columns and options of the feeds the board and its
+    summary query read, by topic."""
+    def timed(df, fields):
+        return (df, [F.col("key").alias("timestamp")], fields, dict(offset_col="offset", time_col="timestamp"))
+    return {S.TOPIC_ARRIVALS: timed(X.arrivals(spark, sf_dir), ARRIVAL.names),
+            S.TOPIC_WEATHER: timed(X.weather(spark, sf_dir), ["temperature", "status"]),
+            S.TOPIC_TURNSTILE: timed(X.turnstile(spark, sf_dir), TURNSTILE.names)}
+
+
+def _run_board(spark, root, state) -> DataFrame:
+    """Summary query and board over all that ``root`` holds, then stop."""
+    turn = apps.turnstile_stream(spark, root, max_files_per_trigger=FILES_PER_TRIGGER)
+    _ended(apps.start_summary_query(spark, turn, root, "availableNow", f"{state}/_summary_checkpoint"))
+    q, board = apps.start_board(spark, root, state, "availableNow", FILES_PER_TRIGGER)
+    _ended(q)
+    return board
+
+
 def stream_board(spark, sf_dir):
-    """The assembled board as a stream, from four published feeds."""
+    """The assembled board as a stream: stations from the station job's
+    changelog, arrivals, weather, and the summary query's counts."""
     root = _log(spark, "board")
-    # Feeds: station changelog (every record, stop-id order), arrivals,
-    # weather readings, and raw turnstile entries.
-    recs = T.station_records(X.stops(spark, sf_dir)).withColumnRenamed("station_order", "order")
-    publish(_spread(recs), ["station_id"],
-            ["station_id", "station_name", "order", "line"], S.TOPIC_STATIONS_TABLE, root,
-            offset_col="stop_id")
-    a = X.arrivals(spark, sf_dir)
-    publish(_spread(a), [F.col("key").alias("timestamp")],
-            [f.name for f in ARRIVAL.fields], S.TOPIC_ARRIVALS, root,
-            offset_col="offset", time_col="timestamp")
-    w = X.weather(spark, sf_dir)
-    publish(_spread(w), [F.col("key").alias("timestamp")],
-            ["temperature", "status"], S.TOPIC_WEATHER, root,
-            offset_col="offset", time_col="timestamp")
-    turn_root = _log(spark, "turnstile")
-    t = X.turnstile(spark, sf_dir)
-    publish(_spread(t), [F.col("key").alias("timestamp")],
-            [f.name for f in TURNSTILE.fields], S.TOPIC_TURNSTILE, turn_root,
-            offset_col="offset", time_col="timestamp")
-    turn = apps.turnstile_stream(spark, turn_root, max_files_per_trigger=_per_trigger(
-        spark, turn_root, S.TOPIC_TURNSTILE))
-    q = apps.start_summary_query(spark, turn, root, "availableNow")
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
-    q, state = apps.start_board(spark, root, scratch_path(spark, "board-state"),
-                                "availableNow", max_files_per_trigger=_per_trigger(spark, root))
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
-    return state.read()
+    _stations(spark, sf_dir, root)
+    for topic, (df, key, fields, options) in _board_feeds(spark, sf_dir).items():
+        publish(df, key, fields, topic, root, **options)
+    return _run_board(spark, root, _log(spark, "board-state")).read()
+
+
+def stream_board_resumed(spark, sf_dir):
+    """The board stopped after half of its feeds and started again on the
+    rest, taken in as one larger batch."""
+    root, state = _log(spark, "board"), _log(spark, "board-state")
+    _stations(spark, sf_dir, root)
+    cut = F.lit("2024-01-12").cast("timestamp_ntz")
+    for first in (True, False):
+        for topic, (df, key, fields, options) in _board_feeds(spark, sf_dir).items():
+            early = F.coalesce(F.col("timestamp") < cut, F.lit(True))
+            publish(df.where(early if first else ~early), key, fields, topic, root, **options)
+        board = _run_board(spark, root, state)
+    return board.read()
+
+
+def stream_board_bad_records(spark, sf_dir):
+    """The board over feeds in which some messages are broken: it shows what
+    it would without them."""
+    root = _log(spark, "board")
+    _stations(spark, sf_dir, root)
+    junk = (spark.createDataFrame([("{",), ("[1]",), ("{}",), ("",)], "text string")
+            .select(F.lit(None).cast("binary").alias("key"), F.col("text").cast("binary").alias("value"),
+                    F.lit(0).alias("partition"), F.lit((1 << 50)).alias("offset"),
+                    F.lit("2099-01-01").cast("timestamp").alias("timestamp")))
+    for topic in (S.TOPIC_STATIONS_TABLE, S.TOPIC_SUMMARY, S.TOPIC_WEATHER, S.TOPIC_ARRIVALS, S.TOPIC_TURNSTILE):
+        (junk.withColumn("topic", F.lit(topic)).select(*LOG_COLUMNS).write.mode("append")
+         .parquet(f"{root}/{topic}"))
+    for topic, (df, key, fields, options) in _board_feeds(spark, sf_dir).items():
+        _broken(df, F.col("offset") % 5 == 2, key, fields, topic, root, **options)
+    return _run_board(spark, root, _log(spark, "board-state")).read()
 
 
 def stream_entries_table(spark, sf_dir):
@@ -201,13 +302,13 @@ def stream_entries_table(spark, sf_dir):
     from dispatchboard.streaming.table_counts import run_table_counts
     loc = _log(spark, "turnstile")
     t = X.turnstile(spark, sf_dir)
-    publish(_spread(t), [F.col("key").alias("timestamp")],
+    publish(t, [F.col("key").alias("timestamp")],
             [f.name for f in TURNSTILE.fields], S.TOPIC_TURNSTILE, loc,
             offset_col="offset", time_col="timestamp")
     log = read_topic(spark, loc, S.TOPIC_TURNSTILE,
-                     max_files_per_trigger=_per_trigger(spark, loc, S.TOPIC_TURNSTILE))
+                     max_files_per_trigger=FILES_PER_TRIGGER)
     rows = log.select(F.col("key").cast("string").alias("key"), "offset",
                       F.from_json(F.col("value").cast("string"), TURNSTILE)["station_id"]
                       .alias("station_id"))
     return run_table_counts(spark, rows, scratch_path(spark, "turnstile-table"),
-                            count_triggers=LOG_FILES)
+                            max_files_per_trigger=FILES_PER_TRIGGER)

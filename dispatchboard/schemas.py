@@ -15,6 +15,9 @@ TOPIC_LOG = StructType([
     StructField("timestamp", TimestampType(), True),
 ])
 
+# Fixed values that must equal the reference's: the field names, types and order
+# of its messages and tables are the input contract.
+
 # Police call record carried as JSON. crime_id is declared non-null; from_json
 # still yields nulls for it on malformed input, which is how bad rows are found.
 CALL = StructType([

@@ -8,7 +8,6 @@ lineage cuts, stream checkpoints and intermediate tables.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -45,7 +44,8 @@ def build_session(master: str = "local[8]", app: str = "dispatchboard",
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Runtime settings every plan relies on. Safe to call repeatedly."""
+    """Sets the session time zone to UTC, which every plan relies on. Safe to
+    call repeatedly; a caller that needs another zone uses a new session."""
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
@@ -54,14 +54,19 @@ def prepare(spark: SparkSession) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when the session names none (local tests) is a fresh folder made
-    under /tmp and registered, so later calls and ``checkpoint()`` agree.
+    A session on a cluster that names none is an error: a folder of the
+    driver's own can't be seen by the executors. Only a local session (one
+    process, as in tests) gets a fresh folder under /tmp, registered so that
+    later calls and ``checkpoint()`` agree.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
         root = jdir.get() if jdir.isDefined() else None
     if not root:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", root)
     spark.sparkContext.setCheckpointDir(root)
@@ -70,8 +75,7 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder under the checkpoint root for one run of ``name``."""
-    root = checkpoint_root(spark)
-    path = f"{root}/dispatchboard/{name}-{uuid.uuid4().hex[:12]}"
-    if path.startswith("/"):
-        os.makedirs(path, exist_ok=True)
+    path = f"{checkpoint_root(spark)}/dispatchboard/{name}-{uuid.uuid4().hex[:12]}"
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(folder)
     return path

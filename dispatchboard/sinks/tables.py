@@ -3,7 +3,7 @@ tables (SNK-5) and constrained-load checks (SNK-6)."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,7 +21,7 @@ def start_console(df: DataFrame, name: str, mode: str = "complete",
     console sink brings each result to the driver)."""
     from dispatchboard.streaming.triggers import trigger_kwargs
     return (df.writeStream.format("console").outputMode(mode)
-            .option("truncate", "false").option("numRows", 1 << 30)
+            .option("truncate", "false").option("numRows", (1 << 31) - 1)
             .queryName(name).trigger(**trigger_kwargs(trigger)).start())
 
 
@@ -30,8 +30,7 @@ class VersionedTable:
     ``sinks.versions``). Writing version ``batch_id`` from the newest version
     before it makes a replayed micro-batch rewrite its own version with the
     same contents, so ``foreachBatch`` delivery (at least once) gives
-    exactly-once contents. Readers only ever see a committed version, and
-    only the newest two are kept."""
+    exactly-once contents. Readers only ever see a committed version."""
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
@@ -58,10 +57,19 @@ class KeyedTable(VersionedTable):
     """
 
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str],
-                 order: Sequence[str], changelog: str | None = None):
+                 order: Sequence[str], changelog: str | None = None,
+                 as_log: Callable[[DataFrame], DataFrame] | None = None):
+        """``changelog`` is the folder of a topic log; ``as_log`` makes a
+        batch's rows its records (default: key and row as JSON)."""
         super().__init__(spark, path)
         self.keys, self.order = list(keys), list(order)
         self.changelog = changelog
+        self.as_log = as_log or self._records
+
+    def _records(self, batch: DataFrame) -> DataFrame:
+        from dispatchboard.sinks.topics import as_records
+        return as_records(batch, self.keys, batch.columns, self.changelog.rsplit("/", 1)[-1],
+                          offset_col=self.order[0])
 
     def upsert(self, batch: DataFrame, batch_id: int) -> None:
         payload = [c for c in batch.columns if c not in self.keys]
@@ -73,7 +81,7 @@ class KeyedTable(VersionedTable):
             if self.changelog:
                 # Every write is a changelog record, not only the last per
                 # key: readers that keep their own per-key maps see them all.
-                batch.write.mode("overwrite").parquet(
+                self.as_log(batch).write.mode("overwrite").parquet(
                     f"{self.changelog}/batch={batch_id:020d}")
             base = self._base(batch_id)
             merged = latest
@@ -105,10 +113,6 @@ class CountTable(VersionedTable):
         self._commit(merged.where(F.col(self.value) != 0), batch_id)
 
 
-def upsert_latest(batch_df: DataFrame, batch_id: int, table: KeyedTable) -> None:
-    table.upsert(batch_df, batch_id)
-
-
 # SNK-5
 def save_if_absent(df: DataFrame, name: str) -> None:
     """Create a catalog table only when it does not exist."""

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dispatchboard.functions.scalars import JSON_OPTIONS
+from dispatchboard.schemas import TOPIC_LOG
 from dispatchboard.sources.topics import LOG_COLUMNS
 
 
@@ -19,17 +18,19 @@ def _json(cols) -> Column:
 
 def as_records(df: DataFrame, key_cols, value_cols, topic: str,
                partitions: int = 1, offset_col: str | None = None,
-               time_col: str | None = None) -> DataFrame:
+               time_col: str | None = None, first_offset: int = 0) -> DataFrame:
     """Rows in topic-log shape: JSON key and value, partition by key hash.
 
     Offsets come from ``offset_col`` when the source has a natural order;
     otherwise from ``monotonically_increasing_id`` (unique and increasing in
-    partition order, computed inside each task, no shuffle).
+    partition order, computed inside each task, no shuffle), counted from
+    ``first_offset``.
     """
     key = _json(key_cols) if key_cols else F.lit(None).cast("binary")
     part = (F.lit(0) if partitions == 1
             else F.pmod(F.xxhash64(key), F.lit(partitions)))
-    off = F.col(offset_col) if offset_col else F.monotonically_increasing_id()
+    off = (F.col(offset_col) if offset_col
+           else F.monotonically_increasing_id() + F.lit(first_offset))
     ts = (F.col(time_col).cast("timestamp") if time_col else F.current_timestamp())
     return df.select(key.alias("key"), _json(value_cols).alias("value"),
                      F.lit(topic).alias("topic"), part.cast("int").alias("partition"),
@@ -37,13 +38,27 @@ def as_records(df: DataFrame, key_cols, value_cols, topic: str,
 
 
 def topic_exists(spark: SparkSession, location: str, topic: str) -> bool:
-    """SNK-5 guard for a topic log on a local or mounted path."""
-    path = f"{location}/{topic}"
-    if path.startswith("/") or path.startswith("file:"):
-        return os.path.isdir(path.replace("file:", ""))
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    """SNK-5 guard for a topic log: its folder holds a finished data file (a
+    write in progress keeps its files under ``_temporary``)."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{location}/{topic}")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return False
+    files = fs.listFiles(path, True)
+    while files.hasNext():
+        found = files.next().getPath()
+        if "/_temporary/" not in found.toString() and not found.getName().startswith(("_", ".")):
+            return True
+    return False
+
+
+def next_offset(spark: SparkSession, location: str, topic: str) -> int:
+    """The offset after the topic's last, 0 for a new topic; one aggregate
+    over the offset column."""
+    if not topic_exists(spark, location, topic):
+        return 0
+    last = read_published(spark, location, topic).agg(F.max("offset")).first()[0]
+    return 0 if last is None else last + 1
 
 
 def require_topics(spark: SparkSession, location: str, *topics: str) -> None:
@@ -57,22 +72,38 @@ def require_topics(spark: SparkSession, location: str, *topics: str) -> None:
 def publish(df: DataFrame, key_cols, value_cols, topic: str, location: str,
             partitions: int = 1, offset_col: str | None = None,
             time_col: str | None = None, if_absent: bool = False,
-            fmt: str = "log") -> None:
-    """Append records to a topic log (or to Kafka with ``fmt="kafka"``,
+            fmt: str = "log", batch: int | None = None) -> None:
+    """Add records to a topic log (or to Kafka with ``fmt="kafka"``,
     ``location`` then being the bootstrap servers). With ``if_absent`` an
-    existing topic is left untouched (SNK-5)."""
-    recs = as_records(df, key_cols, value_cols, topic, partitions, offset_col, time_col)
+    existing topic is left untouched (SNK-5; logs only). Offsets go on from
+    the topic's last.
+
+    A retried job would append its rows again; give ``batch``, a number of
+    the caller's, and the retry overwrites the part of that number. Such a
+    part needs ``offset_col``, since its rows must keep their offsets."""
+    spark = df.sparkSession
     if fmt == "kafka":
+        if if_absent:
+            raise ValueError("if_absent needs a topic log")
+        recs = as_records(df, key_cols, value_cols, topic, partitions, offset_col, time_col)
         (recs.select("key", "value", "topic").write.format("kafka")
          .option("kafka.bootstrap.servers", location).save())
         return
-    if if_absent and topic_exists(df.sparkSession, location, topic):
+    if if_absent and topic_exists(spark, location, topic):
         return
-    recs.write.mode("append").parquet(f"{location}/{topic}")
+    if batch is not None and not offset_col:
+        raise ValueError("a numbered batch needs offset_col")
+    first = 0 if offset_col else next_offset(spark, location, topic)
+    recs = as_records(df, key_cols, value_cols, topic, partitions, offset_col, time_col, first)
+    if batch is None:
+        recs.write.mode("append").parquet(f"{location}/{topic}")
+    else:
+        recs.write.mode("overwrite").parquet(f"{location}/{topic}/batch={batch:020d}")
 
 
 def read_published(spark: SparkSession, location: str, topic: str) -> DataFrame:
-    return spark.read.parquet(f"{location}/{topic}").select(*LOG_COLUMNS)
+    return (spark.read.schema(TOPIC_LOG).option("recursiveFileLookup", "true")
+            .parquet(f"{location}/{topic}").select(*LOG_COLUMNS))
 
 
 # SRC-7

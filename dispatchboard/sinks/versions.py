@@ -4,9 +4,9 @@ A version is the folder ``<path>/v=<batch_id>``; it counts once its
 ``_COMMITTED`` marker exists, written after Spark's write returned (our own
 marker, so clusters that switch off the writer's ``_SUCCESS`` file work the
 same). Readers take the newest committed version, found by one listing of
-``<path>`` (no pointer table that grows with every trigger). After a commit
-only the newest ``keep`` versions stay, so storage holds a bounded number of
-results however long a stream runs. A replayed batch rewrites its own
+``<path>`` (no pointer table that grows with every trigger). A commit
+removes versions that were superseded more than ``retain`` seconds ago, so a
+reader has that long to finish, and storage holds that long's results. A replayed batch rewrites its own
 folder; while it does, that folder has no marker and readers see the
 version before it, which is kept.
 """
@@ -15,6 +15,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Seconds a superseded version stays, so that a reader that has started on it
+# can finish. The newest two stay in any case.
+RETAIN_SECONDS = 6 * 3600
 KEEP = 2
 _PREFIX = "v="
 _MARKER = "_COMMITTED"
@@ -55,15 +58,21 @@ def read_latest(spark: SparkSession, path: str, below: int | None = None) -> Dat
     return None if v is None else spark.read.parquet(version_path(path, v))
 
 
-def commit(df: DataFrame, path: str, batch_id: int, keep: int = KEEP) -> None:
-    """Write ``df`` as version ``batch_id``, then drop all but the newest
-    ``keep`` committed versions."""
+def commit(df: DataFrame, path: str, batch_id: int, retain: float = RETAIN_SECONDS) -> None:
+    """Write ``df`` as version ``batch_id``, then drop the committed versions
+    that a newer one replaced more than ``retain`` seconds ago, all but the
+    newest ``KEEP``."""
     df.write.mode("overwrite").parquet(version_path(path, batch_id))
     spark = df.sparkSession
     fs, _ = _fs(spark, path)
     jvm = spark.sparkContext._jvm
+
+    def marker(v: int):
+        return jvm.org.apache.hadoop.fs.Path(version_path(path, v), _MARKER)
     # The overwrite above removed any marker of an earlier attempt.
-    fs.create(jvm.org.apache.hadoop.fs.Path(version_path(path, batch_id), _MARKER), True).close()
+    fs.create(marker(batch_id), True).close()
     ids = committed(spark, path)
-    for old in ids[:-keep] if keep > 0 else []:
-        fs.delete(jvm.org.apache.hadoop.fs.Path(version_path(path, old)), True)
+    made = {v: fs.getFileStatus(marker(v)).getModificationTime() for v in ids}
+    for old, newer in zip(ids[:-KEEP], ids[1:]):
+        if made[batch_id] - made[newer] >= retain * 1000:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(version_path(path, old)), True)

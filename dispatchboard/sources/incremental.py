@@ -1,10 +1,15 @@
 """Incremental table pull with a stored high-water mark (SRC-6).
 
-The pull is ``column > last_seen`` in key order. On a JDBC source the
-predicate reaches the database (``read.format("jdbc")`` pushes filters; give
+A poll first fixes its upper bound (the column's greatest value now), pulls
+``last < column <= bound``, and, when the rows are safe, commits the bound. Rows
+that arrive while it runs lie above the bound and belong to the next poll. The
+column must be unique and increasing: of rows that share a value, those that
+arrive after a poll are below its mark. On a JDBC source both predicates reach
+the database (``read.format("jdbc")`` pushes filters; give
 ``partitionColumn``/bounds and ``fetchsize`` for parallel paged reads); on
-parquet it reaches the scan. The mark lives in a small parquet table, one row
-per successful pull, so a crash between pull and mark only repeats a pull.
+parquet they reach the scan. Marks live in a small parquet table, one row per
+poll with its value's type, so a crash between pull and mark only repeats a
+pull.
 """
 
 from __future__ import annotations
@@ -14,39 +19,77 @@ from pyspark.sql import functions as F
 
 
 def incremental_pull(df: DataFrame, column: str, last_seen=None,
-                     ordered: bool = True, tiebreak=()) -> DataFrame:
-    """Rows past ``last_seen`` in ``column`` order. ``tiebreak`` columns (a
-    unique key) let the range-partitioned sort split a value shared by many
-    rows across tasks; the pull's order among equal values is not defined
-    anyway."""
+                     ordered: bool = True, tiebreak=(), bound=None) -> DataFrame:
+    """Rows past ``last_seen``, up to ``bound``, in ``column`` order.
+    ``tiebreak`` columns let the range-partitioned sort split a value shared
+    by many rows across tasks."""
     out = df if last_seen is None else df.where(F.col(column) > F.lit(last_seen))
+    out = out if bound is None else out.where(F.col(column) <= F.lit(bound))
     return out.orderBy(column, *tiebreak) if ordered else out
 
 
+def upper_bound(df: DataFrame, column: str):
+    """The greatest value of ``column`` now (None for an empty table)."""
+    return df.agg(F.max(column)).first()[0]
+
+
+def _exists(spark: SparkSession, store: str) -> bool:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(store)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.exists(path) and any(not s.getPath().getName().startswith(("_", "."))
+                                   for s in fs.listStatus(path))
+
+
 def read_mark(spark: SparkSession, store: str, source: str):
-    """Last committed mark of ``source`` (a single value), or None."""
-    try:
-        marks = spark.read.parquet(store)
-    except Exception:  # no mark table yet: first pull takes everything
+    """Last committed mark of ``source`` as a value of its own type, or None
+    where no mark was ever stored. A store that can't be read is an error,
+    not a first pull."""
+    if not _exists(spark, store):
+        return None
+    row = (spark.read.parquet(store).where(F.col("source") == source)
+           .agg(F.max_by(F.struct("mark", "type"), "at").alias("m")).first())["m"]
+    if row is None:
         return None
-    row = (marks.where(F.col("source") == source)
-           .agg(F.max_by("mark", "at").alias("m")).first())
-    m = None if row is None else row["m"]
-    if m is not None and m.lstrip("-").isdigit():
-        return int(m)
-    return m
-
-
-def commit_mark(pulled: DataFrame, column: str, store: str, source: str) -> None:
-    """Append the pull's greatest key as the new mark; computed by Spark as a
-    one-row aggregate, nothing goes through the driver. An empty pull
-    commits nothing."""
-    (pulled.agg(F.max(column).cast("string").alias("mark"))
-     .where(F.col("mark").isNotNull())
-     .select(F.lit(source).alias("source"), "mark", F.current_timestamp().alias("at"))
+    return spark.range(1).select(F.lit(row["mark"]).cast(row["type"])).first()[0]
+
+
+def commit_mark(df: DataFrame, column: str, bound, store: str, source: str) -> None:
+    """Store ``bound`` as the new mark, with the type ``column`` has in
+    ``df``. A poll without a bound (an empty table) commits nothing."""
+    if bound is None:
+        return
+    kind = df.schema[column].dataType.simpleString()
+    (df.sparkSession.range(1).coalesce(1)
+     .select(F.lit(source).alias("source"), F.lit(bound).cast(kind).cast("string").alias("mark"),
+             F.lit(kind).alias("type"), F.current_timestamp().alias("at"))
      .write.mode("append").parquet(store))
 
 
+def poll(df: DataFrame, column: str, store: str, source: str, use, tiebreak=()):
+    """One poll: pull what is new, hand it to ``use`` (a function of the
+    pulled frame and the mark before it), then commit the bound."""
+    last, bound = read_mark(df.sparkSession, store, source), upper_bound(df, column)
+    use(incremental_pull(df, column, last, tiebreak=tiebreak, bound=bound), last)
+    commit_mark(df, column, bound, store, source)
+    return bound
+
+
+def poll_and_publish(df: DataFrame, column: str, store: str, topic: str, location: str,
+                     key_cols=None, value_cols=None, fmt: str = "log"):
+    """The polling job, to be run on a schedule (the reference's period is 30
+    minutes): what is new in a table becomes messages of a raw topic. The
+    column (a whole number) is the record offset, and a poll's part of the
+    log is numbered by the mark before it, so a repeated poll overwrites its
+    own part."""
+    from dispatchboard.sinks.topics import publish
+
+    def use(new: DataFrame, last) -> None:
+        publish(new, key_cols or [column], value_cols or new.columns, topic, location,
+                offset_col=column, fmt=fmt,
+                batch=None if fmt == "kafka" else 0 if last is None else int(last) + 1)
+    return poll(df, column, store, topic, use)
+
+
 def jdbc_pull(spark: SparkSession, url: str, table: str, column: str, last_seen,
               fetchsize: int = 500, tiebreak=(), **props) -> DataFrame:
     """The same pull against a database (untested here: no database)."""

@@ -1,15 +1,18 @@
-"""The reference's two applications as Spark streaming jobs.
+"""The reference's applications as Spark streaming jobs.
 
 * ``calls``: police calls from a topic, counted in sliding windows (the
   flagship), as two named queries from one lineage: plain counts, and counts
   described from the disposition code table (STR-4). Results go to the
   console, as in the reference, or to result folders under ``out``.
+* ``stations``: raw stop rows to the station table and its changelog topic.
 * ``board``: the transit status board over its four feeds, plus the
   turnstile summary query that feeds it (AGG-2 + SNK-4).
 
+Every application keeps undecodable messages in a quarantine folder.
+
 Sources are topic logs (parquet, one folder per topic) or Kafka
 (``fmt="kafka"``; the Kafka package must be on the classpath). Run
-``python -m dispatchboard.streaming.apps calls|board ...``, or call ``main``
+``python -m dispatchboard.streaming.apps calls|stations|board ...``, or call ``main``
 from a script given to spark-submit; each query checkpoints under the shared
 ``spark.checkpoint.dir``.
 """
@@ -17,6 +20,7 @@ from a script given to spark-submit; each query checkpoints under the shared
 from __future__ import annotations
 
 import argparse
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,29 +28,28 @@ from pyspark.sql import functions as F
 from dispatchboard.functions import scalars as S
 from dispatchboard.operators import calls as C
 from dispatchboard.operators import transit as T
-from dispatchboard.schemas import CALL, TURNSTILE
+from dispatchboard.schemas import CALL, STOPS, TURNSTILE
 from dispatchboard.session import prepare, scratch_path
 from dispatchboard.sinks.tables import start_console
 from dispatchboard.sources.files import read_codes
-from dispatchboard.sources.topics import read_topic, read_topics
+from dispatchboard.sources.topics import read_topic, read_topic_list
 from dispatchboard.streaming import runner
-from dispatchboard.streaming.quarantine import split_malformed
+from dispatchboard.streaming.quarantine import split_malformed, start_quarantine
 
 # Call fields the flagship reads (the rest of the record is skipped unparsed).
-FLAGSHIP_FIELDS = ("crime_id", C.TYPE_COL, C.TIME_COL, C.DISPOSITION_COL)
-# Feeds the board subscribes to.
-BOARD_TOPICS = (S.TOPIC_WEATHER, S.TOPIC_STATIONS_TABLE, S.TOPIC_ARRIVALS, S.TOPIC_SUMMARY)
+FLAGSHIP_FIELDS = (C.TYPE_COL, C.TIME_COL, C.DISPOSITION_COL)
 
 
 def call_stream(spark: SparkSession, source: str, topic: str = S.TOPIC_CALLS,
                 fmt: str = "log", max_files_per_trigger: int | None = None,
                 max_offsets_per_trigger: int | None = None,
-                fields=FLAGSHIP_FIELDS) -> tuple[DataFrame, DataFrame]:
+                fields=FLAGSHIP_FIELDS, starting="earliest", start_store: str | None = None
+                ) -> tuple[DataFrame, DataFrame]:
     """SRC-1 + PRJ-1 + PRJ-2 + PRJ-20: decoded calls and quarantined rows."""
-    log = read_topic(spark, source, topic, stream=True, fmt=fmt,
+    log = read_topic(spark, source, topic, stream=True, fmt=fmt, starting=starting,
                      max_files_per_trigger=max_files_per_trigger,
-                     max_offsets_per_trigger=max_offsets_per_trigger)
-    return split_malformed(log, CALL, "crime_id", fields=fields)
+                     max_offsets_per_trigger=max_offsets_per_trigger, start_store=start_store)
+    return split_malformed(log, CALL, fields=fields)
 
 
 def start_call_queries(calls: DataFrame, codes: DataFrame | None = None,
@@ -54,9 +57,10 @@ def start_call_queries(calls: DataFrame, codes: DataFrame | None = None,
                        described_only: bool = False, shared: bool = False) -> list:
     """Start the flagship's named queries over a decoded call stream.
 
-    ``out=None`` prints each trigger's full result, sorted, to the console
-    (the reference's output; the console sink brings results to the driver,
-    so use it for inspection only). With ``out`` every query writes result
+    ``out=None`` prints each trigger's full result to the console (the
+    reference's output; the plain counts sorted, the described ones in the
+    join's order; the console sink brings results to the driver, so use it
+    for inspection only). With ``out`` every query writes result
     versions to ``out/<name>``: the stream keeps distinct triples and counts
     per slide bucket in state, and each trigger turns the buckets into
     windows (and joins the codes) as a batch step. Returns
@@ -80,7 +84,6 @@ def start_call_queries(calls: DataFrame, codes: DataFrame | None = None,
         return started
     buckets = C.call_bucket_counts(calls)
     out = out.rstrip("/")
-    # The code table is sized once here, not on every trigger.
     lookup = C.prepared_codes(codes) if codes is not None else None
     if shared and len(named) == 2:
         return _start_shared(buckets, lookup, trigger, out)
@@ -116,12 +119,26 @@ def _start_shared(buckets: DataFrame, lookup: DataFrame, trigger: str, out: str)
             runner.StreamResult(q, described, "complete")]
 
 
-def start_summary_query(spark: SparkSession, turnstile: DataFrame, log_root: str,
-                        trigger: str = "10 seconds", checkpoint: str | None = None):
+def _put(records: DataFrame, location: str, topic: str, batch_id: int, fmt: str) -> None:
+    """One micro-batch's records out: a numbered part of a topic log, which a
+    replay overwrites, or messages to Kafka (a replay repeats them; readers
+    keep the latest per key)."""
+    if fmt == "kafka":
+        (records.select("key", "value", "topic").write.format("kafka")
+         .option("kafka.bootstrap.servers", location).save())
+    else:
+        records.write.mode("overwrite").parquet(f"{location}/{topic}/batch={batch_id:020d}")
+
+
+def start_summary_query(spark: SparkSession, turnstile: DataFrame, location: str,
+                        trigger: str = "10 seconds", checkpoint: str | None = None,
+                        topic: str = S.TOPIC_SUMMARY, fmt: str = "log"):
     """AGG-2 + SNK-4: running entries per station; each trigger's updated
     rows are published to the summary topic as JSON keyed by station. The
     batch id is the record offset, so later counts of a station win on the
-    board; a replayed batch rewrites its own folder."""
+    board; a replayed batch rewrites its own folder. ``checkpoint`` must stay
+    the same over restarts (the launcher keeps it next to the board's): then
+    batch ids and totals go on where they stopped."""
     from dispatchboard.sinks.topics import as_records
     counts = T.entries_per_station(turnstile)
     ck = checkpoint or scratch_path(spark, "summary-ck")
@@ -129,38 +146,78 @@ def start_summary_query(spark: SparkSession, turnstile: DataFrame, log_root: str
     def sink(batch: DataFrame, batch_id: int) -> None:
         recs = as_records(batch.withColumn("_off", F.lit(batch_id))
                           .select("station_id", F.col("entries").alias("count"), "_off"),
-                          ["station_id"], ["station_id", "count"], S.TOPIC_SUMMARY,
-                          offset_col="_off")
+                          ["station_id"], ["station_id", "count"], topic, offset_col="_off")
         # One file per trigger: the rows are one per changed station.
-        recs.coalesce(1).write.mode("overwrite").parquet(
-            f"{log_root}/{S.TOPIC_SUMMARY}/batch={batch_id:020d}")
+        _put(recs.coalesce(1), location, topic, batch_id, fmt)
 
     return (counts.writeStream.queryName("turnstile_summary_topic").outputMode("update")
             .option("checkpointLocation", ck).foreachBatch(sink)
             .trigger(**runner.trigger_kwargs(trigger)).start())
 
 
-def start_board(spark: SparkSession, log_root: str, out: str, trigger: str = "10 seconds",
-                max_files_per_trigger: int | None = None):
-    """The live board: subscribe to the four feeds under ``log_root``, fold
-    each micro-batch into the board's keyed tables and render a new board
-    version under ``out`` (read it with ``BoardState(spark, out).read()``)."""
+def start_station_job(spark: SparkSession, source: str, out: str, location: str,
+                      trigger: str = "10 seconds", fmt: str = "log",
+                      raw_topic: str = S.TOPIC_STATIONS_RAW, topic: str = S.TOPIC_STATIONS_TABLE,
+                      max_files_per_trigger: int | None = None):
+    """PRJ-5 + PRJ-6 + SNK-3: raw stop rows become the keyed station table
+    under ``out``, and every write to it a record of the changelog topic the
+    board reads. Undecodable rows are kept under ``out/quarantine``."""
+    from dispatchboard.sinks.tables import KeyedTable
+    from dispatchboard.sinks.topics import as_records
+    log = read_topic(spark, source, raw_topic, fmt=fmt, max_files_per_trigger=max_files_per_trigger)
+    table = KeyedTable(spark, f"{out.rstrip('/')}/table", ["station_id"], ["stop_id"])
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            good, bad = split_malformed(batch.select("value"), STOPS, required=("stop_id", "station_id"))
+            records = T.station_records(good.withColumnRenamed("order", "station_order"))
+            bad.write.mode("overwrite").parquet(f"{out}/quarantine/batch={batch_id:020d}")
+            changes = as_records(records.withColumnRenamed("station_order", "order"), ["station_id"],
+                                 ["station_id", "station_name", "order", "line"], topic, offset_col="stop_id")
+            _put(changes, location, topic, batch_id, fmt)
+            table.upsert(records, batch_id)
+        finally:
+            batch.unpersist()
+
+    q = (log.writeStream.queryName("station_table").outputMode("append")
+         .option("checkpointLocation", f"{out.rstrip('/')}/_checkpoint").foreachBatch(sink)
+         .trigger(**runner.trigger_kwargs(trigger)).start())
+    return q, table
+
+
+def start_board(spark: SparkSession, location: str, out: str, trigger: str = "10 seconds",
+                max_files_per_trigger: int | None = None, topics: Mapping[str, str] | None = None,
+                fmt: str = "log"):
+    """The live board: subscribe to the four feeds, fold each micro-batch into
+    the board's keyed tables and render a new board version under ``out``
+    (read it with ``BoardState(spark, out).read()``). ``topics`` names feeds
+    that differ from ``transit.DEFAULT_TOPICS``. Of a log only the feeds' own
+    folders are opened."""
     from dispatchboard.streaming.board import BoardState
-    pattern = "^(" + "|".join(x.replace(".", r"\.") for x in BOARD_TOPICS) + ")$"
-    feeds = read_topics(spark, log_root, pattern, max_files_per_trigger=max_files_per_trigger)
-    state = BoardState(spark, out)
+    names = {**T.DEFAULT_TOPICS, **(topics or {})}
+    feeds = read_topic_list(spark, location, list(names.values()), fmt=fmt,
+                            max_files_per_trigger=max_files_per_trigger)
+    state = BoardState(spark, out, names)
     q = (feeds.writeStream.queryName("status_board").outputMode("append")
          .option("checkpointLocation", f"{state.path}/_checkpoint")
          .foreachBatch(state.apply).trigger(**runner.trigger_kwargs(trigger)).start())
     return q, state
 
 
+def turnstile_split(spark: SparkSession, source: str, fmt: str = "log",
+                    max_files_per_trigger: int | None = None, topic: str = S.TOPIC_TURNSTILE
+                    ) -> tuple[DataFrame, DataFrame]:
+    """Decoded turnstile entries and the rows that name no station."""
+    log = read_topic(spark, source, topic, fmt=fmt, max_files_per_trigger=max_files_per_trigger)
+    return split_malformed(log, TURNSTILE, required=("station_id",))
+
+
 def turnstile_stream(spark: SparkSession, source: str, fmt: str = "log",
-                     max_files_per_trigger: int | None = None) -> DataFrame:
-    log = read_topic(spark, source, S.TOPIC_TURNSTILE, fmt=fmt,
-                     max_files_per_trigger=max_files_per_trigger)
-    return (log.select(F.from_json(F.col("value").cast("string"), TURNSTILE).alias("v"))
-            .select("v.*"))
+                     max_files_per_trigger: int | None = None, topic: str = S.TOPIC_TURNSTILE
+                     ) -> DataFrame:
+    good, _ = turnstile_split(spark, source, fmt, max_files_per_trigger, topic)
+    return good
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -177,34 +234,59 @@ def main(argv: list[str] | None = None) -> None:
     c.add_argument("--max-files-per-trigger", type=int)
     c.add_argument("--shared", action="store_true",
                    help="one stateful query writes both results (needs --out, --codes)")
+    t = sub.add_parser("stations", help="raw stops to station table and changelog topic")
+    t.add_argument("--source", required=True, help="topic-log root of the raw stops, or Kafka servers")
+    t.add_argument("--logs", required=True, help="topic-log root of the changelog, or Kafka servers")
+    t.add_argument("--out", required=True)
+    t.add_argument("--raw-topic", default=S.TOPIC_STATIONS_RAW)
+    t.add_argument("--topic", default=S.TOPIC_STATIONS_TABLE)
+    t.add_argument("--kafka", action="store_true")
+    t.add_argument("--trigger", default="10 seconds")
+    t.add_argument("--max-files-per-trigger", type=int)
     b = sub.add_parser("board", help="transit status board")
-    b.add_argument("--logs", required=True, help="topic-log root of the feeds")
+    b.add_argument("--logs", required=True, help="topic-log root of the feeds, or Kafka servers")
     b.add_argument("--out", required=True)
     b.add_argument("--trigger", default="10 seconds")
     b.add_argument("--max-files-per-trigger", type=int)
+    b.add_argument("--kafka", action="store_true")
+    b.add_argument("--turnstile-topic", default=S.TOPIC_TURNSTILE)
+    for feed, name in T.DEFAULT_TOPICS.items():
+        b.add_argument(f"--{feed}-topic", default=name)
     a = p.parse_args(argv)
 
     spark = prepare(SparkSession.builder.appName(f"dispatchboard-{a.app}").getOrCreate())
     drain = a.trigger in ("availableNow", "once")
+    fmt = "kafka" if a.kafka else "log"
     if a.app == "calls":
-        good, _ = call_stream(spark, a.source, a.topic, "kafka" if a.kafka else "log",
-                              a.max_files_per_trigger, a.max_offsets_per_trigger)
+        good, bad = call_stream(spark, a.source, a.topic, fmt,
+                                a.max_files_per_trigger, a.max_offsets_per_trigger)
         codes = read_codes(spark, a.codes) if a.codes else None
         started = start_call_queries(good, codes, a.trigger, a.out, shared=a.shared)
         queries = [getattr(q, "query", q) for q in started]
+        if a.out:
+            queries.append(start_quarantine(bad, "calls_quarantine", f"{a.out}/quarantine",
+                                            a.trigger).query)
+    elif a.app == "stations":
+        q, _ = start_station_job(spark, a.source, a.out, a.logs, a.trigger, fmt, a.raw_topic, a.topic,
+                                 a.max_files_per_trigger)
+        queries = [q]
     else:
-        # SNK-5: refuse to start without the feeds (the summary topic is
-        # made by the summary query below).
-        from dispatchboard.sinks.topics import require_topics
-        require_topics(spark, a.logs, S.TOPIC_STATIONS_TABLE, S.TOPIC_ARRIVALS,
-                       S.TOPIC_WEATHER, S.TOPIC_TURNSTILE)
-        summary = start_summary_query(
-            spark, turnstile_stream(spark, a.logs, max_files_per_trigger=a.max_files_per_trigger),
-            a.logs, a.trigger)
+        names = {feed: getattr(a, f"{feed}_topic") for feed in T.DEFAULT_TOPICS}
+        if not a.kafka:
+            # SNK-5: refuse to start without the feeds (the summary topic is
+            # made by the summary query below).
+            from dispatchboard.sinks.topics import require_topics
+            require_topics(spark, a.logs, names["station"], names["arrival"], names["weather"],
+                           a.turnstile_topic)
+        good, bad = turnstile_split(spark, a.logs, fmt, a.max_files_per_trigger, a.turnstile_topic)
+        summary = start_summary_query(spark, good, a.logs, a.trigger, f"{a.out}/_summary_checkpoint",
+                                      names["summary"], fmt)
+        queries = [summary, start_quarantine(bad, "turnstile_quarantine", f"{a.out}/turnstile_quarantine",
+                                             a.trigger).query]
         if drain:  # the board should see every summary written by this run
             summary.awaitTermination()
-        board, _ = start_board(spark, a.logs, a.out, a.trigger, a.max_files_per_trigger)
-        queries = [summary, board]
+        board, _ = start_board(spark, a.logs, a.out, a.trigger, a.max_files_per_trigger, names, fmt)
+        queries.append(board)
     if drain:
         for q in queries:
             q.awaitTermination()
@@ -214,5 +296,6 @@ def main(argv: list[str] | None = None) -> None:
     if failed:
         raise RuntimeError(str(failed[0].exception()))
 
+
 if __name__ == "__main__":
     main()

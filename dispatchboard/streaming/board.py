@@ -13,6 +13,9 @@ query's checkpoint.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,18 +24,21 @@ from dispatchboard.operators import transit as T
 from dispatchboard.schemas import ARRIVAL, STATION, TURNSTILE_SUMMARY, WEATHER
 from dispatchboard.sinks import versions
 from dispatchboard.sinks.tables import KeyedTable
+from dispatchboard.streaming.quarantine import split_malformed
 
 
-def _decoded(batch: DataFrame, route: str, schema) -> DataFrame:
-    return (batch.where(F.col("route") == route)
-            .select("timestamp", "offset",
-                    F.from_json(F.col("value").cast("string"), schema).alias("v"))
-            .select("timestamp", "offset", "v.*"))
+# Feed -> (schema, fields without which a message can't be used).
+FEEDS = {"station": (STATION, ("station_id", "line")),
+         "arrival": (ARRIVAL, ("line", "station_id", "train_id")),
+         "summary": (TURNSTILE_SUMMARY, ("station_id", "count")),
+         "weather": (WEATHER, ("temperature", "status"))}
 
 
 class BoardState:
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
+    def __init__(self, spark: SparkSession, path: str, topics: Mapping[str, str] | None = None):
+        """``topics`` names the deployment's feeds where they differ from
+        ``transit.DEFAULT_TOPICS``."""
+        self.spark, self.path, self.topics = spark, path.rstrip("/"), topics
         self.stations = KeyedTable(spark, f"{path}/stations", ["line", "station_id"], ["offset"])
         self.slots = KeyedTable(spark, f"{path}/slots", ["line", "station_id", "slot"],
                                 ["event_time", "event_offset", "seq"])
@@ -40,30 +46,44 @@ class BoardState:
         self.weather = KeyedTable(spark, f"{path}/weather", ["_k"], ["timestamp", "offset"])
 
     def apply(self, batch: DataFrame, batch_id: int) -> None:
-        routed = T.route_by_topic(batch).persist()
+        routed = T.route_by_topic(batch, names=self.topics).persist()
         try:
             # Which feeds this batch carries (at most one row per route).
-            present = {r["route"] for r in routed.select("route").distinct().collect()}
-            if "station" in present:
-                self._stations(routed, batch_id)
-            if "arrival" in present:
-                self.slots.upsert(T.slot_events(_decoded(routed, "arrival", ARRIVAL)), batch_id)
-            if "summary" in present:
-                cnt = (_decoded(routed, "summary", TURNSTILE_SUMMARY)
-                       .select("station_id", F.col("count").alias("entries"), "offset"))
+            present = [r["route"] for r in routed.select("route").distinct().collect()
+                       if r["route"] in FEEDS]
+            good, bad = {}, []
+            for route in present:
+                schema, required = FEEDS[route]
+                good[route], broken = split_malformed(
+                    routed.where(F.col("route") == route), schema, required=required)
+                bad.append(broken)
+            if bad:
+                # Undecodable messages change nothing on the board; they are
+                # kept raw, a folder a batch.
+                (reduce(DataFrame.unionByName, bad).write.mode("overwrite")
+                 .parquet(f"{self.path}/quarantine/batch={batch_id:020d}"))
+            if "station" in good:
+                self._stations(good["station"], batch_id)
+            if "arrival" in good:
+                self.slots.upsert(T.slot_events(good["arrival"]), batch_id)
+            if "summary" in good:
+                cnt = good["summary"].select("station_id", F.col("count").alias("entries"), "offset")
                 self.counts.upsert(cnt, batch_id)
-            if "weather" in present:
-                w = (_decoded(routed, "weather", WEATHER)
-                     .select(F.lit(0).alias("_k"), "temperature", "status", "timestamp",
-                             "offset"))
+            if "weather" in good:
+                w = good["weather"].select(F.lit(0).alias("_k"), "temperature", "status", "timestamp",
+                                           "offset")
                 self.weather.upsert(w, batch_id)
         finally:
             routed.unpersist()
         versions.commit(self.render(), f"{self.path}/board", batch_id)
 
-    def _stations(self, routed: DataFrame, batch_id: int) -> None:
-        st = (_decoded(routed, "station", STATION)
-              .select("line", "station_id", "station_name",
+    def quarantined(self) -> DataFrame:
+        """The undecodable messages so far, as topic-log rows with their route."""
+        return (self.spark.read.option("recursiveFileLookup", "true")
+                .parquet(f"{self.path}/quarantine"))
+
+    def _stations(self, records: DataFrame, batch_id: int) -> None:
+        st = (records.select("line", "station_id", "station_name",
                       F.col("order").alias("station_order"), "offset")
               .where(is_known_line("line")))
         self.stations.upsert(st, batch_id)

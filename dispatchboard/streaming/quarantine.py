@@ -21,34 +21,41 @@ def narrowed(schema: StructType, fields: Sequence[str] | None) -> StructType:
     return StructType([f for f in schema.fields if f.name in keep])
 
 
-def tag_malformed(df: DataFrame, schema: StructType, required: str,
-                  value_col: str = "value",
-                  fields: Sequence[str] | None = None) -> DataFrame:
-    """Every row once, with ``_dec`` (the decoded struct) and ``_bad`` (value
-    present but the required field did not decode; malformed JSON gives an
-    all-null struct under PERMISSIVE).
+def tag_malformed(df: DataFrame, schema: StructType, value_col: str = "value",
+                  fields: Sequence[str] | None = None, required: Sequence[str] = ()
+                  ) -> DataFrame:
+    """Every row once, with ``_dec`` (the decoded struct) and ``_bad``: the
+    value is present but isn't a JSON object, or lacks a ``required`` field.
+    Any other field may be missing; it is null then.
 
     Each value is decoded once. The tag is produced next to the decoded
     struct by a one-element ``inline``, so the optimizer cannot push a filter
     on it below the decode and parse every message a second time.
-    ``fields`` limits decoding to the fields a query uses (``required`` is
-    always kept).
+    ``fields`` limits decoding to the fields a query uses.
     """
-    if fields is not None:
-        fields = list(dict.fromkeys([required, *fields]))
-    dec = df.withColumn("_d", decode_json(value_col, narrowed(schema, fields)))
-    tag = F.struct(F.col("_d").alias("_dec"),
-                   is_malformed(value_col, "_d", required).alias("_bad"))
+    wanted = narrowed(schema, fields)
+    dec = df.withColumn("_d", decode_json(value_col, wanted))
+    bad = is_malformed(value_col, "_d", wanted.names)
+    for f in required:
+        bad = bad | F.col("_d")[f].isNull()
+    tag = F.struct(F.col("_d").alias("_dec"), bad.alias("_bad"))
     return dec.select(*df.columns, F.inline(F.array(tag)))
 
 
-def split_malformed(df: DataFrame, schema: StructType, required: str,
-                    value_col: str = "value",
-                    fields: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
+def split_malformed(df: DataFrame, schema: StructType, value_col: str = "value",
+                    fields: Sequence[str] | None = None, required: Sequence[str] = ()
+                    ) -> tuple[DataFrame, DataFrame]:
     """(good, bad): ``good`` has the decoded fields expanded; ``bad`` keeps
     the raw rows that did not decode (see ``tag_malformed``)."""
-    tagged = tag_malformed(df, schema, required, value_col, fields)
+    tagged = tag_malformed(df, schema, value_col, fields, required)
     rest = [c for c in df.columns if c != value_col]
     good = tagged.where(~F.col("_bad")).select(*rest, "_dec.*")
     bad = tagged.where(F.col("_bad")).select(*df.columns)
     return good, bad
+
+
+def start_quarantine(bad: DataFrame, name: str, out: str, trigger: str = "10 seconds"):
+    """Keep a stream's undecodable rows, raw, under ``out``: one folder a
+    micro-batch, overwritten on replay."""
+    from dispatchboard.streaming import runner
+    return runner.start(bad, name, "append", trigger, path=out)

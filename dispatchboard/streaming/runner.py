@@ -4,8 +4,8 @@ Results of a streaming query land in a folder under the shared checkpoint
 root, never in driver memory:
 
 * complete mode: each micro-batch writes the whole result as a new version
-  (``v=<batch>``); readers take the newest committed version, and only the
-  newest two are kept (``sinks.versions``).
+  (``v=<batch>``); readers take the newest committed version, and older ones
+  are removed by age (``sinks.versions``).
 * append mode: each micro-batch writes its own part (``batch=<id>``),
   overwritten on replay, so at-least-once delivery gives exactly-once files.
 * update mode: rows are merged into a ``KeyedTable`` by key.
@@ -16,10 +16,13 @@ driver resumes from the last committed offsets and state.
 
 from __future__ import annotations
 
+import threading
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from dispatchboard.session import scratch_path
 from dispatchboard.sinks import versions
@@ -95,17 +98,59 @@ def run(df: DataFrame, name: str, mode: str = "complete", keys=None) -> DataFram
 
 
 # STR-5
-def progress_frame(spark: SparkSession, *queries) -> DataFrame:
-    """Recent progress of the given queries as rows (bounded by Spark's
-    ``spark.sql.streaming.numRecentProgressUpdates``)."""
-    rows = []
-    for q in queries:
-        for p in q.recentProgress:
-            rows.append((p.name or "", int(p.batchId), int(p.numInputRows),
-                         float(p.inputRowsPerSecond or 0.0),
-                         float(p.processedRowsPerSecond or 0.0),
-                         int((p.durationMs or {}).get("triggerExecution", 0))))
-    return spark.createDataFrame(
-        rows, "query string, batch_id long, num_input_rows long, "
-              "input_rows_per_second double, processed_rows_per_second double, "
-              "trigger_ms long")
+class ProgressTable(StreamingQueryListener):
+    """Every progress report of the session's queries as rows of a table at
+    ``path``, however many there are: reports are held until ``hold`` of them
+    are written together, and the rest when the table is read."""
+
+    COLUMNS = ("query string, id string, batch_id long, num_input_rows long, "
+               "input_rows_per_second double, processed_rows_per_second double, trigger_ms long")
+
+    def __init__(self, spark: SparkSession, path: str, hold: int = 1000):
+        self.spark, self.path, self.hold = spark, path, hold
+        self._rows: list[tuple] = []
+        self._ended: set[str] = set()
+        self._lock = threading.Lock()
+        spark.streams.addListener(self)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        with self._lock:
+            self._rows.append((p.name or "", str(p.id), int(p.batchId), int(p.numInputRows),
+                               float(p.inputRowsPerSecond or 0.0), float(p.processedRowsPerSecond or 0.0),
+                               int((p.durationMs or {}).get("triggerExecution", 0))))
+            full = len(self._rows) >= self.hold
+        if full:
+            self._write()
+
+    def onQueryTerminated(self, event) -> None:
+        self._ended.add(str(event.id))
+
+    def _write(self) -> None:
+        with self._lock:
+            rows, self._rows = self._rows, []
+        if rows:
+            self.spark.createDataFrame(rows, self.COLUMNS).coalesce(1).write.mode("append").parquet(self.path)
+
+    def wait(self, *queries, seconds: float = 60.0) -> "ProgressTable":
+        """Until the reports of the given ended queries have all arrived."""
+        left = time.monotonic() + seconds
+        while not {str(q.id) for q in queries} <= self._ended:
+            if time.monotonic() > left:
+                raise TimeoutError("progress reports did not arrive")
+            time.sleep(0.05)
+        return self
+
+    def read(self) -> DataFrame:
+        self._write()
+        return self.spark.read.schema(self.COLUMNS).parquet(self.path)
+
+    def close(self) -> None:
+        self.spark.streams.removeListener(self)
+        self._write()

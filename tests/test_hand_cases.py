@@ -62,13 +62,32 @@ def test_code_listed_twice_doubles_rows(spark):
 def test_bad_json_goes_to_quarantine(spark):
     df = spark.createDataFrame([(1, b'{"crime_id": "1"}'), (2, b"not json"), (3, None)],
                                "offset long, value binary")
-    good, bad = split_malformed(df, CALL, "crime_id")
+    good, bad = split_malformed(df, CALL)
     assert [r.offset for r in bad.collect()] == [2]
     assert sorted(r.offset for r in good.collect()) == [1, 3]
     dec = df.select(S.decode_json("value", CALL).alias("d")).where("offset = 2")
     assert all(v is None for v in dec.collect()[0].d)
 
 
+def test_bad_means_not_a_json_object(spark):
+    texts = ['{"disposition": "A"}', "{}", '{"unknown": 1}', '{"disposition": "A"', "[1]", "5", "", "null",
+             ' {"city": null} ', '{"call_date_time": "never", "disposition": "B"}']
+    df = spark.createDataFrame(list(enumerate(texts)), "offset long, value string")
+    good, bad = split_malformed(df, CALL, fields=["call_date_time", "disposition"])
+    assert sorted(r.offset for r in bad.collect()) == [3, 4, 5, 6, 7]
+    assert {r.offset: r.disposition for r in good.collect()} == {0: "A", 1: None, 2: None, 8: None, 9: "B"}
+    _, strict = split_malformed(df, CALL, fields=["disposition"], required=["disposition"])
+    assert sorted(r.offset for r in strict.collect()) == [1, 2, 3, 4, 5, 6, 7, 8]
+
+
+def test_call_times_in_every_form(spark):
+    forms = ["2018-12-31T23:57:00.000", "2018-12-31T23:57:00", "2018-12-31 23:57:00", "2018-12-31T23:57:00.000000Z",
+             "2019-01-01T00:57:00+01:00", "2018-12-31T23:57:00.000000+00:00"]
+    df = spark.createDataFrame([('{"call_date_time": "%s"}' % f,) for f in forms], "value string")
+    got = df.select(S.decode_json("value", CALL)["call_date_time"].cast("timestamp_ntz").alias("t")).collect()
+    assert {r.t for r in got} == {dt.datetime(2018, 12, 31, 23, 57)} and len(got) == len(forms)
+
+
 ARR_DDL = ("line string, station_id int, direction string, train_id string, "
            "train_status string, prev_station_id int, prev_direction string, "
            "timestamp timestamp, offset long")

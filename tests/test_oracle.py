@@ -1,10 +1,10 @@
-"""Every registered query against its SQL twin in DuckDB (sf0.01), plus a
-run of every query without one. Mirrors the driver's correctness gate."""
+"""Every registered query that has one against its SQL twin in DuckDB
+(sf0.01). Mirrors the driver's correctness gate."""
 
 import pytest
 
 import __spark_entry__ as E
-from tests.conftest import SF_ORACLE, SF_SMALL
+from tests.conftest import SF_ORACLE
 from tools.oracle_check import compare, duck_con
 
 ORACLES = E.oracle_sql()
@@ -22,13 +22,6 @@ def test_query_matches_oracle(spark, con, name):
     assert r["match"], r
 
 
-@pytest.mark.parametrize("name", sorted(
-    n for n in set(QUERIES) - set(ORACLES) if n != "pipeline" and not n.startswith("op")))
-def test_query_without_oracle_runs(spark, name):
-    df = QUERIES[name](spark, SF_SMALL)
-    assert df.count() >= 0
-
-
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["disposition", "window_start", "window_end",
@@ -36,6 +29,6 @@ def test_entry_smoke(spark):
     assert df.count() > 0
 
 
-def test_every_query_has_sql_or_is_known_rows_only():
+def test_every_query_of_the_reference_has_sql():
     own = {n for n in QUERIES if n != "pipeline" and not n.startswith("op")}
-    assert own - set(ORACLES) == {"stream_progress"}
+    assert own <= set(ORACLES)

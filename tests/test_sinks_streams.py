@@ -46,7 +46,7 @@ def test_topic_stream_reads_every_file_once(spark):
     out = runner.run(dec, "readback", "append")
     assert out.count() == 40
     # pattern subscription over the same log root
-    assert read_topics(spark, loc, r"^police\.", stream=False).count() == 40
+    assert read_topics(spark, loc, r"^police\..*", stream=False).count() == 40
     assert read_topics(spark, loc, r"^nothing$", stream=False).count() == 0
 
 
@@ -72,16 +72,52 @@ def test_incremental_marks(spark):
     store = scratch_path(spark, "marks")
     df = spark.range(1, 11).withColumnRenamed("id", "k")
     assert INC.read_mark(spark, store, "s") is None
-    first = INC.incremental_pull(df.where("k <= 6"), "k", None)
-    INC.commit_mark(first, "k", store, "s")
-    assert INC.read_mark(spark, store, "s") == 6
-    nxt = INC.incremental_pull(df, "k", INC.read_mark(spark, store, "s"))
-    assert [r.k for r in nxt.collect()] == [7, 8, 9, 10]
-    INC.commit_mark(nxt, "k", store, "s")
-    INC.commit_mark(nxt.where("k > 100"), "k", store, "s")  # empty pull: no new mark
+    got = []
+    use = lambda new, last: got.append([r.k for r in new.collect()])
+    INC.poll(df.where("k <= 6"), "k", store, "s", use)
+    INC.poll(df, "k", store, "s", use)
+    INC.poll(df.where("k > 100"), "k", store, "s", use)  # an empty table: no new mark
+    assert got == [[1, 2, 3, 4, 5, 6], [7, 8, 9, 10], []]
     assert INC.read_mark(spark, store, "s") == 10
 
 
+def test_poll_loses_nothing_that_arrives_meanwhile(spark):
+    """Rows added between the use of a poll and its mark come with the next."""
+    path, store, got = scratch_path(spark, "grow"), scratch_path(spark, "marks"), []
+    add = lambda a, b: spark.range(a, b).write.mode("append").parquet(path)
+    add(0, 5)
+
+    def use(new, last):
+        add(5, 8)  # arrives after the bound was fixed
+        got.append(sorted(r.id for r in spark.read.parquet(path).where(
+            new.select("id").schema["id"].name + " >= 0").join(new, "id", "left_semi").collect()))
+    INC.poll(spark.read.parquet(path), "id", store, "s", use)
+    INC.poll(spark.read.parquet(path), "id", store, "s",
+             lambda new, last: got.append(sorted(r.id for r in new.collect())))
+    assert got == [[0, 1, 2, 3, 4], [5, 6, 7]]
+
+
+def test_marks_keep_their_type_and_broken_stores_fail(spark):
+    store = scratch_path(spark, "marks")
+    texts = spark.createDataFrame([("007",), ("006",)], "k string")
+    INC.commit_mark(texts, "k", "007", store, "s")
+    assert INC.read_mark(spark, store, "s") == "007"
+    broken = scratch_path(spark, "marks")
+    with open(f"{broken.replace('file:', '')}/part-0.parquet", "w") as fh:
+        fh.write("junk")
+    with pytest.raises(Exception):
+        INC.read_mark(spark, broken, "s")
+
+
+def test_polling_job_publishes_each_row_once(spark):
+    loc, store = scratch_path(spark, "poll-log"), scratch_path(spark, "marks")
+    df = spark.range(0, 20).withColumn("v", F.col("id") * 2)
+    for n in (8, 20, 20):
+        INC.poll_and_publish(df.where(F.col("id") < n), "id", store, "raw", loc)
+    log = TP.read_published(spark, loc, "raw")
+    assert sorted(r.offset for r in log.collect()) == list(range(20))
+
+
 def test_check_stations_finds_violations(spark):
     rows = [(1, "E", "a", "s", "d", 1, 1, True, False, False),
             (1, "EW", "a", "s", "d", 1, 1, True, False, False),
@@ -168,9 +204,9 @@ def test_upsert_latest_replay(spark):
     t = TB.KeyedTable(spark, scratch_path(spark, "keyed-test"), ["k"], ["o"])
     b0 = spark.createDataFrame([(1, 1, "a"), (2, 1, "b")], "k int, o int, v string")
     b1 = spark.createDataFrame([(1, 2, "c"), (1, 0, "z")], "k int, o int, v string")
-    TB.upsert_latest(b0, 0, t)
-    TB.upsert_latest(b1, 1, t)
-    TB.upsert_latest(b1, 1, t)  # replay
+    t.upsert(b0, 0)
+    t.upsert(b1, 1)
+    t.upsert(b1, 1)  # replay
     assert sorted((r.k, r.v) for r in t.read().collect()) == [(1, "c"), (2, "b")]
 
 
@@ -202,12 +238,15 @@ def test_calls_app_command_line(spark, shared):
 
 
 def test_versions_keep_newest_committed(spark):
-    """Readers take the newest committed version; only two are kept; a
-    folder without the writer's marker (a rewrite in progress) is ignored."""
+    """Readers take the newest committed version; older ones stay as long as
+    a reader may be on them; a folder without the writer's marker (a rewrite
+    in progress) is ignored."""
     from dispatchboard.sinks import versions as V
     path = scratch_path(spark, "versions-test")
     for b in range(4):
         V.commit(spark.range(b + 1), path, b)
+    assert V.committed(spark, path) == [0, 1, 2, 3]
+    V.commit(spark.range(4), path, 3, retain=0)
     assert V.committed(spark, path) == [2, 3]
     assert V.read_latest(spark, path).count() == 4
     assert V.read_latest(spark, path, below=3).count() == 3
@@ -296,7 +335,7 @@ def test_table_counts_stream_resumes_from_checkpoint(spark):
         rows = log.select(F.col("key").cast("string").alias("key"), "offset",
                           F.from_json(F.col("value").cast("string"), TURNSTILE)["station_id"]
                           .alias("station_id"))
-        got = run_table_counts(spark, rows, root, count_triggers=2)
+        got = run_table_counts(spark, rows, root)
     want = T.entries_per_station_table(turn.withColumn("key", F.col("key").cast("string")))
     assert sorted(got.collect()) == sorted(want.collect())
 
@@ -352,20 +391,144 @@ def test_calls_app_console(spark):
     apps.main(["calls", "--source", loc, "--trigger", "availableNow"])
 
 
-def test_log_publishing_helpers(spark):
-    """A small table is spread over LOG_FILES files; a table already in that
-    many files is written by its own tasks; triggers are sized from the
-    published file count."""
-    from dispatchboard.plans import streams as ST
-    from dispatchboard.sources.topics import log_file_count
-    src = scratch_path(spark, "spread-src")
-    spark.range(0, 100, 1, 1).write.parquet(f"{src}/one")
-    spark.range(0, 100, 1, 6).write.parquet(f"{src}/six")
-    one, six = spark.read.parquet(f"{src}/one"), spark.read.parquet(f"{src}/six")
-    assert ST._spread(one).rdd.getNumPartitions() == ST.LOG_FILES
-    assert ST._spread(six) is six
-    loc = scratch_path(spark, "log-count")
-    TP.publish(ST._spread(six), None, ["id"], "t", loc, offset_col="id")
-    assert log_file_count(spark, loc, "t") == 6
-    assert ST._per_trigger(spark, loc, "t") == 2
-    assert log_file_count(spark, loc, "missing") == 0
+def test_offsets_go_on_and_numbered_parts_replace(spark):
+    loc = scratch_path(spark, "log-offsets")
+    df = spark.range(0, 6, 1, 2).withColumn("o", F.col("id") + 1000)
+    TP.publish(df, None, ["id"], "t", loc)
+    first = TP.next_offset(spark, loc, "t")
+    TP.publish(df, None, ["id"], "t", loc)
+    log = TP.read_published(spark, loc, "t")
+    assert log.select("offset").distinct().count() == 12
+    assert log.where(F.col("offset") >= first).count() == 6
+    for _ in range(2):  # a retried job
+        TP.publish(df, None, ["id"], "u", loc, offset_col="o", batch=4)
+    assert TP.read_published(spark, loc, "u").count() == 6
+    os.makedirs(f"{loc.replace('file:', '')}/empty/_temporary/0")
+    assert not TP.topic_exists(spark, loc, "empty")
+    with pytest.raises(ValueError):
+        TP.publish(df, None, ["id"], "t", "broker:9092", fmt="kafka", if_absent=True)
+
+
+def test_pattern_opens_only_matching_topics(spark):
+    from dispatchboard.sources.topics import kafka_offsets, subscribe_pattern
+    loc = scratch_path(spark, "log-pattern")
+    for topic in ("a.one", "a.two", "b.one"):
+        TP.publish(spark.range(2), None, ["id"], topic, loc)
+    df = read_topics(spark, loc, r"a\..*", stream=False)
+    assert {f.split("/")[-2] for f in df.inputFiles()} == {"a.one", "a.two"}
+    assert read_topics(spark, loc, r"a\.", stream=False).count() == 0  # whole names, as a broker
+    assert subscribe_pattern(read_topics(spark, loc, ".*", stream=False), r"a\.").count() == 0
+    assert subscribe_pattern(read_topics(spark, loc, ".*", stream=False), r"[ab]\.one").count() == 4
+    assert kafka_offsets({0: 5, 1: -1}, "t") == '{"t": {"0": 5, "1": -1}}'
+    assert kafka_offsets("latest", "t") == "latest"
+    with pytest.raises(ValueError):
+        kafka_offsets({0: 5}, None)
+
+
+def test_latest_stream_reads_what_comes_after_its_first_start(spark):
+    loc, store, out = (scratch_path(spark, n) for n in ("log-latest", "start", "latest-out"))
+    put = lambda a, b: TP.publish(spark.range(a, b), None, ["id"], "t", loc)
+    put(0, 5)
+
+    def run(starting):
+        s = read_topic(spark, loc, "t", starting=starting, start_store=f"{store}/s").select("offset", "value")
+        return runner.start(s, "latest_test", "append", path=out).wait()
+    run({0: -1})
+    put(5, 8)
+    run({0: -1})
+    put(8, 9)
+    got = run({0: -1}).read(spark).select(F.get_json_object(F.col("value").cast("string"), "$.id").alias("i"))
+    assert sorted(r.i for r in got.collect()) == ["5", "6", "7", "8"]
+
+
+def test_progress_table_keeps_every_report(spark):
+    loc = scratch_path(spark, "log-progress")
+    for i in range(5):
+        TP.publish(spark.range(3), None, ["id"], "t", loc)
+    reports = runner.ProgressTable(spark, f"{scratch_path(spark, 'reports')}/r", hold=2)
+    try:
+        q = runner.start(read_topic(spark, loc, "t", max_files_per_trigger=1).select("offset"),
+                         "progress_test", "append").wait().query
+        rows = reports.wait(q).read().where(F.col("id") == str(q.id))
+        assert rows.agg(F.sum("num_input_rows")).first()[0] == 15 and rows.count() >= 5
+    finally:
+        reports.close()
+
+
+def test_restarted_summary_goes_on(spark):
+    """Three riders, a restart, two more: the topic's last total is five."""
+    from dispatchboard.streaming import apps
+    loc, state = scratch_path(spark, "log-summary"), scratch_path(spark, "state")
+    for riders in (3, 2):
+        rows = spark.range(riders).select(F.lit(7).alias("station_id"), F.lit("x").alias("station_name"),
+                                          F.lit("red").alias("line"))
+        TP.publish(rows, None, rows.columns, S.TOPIC_TURNSTILE, loc)
+        q = apps.start_summary_query(spark, apps.turnstile_stream(spark, loc), loc, "availableNow",
+                                     f"{state}/ck")
+        q.awaitTermination()
+        assert q.exception() is None
+    last = (TP.read_published(spark, loc, S.TOPIC_SUMMARY).orderBy(F.desc("offset"))
+            .select(F.col("value").cast("string").alias("v")).first().v)
+    assert last == '{"station_id":7,"count":5}'
+
+
+def test_a_bad_weather_message_keeps_the_last_reading(spark):
+    import datetime as dt
+    from dispatchboard.streaming.board import BoardState
+    from dispatchboard.sources.topics import LOG_COLUMNS
+    state = BoardState(spark, scratch_path(spark, "board-weather"))
+    station = '{"station_id": 1, "station_name": "n", "order": 1, "line": "red"}'
+    rows = [(None, v, t, 0, o, dt.datetime(2024, 1, 1, 0, o)) for o, (t, v) in enumerate([
+        (S.TOPIC_STATIONS_TABLE, station), (S.TOPIC_WEATHER, '{"temperature": 12.5, "status": "windy"}'),
+        (S.TOPIC_WEATHER, "{oops"), (S.TOPIC_SUMMARY, '{"count": 1}'), (S.TOPIC_ARRIVALS, "?")])]
+    batch = spark.createDataFrame(rows, "key string, value string, topic string, partition int, offset long, "
+                                        "timestamp timestamp").select(*LOG_COLUMNS)
+    for i in (0, 1):
+        state.apply(batch.where(F.col("offset") < 2 if i == 0 else F.col("offset") >= 2), i)
+    r = state.read().first()
+    assert (r.temperature, r.weather) == (12, "Windy")
+    assert sorted(x.offset for x in state.quarantined().collect()) == [2, 3, 4]
+
+
+def test_board_opens_only_its_feeds(spark):
+    from dispatchboard.sources.topics import read_topic_list
+    loc, out = scratch_path(spark, "log-feeds"), scratch_path(spark, "feeds-out")
+    for topic in ("weather", "turnstile"):
+        TP.publish(spark.range(4), None, ["id"], topic, loc)
+    q = runner.start(read_topic_list(spark, loc, ["weather", "later"]), "feeds", "append", path=out).wait()
+    assert q.read(spark).select("topic").distinct().collect()[0].topic == "weather"
+    assert q.query.lastProgress is None or "turnstile" not in str(q.query.lastProgress.sources)
+    TP.publish(spark.range(2), None, ["id"], "later", loc)
+    q = runner.start(read_topic_list(spark, loc, ["weather", "later"]), "feeds", "append", path=out).wait()
+    assert q.read(spark).groupBy("topic").count().orderBy("topic").collect()[0].asDict() == {
+        "topic": "later", "count": 2}
+
+
+def test_cluster_sessions_must_name_a_shared_folder():
+    from dispatchboard.session import checkpoint_root
+
+    class Context:
+        master = "spark://host:7077"
+
+        class _jsc:
+            @staticmethod
+            def sc():
+                class Sc:
+                    @staticmethod
+                    def getCheckpointDir():
+                        class None_:
+                            @staticmethod
+                            def isDefined():
+                                return False
+                        return None_
+                return Sc
+
+    class Session:
+        sparkContext = Context
+
+        class conf:
+            @staticmethod
+            def get(name, default=None):
+                return default
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_root(Session)
