@@ -7,6 +7,8 @@ table. A query without SQL is held against a brute-force version in
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,7 +76,45 @@ QUERIES = {f.__name__: f for f in (op1_mixing, op2_lattice, op3_licenses, op4_pa
                                    op5_simhash, op6_exact_dedup, op7_language, op8_toxicity,
                                    op9_sharding, op10_warc)}
 
+def _license_sql() -> str:
+    """Containment in every block by plain list intersection."""
+    upper, lower = string.ascii_uppercase, string.ascii_lowercase
+    known = ", ".join(f"('{label}', '{text.lower()}')" for label, text in licenses.TEMPLATES.items())
+    spots = ", ".join(
+        "list_filter(range(0, len(words)), lambda i: "
+        + " AND ".join(f"words[i + {k}] = '{w}'" for k, w in enumerate(phrase.split(), 1)) + f") AS p{n}"
+        for n, phrase in enumerate(licenses.BASE))
+    everywhere = " || ".join(f"p{n}" for n in range(len(licenses.BASE)))
+    labels = ", ".join(f"CASE WHEN len(p{n}) > 0 THEN '{label}' END"
+                       for n, label in enumerate(licenses.BASE.values()))
+    return f"""
+        WITH d AS (SELECT doc_id, translate(coalesce(text, ''), '{upper}', '{lower}') AS low
+                   FROM documents),
+        w AS (SELECT doc_id, low, regexp_extract_all(low, '{licenses.WORD}') AS words FROM d),
+        s AS (SELECT doc_id, low, len(words) AS n_words, {spots} FROM w),
+        b AS (SELECT doc_id, low, n_words, {everywhere} AS spots,
+                     list_filter([{labels}], lambda x: x IS NOT NULL) AS base FROM s),
+        t AS (SELECT label, list_distinct(regexp_extract_all(words, '{licenses.WORD}')) AS words
+              FROM (VALUES {known}) v(label, words)),
+        k AS (SELECT doc_id, regexp_extract_all(unnest(regexp_split_to_array(
+                regexp_replace(low, '([.!?])[ \\t]+', '\\1' || chr(10), 'g'), '[\\n\\r]+')),
+                '{licenses.WORD}') AS words FROM d),
+        c AS (SELECT k.doc_id, t.label,
+                     len(list_intersect(t.words, k.words)) / len(t.words) AS contained
+              FROM k, t WHERE len(k.words) > 0),
+        f AS (SELECT doc_id, list(DISTINCT label) AS more, max(contained) AS best
+              FROM c WHERE contained >= {licenses.CONTAINMENT} GROUP BY doc_id)
+        SELECT b.doc_id, n_words, len(spots) AS n_base, list_min(spots) AS first_word,
+               list_max(spots) AS last_word,
+               coalesce(array_to_string(list_sort(list_distinct(base)), ','), '') AS base_labels,
+               coalesce(array_to_string(list_sort(list_distinct(base || coalesce(more, []))), ','), '')
+                 AS labels,
+               CASE WHEN len(base) > 0 THEN 1.0::DOUBLE ELSE coalesce(best, 0.0)::DOUBLE END AS score
+        FROM b LEFT JOIN f ON b.doc_id = f.doc_id"""
+
+
 ORACLES = {
+    "op3_licenses": _license_sql(),
     "op6_exact_dedup": """
         WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents)
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
