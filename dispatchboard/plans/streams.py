@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from dispatchboard.functions import scalars as S
 from dispatchboard.operators import calls as C
 from dispatchboard.operators import transit as T
+from dispatchboard.operators.keyed import latest_by
 from dispatchboard.plans import fixtures as X
 from dispatchboard.schemas import ARRIVAL, STATION, STOPS, TURNSTILE
 from dispatchboard.session import scratch_path
@@ -40,18 +41,15 @@ def call_stream(spark, location, max_files=FILES_PER_TRIGGER) -> tuple[DataFrame
     return apps.call_stream(spark, location, max_files_per_trigger=max_files)
 
 
-def _call_query(spark, sf_dir, described: bool, loc: str | None = None):
-    """One named query of the flagship over the published calls, through the
-    application launcher. Results are stored unsorted and read sorted
-    (SRT-1), so a trigger does not run its stateful plan twice for a sort."""
+def _call_query(spark, sf_dir, described: bool = False, loc: str | None = None):
+    """The flagship over the published calls, each trigger writing what it
+    changed."""
     if loc is None:
         loc = _log(spark, "calls")
         publish_calls(spark, sf_dir, loc)
     good, _ = call_stream(spark, loc)
-    codes = X.codes(spark, sf_dir) if described else None
-    (res,) = apps.start_call_queries(good, codes, "availableNow", _log(spark, "results"),
-                                     described_only=described)
-    return res
+    name = "crime_type_count_described" if described else "crime_type_count"
+    return apps.start_call_counts(good, _log(spark, "results"), "availableNow", name)
 
 
 def stream_call_queries(spark, sf_dir):
@@ -67,11 +65,12 @@ def stream_call_queries(spark, sf_dir):
 
 
 def stream_window_counts(spark, sf_dir):
-    return C.by_count_desc(_call_query(spark, sf_dir, False).wait().read(spark))
+    return C.by_count_desc(apps.read_call_counts(spark, _call_query(spark, sf_dir).wait()))
 
 
 def stream_window_described(spark, sf_dir):
-    return C.by_count_desc(_call_query(spark, sf_dir, True).wait().read(spark))
+    return C.by_count_desc(apps.read_call_counts(spark, _call_query(spark, sf_dir, True).wait(),
+                                                 X.codes(spark, sf_dir)))
 
 
 def stream_progress(spark, sf_dir):
@@ -108,7 +107,7 @@ def calls_json_formats(spark, sf_dir):
     """The flagship over messages as a feed writes them."""
     loc = _log(spark, "calls")
     publish_mixed_calls(spark, sf_dir, loc)
-    return _call_query(spark, sf_dir, False, loc).wait().read(spark)
+    return apps.read_call_counts(spark, _call_query(spark, sf_dir, loc=loc).wait())
 
 
 def stream_quarantine(spark, sf_dir):
@@ -297,18 +296,17 @@ def stream_board_bad_records(spark, sf_dir):
 
 
 def stream_entries_table(spark, sf_dir):
-    """AGG-3 as a stream: the keyed table lives in the state store (latest
-    row per message key), and its changes are counted per station."""
-    from dispatchboard.streaming.table_counts import run_table_counts
+    """AGG-3 as a stream: the latest station of each message key is a hash
+    aggregate in the state store; a trigger writes the keys it changed, and
+    the stations are counted when the result is read. (Running totals per
+    trigger: ``streaming.table_counts``.)"""
     loc = _log(spark, "turnstile")
-    t = X.turnstile(spark, sf_dir)
-    publish(t, [F.col("key").alias("timestamp")],
-            [f.name for f in TURNSTILE.fields], S.TOPIC_TURNSTILE, loc,
-            offset_col="offset", time_col="timestamp")
-    log = read_topic(spark, loc, S.TOPIC_TURNSTILE,
-                     max_files_per_trigger=FILES_PER_TRIGGER)
-    rows = log.select(F.col("key").cast("string").alias("key"), "offset",
-                      F.from_json(F.col("value").cast("string"), TURNSTILE)["station_id"]
-                      .alias("station_id"))
-    return run_table_counts(spark, rows, scratch_path(spark, "turnstile-table"),
-                            max_files_per_trigger=FILES_PER_TRIGGER)
+    publish(X.turnstile(spark, sf_dir), [F.col("key").alias("timestamp")], TURNSTILE.names,
+            S.TOPIC_TURNSTILE, loc, offset_col="offset", time_col="timestamp")
+    log = read_topic(spark, loc, S.TOPIC_TURNSTILE, max_files_per_trigger=FILES_PER_TRIGGER)
+    key = F.get_json_object(F.col("key").cast("string"), "$.timestamp").cast("long").alias("key")
+    station = S.decode_json("value", TURNSTILE)["station_id"].alias("station_id")
+    latest = latest_by(log.select(key, "offset", station), "key", "offset", ["station_id"])
+    table = runner.start(latest, "turnstile_table", "changes", "availableNow", keys=["key"],
+                         path=_log(spark, "turnstile-table")).wait().read(spark)
+    return T.entries_per_station(table)

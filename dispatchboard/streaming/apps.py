@@ -98,6 +98,22 @@ def start_call_queries(calls: DataFrame, codes: DataFrame | None = None,
     return started
 
 
+def start_call_counts(calls: DataFrame, out: str, trigger: str = "10 seconds",
+                      name: str = "crime_type_count"):
+    """The flagship's counts in changes mode: a trigger writes the counts of
+    the slide buckets it changed, however large the result has grown. Read
+    with ``read_call_counts``."""
+    return runner.start(C.call_bucket_counts(calls), name, "changes", trigger,
+                        keys=["bucket_start", C.TYPE_COL, C.DISPOSITION_COL], path=out)
+
+
+def read_call_counts(spark: SparkSession, result, codes: DataFrame | None = None) -> DataFrame:
+    """Window counts from the newest bucket counts, described if ``codes``
+    are given."""
+    windows = C.windows_from_buckets(result.read(spark))
+    return windows if codes is None else C.with_disposition(windows, codes)
+
+
 def _start_shared(buckets: DataFrame, lookup: DataFrame, trigger: str, out: str) -> list:
     from dispatchboard.sinks import versions
     plain, described = f"{out}/crime_type_count", f"{out}/crime_type_count_described"

@@ -8,7 +8,10 @@ root, never in driver memory:
   are removed by age (``sinks.versions``).
 * append mode: each micro-batch writes its own part (``batch=<id>``),
   overwritten on replay, so at-least-once delivery gives exactly-once files.
-* update mode: rows are merged into a ``KeyedTable`` by key.
+* update mode: rows are merged into a ``KeyedTable`` by key (small tables).
+* changes mode: update mode for results that grow with the input. A
+  micro-batch writes only the rows it changed, as its own part, and a reader
+  takes the newest row of each key; nothing is rewritten.
 
 Every query has its own checkpoint folder, so a lost executor or a restarted
 driver resumes from the last committed offsets and state.
@@ -24,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
 
+from dispatchboard.operators.keyed import latest_by
 from dispatchboard.session import scratch_path
 from dispatchboard.sinks import versions
 from dispatchboard.sinks.tables import KeyedTable
@@ -33,8 +37,8 @@ from dispatchboard.streaming.triggers import trigger_kwargs  # noqa: F401 (re-ex
 class StreamResult:
     """A started query and the folder its results go to."""
 
-    def __init__(self, query, path: str, mode: str, table: KeyedTable | None = None):
-        self.query, self.path, self.mode, self.table = query, path, mode, table
+    def __init__(self, query, path: str, mode: str, table: KeyedTable | None = None, keys=()):
+        self.query, self.path, self.mode, self.table, self.keys = query, path, mode, table, list(keys)
 
     def wait(self) -> "StreamResult":
         self.query.awaitTermination()
@@ -47,7 +51,11 @@ class StreamResult:
             return self.table.read()
         if self.mode == "complete":
             return versions.read_latest(spark, self.path)
-        return spark.read.parquet(f"{self.path}/parts").drop("batch")
+        parts = spark.read.parquet(f"{self.path}/parts")
+        if self.mode == "changes":
+            return latest_by(parts, self.keys, "batch",
+                             [c for c in parts.columns if c not in (*self.keys, "batch")])
+        return parts.drop("batch")
 
 
 def start(df: DataFrame, name: str, mode: str = "complete",
@@ -55,8 +63,7 @@ def start(df: DataFrame, name: str, mode: str = "complete",
           path: str | None = None, transform=None) -> StreamResult:
     """Start ``df`` (a streaming frame) as query ``name`` writing to a folder.
 
-    ``keys`` are required for update mode: rows are upserted by key, later
-    batches winning. ``transform`` (complete mode) maps each micro-batch's
+    ``keys`` are required for update and changes mode: later batches win. ``transform`` (complete mode) maps each micro-batch's
     full result, a static frame, before it is written; batch-only steps such
     as a second aggregation go there.
     """
@@ -69,7 +76,10 @@ def start(df: DataFrame, name: str, mode: str = "complete",
             if transform is not None:
                 batch = transform(batch)
             versions.commit(batch, path, batch_id)
-    elif mode == "append":
+    elif mode in ("append", "changes"):
+        if mode == "changes" and not keys:
+            raise ValueError("changes mode needs keys")
+
         def sink(batch: DataFrame, batch_id: int) -> None:
             (batch.write.mode("overwrite")
              .parquet(f"{path}/parts/batch={batch_id:020d}"))
@@ -83,10 +93,10 @@ def start(df: DataFrame, name: str, mode: str = "complete",
     else:
         raise ValueError(f"unknown output mode {mode!r}")
 
-    q = (df.writeStream.queryName(name).outputMode(mode)
+    q = (df.writeStream.queryName(name).outputMode("update" if mode == "changes" else mode)
          .option("checkpointLocation", f"{path}/_checkpoint")
          .foreachBatch(sink).trigger(**trigger_kwargs(trigger)).start())
-    return StreamResult(q, path, mode, table)
+    return StreamResult(q, path, mode, table, keys or ())
 
 
 def run(df: DataFrame, name: str, mode: str = "complete", keys=None) -> DataFrame:
