@@ -5,6 +5,8 @@ against the same SQL twins."""
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +16,7 @@ from dispatchboard.operators import transit as T
 from dispatchboard.operators.keyed import latest_by
 from dispatchboard.plans import fixtures as X
 from dispatchboard.schemas import ARRIVAL, STATION, STOPS, TURNSTILE
-from dispatchboard.session import scratch_path
+from dispatchboard.session import drop_path, scratch_path
 from dispatchboard.sinks.topics import as_records, publish
 from dispatchboard.sources.topics import LOG_COLUMNS, read_topic
 from dispatchboard.streaming import apps, runner
@@ -29,6 +31,17 @@ def _log(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, f"log-{name}")
 
 
+@contextmanager
+def _feed(spark: SparkSession, name: str):
+    """A folder of topic logs for one run, removed when its streams have
+    taken it in: results never read it."""
+    path = _log(spark, name)
+    try:
+        yield path
+    finally:
+        drop_path(spark, path)
+
+
 def publish_calls(spark, sf_dir, location) -> None:
     c = X.calls(spark, sf_dir).withColumn(
         "call_date_time", F.col("call_date_time").cast("timestamp"))
@@ -41,35 +54,34 @@ def call_stream(spark, location, max_files=FILES_PER_TRIGGER) -> tuple[DataFrame
     return apps.call_stream(spark, location, max_files_per_trigger=max_files)
 
 
-def _call_query(spark, sf_dir, described: bool = False, loc: str | None = None):
+def run_call_counts(spark, sf_dir, described: bool = False, publish_feed=publish_calls):
     """The flagship over the published calls, each trigger writing what it
-    changed."""
-    if loc is None:
-        loc = _log(spark, "calls")
-        publish_calls(spark, sf_dir, loc)
-    good, _ = call_stream(spark, loc)
+    changed; the ended query and its result folder."""
     name = "crime_type_count_described" if described else "crime_type_count"
-    return apps.start_call_counts(good, _log(spark, "results"), "availableNow", name)
+    with _feed(spark, "calls") as loc:
+        publish_feed(spark, sf_dir, loc)
+        good, _ = call_stream(spark, loc)
+        return apps.start_call_counts(good, _log(spark, "results"), "availableNow", name).wait()
 
 
 def stream_call_queries(spark, sf_dir):
     """STR-4: both named queries of the flagship, from one published lineage,
     running side by side in one session (each with its own state)."""
-    loc = _log(spark, "calls")
-    publish_calls(spark, sf_dir, loc)
-    good, _ = call_stream(spark, loc)
-    q1, q2 = apps.start_call_queries(good, X.codes(spark, sf_dir), "availableNow",
-                                     _log(spark, "results"))
-    q1.wait(), q2.wait()
+    with _feed(spark, "calls") as loc:
+        publish_calls(spark, sf_dir, loc)
+        good, _ = call_stream(spark, loc)
+        q1, q2 = apps.start_call_queries(good, X.codes(spark, sf_dir), "availableNow",
+                                         _log(spark, "results"))
+        q1.wait(), q2.wait()
     return q1, q2
 
 
 def stream_window_counts(spark, sf_dir):
-    return C.by_count_desc(apps.read_call_counts(spark, _call_query(spark, sf_dir).wait()))
+    return C.by_count_desc(apps.read_call_counts(spark, run_call_counts(spark, sf_dir)))
 
 
 def stream_window_described(spark, sf_dir):
-    return C.by_count_desc(apps.read_call_counts(spark, _call_query(spark, sf_dir, True).wait(),
+    return C.by_count_desc(apps.read_call_counts(spark, run_call_counts(spark, sf_dir, True),
                                                  X.codes(spark, sf_dir)))
 
 
@@ -105,22 +117,20 @@ def publish_mixed_calls(spark, sf_dir, location) -> None:
 
 def calls_json_formats(spark, sf_dir):
     """The flagship over messages as a feed writes them."""
-    loc = _log(spark, "calls")
-    publish_mixed_calls(spark, sf_dir, loc)
-    return apps.read_call_counts(spark, _call_query(spark, sf_dir, loc=loc).wait())
+    return apps.read_call_counts(spark, run_call_counts(spark, sf_dir, publish_feed=publish_mixed_calls))
 
 
 def stream_quarantine(spark, sf_dir):
     """PRJ-20 as a stream: offsets of the messages that don't decode, kept
     in the quarantine output while the others go on."""
     from dispatchboard.streaming.quarantine import start_quarantine
-    loc = _log(spark, "calls")
     c = X.calls(spark, sf_dir).withColumn("call_date_time", F.col("call_date_time").cast("timestamp"))
     cols = ["crime_id", "original_crime_type_name", "call_date_time", "disposition"]
-    _broken(c, F.col("offset") % 7 == 3, None, cols, S.TOPIC_CALLS, loc, offset_col="offset")
-    _, bad = call_stream(spark, loc)
-    return start_quarantine(bad, "calls_quarantine", _log(spark, "quarantine"),
-                            "availableNow").wait().read(spark).select("offset")
+    with _feed(spark, "calls") as loc:
+        _broken(c, F.col("offset") % 7 == 3, None, cols, S.TOPIC_CALLS, loc, offset_col="offset")
+        _, bad = call_stream(spark, loc)
+        kept = start_quarantine(bad, "calls_quarantine", _log(spark, "quarantine"), "availableNow").wait()
+    return kept.read(spark).select("offset")
 
 
 def _broken(df, where, key_cols, value_cols, topic, location, **options) -> None:
@@ -136,21 +146,20 @@ def _broken(df, where, key_cols, value_cols, topic, location, **options) -> None
 def stream_latest(spark, sf_dir):
     """SRC-3: a stream from "latest" reads what is published after its start
     and nothing before, also over a restart."""
-    loc, store = _log(spark, "latest"), f"{_log(spark, 'latest-start')}/start"
+    store, out = f"{_log(spark, 'latest-start')}/start", _log(spark, "latest-out")
     e = X.table(spark, sf_dir, "events").select("event_id", "event_type")
     early = F.col("event_type").isin("view", "click")
 
-    def read():
-        return runner.start(
-            read_topic(spark, loc, "events", starting="latest", start_store=store).select("offset", "value"),
-            "latest", "append", path=out).wait()
-    out = _log(spark, "latest-out")
-    publish(e.where(early), None, ["event_id"], "events", loc, offset_col="event_id")
-    read()
-    publish(e.where(~early).withColumn("offset", F.col("event_id") + (1 << 40)), None, ["event_id"],
-            "events", loc, offset_col="offset")
-    return (read().read(spark).select(F.get_json_object(F.col("value").cast("string"), "$.event_id")
-                                      .cast("long").alias("event_id")))
+    later = e.where(~early).withColumn("offset", F.col("event_id") + (1 << 40))
+    with _feed(spark, "latest") as loc:
+        publish(e.where(early), None, ["event_id"], "events", loc, offset_col="event_id")
+        for rows in (None, later):
+            if rows is not None:
+                publish(rows, None, ["event_id"], "events", loc, offset_col="offset")
+            log = read_topic(spark, loc, "events", starting="latest", start_store=store)
+            seen = runner.start(log.select("offset", "value"), "latest", "append", path=out).wait()
+    return seen.read(spark).select(F.get_json_object(F.col("value").cast("string"), "$.event_id")
+                                   .cast("long").alias("event_id"))
 
 
 def stream_bounded_counts(spark, sf_dir):
@@ -160,26 +169,21 @@ def stream_bounded_counts(spark, sf_dir):
     watermark to the latest call time (to the millisecond) less one hour,
     and every window that closed by then is emitted once. Late calls over
     several triggers are covered by a hand test."""
-    loc = _log(spark, "calls")
-    publish_calls(spark, sf_dir, loc)
-    good, _ = call_stream(spark, loc, max_files=None)
-    return runner.run(C.bounded_call_counts(good), "crime_type_count_bounded", "append")
+    with _feed(spark, "calls") as loc:
+        publish_calls(spark, sf_dir, loc)
+        good, _ = call_stream(spark, loc, max_files=None)
+        return runner.run(C.bounded_call_counts(good), "crime_type_count_bounded", "append")
 
 
 def stream_slots(spark, sf_dir):
     """STR-6 as a stream: arrivals topic log -> slot aggregate, complete mode."""
-    loc = _log(spark, "arrivals")
-    a = X.arrivals(spark, sf_dir)
-    publish(a, [F.col("key").alias("timestamp")],
-            [f.name for f in ARRIVAL.fields], S.TOPIC_ARRIVALS, loc,
-            offset_col="offset", time_col="timestamp")
-    log = read_topic(spark, loc, S.TOPIC_ARRIVALS,
-                     max_files_per_trigger=FILES_PER_TRIGGER)
-    arr = (log.select("timestamp", "offset",
-                      F.from_json(F.col("value").cast("string"), ARRIVAL).alias("v"))
-           .select("timestamp", "offset", "v.*"))
     stations = T.line_stations(X.stops(spark, sf_dir))
-    return runner.run(T.slot_occupancy(arr, stations), "slots", "complete")
+    with _feed(spark, "arrivals") as loc:
+        publish(X.arrivals(spark, sf_dir), [F.col("key").alias("timestamp")], ARRIVAL.names,
+                S.TOPIC_ARRIVALS, loc, offset_col="offset", time_col="timestamp")
+        log = read_topic(spark, loc, S.TOPIC_ARRIVALS, max_files_per_trigger=FILES_PER_TRIGGER)
+        arr, _ = split_malformed(log, ARRIVAL)
+        return runner.run(T.slot_occupancy(arr, stations), "slots", "complete")
 
 
 def publish_stops(spark, sf_dir, location) -> None:
@@ -190,11 +194,11 @@ def publish_stops(spark, sf_dir, location) -> None:
 
 def _stations(spark, sf_dir, changes: str):
     """The station job over the raw stops; its changelog goes to ``changes``."""
-    loc = _log(spark, "stations")
-    publish_stops(spark, sf_dir, loc)
-    q, table = apps.start_station_job(spark, loc, _log(spark, "station-job"), changes, "availableNow",
-                                      max_files_per_trigger=FILES_PER_TRIGGER)
-    _ended(q)
+    with _feed(spark, "stations") as loc:
+        publish_stops(spark, sf_dir, loc)
+        q, table = apps.start_station_job(spark, loc, _log(spark, "station-job"), changes, "availableNow",
+                                          max_files_per_trigger=FILES_PER_TRIGGER)
+        _ended(q)
     return table
 
 
@@ -222,17 +226,12 @@ def stream_changelog(spark, sf_dir):
 
 def stream_entries(spark, sf_dir):
     """AGG-2 in update mode, rows upserted by station (the summary table)."""
-    loc = _log(spark, "turnstile")
-    t = X.turnstile(spark, sf_dir)
-    publish(t, [F.col("key").alias("timestamp")],
-            [f.name for f in TURNSTILE.fields], S.TOPIC_TURNSTILE, loc,
-            offset_col="offset", time_col="timestamp")
-    log = read_topic(spark, loc, S.TOPIC_TURNSTILE,
-                     max_files_per_trigger=FILES_PER_TRIGGER)
-    rows = (log.select(F.from_json(F.col("value").cast("string"), TURNSTILE).alias("v"))
-            .select("v.*"))
-    return runner.run(T.entries_per_station(rows), "turnstile_summary", "update",
-                      keys=["station_id"])
+    with _feed(spark, "turnstile") as loc:
+        publish(X.turnstile(spark, sf_dir), [F.col("key").alias("timestamp")], TURNSTILE.names,
+                S.TOPIC_TURNSTILE, loc, offset_col="offset", time_col="timestamp")
+        rows = apps.turnstile_stream(spark, loc, max_files_per_trigger=FILES_PER_TRIGGER)
+        return runner.run(T.entries_per_station(rows), "turnstile_summary", "update",
+                          keys=["station_id"])
 
 
 def _board_feeds(spark, sf_dir) -> dict:
@@ -257,42 +256,43 @@ def _run_board(spark, root, state) -> DataFrame:
 def stream_board(spark, sf_dir):
     """The assembled board as a stream: stations from the station job's
     changelog, arrivals, weather, and the summary query's counts."""
-    root = _log(spark, "board")
-    _stations(spark, sf_dir, root)
-    for topic, (df, key, fields, options) in _board_feeds(spark, sf_dir).items():
-        publish(df, key, fields, topic, root, **options)
-    return _run_board(spark, root, _log(spark, "board-state")).read()
+    with _feed(spark, "board") as root:
+        _stations(spark, sf_dir, root)
+        for topic, (df, key, fields, options) in _board_feeds(spark, sf_dir).items():
+            publish(df, key, fields, topic, root, **options)
+        return _run_board(spark, root, _log(spark, "board-state")).read()
 
 
 def stream_board_resumed(spark, sf_dir):
     """The board stopped after half of its feeds and started again on the
     rest, taken in as one larger batch."""
-    root, state = _log(spark, "board"), _log(spark, "board-state")
-    _stations(spark, sf_dir, root)
-    cut = F.lit("2024-01-12").cast("timestamp_ntz")
-    for first in (True, False):
-        for topic, (df, key, fields, options) in _board_feeds(spark, sf_dir).items():
-            early = F.coalesce(F.col("timestamp") < cut, F.lit(True))
-            publish(df.where(early if first else ~early), key, fields, topic, root, **options)
-        board = _run_board(spark, root, state)
+    state, cut = _log(spark, "board-state"), F.lit("2024-01-12").cast("timestamp_ntz")
+    early = F.coalesce(F.col("timestamp") < cut, F.lit(True))
+    with _feed(spark, "board") as root:
+        _stations(spark, sf_dir, root)
+        for part in (early, ~early):
+            for topic, (df, key, fields, options) in _board_feeds(spark, sf_dir).items():
+                publish(df.where(part), key, fields, topic, root, **options)
+            board = _run_board(spark, root, state)
     return board.read()
 
 
 def stream_board_bad_records(spark, sf_dir):
     """The board over feeds in which some messages are broken: it shows what
     it would without them."""
-    root = _log(spark, "board")
-    _stations(spark, sf_dir, root)
     junk = (spark.createDataFrame([("{",), ("[1]",), ("{}",), ("",)], "text string")
             .select(F.lit(None).cast("binary").alias("key"), F.col("text").cast("binary").alias("value"),
-                    F.lit(0).alias("partition"), F.lit((1 << 50)).alias("offset"),
+                    F.lit(0).alias("partition"), F.lit(1 << 50).alias("offset"),
                     F.lit("2099-01-01").cast("timestamp").alias("timestamp")))
-    for topic in (S.TOPIC_STATIONS_TABLE, S.TOPIC_SUMMARY, S.TOPIC_WEATHER, S.TOPIC_ARRIVALS, S.TOPIC_TURNSTILE):
-        (junk.withColumn("topic", F.lit(topic)).select(*LOG_COLUMNS).write.mode("append")
-         .parquet(f"{root}/{topic}"))
-    for topic, (df, key, fields, options) in _board_feeds(spark, sf_dir).items():
-        _broken(df, F.col("offset") % 5 == 2, key, fields, topic, root, **options)
-    return _run_board(spark, root, _log(spark, "board-state")).read()
+    feeds = _board_feeds(spark, sf_dir)
+    with _feed(spark, "board") as root:
+        _stations(spark, sf_dir, root)
+        for topic in (*feeds, S.TOPIC_STATIONS_TABLE, S.TOPIC_SUMMARY):
+            (junk.withColumn("topic", F.lit(topic)).select(*LOG_COLUMNS).write.mode("append")
+             .parquet(f"{root}/{topic}"))
+        for topic, (df, key, fields, options) in feeds.items():
+            _broken(df, F.col("offset") % 5 == 2, key, fields, topic, root, **options)
+        return _run_board(spark, root, _log(spark, "board-state")).read()
 
 
 def stream_entries_table(spark, sf_dir):
@@ -300,13 +300,13 @@ def stream_entries_table(spark, sf_dir):
     aggregate in the state store; a trigger writes the keys it changed, and
     the stations are counted when the result is read. (Running totals per
     trigger: ``streaming.table_counts``.)"""
-    loc = _log(spark, "turnstile")
-    publish(X.turnstile(spark, sf_dir), [F.col("key").alias("timestamp")], TURNSTILE.names,
-            S.TOPIC_TURNSTILE, loc, offset_col="offset", time_col="timestamp")
-    log = read_topic(spark, loc, S.TOPIC_TURNSTILE, max_files_per_trigger=FILES_PER_TRIGGER)
     key = F.get_json_object(F.col("key").cast("string"), "$.timestamp").cast("long").alias("key")
     station = S.decode_json("value", TURNSTILE)["station_id"].alias("station_id")
-    latest = latest_by(log.select(key, "offset", station), "key", "offset", ["station_id"])
-    table = runner.start(latest, "turnstile_table", "changes", "availableNow", keys=["key"],
-                         path=_log(spark, "turnstile-table")).wait().read(spark)
+    with _feed(spark, "turnstile") as loc:
+        publish(X.turnstile(spark, sf_dir), [F.col("key").alias("timestamp")], TURNSTILE.names,
+                S.TOPIC_TURNSTILE, loc, offset_col="offset", time_col="timestamp")
+        log = read_topic(spark, loc, S.TOPIC_TURNSTILE, max_files_per_trigger=FILES_PER_TRIGGER)
+        latest = latest_by(log.select(key, "offset", station), "key", "offset", ["station_id"])
+        table = runner.start(latest, "turnstile_table", "changes", "availableNow", keys=["key"],
+                             path=_log(spark, "turnstile-table")).wait().read(spark)
     return T.entries_per_station(table)

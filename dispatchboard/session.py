@@ -79,3 +79,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(folder)
     return path
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Remove a scratch folder of this package's own."""
+    if "/dispatchboard/" not in path:
+        raise ValueError(f"not a scratch folder: {path}")
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
