@@ -124,12 +124,14 @@ def tokenized_pieces(docs: DataFrame, tokenizer: str, sequence: int = SEQUENCE_T
 
 def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
     """Bin number and offset of every length (each from 1 to capacity), in
-    the given order. Where choices tie, the smallest gap wins, then an open
-    bin before a new one."""
+    the given order. A new bin is one of the choices while fewer are open
+    than all lengths need at least, and afterwards only where no open bin has
+    room. Where choices tie, the smallest gap wins, then an open bin before a
+    new one."""
     count = np.zeros(capacity + 1, np.int64)  # open bins by gap; gap 0 is not open
     bins: list[list[int]] = [[] for _ in range(capacity + 1)]
     where, offset = np.empty(len(lengths), np.int64), np.empty(len(lengths), np.int64)
-    made = 0
+    made, least = 0, -(-int(np.sum(lengths)) // capacity)
     for i, size in enumerate(map(int, lengths)):
         rest = capacity - size
         best, cost = -1, 2 * int(count[rest]) + 1 if rest else 0
@@ -139,7 +141,7 @@ def sum_of_squares(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.n
             change[0] = 1 - 2 * gaps[0]  # the bin is filled and closes
             change[gaps == 0] = np.iinfo(np.int64).max
             k = int(change.argmin())
-            if change[k] <= cost:
+            if change[k] <= cost or made >= least:
                 best = size + k
         if best < 0:
             where[i], offset[i] = made, 0
