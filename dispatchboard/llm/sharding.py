@@ -24,7 +24,7 @@ from bisect import bisect_left
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from dispatchboard.llm.shared import located, saved, text_or_empty
+from dispatchboard.llm.shared import located, saved, small_table, text_or_empty
 
 SHARDS = 40
 OVERHEAD_BYTES = 16
@@ -131,10 +131,11 @@ def shard_by_bytes(docs: DataFrame, shards: int = SHARDS, overhead: int = OVERHE
     dealt = []
     for r in sorted(sums, key=lambda r: (-r["bytes"], r["range"], r["part"])):
         filled, shard = heapq.heappop(free)
-        dealt.append((r["range"], r["part"], shard, -(-r["rows"] // CHUNK_ROWS)))
+        dealt.append({"range": r["range"], "part": r["part"], "shard": shard,
+                      "chunks": -(-r["rows"] // CHUNK_ROWS)})
         heapq.heappush(free, (filled + r["bytes"], shard))
     # A fixed number of ranges, so this side's size is bounded.
-    deal = F.broadcast(spark.createDataFrame(dealt, "range int, part int, shard int, chunks long"))
+    deal = F.broadcast(small_table(spark, dealt, "range: int, part: int, shard: int, chunks: bigint"))
     placed = (ranged.join(deal, ["range", "part"])
               .withColumn("chunk", F.pmod(F.xxhash64("tie", "key"), F.col("chunks"))))
     piece = ["shard", "range", "part", "chunk"]

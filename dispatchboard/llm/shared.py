@@ -8,6 +8,7 @@ frames handed back read them lazily.
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Iterable
 
@@ -58,6 +59,12 @@ def located(docs: DataFrame) -> tuple[DataFrame, str]:
         return add(saved(docs, "rows")), at
 
 
+def small_table(spark: SparkSession, rows: list[dict], ddl: str) -> DataFrame:
+    """A few rows the driver has worked out, as part of the plan itself."""
+    text = F.lit(json.dumps(rows))
+    return spark.range(1).select(F.inline(F.from_json(text, f"array<struct<{ddl}>>")))
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
