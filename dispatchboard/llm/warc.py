@@ -174,18 +174,21 @@ def write_bundles(pages: DataFrame, folder: str) -> DataFrame:
     size = F.octet_length("payload")
     rank = F.struct(F.col("page_id").isNull().alias("none"), F.col("page_id"), F.col("place"))
     keys = rows.where(size >= LEAST_BYTES).select("digest", rank.alias("rank"))
-    # Only payloads that occur more than once need the join.
+    # Only payloads that occur more than once need the join, and of those only
+    # digests and places move; a page's payload is shuffled once, to its task.
     firsts = (keys.groupBy("digest").agg(F.min("rank").alias("first"), F.count(F.lit(1)).alias("n"))
               .where(F.col("n") > 1).drop("n"))
+    again = saved(keys.join(firsts, "digest").where(F.col("rank.place") != F.col("first.place"))
+                  .select(F.col("rank.place").alias("place"), F.lit(True).alias("again"),
+                          F.col("first.page_id").cast("string").alias("first_id"),
+                          F.col("first.place").alias("first_place")), "revisits")
     total = rows.agg(F.sum(size)).first()[0] or 0
     tasks = max(1, -(-total // BUNDLE_BYTES))
-    marked = (rows.join(firsts, "digest", "left")
-              .withColumn("again", F.col("first").isNotNull() & (size >= LEAST_BYTES)
-                          & (F.col("first.place") != F.col("place")))
-              .select(F.col("page_id").cast("string"), "place", "url", "payload", "digest", "again",
-                      F.col("first.page_id").cast("string").alias("first_id"),
-                      F.coalesce("first.place", F.lit(0)).alias("first_place"))
-              .repartition(tasks, "place").sortWithinPartitions("place", "page_id"))
+    marked = (rows.repartition(tasks, "place").join(again, "place", "left")
+              .select(F.col("page_id").cast("string"), "place", "url", "payload", "digest",
+                      F.coalesce("again", F.lit(False)).alias("again"), "first_id",
+                      F.coalesce("first_place", F.lit(0)).alias("first_place"))
+              .sortWithinPartitions("place", "page_id"))
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bundles = _Bundles(folder, TaskContext.get().partitionId())
