@@ -17,6 +17,7 @@ table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import string
 import struct
 import zlib
 from collections.abc import Callable, Iterator
@@ -36,6 +37,7 @@ END_TOKEN = 1
 GROUP_PIECES = 1 << 15
 # Letters below this need no special case when they are put in lower case.
 LATIN_END = "\u0130"
+PUNCTUATION = string.punctuation.encode()
 # Words whose ids a worker remembers (about 200 bytes each).
 CACHED_WORDS = 1 << 20
 
@@ -51,26 +53,32 @@ class _Words(dict):
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
         self.model = self.tokenizer.model
         self.model._resize_cache(0)  # words are remembered here
-        self.as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.letters = {c: as_bytes.pre_tokenize_str(chr(c))[0][0] for c in range(0x80, ord(LATIN_END))}
 
-    def _ids(self, word: bytes) -> list[int]:
-        text = word.decode("utf-8", "replace")
+    def _ids(self, word: bytes) -> bytes:
         # Letters in their final form are one piece of the model's own input.
-        if text.isalpha() and max(text) < LATIN_END and (
-                text.isascii() or text.lower() == text and is_normalized("NFC", text)):
-            if not text.isascii():
-                text = self.as_bytes.pre_tokenize_str(text)[0][0]
-            return [t.id for t in self.model.tokenize(text)]
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
+        if word.isalpha():
+            ids = [t.id for t in self.model.tokenize(word.decode())]
+        else:
+            text = word.decode("utf-8", "replace")
+            if (text.isalpha() and max(text) < LATIN_END and text.lower() == text
+                    and is_normalized("NFC", text)):
+                ids = [t.id for t in self.model.tokenize(text.translate(self.letters))]
+            else:
+                ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def __missing__(self, word: bytes) -> bytes:
         if len(self) >= CACHED_WORDS:
             self.clear()
-        # A full stop or comma after an ASCII letter or digit is a token by itself.
-        if len(word) > 1 and word[-1:] in b".," and word[-2:-1].isalnum():
-            return self[word[:-1]] + self[word[-1:]]
-        ids = self._ids(word)
-        self[word] = found = struct.pack(f"<{len(ids)}I", *ids)
+        # ASCII punctuation after a letter or digit makes tokens by itself.
+        stem = word.rstrip(PUNCTUATION)
+        if stem and len(stem) < len(word) and (stem[-1] < 128 or stem.decode("utf-8", "replace")[-1].isalpha()):
+            found = self[stem] + self[word[len(stem):]]
+        else:
+            found = self._ids(word)
+        self[word] = found
         return found
 
 
