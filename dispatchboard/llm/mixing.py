@@ -10,7 +10,10 @@ The driver holds one row per source and per membership pattern: the mix's
 configuration, not its data. Documents are reduced to sizes once, patterns
 are pre-aggregated in the map tasks, and the seeded choice cuts a pattern by
 hash into about ``sqrt(rows)`` buckets: whole buckets are taken by their sums,
-and only the bucket where the quota ends is looked at row by row.
+and only the bucket where the quota ends is looked at row by row. What stays
+unfilled there goes to the later buckets in the same way, with the documents
+that still fit, until none does; this is the choice that takes a pattern's
+documents one by one in drawn order, each that still fits.
 
 Cases: null and empty texts have size 0; a null source is a source of its
 own (last in order); null doc_ids are allowed; rows repeated with one doc_id,
@@ -120,9 +123,9 @@ def route(capacity: dict, quota: dict, most: int = MOST_REPEATS) -> dict:
     return {k: v for k, v in flow.items() if v}
 
 
-def _plan(spark, sizes: DataFrame, most: int, weights, share) -> tuple[DataFrame, int]:
-    """A row per pattern: ``sources, tokens, passes, rest, buckets`` and the
-    sizes and targets of its sources in their order."""
+def _plan(sizes: DataFrame, most: int, weights, share) -> list[tuple]:
+    """A row per pattern: ``sources, passes, rest, buckets`` and the sizes and
+    targets of its sources in their order."""
     rows = sizes.groupBy("sources").agg(F.sum("size").alias("tokens"),
                                         F.count(F.lit(1)).alias("docs")).collect()
     capacity = {tuple(r["sources"]): r["tokens"] for r in rows}
@@ -141,8 +144,69 @@ def _plan(spark, sizes: DataFrame, most: int, weights, share) -> tuple[DataFrame
         passes, rest = divmod(given[p], tokens) if tokens else (0, 0)
         out.append((list(p), passes, rest, max(1, int(docs[p] ** 0.5 / 4)),
                     [size[s] for s in p], [target[s] for s in p]))
-    return spark.createDataFrame(out, "sources array<string>, passes long, rest long, buckets int, "
-                                      "source_sizes array<long>, targets array<double>"), len(out)
+    return out
+
+
+def _by_pattern(rows: DataFrame, plan: list[tuple], ddl: str) -> DataFrame:
+    """``rows`` with the columns of their pattern's row in ``plan``."""
+    table = rows.sparkSession.createDataFrame(plan, "pattern array<string>, " + ddl)
+    table = F.broadcast(table) if len(plan) <= BROADCAST_PATTERNS else table
+    return rows.join(table, F.col("sources").eqNullSafe(F.col("pattern"))).drop("pattern")
+
+
+def _bucket(seed: int) -> Column:
+    return F.pmod(F.xxhash64(F.lit(seed), "draw"), F.col("buckets"))
+
+
+def _chosen(some: pa.Table) -> tuple[pa.Table, list[int], int]:
+    """Documents in drawn order, 1 for each that still fits, and the room left."""
+    some = some.take(pc.sort_indices(some, [("draw", "ascending"), ("size", "ascending")]))
+    room, extra = some["room"][0].as_py(), []
+    for n in some["size"].to_pylist():
+        extra.append(int(0 < n <= room))
+        room -= n * extra[-1]
+    return some, extra, room
+
+
+def _steps(sizes: DataFrame, plan: list[tuple], seed: int) -> dict[tuple, list[tuple]]:
+    """``{pattern: [(after, edge, cap, room)]}``: of the documents no larger
+    than ``cap``, buckets between ``after`` and ``edge`` are taken whole, and
+    bucket ``edge`` gives ``room`` tokens. A step starts from the room that
+    its predecessor's edge left, so the last one leaves no document that fits."""
+    buckets = {tuple(p): n for p, _, _, n, *_ in plan}
+    steps: dict = defaultdict(list)
+    todo = {tuple(p): (-1, rest) for p, _, rest, *_ in plan if rest}
+    left_type = T.StructType([T.StructField("sources", T.ArrayType(T.StringType())),
+                              T.StructField("left", T.LongType())])
+
+    def left(some: pa.Table) -> pa.Table:
+        return pa.table({"sources": some["sources"].slice(0, 1),
+                         "left": pa.array([_chosen(some)[2]], pa.int64())})
+
+    order = Window.partitionBy("sources").orderBy("bucket")
+    while todo:
+        fit = (_by_pattern(sizes, [(list(p), buckets[p], after, cap) for p, (after, cap) in todo.items()],
+                           "buckets int, after int, cap long")
+               .withColumn("bucket", _bucket(seed))
+               .where((F.col("bucket") > F.col("after")) & F.col("size").between(1, F.col("cap"))))
+        before = F.coalesce(F.sum("sum").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        ends = (fit.groupBy("sources", "bucket", "cap").agg(F.sum("size").alias("sum"))
+                .withColumn("room", F.col("cap") - before)
+                .where((F.col("room") >= 0) & (F.col("room") < F.col("sum"))).collect())
+        edges = {tuple(r["sources"]): (r["bucket"], r["room"]) for r in ends}
+        for p, (after, cap) in todo.items():
+            edge, room = edges.get(p, (buckets[p], 0))
+            steps[p].append((after, edge, cap, room))
+        at_edge = [(list(p), buckets[p], edge, room) for p, (edge, room) in edges.items() if room]
+        rooms = [] if not at_edge else (
+            _by_pattern(sizes, at_edge, "buckets int, edge int, room long")
+            .where((_bucket(seed) == F.col("edge")) & F.col("size").between(1, F.col("room")))
+            .groupBy("sources").applyInArrow(left, left_type).collect())
+        # An edge where nothing fits passes its room on whole.
+        after_edge = {tuple(p): room for p, _, _, room in at_edge}
+        after_edge |= {tuple(r["sources"]): r["left"] for r in rooms}
+        todo = {p: (edges[p][0], room) for p, room in after_edge.items() if room}
+    return steps
 
 
 def mix(docs: DataFrame, sources: Column | None = None, weights: Sequence[float] = WEIGHTS,
@@ -155,45 +219,34 @@ def mix(docs: DataFrame, sources: Column | None = None, weights: Sequence[float]
 
 
 def _mixed(rows: DataFrame, at: str, sources, weights, share, most, seed) -> DataFrame:
-    spark = rows.sparkSession
     text = text_or_empty()
     member = F.array(F.col("source").cast("string")) if sources is None else sources
     sizes = saved(rows.select(
         "doc_id", F.array_sort(F.array_distinct(member)).alias("sources"),
         word_count(text).alias("size"),
         F.xxhash64(F.lit(seed), F.col("doc_id"), text).alias("draw"), F.col(at).alias("at")), "sizes")
-    plan, patterns = _plan(spark, sizes, most, weights, share)
-    plan = F.broadcast(plan) if patterns <= BROADCAST_PATTERNS else plan
-    plan = plan.withColumnRenamed("sources", "pattern")
-    drawn = (sizes.join(plan, F.col("sources").eqNullSafe(F.col("pattern")))
-             .withColumn("bucket", F.pmod(F.xxhash64(F.lit(seed), "draw"), F.col("buckets"))))
-    # Whole buckets go by their sums; ``room`` is what is left in the last.
-    order = Window.partitionBy("sources").orderBy("bucket")
-    ends = (drawn.groupBy("sources", "bucket", "rest").agg(F.sum("size").alias("sum"))
-            .withColumn("before", F.coalesce(F.sum("sum").over(
-                order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-            .select(F.col("sources").alias("_sources"), F.col("bucket").alias("_bucket"),
-                    (F.col("rest") - F.col("before")).alias("room"), "sum"))
-    full = drawn.join(ends, F.col("sources").eqNullSafe(F.col("_sources"))
-                      & (F.col("bucket") == F.col("_bucket")))
+    plan = _plan(sizes, most, weights, share)
+    steps = _steps(sizes, plan, seed)
+    full = (_by_pattern(sizes, [(*row, steps.get(tuple(row[0]), [])) for row in plan],
+                        "passes long, rest long, buckets int, source_sizes array<long>, targets array<double>, "
+                        "steps array<struct<after: int, edge: int, cap: long, room: long>>")
+            .withColumn("bucket", _bucket(seed))
+            .withColumn("step", F.get(F.filter("steps", lambda s: (F.col("bucket") > s["after"])
+                                               & (F.col("bucket") <= s["edge"])), F.lit(0)))
+            .withColumn("room", F.col("step.room")).drop("steps"))
     out = ["doc_id", "sources", "size", "source_sizes", "targets", "copies", "at"]
-    edge = (F.col("room") > 0) & (F.col("room") < F.col("sum"))
-    plain = full.where(~edge).withColumn(
-        "copies", F.col("passes") + ((F.col("room") >= F.col("sum")) & (F.col("room") > 0)).cast("long"))
+    edge = F.coalesce(F.col("bucket") == F.col("step.edge"), F.lit(False))
+    whole = F.coalesce(F.col("size").between(1, F.col("step.cap")), F.lit(False))
+    plain = full.where(~edge).withColumn("copies", F.col("passes") + whole.cast("long"))
     schema = T.StructType([*(f for f in full.schema.fields if f.name in out),
                            T.StructField("copies", T.LongType())])
 
     def choose(some: pa.Table) -> pa.Table:
-        """Documents in drawn order, each that still fits."""
-        some = some.take(pc.sort_indices(some, [("draw", "ascending"), ("size", "ascending")]))
-        room, extra = some["room"][0].as_py(), []
-        for n in some["size"].to_pylist():
-            extra.append(int(0 < n <= room))
-            room -= n * extra[-1]
+        some, extra, _ = _chosen(some)
         copies = pc.add(some["passes"], pa.array(extra, pa.int64()))
         return some.append_column("copies", copies).select(schema.names)
 
-    split = full.where(edge).groupBy("sources", "bucket").applyInArrow(choose, schema)
+    split = full.where(edge).drop("step").groupBy("sources", "bucket").applyInArrow(choose, schema)
     return (plain.select(*out).union(split.select(*out))
             .withColumn("taken", F.col("copies") * F.col("size")))
 

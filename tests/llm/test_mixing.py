@@ -90,3 +90,23 @@ def test_cases(spark):
     out = mixing.mixed_documents(docs_frame(spark))
     assert out.columns == docs_frame(spark).columns
     assert out.count() == sum(r["copies"] for r in rows)
+
+
+def test_one_very_long_document_costs_no_room(spark):
+    # Patterns whose last pass can hold all short documents but not the long one.
+    for seed in range(4):
+        rows = [(i, "w " * 10, "en", "a", 1) for i in range(399)] + [(399, "w " * 10_000, "en", "a", 1)]
+        got = mixing.mix(docs_frame(spark, rows), share=7000 / 13_990, seed=seed).collect()
+        assert sum(r["taken"] for r in got) == 3990, seed
+
+
+def test_no_document_that_fits_is_left_out(spark):
+    sizes = [1 + (i * i * 7919) % 97 + (5000 if i % 40 == 0 else 0) for i in range(900)]
+    rows = [(i, "w " * n, "en", "ab"[i % 2], 1) for i, n in enumerate(sizes)]
+    for seed in range(3):
+        got = mixing.mix(docs_frame(spark, rows), share=0.5, seed=seed).collect()
+        for source in "ab":
+            own = [r for r in got if r["sources"] == [source]]
+            room = round(own[0]["targets"][0]) - sum(r["taken"] for r in own)
+            base = min(r["copies"] for r in own)
+            assert 0 <= room < min(r["size"] for r in own if r["copies"] == base), (seed, source)
