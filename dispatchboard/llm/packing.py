@@ -43,8 +43,9 @@ CACHED_WORDS = 1 << 20
 
 
 class _Words(dict):
-    """word (lower case in ASCII) -> its ids as little-endian unsigned 32-bit
-    bytes; a word is encoded when it is first asked for."""
+    """word (as it stands in the text) -> its ids as little-endian unsigned
+    32-bit bytes; a word is encoded when it is first asked for. Only ASCII is
+    put in lower case here: elsewhere the tokenizer composes letters first."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer, pre_tokenizers
@@ -62,9 +63,8 @@ class _Words(dict):
             ids = [t.id for t in self.model.tokenize(word.decode())]
         else:
             text = word.decode("utf-8", "replace")
-            if (text.isalpha() and max(text) < LATIN_END and text.lower() == text
-                    and is_normalized("NFC", text)):
-                ids = [t.id for t in self.model.tokenize(text.translate(self.letters))]
+            if text.isalpha() and max(text) < LATIN_END and is_normalized("NFC", text):
+                ids = [t.id for t in self.model.tokenize(text.lower().translate(self.letters))]
             else:
                 ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}I", *ids)
@@ -72,9 +72,13 @@ class _Words(dict):
     def __missing__(self, word: bytes) -> bytes:
         if len(self) >= CACHED_WORDS:
             self.clear()
-        # ASCII punctuation after a letter or digit makes tokens by itself.
-        stem = word.rstrip(PUNCTUATION)
-        if stem and len(stem) < len(word) and (stem[-1] < 128 or stem.decode("utf-8", "replace")[-1].isalpha()):
+        small = word.lower() if word.isascii() else word
+        # ASCII punctuation after a letter or digit makes tokens by itself;
+        # control characters and some letters' composed forms join it.
+        stem = small.rstrip(PUNCTUATION)
+        if small != word:
+            found = self[small]
+        elif stem and len(stem) < len(word) and _ends_plainly(stem):
             found = self[stem] + self[word[len(stem):]]
         else:
             found = self._ids(word)
@@ -82,14 +86,22 @@ class _Words(dict):
         return found
 
 
+def _ends_plainly(stem: bytes) -> bool:
+    """It ends with a letter or digit that the tokenizer leaves one."""
+    if stem[-1] < 128:
+        return stem[-1:].isalnum()
+    last = stem.decode("utf-8", "replace")[-1]
+    return last.isalpha() and last < LATIN_END
+
+
 def _encoder(path: str) -> Callable[[bytes], bytes]:
     """UTF-8 text -> its ids as little-endian unsigned 32-bit bytes.
 
-    This tokenizer's words never span white space, don't depend on what
-    stands before them, and are put in lower case, so a text's ids are those
-    of its lower-cased words one after the other."""
+    This tokenizer's words never span white space and don't depend on what
+    stands before them, so a text's ids are those of its words one after the
+    other."""
     ids = _Words(path).__getitem__
-    return lambda text: b"".join(map(ids, text.lower().split()))
+    return lambda text: b"".join(map(ids, text.split()))
 
 
 def tokenized_pieces(docs: DataFrame, tokenizer: str, sequence: int = SEQUENCE_TOKENS,

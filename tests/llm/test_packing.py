@@ -60,6 +60,26 @@ def test_words_with_odd_characters(tokenizer):
             tokenizer.encode(text, add_special_tokens=False).ids, text
 
 
+def test_control_characters_and_uncomposed_capitals(tokenizer):
+    encode = packing._encoder(queries.tokenizer_path())
+    for text in ["ab\x01.", "ab\x00,", "ab\x1f!", "ab\x7f?", "J\u030c", "H\u0331", "T\u0308x", "J\u030c. j\u030c",
+                 "W\u030a, Y\u030a", "\u0130.", "\u0958.", "\ufb2a,", "\u00c9T\u00c9. \u212b.", "AB\x01. \u00aa."]:
+        assert np.frombuffer(encode(text.encode()), "<u4").tolist() == \
+            tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
+def test_random_odd_words(tokenizer):
+    rng = np.random.default_rng(5)
+    some = [*"abcJHTWYK019'.,!<|=-\"", *map(chr, range(1, 9)), "\x0b", "\x1c", "\x1f", "\x7f", "\x85", "\xa0", "\u2028",
+            "\u0130", "\u0131", "\u00e9", "\u00c9", "\u0301", "\u030c", "\u0331", "\u0338", "\u0308", "\u1100", "\u1161",
+            "\u0958", "\u4e2d", "\u03a3", "\u03c3", "\u212b", "\u00b2", "\ufb01", "\u200d", "\U0001f600", " "]
+    encode = packing._encoder(queries.tokenizer_path())
+    for _ in range(3000):
+        text = "".join(rng.choice(some, rng.integers(1, 12)))
+        assert np.frombuffer(encode(text.encode()), "<u4").tolist() == \
+            tokenizer.encode(text, add_special_tokens=False).ids, ascii(text)
+
+
 def test_cache_limit_changes_nothing(monkeypatch, tokenizer):
     text = "alpha beta, gamma. delta " * 20 + "alpha."
     encode = packing._encoder(queries.tokenizer_path())
