@@ -115,8 +115,9 @@ def _sample(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, float]:
              .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
     n, toxic = known.agg(F.count(F.lit(1)), F.sum((F.col("toxic") == 1).cast("long"))).first()
     rows, at = located(docs)
-    others = rows.count()
-    texts = rows.where(~held_out(F.col("doc_id"))).select(
+    open_rows = rows.where(~held_out(F.col("doc_id")))
+    others = open_rows.count()
+    texts = open_rows.select(
         "doc_id", F.col("text").cast("string").alias("text"),
         _chance(F.col("doc_id"), rows[at]["row"]).alias("draw"))
     drawn = known.where((F.col("toxic") == 1)

@@ -48,6 +48,13 @@ def test_negative_corrected_risk_is_followed_upwards():
     assert odds[positive].min() > 0 and rng is not None
 
 
+def test_unlabelled_sample_is_as_large_as_stated(spark):
+    docs = spark.range(20_000).selectExpr("id AS doc_id", "'some words' AS text")
+    labels = spark.createDataFrame([(1, 0)], "doc_id long, toxic int")
+    sample, _ = toxicity._sample(docs, labels)
+    assert sample.where("NOT positive").count() == pytest.approx(toxicity.UNLABELLED, rel=0.05)
+
+
 def test_cases(spark):
     labels = spark.createDataFrame([(1, 1), (1, 0), (6, None), (None, 1)], "doc_id long, toxic int")
     rows = toxicity.scored(docs_frame(spark), labels).collect()
