@@ -1,5 +1,9 @@
+import re
+import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
+
 import corpus_pipeline
 from dispatchboard.llm import toxicity
 from dispatchboard.llm.queries import tokenizer_path
@@ -75,3 +79,45 @@ def test_an_empty_table_passes_through(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = saved(stage(spark, docs, SF_ORACLE), "stage")
         assert docs.count() == 0
+
+
+def test_packing_stage_holds_every_piece_of_every_copy(spark):
+    from tokenizers import Tokenizer
+    docs = from_table(spark, SF_ORACLE)
+    docs = saved(docs.union(docs.where("doc_id % 3 = 0")), "mixed")
+    tokenizer = Tokenizer.from_file(tokenizer_path())
+    tokenizer.encode_special_tokens = True
+    want = Counter()
+    for r in docs.collect():
+        ids = [*tokenizer.encode(r["text"] or "", add_special_tokens=False).ids, 1]
+        for piece, start in enumerate(range(0, len(ids), 4096)):
+            part = np.array(ids[start:start + 4096], "<u4")
+            want[r["doc_id"], piece, start, len(part), zlib.crc32(part.tobytes())] += 1
+    rows = dict(corpus_pipeline.STAGES)["best-fit packing"](spark, docs, SF_ORACLE).collect()
+    assert Counter((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in rows) == want
+    gapless(rows)
+
+
+def plain_odds(model, text):
+    """Weights of whole words and of their first 4 to 8 letters, per 50 words."""
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    own = re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", low)
+    total = 0.0
+    for w in own:
+        w = w.lower()
+        total += model.weights.get(w, 0.0)
+        total += sum(model.weights.get(w[:n] + "-", 0.0) for n in range(4, 9) if len(w) >= n)
+    return model.bias + 50 * total / (len(own) + 40)
+
+
+def test_toxicity_stage_by_plain_scores_of_a_fixed_model(spark, monkeypatch):
+    docs = from_table(spark, SF_ORACLE)
+    given = docs.collect()
+    seen = Counter(w for r in given for w in set(re.findall("[a-z]+", (r["text"] or "").lower())))
+    some = sorted(w for w, n in seen.items() if 50 < n < 500 and len(w) > 4)[:40]
+    weights = {w: (-1.0) ** i * (1 + i % 5) for i, w in enumerate(some)}
+    model = toxicity.Model(weights | {w[:4] + "-": 0.7 for w in some[::3]}, -0.3)
+    monkeypatch.setattr(toxicity, "train", lambda docs, labels: model)
+    kept = dict(corpus_pipeline.STAGES)["toxicity"](spark, docs, SF_ORACLE).collect()
+    want = {r["doc_id"] for r in given if plain_odds(model, r["text"]) < 0}
+    assert {r["doc_id"] for r in kept} == want and 0 < len(want) < len(given)
