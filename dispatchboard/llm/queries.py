@@ -12,8 +12,8 @@ import string
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dispatchboard.llm import (exact, language, lattice, licenses, mixing, packing, sharding,
-                                simhash, toxicity, warc)
+from dispatchboard.llm import (bpe, collocations, exact, language, lattice, licenses, merkle, mixing,
+                               packing, sharding, simhash, toxicity, warc)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,9 +72,29 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = tokenizer_path()
+    rows = bpe.decoded(bpe.encoded(_table(spark, sf_dir, "documents"), path), path)
+    return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                       F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    rows = merkle.checked(_table(spark, sf_dir, "documents"), tampered, F.translate("text", "\n", ""))
+    return rows.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("proof")).alias("proof_sha256"),
+                       "folded_root", "verified")
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_mixing, op2_lattice, op3_licenses, op4_packing,
                                    op5_simhash, op6_exact_dedup, op7_language, op8_toxicity,
-                                   op9_sharding, op10_warc)}
+                                   op9_sharding, op10_warc, op11_bpe, op12_merkle,
+                                   op13_collocations)}
 
 def _license_sql() -> str:
     """Containment in every block by plain list intersection."""

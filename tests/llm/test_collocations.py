@@ -1,0 +1,92 @@
+"""Collocations against counts of all phrases in plain Python."""
+
+import re
+from collections import Counter, defaultdict
+
+import pytest
+
+from dispatchboard.llm import collocations as C
+from dispatchboard.llm import queries
+from tests.conftest import SF_ORACLE
+from tests.llm.cases import DOCS, docs_frame, empty_frame, from_table
+
+
+def plain(rows, least=30, top=2000):
+    n, f = Counter(), Counter()
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split(rb"[.,;:!?\n-\r]", (text or "").encode().lower()):
+            words = re.findall(rb"[^ \t]+", piece)
+            n[lang] += len(words)
+            for i in range(len(words)):
+                for k in range(1, min(4, len(words) - i) + 1):
+                    f[lang, tuple(words[i:i + k])] += 1
+    candidates = {p: a for p, a in f.items() if len(p[1]) > 1 and a >= least}
+    longer = Counter()
+    for (lang, p), a in candidates.items():
+        for size in range(2, len(p)):
+            for i in range(len(p) - size + 1):
+                longer[lang, p[i:i + size]] = max(longer[lang, p[i:i + size]], a)
+    found = defaultdict(list)
+    for (lang, p), a in candidates.items():
+        if 100 * longer[lang, p] < 80 * a:
+            score, k = min((2_000_000 * a // (f[lang, p[:k]] + f[lang, p[k:]]), k) for k in range(1, len(p)))
+            found[lang].append((-score, -a, b" ".join(p), f[lang, p[:k]], f[lang, p[k:]]))
+    return sorted((lang, rank, p.decode(), -a, left, right, n[lang], -score) for lang, rows in found.items()
+                  for rank, (score, a, p, left, right) in enumerate(sorted(rows)[:top], 1))
+
+
+def pairs(docs):
+    return [(r["lang"], r["text"]) for r in docs.select("lang", "text").collect()]
+
+
+def got(frame):
+    return sorted(tuple(r) for r in frame.collect())
+
+
+def test_whole_table(spark):
+    assert got(queries.op13_collocations(spark, SF_ORACLE)) == plain(pairs(from_table(spark, SF_ORACLE)))
+
+
+@pytest.mark.parametrize("burst, held", [(8, 500), (1, 40)])
+def test_bursting_and_spilling_change_nothing(spark, burst, held):
+    docs = from_table(spark, SF_ORACLE).limit(150)
+    assert (got(C.collocations(docs, least=3, top=50, burst=burst, held=held))
+            == plain(pairs(docs), least=3, top=50))
+
+
+def test_cases(spark):
+    docs = docs_frame(spark)
+    assert len(DOCS) and got(C.collocations(docs, least=2)) == plain(pairs(docs), least=2)
+    assert C.collocations(empty_frame(spark)).count() == 0
+
+
+def test_trie_holds_every_window_once():
+    trie, words = C.Trie(burst=2, held=1000), [b"a", b"b", b"a", b"b", b"c", b"a", b"b", b"a", b"d", b"a"]
+    trie.add("x", words, len(words))
+    ((lang, windows),) = trie.spill(True)
+    want = Counter(b"".join(w + b" " for w in words[i:i + 4]) for i in range(len(words)))
+    assert lang == "x" and windows == sorted(want.items()) and trie.size == 0
+
+
+def test_half_a_trie_is_spilled_as_whole_subtrees():
+    trie = C.Trie(burst=3, held=12)
+    for first in b"aaaaaaabc":
+        word = bytes([first])
+        trie.add("x", [word, b"%d" % trie.size], 1)
+    size = trie.size
+    ((_, windows),) = trie.spill(False)
+    assert {w[:2] for w, _ in windows} == {b"a "} and trie.size == size - len(windows) <= 6
+
+
+def test_products_beyond_64_bits(spark):
+    big = 9 * 10 ** 18
+    rows = [("x", "a", big, ["a"]), ("x", "b", big, ["b"]), ("x", "a b", big - 1, ["a", "b"]),
+            ("x", "a b c", big // 2, ["a", "b", "c"]), ("x", "b c", big // 2, ["b", "c"]),
+            ("x", "c", big // 2, ["c"])]
+    frequent = spark.createDataFrame(rows, "lang string, phrase string, f long, words array<string>")
+    scores = {r["phrase"]: (r["l"], r["r"], r["score"]) for r in C.scored(frequent).collect()}
+    assert scores["a b"] == (big, big, 2_000_000 * (big - 1) // (2 * big))
+    assert scores["a b c"] == (big, big // 2, 2_000_000 * (big // 2) // (big + big // 2))
+    kept = {r["phrase"] for r in C.uncontained(C.scored(frequent), frequent).collect()}
+    assert kept == {"a b", "a b c"}
