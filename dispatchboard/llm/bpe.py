@@ -41,9 +41,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Sizes of the tables a worker keeps; each is emptied when it is full.
-KEPT_CHUNKS, KEPT_WORDS, KEPT_PAIRS = 1 << 19, 1 << 19, 1 << 20
+KEPT_CHUNKS, KEPT_WORDS, KEPT_PAIRS = 1 << 18, 1 << 18, 1 << 18
 # A longer stretch without white space is encoded but not remembered.
 KEPT_BYTES = 64
+# Rows that a worker takes and hands on at a time.
+SLICE_ROWS = 256
 # Ids that are decoded at a time.
 DECODED_IDS = 1 << 16
 # Letters below this are put in lower case one by one and never composed.
@@ -202,8 +204,8 @@ class _Kept(dict):
         return ids
 
 
-class Tokenizer:
-    """Texts to ids by the file at ``path`` and back."""
+class Encoder:
+    """Texts to ids by the file at ``path``."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer as Library
@@ -220,11 +222,6 @@ class Tokenizer:
         self.special_at = re.compile(b"(" + b"|".join(map(re.escape, self.special)) + b")")
         self.words: dict[str, bytes] = {}
         self.chunks = _Kept(self._chunk)
-        strings = {i: name.encode() for name, i in spec["model"]["vocab"].items()}
-        strings |= {i: name for name, i in self.special.items()}
-        parts = [strings.get(i, b"") + b" " for i in range(max(strings) + 1)]
-        self.blob = np.frombuffer(b"".join(parts), np.uint8)
-        self.offsets = np.concatenate(([0], np.cumsum([len(p) for p in parts])))
 
     def _word(self, word: str) -> bytes:
         """Ids of a word whose characters are its bytes, as little-endian
@@ -263,6 +260,21 @@ class Tokenizer:
     def encode(self, text: bytes) -> bytes:
         return b"".join(map(self.chunks.__getitem__, text.split()))
 
+
+class Decoder:
+    """Ids to texts by the file at ``path``: its tokens' strings, each with a
+    space behind it, in one buffer, and the offsets at which they begin."""
+
+    def __init__(self, path: str):
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        special = {t["content"].encode(): t["id"] for t in spec["added_tokens"]}
+        strings = {i: name.encode() for name, i in spec["model"]["vocab"].items()}
+        strings |= {i: name for name, i in special.items()}
+        parts = [strings.get(i, b"") + b" " for i in range(max(strings) + 1)]
+        self.blob = np.frombuffer(b"".join(parts), np.uint8)
+        self.offsets = np.concatenate(([0], np.cumsum([len(p) for p in parts])))
+
     def decode(self, ids: np.ndarray) -> bytes:
         """The tokens' strings, one space between them."""
         out = []
@@ -275,33 +287,57 @@ class Tokenizer:
         return b"".join(out)[:-1]
 
 
-@lru_cache(maxsize=2)
-def tokenizer(path: str) -> Tokenizer:
-    """The file's tables, made once a worker."""
-    return Tokenizer(path)
+@lru_cache(maxsize=1)
+def encoder(path: str) -> Encoder:
+    """The file's tables for encoding, made once a worker."""
+    return Encoder(path)
+
+
+@lru_cache(maxsize=1)
+def decoder(path: str) -> Decoder:
+    return Decoder(path)
 
 
-def _with(batch: pa.RecordBatch, names: Iterable[str], name: str, made: pa.Array) -> pa.RecordBatch:
-    kept = list(names)
-    return pa.RecordBatch.from_arrays([*(batch[c] for c in kept), made], [*kept, name])
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A few rows at a time, so a worker holds few texts at once."""
+    for batch in batches:
+        for k in range(0, len(batch), SLICE_ROWS):
+            yield batch.slice(k, SLICE_ROWS)
+
+
+def _ids(batch: pa.RecordBatch, path: str) -> pa.ListArray:
+    encode = encoder(path).encode
+    parts = [encode(t or b"") for t in batch["_text"].to_pylist()]
+    ends = np.cumsum([0, *map(len, parts)], dtype=np.int64) // 4
+    ids = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(parts))])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), ids)
+
+
+def _texts(lists: pa.ListArray, path: str) -> pa.Array:
+    decode = decoder(path).decode
+    flat, ends = lists.values.to_numpy(), lists.offsets.to_numpy()
+    return pa.array([decode(flat[a:b]) for a, b in zip(ends, ends[1:])], pa.binary()).cast(pa.string())
+
+
+def _source(docs: DataFrame, keep: list[str], text: str) -> DataFrame:
+    return docs.select(*keep, F.col(text).cast("string").cast("binary").alias("_text"))
+
+
+_IDS = T.StructField("ids", T.ArrayType(T.IntegerType()))
+_TEXT = T.StructField("decoded", T.StringType())
 
 
 def encoded(docs: DataFrame, path: str, keep: Iterable[str] = ("doc_id",), text: str = "text") -> DataFrame:
     """The ``keep`` columns of ``docs`` and ``ids``, the token ids of its
     ``text`` by the tokenizer file at ``path`` (on every machine)."""
     keep = list(keep)
-    source = docs.select(*keep, F.col(text).cast("string").cast("binary").alias("_text"))
+    source = _source(docs, keep, text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = tokenizer(path).encode
-        for batch in batches:
-            parts = [encode(t or b"") for t in batch["_text"].to_pylist()]
-            ends = np.cumsum([0, *map(len, parts)], dtype=np.int64) // 4
-            ids = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(parts))])
-            yield _with(batch, keep, "ids", pa.ListArray.from_arrays(pa.array(ends, pa.int32()), ids))
+        for batch in _slices(batches):
+            yield pa.RecordBatch.from_arrays([*(batch[c] for c in keep), _ids(batch, path)], [*keep, "ids"])
 
-    fields = [source.schema[c] for c in keep]
-    return source.mapInArrow(run, T.StructType([*fields, T.StructField("ids", T.ArrayType(T.IntegerType()))]))
+    return source.mapInArrow(run, T.StructType([*(source.schema[c] for c in keep), _IDS]))
 
 
 def decoded(rows: DataFrame, path: str, keep: Iterable[str] | None = None) -> DataFrame:
@@ -311,12 +347,23 @@ def decoded(rows: DataFrame, path: str, keep: Iterable[str] | None = None) -> Da
     source = rows.select(*keep, F.coalesce("ids", F.array().cast("array<int>")).alias("_ids"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decode = tokenizer(path).decode
-        for batch in batches:
-            lists = batch["_ids"]
-            flat, ends = lists.values.to_numpy(), lists.offsets.to_numpy()
-            texts = [decode(flat[a:b]) for a, b in zip(ends, ends[1:])]
-            yield _with(batch, keep, "decoded", pa.array(texts, pa.binary()).cast(pa.string()))
-
-    return source.mapInArrow(run, T.StructType([*(source.schema[c] for c in keep),
-                                                T.StructField("decoded", T.StringType())]))
+        for batch in _slices(batches):
+            yield pa.RecordBatch.from_arrays([*(batch[c] for c in keep), _texts(batch["_ids"], path)],
+                                             [*keep, "decoded"])
+
+    return source.mapInArrow(run, T.StructType([*(source.schema[c] for c in keep), _TEXT]))
+
+
+def recoded(docs: DataFrame, path: str, keep: Iterable[str] = ("doc_id",), text: str = "text") -> DataFrame:
+    """``encoded`` and ``decoded`` in one pass: the ``keep`` columns, ``ids``
+    and the text that they decode to."""
+    keep = list(keep)
+    source = _source(docs, keep, text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _slices(batches):
+            ids = _ids(batch, path)
+            yield pa.RecordBatch.from_arrays([*(batch[c] for c in keep), ids, _texts(ids, path)],
+                                             [*keep, "ids", "decoded"])
+
+    return source.mapInArrow(run, T.StructType([*(source.schema[c] for c in keep), _IDS, _TEXT]))

@@ -73,8 +73,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = tokenizer_path()
-    rows = bpe.decoded(bpe.encoded(_table(spark, sf_dir, "documents"), path), path)
+    rows = bpe.recoded(_table(spark, sf_dir, "documents"), tokenizer_path())
     return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))
