@@ -5,12 +5,12 @@ starts there. Windows live under a shallow trie of word ids: the language's
 node leads to a node per first word, which holds a hash container of the rest;
 a container that grows past ``BURST`` entries bursts into one container per
 next word. When the trie holds ``HELD`` windows, whole subtrees, the largest
-first, are spilled as sorted runs until half of it is free. Runs are saved in the
-shared folder.
+first, are spilled as sorted runs until half of it is free.
 
-The runs are merged per prefix partition: ranges of the sorted windows, cut by
-Spark's sample, so a word or word pair with any share of all rows is spread
-over as many partitions as its windows need. In sorted order all windows that
+The runs are merged per prefix partition: ranges of the sorted windows, cut at
+windows of a bounded sample of documents (``splitters``), so a word or word
+pair with any share of all rows is spread over as many partitions as its
+windows need. Only the cuts depend on the sample, no count does. In sorted order all windows that
 begin with a phrase are neighbours, so one pass counts phrases of every length
 at once. A phrase whose windows lie inside one batch is whole and counts if it
 is frequent; the phrases at a batch's two ends are handed on and summed. No
@@ -27,7 +27,7 @@ the phrase's bytes; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
-import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,194 +46,308 @@ SCALE = 2_000_000
 CONTAINED = 80
 # Entries of a container that bursts, and of a whole trie that spills.
 BURST = 4096
-HELD = 1 << 18
+HELD = 1 << 19
+# Words of a text that are counted at a time.
+PART = 1 << 16
 # Runs are handed on in batches of this many windows.
 BATCH_ROWS = 1 << 14
 # Copies of a single word's row, over which the phrases that share it spread.
 SALTS = 16
-PIECES = re.compile(rb"[.,;:!?\n-\r]")
+# A sample of this many documents, and windows of each, for a partition.
+SAMPLED = 16
+# Languages of the sample that a key names by one byte, from this one on; the
+# others are spelled out.
+SHORT_TOKENS, FIRST_TOKEN = 200, 0x22
+# Bits of a word's id in a packed rest.
+ID_BITS = 20
+# Letters in lower case, and what ends a piece of text as a line end.
+_PLAIN = bytes.maketrans(b"".join(bytes([c]) for c in range(65, 91)) + b".,;:!?\n\x0b\x0c\r",
+                         b"".join(bytes([c]) for c in range(97, 123)) + b"\n" * 10)
 # Ends every word in a window: words hold neither space nor tab.
 END = b" "
 
 
-class _Node:
-    """A trie node: a container of the rests of windows with their counts or,
-    once that has burst, nodes by the next word and the windows that end here."""
-    __slots__ = ("rests", "below", "ends", "size")
+class _Node(dict):
+    """A burst container: containers or further nodes by the ids that follow,
+    read off a packed rest by ``shift``."""
+    __slots__ = ("shift",)
+
+    def __init__(self, shift: int):
+        super().__init__()
+        self.shift = shift
+
+
+class _Ids(dict):
+    """Word -> its id, from 1 on; 0 ends a piece of text."""
 
     def __init__(self):
-        self.rests: dict[tuple, int] | None = {}
-        self.below: dict[int, _Node] = {}
-        self.ends = 0
-        self.size = 0  # of a first word's node: windows under it
-
-    def burst(self) -> None:
-        rests, self.rests = self.rests, None
-        for rest, n in rests.items():
-            if rest:
-                self.child(rest[0]).rests[rest[1:]] = n
-            else:
-                self.ends = n
-
-    def child(self, word: int) -> "_Node":
-        node = self.below.get(word)
-        if node is None:
-            node = self.below[word] = _Node()
-        return node
-
-    def windows(self, before: tuple) -> Iterator[tuple[tuple, int]]:
-        if self.rests is not None:
-            for rest, n in self.rests.items():
-                yield before + rest, n
-            return
-        if self.ends:
-            yield before, self.ends
-        for word, node in self.below.items():
-            yield from node.windows((*before, word))
+        super().__init__()
+        self.words = [b""]
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = i = len(self.words)
+        self.words.append(word + END)
+        return i
+
+
+def _boxes(box: dict) -> Iterator[dict]:
+    if type(box) is _Node:
+        for below in box.values():
+            yield from _boxes(below)
+    else:
+        yield box
 
 
 class Trie:
-    """Counts of windows of word ids, by language."""
+    """Counts of windows of word ids, by language. A window is its first
+    word's id and its rest, the ids of the next words packed into one number."""
 
     def __init__(self, burst: int = BURST, held: int = HELD):
         self.burst, self.held = burst, held
         self._clear()
 
     def _clear(self) -> None:
-        self.size = 0
-        self.ids: dict[bytes, int] = {}
-        self.words: list[bytes] = []  # with their ends
-        self.langs: dict[str, dict[int, _Node]] = {}
-
-    def add(self, lang: str, words: list[bytes], starts: int) -> None:
-        """Count the windows that begin at the first ``starts`` words of one
-        piece of text."""
-        ids, numbers = self.ids, []
-        for word in words:
-            i = ids.get(word)
-            if i is None:
-                i = ids[word] = len(self.words)
-                self.words.append(word + END)
-            numbers.append(i)
-        tops = self.langs.setdefault(lang, {})
-        for k in range(starts):
-            first = numbers[k]
-            top = node = tops.get(first)
-            if top is None:
-                top = node = tops[first] = _Node()
-            rest = tuple(numbers[k + 1:k + LONGEST])
-            while node.rests is None and rest:
-                node, rest = node.child(rest[0]), rest[1:]
-            rests = node.rests
-            if rests is None:
-                self.size += not node.ends
-                top.size += not node.ends
-                node.ends += 1
+        self.size, self.ids = 0, _Ids()
+        self.langs: dict[str, dict[int, dict]] = {}
+
+    def add(self, lang: str, ids: list[int], starts: int) -> None:
+        """Count the windows that begin at the first ``starts`` ids."""
+        padded = np.array(ids + [0] * (LONGEST - 1), np.int64)
+        rest, follows = np.zeros(starts, np.int64), True
+        for k in range(1, LONGEST):
+            word = np.where(follows, padded[k:k + starts], 0)
+            rest, follows = rest << ID_BITS | word, word > 0
+        tops, burst, made = self.langs.setdefault(lang, {}), self.burst, 0
+        some = padded[:starts] > 0
+        for first, rest in zip(padded[:starts][some].tolist(), rest[some].tolist()):
+            box = tops.get(first)
+            if box is None:
+                tops[first] = {rest: 1}
+                made += 1
                 continue
-            n = rests.get(rest)
+            above, key = tops, first
+            while type(box) is _Node:
+                above, key = box, rest >> box.shift
+                box = above.get(key)
+                if box is None:
+                    box = above[key] = {}
+            n = box.get(rest)
             if n is not None:
-                rests[rest] = n + 1
+                box[rest] = n + 1
                 continue
-            rests[rest] = 1
-            self.size += 1
-            top.size += 1
-            if len(rests) > self.burst:
-                node.burst()
-
-    def full(self) -> bool:
-        return self.size >= self.held or len(self.words) >= 2 * self.held
-
-    def spill(self, everything: bool) -> Iterator[tuple[str, list[tuple[bytes, int]]]]:
+            box[rest] = 1
+            made += 1
+            if len(box) > burst:
+                shift = (LONGEST - 1) * ID_BITS if above is tops else above.shift
+                if shift:
+                    above[key] = node = _Node(shift - ID_BITS)
+                    for old, n in box.items():
+                        node.setdefault(old >> node.shift, {})[old] = n
+        self.size += made
+
+    def parts(self, text: bytes) -> Iterator[tuple[list[int], int]]:
+        """Ids of a text's words, a 0 behind every piece, in parts of bounded
+        size, and how many of a part's windows begin in it. Ids hold until
+        the next part is asked for."""
+        out, get = [], self.ids.__getitem__
+        for piece in text.translate(_PLAIN).split(b"\n"):
+            words = piece.split()
+            if len(words) < PART:
+                out.extend(map(get, words))
+                out.append(0)
+                if len(out) < PART:
+                    continue
+            if out:
+                yield out, len(out)
+                out, get = [], self.ids.__getitem__
+            # A long piece goes on in the next part, which its last windows
+            # reach into.
+            for k in range(0, len(words) if len(words) >= PART else 0, PART):
+                yield list(map(get, words[k:k + PART + LONGEST - 1])), min(PART, len(words) - k)
+                get = self.ids.__getitem__
+        if out:
+            yield out, len(out)
+
+    def crowded(self) -> bool:
+        return len(self.ids.words) >= 1 << (ID_BITS - 1)
+
+    def spill(self, everything: bool) -> Iterator[tuple[str, pa.Array, np.ndarray]]:
         """Take out whole subtrees, the largest first, until half of the trie
-        is free, or all of them: a language and its windows, sorted."""
-        everything = everything or len(self.words) >= 2 * self.held
-        sized = sorted(((node.size, lang, first) for lang, tops in self.langs.items()
-                        for first, node in tops.items()), reverse=True)
-        taken: dict[str, list[tuple[bytes, int]]] = {}
-        words = self.words
-        for n, lang, first in sized:
-            if self.size <= self.held // 2 and not everything:
-                break
-            taken.setdefault(lang, []).extend(
-                (b"".join([words[i] for i in window]), count)
-                for window, count in self.langs[lang].pop(first).windows((first,)))
-            self.size -= n
+        is free, or all of them: a language and its windows with their
+        counts, sorted."""
+        trees = [(lang, first) for lang, tops in self.langs.items() for first in tops]
+        sizes = np.array([len(box) if type(box) is dict else sum(map(len, _boxes(box)))
+                          for tops in self.langs.values() for box in tops.values()], np.int64)
+        along = np.argsort(-sizes, kind="stable")
+        if not everything:
+            free = np.cumsum(sizes[along])
+            along = along[:1 + np.searchsorted(free, self.size - self.held // 2)]
+        taken: dict[str, tuple[list, list, list, list]] = {}
+        for lang, first, n in ((*trees[i], n) for i, n in zip(along.tolist(), sizes[along].tolist())):
+            firsts, counted, rests, counts = taken.setdefault(lang, ([], [], [], []))
+            firsts.append(first)
+            counted.append(n)
+            for box in _boxes(self.langs[lang].pop(first)):
+                rests.extend(box)
+                counts.extend(box.values())
+        self.size -= int(sizes[along].sum())
+        words = self.ids.words
         if everything:
             self._clear()
-        for lang, windows in taken.items():
-            windows.sort()
-            yield lang, windows
+        for lang, (firsts, counted, rests, counts) in taken.items():
+            yield lang, *_sorted(words, np.repeat(firsts, counted), np.array(rests, np.int64),
+                                 np.array(counts, np.int64))
+
+
+def _sorted(words: list[bytes], first: np.ndarray, rest: np.ndarray, counts: np.ndarray
+            ) -> tuple[pa.Array, np.ndarray]:
+    """The windows as bytes, in their order, and their counts."""
+    mask = (1 << ID_BITS) - 1
+    ids = [first, *(rest >> ID_BITS * k & mask for k in reversed(range(LONGEST - 1)))]
+    used = np.unique(np.concatenate(ids))
+    texts = pa.array([words[i] for i in used.tolist()], pa.binary())
+    order = pc.sort_indices(texts).to_numpy()
+    rank = np.empty(len(used), np.int64)
+    rank[order] = np.arange(len(used))
+    ranks = [rank[np.searchsorted(used, column)] for column in ids]
+    packed = ranks[1]
+    for column in ranks[2:]:
+        packed = packed << ID_BITS | column
+    along = np.argsort(packed, kind="stable")
+    along = along[np.argsort(ranks[0][along], kind="stable")]
+    texts = texts.take(pa.array(order))
+    parts = [texts.take(pa.array(column[along])) for column in ranks]
+    return pc.binary_join_element_wise(*parts, pa.scalar(b"", pa.binary())), counts[along]
+
+
+def _docs(docs: DataFrame) -> DataFrame:
+    return docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
+                       text_or_empty().cast("binary").alias("text"))
 
 
-def runs(docs: DataFrame, burst: int = BURST, held: int = HELD) -> DataFrame:
-    """Sorted runs of ``lang, window, n``: each task's counts of windows, whose
-    words end with a space each."""
-    rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
-                       text_or_empty().cast("binary").alias("text"))
+def splitters(docs: DataFrame, ranges: int) -> tuple[list[str], list[bytes]]:
+    """Languages with a short token, and first keys of the prefix partitions but the first, from a sample
+    that is bounded by the number of partitions: documents in the order of
+    their hash, one in every ``total / (ranges * SAMPLED)``, and of each the
+    windows that begin ``SAMPLED`` evenly spaced pieces."""
+    rows = _docs(docs)
+    step = max(1, rows.count() // (ranges * SAMPLED))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            langs, windows = [], []
+            for lang, text in zip(batch["lang"].to_pylist(), batch["text"].to_pylist()):
+                pieces = [p for p in text.translate(_PLAIN).split(b"\n") if p.split()]
+                for piece in pieces[::max(1, len(pieces) // SAMPLED)]:
+                    langs.append(lang)
+                    windows.append(b"".join([w + END for w in piece.split()[:LONGEST]]))
+            yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(windows, pa.binary())],
+                                             ["lang", "window"])
+
+    sampled = rows.where(F.pmod(F.xxhash64("lang", "text"), F.lit(step)) == 0)
+    found = [(r["lang"], bytes(r["window"])) for r in
+             sampled.mapInArrow(run, "lang string, window binary").collect()]
+    langs = sorted({lang for lang, _ in found})[:SHORT_TOKENS]
+    keys = sorted(_token(langs, lang) + window for lang, window in found)
+    return langs, sorted({keys[len(keys) * k // ranges] for k in range(1, ranges)} if keys else ())
+
+
+def _token(langs: list[str], lang: str) -> bytes:
+    """What a language's keys begin with: one byte for those in ``langs``."""
+    return (bytes([FIRST_TOKEN + langs.index(lang)]) if lang in langs
+            else b"!" + lang.encode().hex().encode()) + END
+
+
+def _language(langs: list[str], token: bytes) -> str:
+    return bytes.fromhex(token[1:].decode()).decode() if token[:1] == b"!" else langs[token[0] - FIRST_TOKEN]
+
 
+def runs(docs: DataFrame, langs: list[str], cuts: list[bytes], burst: int = BURST, held: int = HELD
+         ) -> DataFrame:
+    """Sorted runs of ``part, window, n``: each task's counts of windows, the
+    language's token and the words, each with a space behind it, and their
+    prefix partitions."""
     def spilled(trie: Trie, everything: bool) -> Iterator[pa.RecordBatch]:
-        for lang, windows in trie.spill(everything):
+        for lang, windows, counts in trie.spill(everything):
+            token = _token(langs, lang)
+            windows = pc.binary_join_element_wise(pa.scalar(token, pa.binary()), windows, pa.scalar(b"", pa.binary()))
+            keys = _Bytes(windows)
+            low, high = bisect_right(cuts, keys[0]), bisect_right(cuts, keys[len(keys) - 1])
+            starts = [bisect_left(keys, w) for w in cuts[low:high]]
+            part = low + np.searchsorted(starts, np.arange(len(windows)), side="right")
             for k in range(0, len(windows), BATCH_ROWS):
-                texts, counts = zip(*windows[k:k + BATCH_ROWS])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(texts)), pa.array(texts, pa.binary()), pa.array(counts, pa.int64())],
-                    ["lang", "window", "n"])
+                    [pa.array(part[k:k + BATCH_ROWS], pa.int32()), windows[k:k + BATCH_ROWS],
+                     pa.array(counts[k:k + BATCH_ROWS])], ["part", "window", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = Trie(burst, held)
         for batch in batches:
             for lang, text in zip(batch["lang"].to_pylist(), batch["text"].to_pylist()):
-                for piece in PIECES.split(text.lower()):
-                    words = piece.split()
-                    # A long piece goes in parts; a part's last windows reach
-                    # into the next one.
-                    for k in range(0, len(words), held):
-                        trie.add(lang, words[k:k + held + LONGEST - 1], min(held, len(words) - k))
-                        if trie.full():
-                            yield from spilled(trie, False)
+                for ids, starts in trie.parts(text):
+                    trie.add(lang, ids, starts)
+                    if trie.size >= held or trie.crowded():
+                        yield from spilled(trie, trie.crowded())
         yield from spilled(trie, True)
 
-    return rows.mapInArrow(run, "lang string, window binary, n long")
+    return _docs(docs).mapInArrow(run, "part int, window binary, n long")
 
 
-def _counted(batch: pa.RecordBatch, least: int) -> pa.RecordBatch:
+class _Bytes:
+    """An Arrow array as a sequence of bytes."""
+
+    def __init__(self, values: pa.Array):
+        self.values = values
+
+    def __len__(self) -> int:
+        return len(self.values)
+
+    def __getitem__(self, i: int) -> bytes:
+        return self.values[i].as_py()
+
+
+def _counted(batch: pa.RecordBatch, langs: list[str], least: int) -> pa.RecordBatch:
     """Counts of the phrases that a sorted batch's windows begin with, if they
     are frequent or lie at one of its ends; the empty phrase counts words."""
     n, rows = batch["n"].to_numpy(), len(batch)
     split = pc.split_pattern(batch["window"], END)
     starts, sizes = split.offsets.to_numpy()[:-1], np.diff(split.offsets.to_numpy()) - 1
-    new = np.ones(rows, bool)  # the row begins a group
-    lang = batch["lang"]
-    new[1:] = pc.not_equal(lang[1:], lang[:-1]).to_numpy(zero_copy_only=False)
-    langs, phrases, counts = [], [], []
-    for depth in range(LONGEST + 1):
-        if depth:
-            at = pa.array(np.where(sizes >= depth, starts + depth - 1, -1), mask=sizes < depth)
-            word = split.values.take(at)
-            new[1:] |= pc.fill_null(pc.not_equal(word[1:], word[:-1]), True).to_numpy(zero_copy_only=False)
+    new = np.zeros(rows, bool)  # the row begins a group
+    new[0] = True
+    names, phrases, counts = [], [], []
+    for depth in range(1, LONGEST + 2):  # the language, then its words
+        at = pa.array(np.where(sizes >= depth, starts + depth - 1, -1), mask=sizes < depth)
+        word = split.values.take(at)
+        new[1:] |= pc.fill_null(pc.not_equal(word[1:], word[:-1]), True).to_numpy(zero_copy_only=False)
         first = np.flatnonzero(new)
         sums = np.add.reduceat(n, first)
         kept = sums >= least
         kept[[0, -1]] = True
         kept &= sizes[first] >= depth
-        for i in first[kept]:
-            langs.append(lang[i])
-            phrases.append(b" ".join(batch["window"][i].as_py().split(END)[:depth]))
+        for i in first[kept].tolist():
+            token, *words = batch["window"][i].as_py().split(END)[:depth]
+            names.append(_language(langs, token))
+            phrases.append(b" ".join(words))
         counts.append(sums[kept])
-    return pa.RecordBatch.from_arrays(
-        [pa.array([x.as_py() for x in langs], pa.string()), pa.array(phrases, pa.binary()),
-         pa.array(np.concatenate(counts), pa.int64())], ["lang", "phrase", "f"])
+    return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(phrases, pa.binary()),
+                                       pa.array(np.concatenate(counts), pa.int64())], ["lang", "phrase", "f"])
 
 
-def merged(counted: DataFrame, least: int = LEAST) -> DataFrame:
+def merged(counted: DataFrame, langs: list[str], ranges: int, least: int = LEAST) -> DataFrame:
     """``lang, phrase, f`` of all phrases that occur ``least`` times, and for
-    each language the empty phrase with its words, from saved ``runs``."""
+    each language the empty phrase with its words, from ``runs``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = None
         for batch in batches:
             if len(batch):
-                yield _counted(batch, least)
-
-    ordered = counted.repartitionByRange("lang", "window").sortWithinPartitions("lang", "window")
+                parts = {own, *pc.unique(batch["part"]).to_pylist()} - {None}
+                if len(parts) > 1:
+                    raise ValueError("a task holds more than one prefix partition")
+                (own,) = parts
+                yield _counted(batch, langs, least)
+
+    # A task's rows are one range, so their windows alone order them.
+    ordered = counted.repartitionById(ranges, "part").sortWithinPartitions("window")
     parts = ordered.mapInArrow(run, "lang string, phrase binary, f long")
     return (parts.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
             .where((F.col("f") >= least) | (F.octet_length("phrase") == 0))
@@ -302,7 +416,9 @@ def best(found: DataFrame, top: int = TOP, buckets: int = 256) -> DataFrame:
 def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, scale: int = SCALE,
                  contained: int = CONTAINED, burst: int = BURST, held: int = HELD) -> DataFrame:
     """Each language's ``top`` phrases: ``lang, rank, phrase, a, l, r, n, score``."""
-    counts = saved(merged(saved(runs(docs, burst, held), "runs"), least), "phrases")
+    ranges = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    langs, cuts = splitters(docs, ranges)
+    counts = saved(merged(runs(docs, langs, cuts, burst, held), langs, ranges, least), "phrases")
     frequent = counts.where(F.col("phrase") != "").withColumn("words", F.split("phrase", " "))
     total = counts.where(F.col("phrase") == "").select("lang", F.col("f").alias("n"))
     found = best(uncontained(scored(frequent, scale), frequent, contained), top)

@@ -61,22 +61,56 @@ def test_cases(spark):
     assert C.collocations(empty_frame(spark)).count() == 0
 
 
+def spilled(trie, everything):
+    return [(lang, dict(zip(windows.to_pylist(), counts.tolist())), windows.to_pylist())
+            for lang, windows, counts in trie.spill(everything)]
+
+
 def test_trie_holds_every_window_once():
-    trie, words = C.Trie(burst=2, held=1000), [b"a", b"b", b"a", b"b", b"c", b"a", b"b", b"a", b"d", b"a"]
-    trie.add("x", words, len(words))
-    ((lang, windows),) = trie.spill(True)
-    want = Counter(b"".join(w + b" " for w in words[i:i + 4]) for i in range(len(words)))
-    assert lang == "x" and windows == sorted(want.items()) and trie.size == 0
+    text = b"a b a b c a b a d a, a b b b b. z"
+    trie, want = C.Trie(burst=1, held=1000), Counter()
+    for ids, starts in trie.parts(text):
+        trie.add("x", ids, starts)
+    for piece in re.split(rb"[,.]", text):
+        words = piece.split()
+        want.update(b"".join(w + b" " for w in words[i:i + 4]) for i in range(len(words)))
+    ((lang, counts, order),) = spilled(trie, True)
+    assert lang == "x" and counts == want and order == sorted(want) and trie.size == 0
 
 
 def test_half_a_trie_is_spilled_as_whole_subtrees():
     trie = C.Trie(burst=3, held=12)
-    for first in b"aaaaaaabc":
-        word = bytes([first])
-        trie.add("x", [word, b"%d" % trie.size], 1)
+    for ids, starts in trie.parts(b"\n".join(b"%c %d" % (c, i) for i, c in enumerate(b"aaaaaaabc"))):
+        trie.add("x", ids, starts)
     size = trie.size
-    ((_, windows),) = trie.spill(False)
-    assert {w[:2] for w, _ in windows} == {b"a "} and trie.size == size - len(windows) <= 6
+    spills = spilled(trie, False)
+    gone = [w for _, _, windows in spills for w in windows]
+    assert {w for w in gone if w.startswith(b"a ")} == {b"a %d " % i for i in range(7)}
+    assert trie.size == size - len(gone) <= 6
+
+
+def test_a_prefix_may_span_partitions(spark):
+    docs = from_table(spark, SF_ORACLE).limit(60)
+    langs = ["en", "fr"]  # the other languages are spelled out in the keys
+    cuts = sorted(C._token(langs, lang) + w for lang in {lang for lang, _ in pairs(docs)}
+                  for w in (b"a ", b"e", b"i", b"m", b"n", b"the a", b"the of "))
+    counts = C.merged(C.runs(docs, langs, cuts, 8, 200), langs, len(cuts) + 1, 2)
+    f = Counter()
+    for lang, text in pairs(docs):
+        for piece in re.split(rb"[.,;:!?\n-\r]", text.encode().lower()):
+            words = piece.split()
+            for i in range(len(words)):
+                f[lang, ""] += 1
+                for k in range(1, min(4, len(words) - i) + 1):
+                    f[lang, b" ".join(words[i:i + k]).decode()] += 1
+    assert {(r["lang"], r["phrase"]): r["f"] for r in counts.collect()} == {
+        p: n for p, n in f.items() if n >= 2 or not p[1]}
+
+
+def test_long_pieces_are_counted_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(C, "PART", 7)
+    docs = spark.createDataFrame([("en", "a b c " * 50 + ". " + "b c, a b c d a b " * 9)], "lang string, text string")
+    assert got(C.collocations(docs, least=2)) == plain(pairs(docs), least=2)
 
 
 def test_products_beyond_64_bits(spark):
