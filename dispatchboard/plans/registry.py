@@ -474,6 +474,7 @@ WHERE window_end <= (SELECT make_timestamp(
                               CAST(floor(epoch_us(max(call_date_time)) / 1000) AS BIGINT) * 1000
                               - 3600000000)
                      FROM calls)""")(STREAMS.stream_bounded_counts)
+register("stream_state_counts", _COUNTS_ONLY)(STREAMS.stream_state_counts)
 register("stream_progress", """
 SELECT q.query, (SELECT count(*) FROM events) AS num_input_rows
 FROM (VALUES ('crime_type_count'), ('crime_type_count_described')) q(query)""")(STREAMS.stream_progress)

@@ -13,18 +13,31 @@ from pyspark.sql import functions as F
 from dispatchboard.functions import scalars as S
 from dispatchboard.operators import calls as C
 from dispatchboard.operators import transit as T
-from dispatchboard.operators.keyed import latest_by
 from dispatchboard.plans import fixtures as X
 from dispatchboard.schemas import ARRIVAL, STATION, STOPS, TURNSTILE
 from dispatchboard.session import drop_path, scratch_path
-from dispatchboard.sinks.topics import as_records, publish
+from dispatchboard.sinks.topics import as_records, publish, topic_files
 from dispatchboard.sources.topics import LOG_COLUMNS, read_topic
 from dispatchboard.streaming import apps, runner
 from dispatchboard.streaming.quarantine import split_malformed
 
-# Intake limit of the registered streams (STR-8): files of a log a trigger
-# takes. Logs are written by their table's own scan tasks.
-FILES_PER_TRIGGER = 1000
+# Triggers that a registered stream takes its log in at least, and rows that
+# each has at least; logs are written by their table's own scan tasks.
+TRIGGERS, LEAST_ROWS = 5, 100
+
+
+def publish_parts(df: DataFrame, key_cols, value_cols, topic: str, location: str, **options) -> None:
+    """``publish`` in files of at most a fifth of the rows, so that a stream
+    over the log, however small, needs several triggers."""
+    rows = df.count()
+    publish(df, key_cols, value_cols, topic, location,
+            max_records=max(LEAST_ROWS, -(-rows // TRIGGERS)), **options)
+
+
+def intake(spark: SparkSession, location: str, *topics: str) -> int:
+    """Files of the logs that a trigger takes (STR-8)."""
+    files = sum(topic_files(spark, location, t) for t in topics)
+    return max(1, files // TRIGGERS)
 
 
 def _log(spark: SparkSession, name: str) -> str:
@@ -45,13 +58,12 @@ def _feed(spark: SparkSession, name: str):
 def publish_calls(spark, sf_dir, location) -> None:
     c = X.calls(spark, sf_dir).withColumn(
         "call_date_time", F.col("call_date_time").cast("timestamp"))
-    publish(c, None,
-            ["crime_id", "original_crime_type_name", "call_date_time", "disposition"],
-            S.TOPIC_CALLS, location, offset_col="offset", time_col="call_date_time")
+    publish_parts(c, None, ["crime_id", "original_crime_type_name", "call_date_time", "disposition"],
+                  S.TOPIC_CALLS, location, offset_col="offset", time_col="call_date_time")
 
 
-def call_stream(spark, location, max_files=FILES_PER_TRIGGER) -> tuple[DataFrame, DataFrame]:
-    return apps.call_stream(spark, location, max_files_per_trigger=max_files)
+def call_stream(spark, location) -> tuple[DataFrame, DataFrame]:
+    return apps.call_stream(spark, location, max_files_per_trigger=intake(spark, location, S.TOPIC_CALLS))
 
 
 def run_call_counts(spark, sf_dir, described: bool = False, publish_feed=publish_calls):
@@ -111,8 +123,8 @@ def publish_mixed_calls(spark, sf_dir, location) -> None:
     c = X.calls(spark, sf_dir).select(
         "offset", F.when(F.col("offset") % 3 > 0, F.col("crime_id")).alias("crime_id"),
         "original_crime_type_name", text.alias("call_date_time"), "disposition")
-    publish(c, None, ["crime_id", "original_crime_type_name", "call_date_time", "disposition"],
-            S.TOPIC_CALLS, location, offset_col="offset")
+    publish_parts(c, None, ["crime_id", "original_crime_type_name", "call_date_time", "disposition"],
+                  S.TOPIC_CALLS, location, offset_col="offset")
 
 
 def calls_json_formats(spark, sf_dir):
@@ -171,7 +183,8 @@ def stream_bounded_counts(spark, sf_dir):
     several triggers are covered by a hand test."""
     with _feed(spark, "calls") as loc:
         publish_calls(spark, sf_dir, loc)
-        good, _ = call_stream(spark, loc, max_files=None)
+        # All in one trigger, so that no call is late.
+        good, _ = apps.call_stream(spark, loc)
         return runner.run(C.bounded_call_counts(good), "crime_type_count_bounded", "append")
 
 
@@ -179,17 +192,18 @@ def stream_slots(spark, sf_dir):
     """STR-6 as a stream: arrivals topic log -> slot aggregate, complete mode."""
     stations = T.line_stations(X.stops(spark, sf_dir))
     with _feed(spark, "arrivals") as loc:
-        publish(X.arrivals(spark, sf_dir), [F.col("key").alias("timestamp")], ARRIVAL.names,
-                S.TOPIC_ARRIVALS, loc, offset_col="offset", time_col="timestamp")
-        log = read_topic(spark, loc, S.TOPIC_ARRIVALS, max_files_per_trigger=FILES_PER_TRIGGER)
+        publish_parts(X.arrivals(spark, sf_dir), [F.col("key").alias("timestamp")], ARRIVAL.names,
+                      S.TOPIC_ARRIVALS, loc, offset_col="offset", time_col="timestamp")
+        log = read_topic(spark, loc, S.TOPIC_ARRIVALS,
+                         max_files_per_trigger=intake(spark, loc, S.TOPIC_ARRIVALS))
         arr, _ = split_malformed(log, ARRIVAL)
         return runner.run(T.slot_occupancy(arr, stations), "slots", "complete")
 
 
 def publish_stops(spark, sf_dir, location) -> None:
     stops = X.stops(spark, sf_dir).withColumnRenamed("station_order", "order")
-    publish(stops, ["stop_id"], [f.name for f in STOPS.fields], S.TOPIC_STATIONS_RAW, location,
-            offset_col="stop_id")
+    publish_parts(stops, ["stop_id"], [f.name for f in STOPS.fields], S.TOPIC_STATIONS_RAW, location,
+                  offset_col="stop_id")
 
 
 def _stations(spark, sf_dir, changes: str):
@@ -197,7 +211,7 @@ def _stations(spark, sf_dir, changes: str):
     with _feed(spark, "stations") as loc:
         publish_stops(spark, sf_dir, loc)
         q, table = apps.start_station_job(spark, loc, _log(spark, "station-job"), changes, "availableNow",
-                                          max_files_per_trigger=FILES_PER_TRIGGER)
+                                          max_files_per_trigger=intake(spark, loc, S.TOPIC_STATIONS_RAW))
         _ended(q)
     return table
 
@@ -227,9 +241,9 @@ def stream_changelog(spark, sf_dir):
 def stream_entries(spark, sf_dir):
     """AGG-2 in update mode, rows upserted by station (the summary table)."""
     with _feed(spark, "turnstile") as loc:
-        publish(X.turnstile(spark, sf_dir), [F.col("key").alias("timestamp")], TURNSTILE.names,
-                S.TOPIC_TURNSTILE, loc, offset_col="offset", time_col="timestamp")
-        rows = apps.turnstile_stream(spark, loc, max_files_per_trigger=FILES_PER_TRIGGER)
+        publish_parts(X.turnstile(spark, sf_dir), [F.col("key").alias("timestamp")], TURNSTILE.names,
+                      S.TOPIC_TURNSTILE, loc, offset_col="offset", time_col="timestamp")
+        rows = apps.turnstile_stream(spark, loc, max_files_per_trigger=intake(spark, loc, S.TOPIC_TURNSTILE))
         return runner.run(T.entries_per_station(rows), "turnstile_summary", "update",
                           keys=["station_id"])
 
@@ -246,9 +260,10 @@ def _board_feeds(spark, sf_dir) -> dict:
 
 def _run_board(spark, root, state) -> DataFrame:
     """Summary query and board over all that ``root`` holds, then stop."""
-    turn = apps.turnstile_stream(spark, root, max_files_per_trigger=FILES_PER_TRIGGER)
+    turn = apps.turnstile_stream(spark, root, max_files_per_trigger=intake(spark, root, S.TOPIC_TURNSTILE))
     _ended(apps.start_summary_query(spark, turn, root, "availableNow", f"{state}/_summary_checkpoint"))
-    q, board = apps.start_board(spark, root, state, "availableNow", FILES_PER_TRIGGER)
+    q, board = apps.start_board(spark, root, state, "availableNow",
+                                intake(spark, root, *T.DEFAULT_TOPICS.values()))
     _ended(q)
     return board
 
@@ -298,15 +313,27 @@ def stream_board_bad_records(spark, sf_dir):
 def stream_entries_table(spark, sf_dir):
     """AGG-3 as a stream: the latest station of each message key is a hash
     aggregate in the state store; a trigger writes the keys it changed, and
-    the stations are counted when the result is read. (Running totals per
-    trigger: ``streaming.table_counts``.)"""
-    key = F.get_json_object(F.col("key").cast("string"), "$.timestamp").cast("long").alias("key")
-    station = S.decode_json("value", TURNSTILE)["station_id"].alias("station_id")
+    the stations are counted when the result is read. Messages that don't
+    decode, the latest of their keys among them, change nothing."""
+    turnstile = X.turnstile(spark, sf_dir)
     with _feed(spark, "turnstile") as loc:
-        publish(X.turnstile(spark, sf_dir), [F.col("key").alias("timestamp")], TURNSTILE.names,
-                S.TOPIC_TURNSTILE, loc, offset_col="offset", time_col="timestamp")
-        log = read_topic(spark, loc, S.TOPIC_TURNSTILE, max_files_per_trigger=FILES_PER_TRIGGER)
-        latest = latest_by(log.select(key, "offset", station), "key", "offset", ["station_id"])
-        table = runner.start(latest, "turnstile_table", "changes", "availableNow", keys=["key"],
-                             path=_log(spark, "turnstile-table")).wait().read(spark)
+        key_cols = [F.col("key").alias("timestamp")]
+        options = dict(offset_col="offset", time_col="timestamp")
+        publish_parts(turnstile, key_cols, TURNSTILE.names, S.TOPIC_TURNSTILE, loc, **options)
+        # The same messages again, later and broken: they replace nothing.
+        again = turnstile.withColumn("offset", F.col("offset") + (1 << 40))
+        _broken(again, F.lit(True), key_cols, TURNSTILE.names, S.TOPIC_TURNSTILE, loc, **options)
+        rows = apps.turnstile_stream(spark, loc, max_files_per_trigger=intake(spark, loc, S.TOPIC_TURNSTILE))
+        table = apps.start_turnstile_table(rows, _log(spark, "turnstile-table"), "availableNow").wait().read(spark)
     return T.entries_per_station(table)
+
+
+def stream_state_counts(spark, sf_dir):
+    """STR-3, SNK-4: the flagship over several triggers, its result read from
+    the state store; the query writes no part."""
+    out = _log(spark, "state-counts")
+    with _feed(spark, "calls") as loc:
+        publish_calls(spark, sf_dir, loc)
+        good, _ = call_stream(spark, loc)
+        apps.start_call_state(good, out, "availableNow").wait()
+    return apps.read_call_state(spark, out)

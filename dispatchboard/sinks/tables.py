@@ -53,7 +53,7 @@ class KeyedTable(VersionedTable):
     before ``batch_id`` and writes version ``batch_id``. Each upsert rewrites
     the table, which suits tables the size of a station list or a board;
     a keyed table that grows with the input belongs in the state store
-    (see ``streaming.table_counts``).
+    (``runner`` modes changes and state).
     """
 
     def __init__(self, spark: SparkSession, path: str, keys: Sequence[str],
@@ -93,26 +93,6 @@ class KeyedTable(VersionedTable):
                 batch.unpersist()
 
 
-class CountTable(VersionedTable):
-    """Running totals per key: each micro-batch adds its signed deltas to the
-    version before it. Keys whose total reaches 0 are dropped. Meant for
-    small key sets (one row per station); the deltas are summed with a
-    partial aggregate first, so the merge sees one row per key."""
-
-    def __init__(self, spark: SparkSession, path: str, keys: Sequence[str],
-                 value: str = "entries"):
-        super().__init__(spark, path)
-        self.keys, self.value = list(keys), value
-
-    def add(self, deltas: DataFrame, batch_id: int, delta_col: str = "delta") -> None:
-        summed = deltas.groupBy(*self.keys).agg(F.sum(delta_col).cast("bigint").alias(self.value))
-        base = self._base(batch_id)
-        merged = summed if base is None else (
-            base.unionByName(summed).groupBy(*self.keys)
-            .agg(F.sum(self.value).cast("bigint").alias(self.value)))
-        self._commit(merged.where(F.col(self.value) != 0), batch_id)
-
-
 # SNK-5
 def save_if_absent(df: DataFrame, name: str) -> None:
     """Create a catalog table only when it does not exist."""

@@ -37,19 +37,23 @@ def as_records(df: DataFrame, key_cols, value_cols, topic: str,
                      off.cast("bigint").alias("offset"), ts.alias("timestamp"))
 
 
-def topic_exists(spark: SparkSession, location: str, topic: str) -> bool:
-    """SNK-5 guard for a topic log: its folder holds a finished data file (a
-    write in progress keeps its files under ``_temporary``)."""
+def topic_files(spark: SparkSession, location: str, topic: str) -> int:
+    """Finished data files of a topic log (a write in progress keeps its
+    files under ``_temporary``)."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{location}/{topic}")
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return False
-    files = fs.listFiles(path, True)
-    while files.hasNext():
-        found = files.next().getPath()
-        if "/_temporary/" not in found.toString() and not found.getName().startswith(("_", ".")):
-            return True
-    return False
+    found = 0
+    if fs.exists(path):
+        files = fs.listFiles(path, True)
+        while files.hasNext():
+            at = files.next().getPath()
+            found += "/_temporary/" not in at.toString() and not at.getName().startswith(("_", "."))
+    return found
+
+
+def topic_exists(spark: SparkSession, location: str, topic: str) -> bool:
+    """SNK-5 guard for a topic log: its folder holds a data file."""
+    return topic_files(spark, location, topic) > 0
 
 
 def next_offset(spark: SparkSession, location: str, topic: str) -> int:
@@ -72,15 +76,17 @@ def require_topics(spark: SparkSession, location: str, *topics: str) -> None:
 def publish(df: DataFrame, key_cols, value_cols, topic: str, location: str,
             partitions: int = 1, offset_col: str | None = None,
             time_col: str | None = None, if_absent: bool = False,
-            fmt: str = "log", batch: int | None = None) -> None:
+            fmt: str = "log", batch: int | None = None, max_records: int = 0) -> None:
     """Add records to a topic log (or to Kafka with ``fmt="kafka"``,
     ``location`` then being the bootstrap servers). With ``if_absent`` an
     existing topic is left untouched (SNK-5; logs only). Offsets go on from
     the topic's last.
 
     A retried job would append its rows again; give ``batch``, a number of
-    the caller's, and the retry overwrites the part of that number. Such a
-    part needs ``offset_col``, since its rows must keep their offsets."""
+    the caller's: a finished part of that number is left alone, so a stream
+    that has read its files doesn't get them again under new names, and an
+    unfinished one is written anew. Such a part needs ``offset_col``, since
+    its rows must keep their offsets. ``max_records`` bounds a file's rows."""
     spark = df.sparkSession
     if fmt == "kafka":
         if if_absent:
@@ -95,10 +101,29 @@ def publish(df: DataFrame, key_cols, value_cols, topic: str, location: str,
         raise ValueError("a numbered batch needs offset_col")
     first = 0 if offset_col else next_offset(spark, location, topic)
     recs = as_records(df, key_cols, value_cols, topic, partitions, offset_col, time_col, first)
+    writer = recs.write.option("maxRecordsPerFile", max_records)
     if batch is None:
-        recs.write.mode("append").parquet(f"{location}/{topic}")
-    else:
-        recs.write.mode("overwrite").parquet(f"{location}/{topic}/batch={batch:020d}")
+        writer.mode("append").parquet(f"{location}/{topic}")
+    elif not part_done(spark, location, topic, batch):
+        writer.mode("overwrite").parquet(f"{location}/{topic}/batch={batch:020d}")
+        finish_part(spark, location, topic, batch)
+
+
+def _part_mark(spark: SparkSession, location: str, topic: str, batch: int):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{location}/_parts/{topic}/{batch:020d}")
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), path
+
+
+def part_done(spark: SparkSession, location: str, topic: str, batch: int) -> bool:
+    """The numbered part was written whole. Marks lie outside the topics'
+    folders, where readers of a log don't look."""
+    fs, mark = _part_mark(spark, location, topic, batch)
+    return fs.exists(mark)
+
+
+def finish_part(spark: SparkSession, location: str, topic: str, batch: int) -> None:
+    fs, mark = _part_mark(spark, location, topic, batch)
+    fs.create(mark, True).close()
 
 
 def read_published(spark: SparkSession, location: str, topic: str) -> DataFrame:

@@ -28,9 +28,11 @@ from pyspark.sql import functions as F
 from dispatchboard.functions import scalars as S
 from dispatchboard.operators import calls as C
 from dispatchboard.operators import transit as T
+from dispatchboard.operators.keyed import latest_by
 from dispatchboard.schemas import CALL, STOPS, TURNSTILE
 from dispatchboard.session import prepare, scratch_path
 from dispatchboard.sinks.tables import start_console
+from dispatchboard.sinks.topics import finish_part, part_done
 from dispatchboard.sources.files import read_codes
 from dispatchboard.sources.topics import read_topic, read_topic_list
 from dispatchboard.streaming import runner
@@ -107,6 +109,25 @@ def start_call_counts(calls: DataFrame, out: str, trigger: str = "10 seconds",
                         keys=["bucket_start", C.TYPE_COL, C.DISPOSITION_COL], path=out)
 
 
+def start_call_state(calls: DataFrame, out: str, trigger: str = "10 seconds", name: str = "crime_type_count"):
+    """The flagship's counts in state mode: a trigger writes only its state's
+    changes, and readers take the bucket counts from the state itself."""
+    return runner.start(C.call_bucket_counts(calls), name, "state", trigger, path=out)
+
+
+def read_call_state(spark: SparkSession, out: str, codes: DataFrame | None = None) -> DataFrame:
+    """Window counts from the bucket counts in the state of the query that
+    ``start_call_state`` started with folder ``out``, as of its last committed
+    trigger, whether it is still running or not."""
+    held = runner.read_state(spark, f"{out.rstrip('/')}/_checkpoint")
+    bucket, kind, disposition = (F.col("key")[f] for f in held.schema["key"].dataType.names)
+    count = held.schema["value"].dataType.names[0]
+    windows = C.windows_from_buckets(held.select(
+        bucket["start"].alias("bucket_start"), kind.alias(C.TYPE_COL), disposition.alias(C.DISPOSITION_COL),
+        F.col("value")[count].alias("call_count")))
+    return windows if codes is None else C.with_disposition(windows, codes)
+
+
 def read_call_counts(spark: SparkSession, result, codes: DataFrame | None = None) -> DataFrame:
     """Window counts from the newest bucket counts, described if ``codes``
     are given."""
@@ -137,13 +158,14 @@ def _start_shared(buckets: DataFrame, lookup: DataFrame, trigger: str, out: str)
 
 def _put(records: DataFrame, location: str, topic: str, batch_id: int, fmt: str) -> None:
     """One micro-batch's records out: a numbered part of a topic log, which a
-    replay overwrites, or messages to Kafka (a replay repeats them; readers
-    keep the latest per key)."""
+    replay leaves alone once it is whole, or messages to Kafka (a replay
+    repeats them; readers keep the latest per key)."""
     if fmt == "kafka":
         (records.select("key", "value", "topic").write.format("kafka")
          .option("kafka.bootstrap.servers", location).save())
-    else:
+    elif not part_done(records.sparkSession, location, topic, batch_id):
         records.write.mode("overwrite").parquet(f"{location}/{topic}/batch={batch_id:020d}")
+        finish_part(records.sparkSession, location, topic, batch_id)
 
 
 def start_summary_query(spark: SparkSession, turnstile: DataFrame, location: str,
@@ -236,6 +258,15 @@ def turnstile_stream(spark: SparkSession, source: str, fmt: str = "log",
     return good
 
 
+def start_turnstile_table(turnstile: DataFrame, out: str, trigger: str = "10 seconds",
+                          name: str = "turnstile_table"):
+    """AGG-3: the latest station of each message key of a decoded turnstile
+    stream, in changes mode. Count its rows per station when it is read."""
+    key = F.get_json_object(F.col("key").cast("string"), "$.timestamp").cast("long").alias("key")
+    latest = latest_by(turnstile.select(key, "offset", "station_id"), "key", "offset", ["station_id"])
+    return runner.start(latest, name, "changes", trigger, keys=["key"], path=out)
+
+
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="python -m dispatchboard.streaming.apps")
     sub = p.add_subparsers(dest="app", required=True)
@@ -248,6 +279,9 @@ def main(argv: list[str] | None = None) -> None:
     c.add_argument("--trigger", default="10 seconds")
     c.add_argument("--max-offsets-per-trigger", type=int)
     c.add_argument("--max-files-per-trigger", type=int)
+    c.add_argument("--mode", choices=("complete", "changes", "state"), default="complete",
+                   help="complete: every trigger rewrites the result (the default); changes: it writes what"
+                        " changed; state: the result is read from the state store (both need --out)")
     c.add_argument("--shared", action="store_true",
                    help="one stateful query writes both results (needs --out, --codes)")
     t = sub.add_parser("stations", help="raw stops to station table and changelog topic")
@@ -277,7 +311,13 @@ def main(argv: list[str] | None = None) -> None:
         good, bad = call_stream(spark, a.source, a.topic, fmt,
                                 a.max_files_per_trigger, a.max_offsets_per_trigger)
         codes = read_codes(spark, a.codes) if a.codes else None
-        started = start_call_queries(good, codes, a.trigger, a.out, shared=a.shared)
+        if a.mode != "complete":
+            if not a.out:
+                p.error(f"--mode {a.mode} needs --out")
+            start = start_call_state if a.mode == "state" else start_call_counts
+            started = [start(good, f"{a.out.rstrip('/')}/crime_type_count", a.trigger)]
+        else:
+            started = start_call_queries(good, codes, a.trigger, a.out, shared=a.shared)
         queries = [getattr(q, "query", q) for q in started]
         if a.out:
             queries.append(start_quarantine(bad, "calls_quarantine", f"{a.out}/quarantine",

@@ -9,6 +9,10 @@ root, never in driver memory:
 * append mode: each micro-batch writes its own part (``batch=<id>``),
   overwritten on replay, so at-least-once delivery gives exactly-once files.
 * update mode: rows are merged into a ``KeyedTable`` by key (small tables).
+* state mode: the query writes nothing; its result is what its aggregate holds
+  in the state store, read through Spark's state data source as of the last
+  committed batch. Storage and reading cost grow with the result, not with
+  the number of triggers.
 * changes mode: update mode for results that grow with the input. A
   micro-batch writes only the rows it changed, as its own part, and a reader
   takes the newest row of each key; nothing is rewritten.
@@ -47,6 +51,8 @@ class StreamResult:
         return self
 
     def read(self, spark: SparkSession) -> DataFrame:
+        if self.mode == "state":
+            return read_state(spark, f"{self.path}/_checkpoint")
         if self.mode == "update":
             return self.table.read()
         if self.mode == "complete":
@@ -58,6 +64,20 @@ class StreamResult:
         return parts.drop("batch")
 
 
+def read_state(spark: SparkSession, checkpoint: str, operator: str = "stateStoreSave") -> DataFrame:
+    """Keys and values that a query's one operator of that name (the
+    aggregate's, by default) holds in state as of its last committed batch:
+    ``key, value``. Works next to the running query and after it has ended;
+    a query that has committed nothing yet is an error. Two short metadata
+    rows come to the driver."""
+    known = (spark.read.format("state-metadata").load(checkpoint)
+             .where(F.col("operatorName") == operator).select("operatorId").distinct().collect())
+    if len(known) != 1:
+        raise ValueError(f"{len(known)} operators named {operator!r} keep state under {checkpoint}")
+    held = spark.read.format("statestore").option("operatorId", known[0]["operatorId"]).load(checkpoint)
+    return held.select("key", "value")
+
+
 def start(df: DataFrame, name: str, mode: str = "complete",
           trigger: str = "availableNow", keys: Sequence[str] | None = None,
           path: str | None = None, transform=None) -> StreamResult:
@@ -83,6 +103,8 @@ def start(df: DataFrame, name: str, mode: str = "complete",
         def sink(batch: DataFrame, batch_id: int) -> None:
             (batch.write.mode("overwrite")
              .parquet(f"{path}/parts/batch={batch_id:020d}"))
+    elif mode == "state":
+        sink = None
     elif mode == "update":
         if not keys:
             raise ValueError("update mode needs keys")
@@ -93,9 +115,10 @@ def start(df: DataFrame, name: str, mode: str = "complete",
     else:
         raise ValueError(f"unknown output mode {mode!r}")
 
-    q = (df.writeStream.queryName(name).outputMode("update" if mode == "changes" else mode)
-         .option("checkpointLocation", f"{path}/_checkpoint")
-         .foreachBatch(sink).trigger(**trigger_kwargs(trigger)).start())
+    writer = (df.writeStream.queryName(name).outputMode("update" if mode in ("changes", "state") else mode)
+              .option("checkpointLocation", f"{path}/_checkpoint"))
+    writer = writer.format("noop") if sink is None else writer.foreachBatch(sink)
+    q = writer.trigger(**trigger_kwargs(trigger)).start()
     return StreamResult(q, path, mode, table, keys or ())
 
 

@@ -134,37 +134,6 @@ def test_check_stations_finds_violations(spark):
     assert got["not_null_stop_id"] == 0
 
 
-def test_table_counts_keyed_state(spark):
-    """AGG-3 stream: a key moving between stations, an older row arriving
-    late, a station falling to 0, and a compacted file read twice."""
-    from dispatchboard.streaming.table_counts import (CountTable, compact_query,
-                                                      count_query)
-    root = scratch_path(spark, "table-counts-test")
-    schema = "key string, offset long, station_id int"
-    batches = [
-        [("k1", 1, 10), ("k1", 3, 11), ("k2", 2, 20), ("k3", 4, None)],
-        [("k1", 2, 99), ("k2", 5, 21), ("k3", 6, 30), ("k4", 7, 21)],
-        [("k4", 8, 20)],
-    ]
-    src = f"{root}/in"
-    for i, rows in enumerate(batches):
-        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{src}/b{i}")
-    stream = (spark.readStream.schema(schema).option("recursiveFileLookup", "true")
-              .option("maxFilesPerTrigger", 1).parquet(src))
-    compact_query(stream, f"{root}/compacted", f"{root}/_ck1").awaitTermination()
-    # The first compacted batch again, as a replayed sink would leave it.
-    first = sorted(os.listdir(f"{root}/compacted"))[0]
-    spark.read.parquet(f"{root}/compacted/{first}").write.parquet(f"{root}/compacted/again")
-    counts = CountTable(spark, f"{root}/counts", ["station_id"], "entries")
-    q = count_query(spark, f"{root}/compacted", counts, f"{root}/_ck2", max_files_per_trigger=1)
-    q.awaitTermination()
-    assert q.exception() is None
-    got = {(r.station_id, r.entries) for r in counts.read().collect()}
-    # latest: k1 -> 11 (offset 3 beats the late offset 2), k2 -> 21, k3 -> 30,
-    # k4 -> 20; station 10 and the null station fell to 0 and are gone.
-    assert got == {(11, 1), (21, 1), (30, 1), (20, 1)}
-
-
 def test_ridership_seed_csv(spark):
     """SRC-5: seed CSV with a header, a hyphenated column and a date text."""
     from dispatchboard.sources.files import read_ridership_seed
@@ -317,29 +286,6 @@ def test_flagship_stream_resumes_from_checkpoint(spark):
             == sorted(want.collect(), key=repr))
 
 
-def test_table_counts_stream_resumes_from_checkpoint(spark):
-    """AGG-3 stream restarted on its checkpoints: keyed state carries over,
-    counts end equal to the batch table reading."""
-    from dispatchboard.operators import transit as T
-    from dispatchboard.plans import fixtures as X
-    from dispatchboard.schemas import TURNSTILE
-    from dispatchboard.streaming.table_counts import run_table_counts
-    from tests.conftest import SF_SMALL
-    src, root = scratch_path(spark, "resume-turn"), scratch_path(spark, "resume-table")
-    turn = X.turnstile(spark, SF_SMALL)
-    cut = F.col("timestamp") < F.lit("2024-01-15").cast("timestamp_ntz")
-    for part in (turn.where(cut), turn.where(~cut)):
-        TP.publish(part, [F.col("key").alias("timestamp")], [f.name for f in TURNSTILE.fields],
-                   S.TOPIC_TURNSTILE, src, offset_col="offset", time_col="timestamp")
-        log = read_topic(spark, src, S.TOPIC_TURNSTILE)
-        rows = log.select(F.col("key").cast("string").alias("key"), "offset",
-                          F.from_json(F.col("value").cast("string"), TURNSTILE)["station_id"]
-                          .alias("station_id"))
-        got = run_table_counts(spark, rows, root)
-    want = T.entries_per_station_table(turn.withColumn("key", F.col("key").cast("string")))
-    assert sorted(got.collect()) == sorted(want.collect())
-
-
 def test_board_app_command_line(spark):
     """The board application, from the command line, over published feeds:
     the board it renders equals the batch board."""
