@@ -554,6 +554,23 @@ def q_publish_roundtrip(spark, sf_dir):
                     "d.disposition"))
 
 
+# Element texts with brackets, braces, quotes and escapes inside their strings.
+@register("json_array_split", """
+SELECT p_partkey AS id, p_name || '}],{"[\\ ' || chr(10) || p_type || '"' AS note, [p_size, p_partkey] AS sizes
+FROM part""")
+def q_json_array_split(spark, sf_dir):
+    """SRC-7: array files read by byte ranges, cut at element borders."""
+    from dispatchboard.session import scratch_path
+    from dispatchboard.sources.files import write_json_arrays
+    from dispatchboard.sources.json_arrays import read_json_array
+    src = scratch_path(spark, "json-array")
+    note = F.concat("p_name", F.lit('}],{"[\\ \n'), "p_type", F.lit('"'))
+    write_json_arrays(X.table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("id"), note.alias("note"), F.array("p_size", "p_partkey").alias("sizes")), src)
+    schema = "id bigint, note string, sizes array<bigint>"
+    return read_json_array(spark, src).select(F.from_json("value", schema).alias("d")).select("d.*")
+
+
 @register("json_file_publish", _with(X.PART_CODES_SQL) + "SELECT * FROM codes")
 def q_json_file_publish(spark, sf_dir):
     """SRC-7: a JSON-array file becomes one message per element."""

@@ -134,10 +134,20 @@ def read_published(spark: SparkSession, location: str, topic: str) -> DataFrame:
 # SRC-7
 def publish_json_file(spark: SparkSession, path: str, topic: str, location: str,
                       schema=None) -> None:
-    """A file holding a JSON array becomes one message per element."""
-    r = spark.read.option("multiline", "true")
-    src = (r.schema(schema) if schema is not None else r).json(path)
-    publish(src, None, src.columns, topic, location)
+    """Files holding JSON arrays become one message per element, however large
+    one file is. With a ``schema`` a message has its fields, without one it is
+    the element's own text."""
+    from dispatchboard.sources.json_arrays import read_json_array
+    elements = read_json_array(spark, path)
+    if schema is not None:
+        src = elements.select(F.from_json("value", schema).alias("d")).select("d.*")
+        publish(src, None, src.columns, topic, location)
+        return
+    off = F.monotonically_increasing_id() + F.lit(next_offset(spark, location, topic))
+    (elements.select(F.lit(None).cast("binary").alias("key"), F.col("value").cast("binary").alias("value"),
+                     F.lit(topic).alias("topic"), F.lit(0).alias("partition"), off.alias("offset"),
+                     F.current_timestamp().alias("timestamp"))
+     .write.mode("append").parquet(f"{location}/{topic}"))
 
 
 # SNK-4
