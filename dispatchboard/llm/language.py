@@ -46,18 +46,45 @@ SMOOTHING = 5.0
 # Pages' worth of belief, before any is seen, that markup declares the truth.
 HONEST, OTHERWISE = 8.0, 1.0
 
-_HIDDEN = re.compile(r"<!--.*?-->|<(script|style)\b.*?</\1\s*>", re.S | re.I)
+_HIDDEN = re.compile(r"<!--|<(script|style)\b", re.I)
+_ENDS = {None: re.compile("-->"), "script": re.compile(r"</script\s*+>", re.I),
+         "style": re.compile(r"</style\s*+>", re.I)}
 _TAG = re.compile(r"<[^>]*>")
-_DECLARED = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?\s*([A-Za-z]{2,3})", re.I)
+_HTML = re.compile(r"<html\b", re.I)
+_LANG = re.compile(r"\blang\s*+=\s*+[\"']?+\s*+([A-Za-z]{2,})", re.I)
 
 
 def visible(page: str) -> str:
-    return html.unescape(_TAG.sub(" ", _HIDDEN.sub(" ", page)))
+    """The page's text without comments, scripts, styles and tags; what is
+    opened and never closed stays. Every byte is looked at a few times,
+    however many openings have no end."""
+    kept, at, endless = [], 0, set()
+    for opened in _HIDDEN.finditer(page):
+        kind = opened.group(1) and opened.group(1).lower()
+        if opened.start() < at or kind in endless:
+            continue
+        closed = _ENDS[kind].search(page, opened.end())
+        if closed is None:
+            endless.add(kind)  # nor is there one further on
+            continue
+        kept += page[at:opened.start()], " "
+        at = closed.end()
+    kept.append(page[at:])
+    text = "".join(kept)
+    last = text.rfind(">") + 1  # up to here every tag has an end
+    return html.unescape(_TAG.sub(" ", text[:last]) + text[last:])
 
 
 def declared(page: str) -> str | None:
-    found = _DECLARED.search(page)
-    return found.group(1).lower() if found else None
+    """The primary subtag of the first language an html tag declares."""
+    at = 0
+    while opened := _HTML.search(page, at):
+        end = page.find(">", opened.end())
+        end = len(page) if end < 0 else end
+        if found := _LANG.search(page, opened.end(), end):
+            return found.group(1).lower()
+        at = end  # openings before it were part of this tag
+    return None
 
 
 def address(url: str | None) -> tuple[str, str, str]:

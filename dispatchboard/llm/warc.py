@@ -16,7 +16,8 @@ is whole, so a repeated task replaces what a lost one left.
 Cases: a null html is an empty payload; a null or odd url is left out or
 escaped; of rows repeated with one page_id and payload the first place
 responds and the others revisit it; null page_ids rank last; an empty table
-gives no bundles and no rows; other columns are ignored.
+gives no bundles and no rows; a very long payload is a frame of its own and is
+held whole by its task; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -37,6 +38,8 @@ from dispatchboard.llm.shared import located, saved, scratch
 LEAST_BYTES = 100
 FRAME_BYTES = 1 << 20
 BUNDLE_BYTES = 64 << 20
+# Packed bytes that a task reads back.
+READ_BYTES = 8 << 20
 LEVEL = 3
 DATE = "2020-01-01T00:00:00Z"
 SUFFIX = ".warc.zst"
@@ -170,24 +173,27 @@ def write_bundles(pages: DataFrame, folder: str) -> DataFrame:
     rows, at = located(pages)
     payload = F.coalesce(F.col("html").cast("string"), F.lit(""))
     rows = rows.select("page_id", F.col("url").cast("string").alias("url"), payload.alias("payload"),
-                       F.sha2(payload, 256).alias("digest"), F.xxhash64(at).alias("place"))
+                       F.sha2(payload, 256).alias("digest"), F.xxhash64(at).alias("place"), F.col(at).alias("at"))
     size = F.octet_length("payload")
-    rank = F.struct(F.col("page_id").isNull().alias("none"), F.col("page_id"), F.col("place"))
+    rank = F.struct(F.col("page_id").isNull().alias("none"), "page_id", "at", "place")
     keys = rows.where(size >= LEAST_BYTES).select("digest", rank.alias("rank"))
     # Only payloads that occur more than once need the join, and of those only
     # digests and places move; a page's payload is shuffled once, to its task.
     firsts = (keys.groupBy("digest").agg(F.min("rank").alias("first"), F.count(F.lit(1)).alias("n"))
               .where(F.col("n") > 1).drop("n"))
-    again = saved(keys.join(firsts, "digest").where(F.col("rank.place") != F.col("first.place"))
-                  .select(F.col("rank.place").alias("place"), F.lit(True).alias("again"),
-                          F.col("first.page_id").cast("string").alias("first_id"),
-                          F.col("first.place").alias("first_place")), "revisits")
+    # A place's hash deals the rows; the place itself tells whose entry it is.
+    entry = F.struct(F.col("rank.at").alias("at"), F.col("first.page_id").cast("string").alias("first_id"),
+                     F.col("first.place").alias("first_place"))
+    again = saved(keys.join(firsts, "digest").where(F.col("rank.at") != F.col("first.at"))
+                  .groupBy(F.col("rank.place").alias("place")).agg(F.collect_list(entry).alias("entries")),
+                  "revisits")
     total = rows.agg(F.sum(size)).first()[0] or 0
     tasks = max(1, -(-total // BUNDLE_BYTES))
-    marked = (rows.repartition(tasks, "place").join(again, "place", "left")
+    own = F.get(F.filter("entries", lambda e: e["at"] == F.col("at")), 0)
+    marked = (rows.repartition(tasks, "place").join(again, "place", "left").withColumn("own", own)
               .select(F.col("page_id").cast("string"), "place", "url", "payload", "digest",
-                      F.coalesce("again", F.lit(False)).alias("again"), "first_id",
-                      F.coalesce("first_place", F.lit(0)).alias("first_place"))
+                      F.col("own").isNotNull().alias("again"), F.col("own.first_id").alias("first_id"),
+                      F.coalesce("own.first_place", F.lit(0)).alias("first_place"))
               .sortWithinPartitions("place", "page_id"))
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -249,7 +255,10 @@ def read_bundles(spark: SparkSession, folder: str) -> DataFrame:
                 yield pd.DataFrame(out, columns=RECORDS).astype({"page_id": "Int64", "refers_to": "Int64"})
 
     found = files.mapInPandas(frames, "path string, frame int, start long, packed long, raw long")
-    return found.repartition("path", "frame").mapInPandas(
+    # A frame's row is short but stands for much: the number of tasks follows
+    # the bytes of the bundles, not of these rows.
+    packed = files.agg(F.sum("length")).first()[0] or 0
+    return found.repartition(max(1, -(-packed // READ_BYTES)), "path", "frame").mapInPandas(
         parse, "record_id string, page_id long, payload_bytes long, payload_digest string, "
                "record_type string, refers_to long, bundle string, frame int, offset long, length long")
 

@@ -1,5 +1,8 @@
+import html
 import math
+import random
 import re
+import time
 from collections import defaultdict
 
 import numpy as np
@@ -87,3 +90,29 @@ def test_cases(spark):
     assert language.fused(frame.where("false"), docs).collect() == []
     none = language.fused(frame, docs.where("false")).collect()
     assert len(none) == len(data) and {r["lang"] for r in none} == {None}
+
+
+@pytest.mark.parametrize("opening", ["<!--", "<script ", "<", "<html ", "<style", "<html lang= ", "</script "])
+def test_long_broken_pages_are_read_in_one_pass(opening):
+    page = opening * (2_000_000 // len(opening))
+    began = time.monotonic()
+    language.visible(page)
+    assert language.declared(page) is None
+    assert time.monotonic() - began < 2
+
+
+def test_closed_tags_are_hidden_as_by_the_plain_patterns():
+    hidden = re.compile(r"<!--.*?-->|<(script|style)\b.*?</\1\s*>", re.S | re.I)
+    rng = random.Random(3)
+    parts = ["<!--", "-->", "<script ", "</script >", "<style>", "</STYLE>", "<html ", "lang=", "'en-US'", " ", ">",
+             "<", "x", "&amp;", "</script", "<!-->"]
+    for _ in range(5000):
+        page = "".join(rng.choice(parts) for _ in range(rng.randint(0, 14)))
+        assert language.visible(page) == html.unescape(re.sub(r"<[^>]*>", " ", hidden.sub(" ", page)))
+
+
+@pytest.mark.parametrize("page, lang", [
+    ('<html lang="english">', "english"), ("<HTML class=a LANG = 'de-AT'>", "de"), ("<html lang=pt_BR>", "pt"),
+    ("<html><html lang=fr>", "fr"), ('<html a="b" lang="">', None), ("<html lang=es", "es"), ("<p lang=en>", None)])
+def test_whole_primary_subtag_is_read(page, lang):
+    assert language.declared(page) == lang

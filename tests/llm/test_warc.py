@@ -3,6 +3,8 @@ import hashlib
 import pytest
 import zstandard
 
+from pyspark.sql import functions as F
+
 from dispatchboard.llm import queries, warc
 from tests.conftest import SF_ORACLE
 from tests.llm.cases import from_table
@@ -101,3 +103,24 @@ def test_cases(spark):
         ("8", "response", None), ("9", "response", None)])
     assert len({r["record_id"] for r in rows}) == len(rows)
     assert warc.archived(frame.where("false")).collect() == []
+
+
+def test_frames_are_read_back_by_many_tasks(spark, monkeypatch):
+    """By the bytes they hold, not by the size of the rows that name them."""
+    monkeypatch.setattr(warc, "READ_BYTES", 2000)
+    pages = spark.range(110).selectExpr("id page_id", "cast(null as string) url",
+                                        "concat(id, repeat(sha2(cast(id as string), 256), 20000)) html")
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    out = warc.archived(pages)
+    rows = out.withColumn("task", F.spark_partition_id()).collect()
+    assert len({(r["bundle"], r["frame"]) for r in rows}) >= 100 and len(rows) == 110
+    assert len({r["task"] for r in rows}) >= 4
+
+
+def test_places_with_one_hash_keep_their_own_entries(spark, monkeypatch):
+    """All places hash alike: every record must still find its own entry."""
+    monkeypatch.setattr(warc.F, "xxhash64", lambda *_: F.lit(7).cast("long"))
+    pages = spark.createDataFrame([(i, None, f"{i % 3}" * 200) for i in range(9)],
+                                  "page_id long, url string, html string")
+    got = {r["page_id"]: r["refers_to"] for r in warc.archived(pages).collect()}
+    assert got == {i: (i % 3 if i >= 3 else None) for i in range(9)}
