@@ -469,11 +469,23 @@ _COUNTS_ONLY = WINDOW_COUNTS_SQL + "SELECT * FROM counts"
 register("stream_window_counts", _COUNTS_ONLY)(STREAMS.stream_window_counts)
 register("stream_window_described", ORACLES["calls_window_described"])(
     STREAMS.stream_window_described)
-register("stream_bounded_counts", _COUNTS_ONLY + """
-WHERE window_end <= (SELECT make_timestamp(
-                              CAST(floor(epoch_us(max(call_date_time)) / 1000) AS BIGINT) * 1000
-                              - 3600000000)
-                     FROM calls)""")(STREAMS.stream_bounded_counts)
+# Calls in waves; one is refused that is no later than the watermark left by
+# the waves before its own (whole milliseconds, less the hour's delay).
+_WAVES_SQL = ",\n".join((X.CALLS_SQL, f"""waves AS (
+  SELECT *, {" + ".join(f"coalesce(call_date_time >= TIMESTAMP '{day}', false)::INT" for day in STREAMS.WAVES)}
+            + CASE WHEN "offset" % 10 = 3 THEN 1 ELSE 0 END AS wave
+  FROM calls)""", """marks AS (
+  SELECT w.wave, make_timestamp((greatest(coalesce((
+           SELECT max(epoch_us(call_date_time)) // 1000 FROM waves e WHERE e.wave < w.wave) - 3600000, 0), 0)
+           * 1000)::BIGINT) AS refused_by
+  FROM (SELECT DISTINCT wave FROM waves) w)""", """tagged AS (
+  SELECT waves.*, refused_by, coalesce(call_date_time <= refused_by, false) AS late
+  FROM waves JOIN marks USING (wave))"""))
+register("stream_bounded_counts", _COUNTS_ONLY.replace(X.CALLS_SQL, _WAVES_SQL).replace(
+    "FROM calls\n  WHERE", "FROM tagged\n  WHERE NOT late AND"))(STREAMS.stream_bounded_counts)
+register("stream_late_calls", f"WITH {_WAVES_SQL}\n" + """
+SELECT "offset", refused_by FROM tagged WHERE late""")(STREAMS.stream_late_calls)
+register("stream_window_deltas", _COUNTS_ONLY)(STREAMS.stream_window_deltas)
 register("stream_state_counts", _COUNTS_ONLY)(STREAMS.stream_state_counts)
 register("stream_progress", """
 SELECT q.query, (SELECT count(*) FROM events) AS num_input_rows

@@ -174,18 +174,53 @@ def stream_latest(spark, sf_dir):
                                    .cast("long").alias("event_id"))
 
 
+# Days that cut the calls into the waves of the streams below, by SQL too.
+WAVES = ("2024-01-08", "2024-01-15", "2024-01-22")
+
+
+def wave(time, offset):
+    """Which wave a call comes in: its time's, but every tenth call one later."""
+    by_time = sum((F.coalesce(time >= F.lit(day).cast("timestamp_ntz"), F.lit(False)).cast("int") for day in WAVES),
+                  F.lit(0))
+    return by_time + F.when(offset % 10 == 3, 1).otherwise(0)
+
+
+def run_bounded_counts(spark, sf_dir):
+    """The bounded flagship over calls that come in five waves, each a
+    trigger of its own with a restart between, some calls a wave late."""
+    from dispatchboard.streaming.late import start_bounded_counts
+    out = _log(spark, "bounded")
+    c = X.calls(spark, sf_dir).withColumn("wave", wave(F.col("call_date_time"), F.col("offset")))
+    c = c.withColumn("call_date_time", F.col("call_date_time").cast("timestamp"))
+    cols = ["crime_id", "original_crime_type_name", "call_date_time", "disposition"]
+    with _feed(spark, "calls") as loc:
+        for n in range(len(WAVES) + 2):
+            publish(c.where(F.col("wave") == n), None, cols, S.TOPIC_CALLS, loc, offset_col="offset")
+            good, _ = apps.call_stream(spark, loc)
+            result = start_bounded_counts(good, out, "availableNow").wait()
+    return result
+
+
 def stream_bounded_counts(spark, sf_dir):
-    """The bounded flagship (watermark below the dedup, append mode). The
-    source takes all available files in one trigger (the file source's
-    default), so no call is late; the closing no-data batch moves the
-    watermark to the latest call time (to the millisecond) less one hour,
-    and every window that closed by then is emitted once. Late calls over
-    several triggers are covered by a hand test."""
+    """STR-1: all accepted calls counted, closed windows and open ones."""
+    return run_bounded_counts(spark, sf_dir).read(spark)
+
+
+def stream_late_calls(spark, sf_dir):
+    """STR-1: the calls that the watermark refused, and that watermark."""
+    return run_bounded_counts(spark, sf_dir).late(spark).select(
+        "offset", F.col("refused_by").cast("timestamp_ntz").alias("refused_by"))
+
+
+def stream_window_deltas(spark, sf_dir):
+    """AGG-1, WIN-1: the flagship kept by changes, summed; folded on the way."""
+    from dispatchboard.streaming.deltas import read_delta_counts, start_call_deltas
+    out = _log(spark, "deltas")
     with _feed(spark, "calls") as loc:
         publish_calls(spark, sf_dir, loc)
-        # All in one trigger, so that no call is late.
-        good, _ = apps.call_stream(spark, loc)
-        return runner.run(C.bounded_call_counts(good), "crime_type_count_bounded", "append")
+        good, _ = call_stream(spark, loc)
+        start_call_deltas(good, out, "availableNow", fold=2).wait()
+    return read_delta_counts(spark, out)
 
 
 def stream_slots(spark, sf_dir):

@@ -279,9 +279,11 @@ def main(argv: list[str] | None = None) -> None:
     c.add_argument("--trigger", default="10 seconds")
     c.add_argument("--max-offsets-per-trigger", type=int)
     c.add_argument("--max-files-per-trigger", type=int)
-    c.add_argument("--mode", choices=("complete", "changes", "state"), default="complete",
+    c.add_argument("--mode", choices=("complete", "changes", "state", "deltas", "bounded"), default="complete",
                    help="complete: every trigger rewrites the result (the default); changes: it writes what"
-                        " changed; state: the result is read from the state store (both need --out)")
+                        " changed; state: the result is read from the state store; deltas: it writes what each"
+                        " window gains; bounded: state shrinks and late calls go to a side output (all but"
+                        " complete need --out)")
     c.add_argument("--shared", action="store_true",
                    help="one stateful query writes both results (needs --out, --codes)")
     t = sub.add_parser("stations", help="raw stops to station table and changelog topic")
@@ -314,7 +316,10 @@ def main(argv: list[str] | None = None) -> None:
         if a.mode != "complete":
             if not a.out:
                 p.error(f"--mode {a.mode} needs --out")
-            start = start_call_state if a.mode == "state" else start_call_counts
+            from dispatchboard.streaming.deltas import start_call_deltas
+            from dispatchboard.streaming.late import start_bounded_counts
+            start = {"changes": start_call_counts, "state": start_call_state, "deltas": start_call_deltas,
+                     "bounded": start_bounded_counts}[a.mode]
             started = [start(good, f"{a.out.rstrip('/')}/crime_type_count", a.trigger)]
         else:
             started = start_call_queries(good, codes, a.trigger, a.out, shared=a.shared)

@@ -64,17 +64,24 @@ class StreamResult:
         return parts.drop("batch")
 
 
+def state_operator(spark: SparkSession, checkpoint: str, operator: str = "stateStoreSave") -> tuple[int, int]:
+    """Id of a query's one operator of that name and the last batch its state
+    was committed for. A few short metadata rows come to the driver."""
+    known = (spark.read.format("state-metadata").load(checkpoint)
+             .where(F.col("operatorName") == operator)
+             .groupBy("operatorId").agg(F.max("maxBatchId").alias("batch")).collect())
+    if len(known) != 1:
+        raise ValueError(f"{len(known)} operators named {operator!r} keep state under {checkpoint}")
+    return known[0]["operatorId"], known[0]["batch"]
+
+
 def read_state(spark: SparkSession, checkpoint: str, operator: str = "stateStoreSave") -> DataFrame:
     """Keys and values that a query's one operator of that name (the
     aggregate's, by default) holds in state as of its last committed batch:
     ``key, value``. Works next to the running query and after it has ended;
-    a query that has committed nothing yet is an error. Two short metadata
-    rows come to the driver."""
-    known = (spark.read.format("state-metadata").load(checkpoint)
-             .where(F.col("operatorName") == operator).select("operatorId").distinct().collect())
-    if len(known) != 1:
-        raise ValueError(f"{len(known)} operators named {operator!r} keep state under {checkpoint}")
-    held = spark.read.format("statestore").option("operatorId", known[0]["operatorId"]).load(checkpoint)
+    a query that has committed nothing yet is an error."""
+    operator_id, _ = state_operator(spark, checkpoint, operator)
+    held = spark.read.format("statestore").option("operatorId", operator_id).load(checkpoint)
     return held.select("key", "value")
 
 
