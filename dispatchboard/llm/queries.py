@@ -96,9 +96,10 @@ QUERIES = {f.__name__: f for f in (op1_mixing, op2_lattice, op3_licenses, op4_pa
                                    op13_collocations)}
 
 def _license_sql() -> str:
-    """Containment in every block by plain list intersection."""
+    """The rule of ``licenses`` for every template, by looking at every place."""
     upper, lower = string.ascii_uppercase, string.ascii_lowercase
-    known = ", ".join(f"('{label}', '{text.lower()}')" for label, text in licenses.TEMPLATES.items())
+    known = ", ".join(f"('{t['label'].split(' ')[0]}', {t['words']}, {t['keys']}, {t['before']}, {t['after']})"
+                      for t in licenses.notices(licenses.NOTICES, licenses.KEYS))
     spots = ", ".join(
         "list_filter(range(0, len(words)), lambda i: "
         + " AND ".join(f"words[i + {k}] = '{w}'" for k, w in enumerate(phrase.split(), 1)) + f") AS p{n}"
@@ -106,21 +107,25 @@ def _license_sql() -> str:
     everywhere = " || ".join(f"p{n}" for n in range(len(licenses.BASE)))
     labels = ", ".join(f"CASE WHEN len(p{n}) > 0 THEN '{label}' END"
                        for n, label in enumerate(licenses.BASE.values()))
+
+    def holds(line: str) -> str:
+        return (f"len(list_filter(keys, lambda o: len(list_filter(o, lambda k: "
+                f"contains({line}, ' ' || k || ' '))) > 0)) = len(keys)")
     return f"""
         WITH d AS (SELECT doc_id, translate(coalesce(text, ''), '{upper}', '{lower}') AS low
                    FROM documents),
-        w AS (SELECT doc_id, low, regexp_extract_all(low, '{licenses.WORD}') AS words FROM d),
-        s AS (SELECT doc_id, low, len(words) AS n_words, {spots} FROM w),
-        b AS (SELECT doc_id, low, n_words, {everywhere} AS spots,
+        w AS (SELECT doc_id, regexp_extract_all(low, '{licenses.WORD}') AS words FROM d),
+        s AS (SELECT doc_id, len(words) AS n_words, {spots} FROM w),
+        b AS (SELECT doc_id, n_words, {everywhere} AS spots,
                      list_filter([{labels}], lambda x: x IS NOT NULL) AS base FROM s),
-        t AS (SELECT label, list_distinct(regexp_extract_all(words, '{licenses.WORD}')) AS words
-              FROM (VALUES {known}) v(label, words)),
-        k AS (SELECT doc_id, regexp_extract_all(unnest(regexp_split_to_array(
-                regexp_replace(low, '([.!?])[ \\t]+', '\\1' || chr(10), 'g'), '[\\n\\r]+')),
-                '{licenses.WORD}') AS words FROM d),
-        c AS (SELECT k.doc_id, t.label,
-                     len(list_intersect(t.words, k.words)) / len(t.words) AS contained
-              FROM k, t WHERE len(k.words) > 0),
+        t AS (SELECT * FROM (VALUES {known}) v(label, own, keys, before, after)),
+        h AS (SELECT w.doc_id, w.words, t.* FROM
+                (SELECT *, ' ' || array_to_string(words, ' ') || ' ' AS line FROM w) w, t WHERE {holds("line")}),
+        i AS (SELECT *, unnest(list_filter(range(0, len(words)), lambda i: len(list_filter(keys[1], lambda k:
+                array_to_string(words[i + 1 : i + len(string_split(k, ' '))], ' ') = k)) > 0)) AS i FROM h),
+        p AS (SELECT doc_id, label, own, keys, words[greatest(i - before, 0) + 1 : i + after] AS part FROM i),
+        c AS (SELECT doc_id, label, len(list_intersect(own, part)) / len(own) AS contained
+              FROM p WHERE {holds("' ' || array_to_string(part, ' ') || ' '")}),
         f AS (SELECT doc_id, list(DISTINCT label) AS more, max(contained) AS best
               FROM c WHERE contained >= {licenses.CONTAINMENT} GROUP BY doc_id)
         SELECT b.doc_id, n_words, len(spots) AS n_base, list_min(spots) AS first_word,
