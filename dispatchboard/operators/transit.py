@@ -159,6 +159,31 @@ def arrivals_at_known_stations(arrivals: DataFrame, stations: DataFrame) -> Data
     return arrivals.join(known, ["line", "station_id"], "left_semi")
 
 
+# JOI-2 with both sides live: arrivals against the station changelog.
+def arrivals_at_live_stations(arrivals: DataFrame, changes: DataFrame, wait: str = "1 hour",
+                              delay: str = "1 hour", time_col: str = "timestamp") -> DataFrame:
+    """Arrivals at a (line, station) that a station record names, each once, as
+    soon as both are there: a stream-stream semi join in append mode. A record
+    makes its station known from ``wait`` before its own time on, for good, so
+    an arrival read before its station is not lost.
+
+    State: one record per (line, station) of a known line, the first one read,
+    which the size of the network bounds; and the arrivals without a station
+    so far, which go once the watermark is ``wait`` past them. Both feeds have
+    a watermark of ``delay`` and Spark follows the slower one, so a station feed
+    that is silent holds such arrivals back (and refuses none). Arrivals and
+    records no later than the watermark are refused; a null line, station or
+    time matches nothing."""
+    def marked(df: DataFrame, col: str) -> DataFrame:
+        return df.withWatermark(col, delay) if df.isStreaming else df
+    known = marked(changes.where(is_known_line("line")).select(
+        F.col("line").alias("_line"), F.col("station_id").alias("_station"),
+        F.col("timestamp").alias("_known")), "_known").dropDuplicates(["_line", "_station"])
+    return marked(arrivals, time_col).join(
+        known, (F.col("line") == F.col("_line")) & (F.col("station_id") == F.col("_station"))
+        & (F.col("_known") <= F.col(time_col) + F.expr(f"INTERVAL {wait}")), "left_semi")
+
+
 # JOI-3: each station's total lands on every line that has the station.
 def entries_on_lines(stations: DataFrame, entries: DataFrame) -> DataFrame:
     return (stations.join(entries, "station_id", "left")

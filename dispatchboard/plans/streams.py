@@ -235,6 +235,36 @@ def stream_slots(spark, sf_dir):
         return runner.run(T.slot_occupancy(arr, stations), "slots", "complete")
 
 
+def stream_arrivals_known(spark, sf_dir):
+    """JOI-2 as a stream-stream join: a week's arrivals come before any
+    station record, then the records, whose times run over the first day, then
+    the other arrivals, with a restart between."""
+    a = X.arrivals(spark, sf_dir)
+    first_week = F.coalesce(F.col("timestamp") < F.lit(WAVES[0]).cast("timestamp_ntz"), F.lit(True))
+    records = T.station_records(X.stops(spark, sf_dir)).withColumnRenamed("station_order", "order")
+    records = records.withColumn("time", F.lit("2024-01-01").cast("timestamp")
+                                 + F.make_dt_interval(hours=F.col("station_id") % 24))
+    out = _log(spark, "arrivals-known")
+
+    def arrive(rows, loc):
+        publish(rows, [F.col("key").alias("timestamp")], ARRIVAL.names, S.TOPIC_ARRIVALS, loc,
+                offset_col="offset", time_col="timestamp")
+
+    def recorded(rows, loc):
+        publish(rows, ["station_id"], STATION.names, S.TOPIC_STATIONS_TABLE, loc, offset_col="stop_id",
+                time_col="time")
+    with _feed(spark, "arrivals") as loc:
+        for waves in ((a.where(first_week), records.limit(0)), (None, records), (a.where(~first_week), None)):
+            for rows, put in zip(waves, (arrive, recorded)):
+                if rows is not None:
+                    put(rows, loc)
+            feeds = [split_malformed(read_topic(spark, loc, topic), schema)[0]
+                     for topic, schema in ((S.TOPIC_ARRIVALS, ARRIVAL), (S.TOPIC_STATIONS_TABLE, STATION))]
+            met = T.arrivals_at_live_stations(*feeds, wait="1 day")
+            seen = runner.start(met, "arrivals_known", "append", path=out).wait()
+    return seen.read(spark).select("line", "station_id", "train_id", "direction", "offset")
+
+
 def publish_stops(spark, sf_dir, location) -> None:
     stops = X.stops(spark, sf_dir).withColumnRenamed("station_order", "order")
     publish_parts(stops, ["stop_id"], [f.name for f in STOPS.fields], S.TOPIC_STATIONS_RAW, location,
