@@ -61,6 +61,19 @@ def by_count_desc(df: DataFrame, col: str = "call_count") -> DataFrame:
     return df.orderBy(F.col(col).desc(), *ties)
 
 
+# DED-1 within a bound
+def distinct_calls_within(calls: DataFrame, delay: str = WATERMARK_DELAY) -> DataFrame:
+    """Distinct (time, type, disposition) triples of a stream whose repeats
+    come at most ``delay`` behind the latest call: each triple is passed on
+    once, and its state goes when the watermark is ``delay`` past it. A repeat
+    behind the watermark is refused, so none comes twice. Calls
+    without a time can't expire and are left out; on a table all repeats go."""
+    timed = calls.select(TIME_COL, TYPE_COL, DISPOSITION_COL).where(F.col(TIME_COL).isNotNull())
+    if not calls.isStreaming:
+        return timed.distinct()
+    return timed.withWatermark(TIME_COL, delay).dropDuplicatesWithinWatermark([TIME_COL, TYPE_COL, DISPOSITION_COL])
+
+
 # Flagship: DED-1, STR-1, WIN-1, AGG-1, SRT-1 (reference semantics).
 def call_counts(calls: DataFrame, sort: bool = True) -> DataFrame:
     """Distinct (time, type, disposition) triples counted in 1-hour windows

@@ -485,6 +485,8 @@ register("stream_bounded_counts", _COUNTS_ONLY.replace(X.CALLS_SQL, _WAVES_SQL).
     "FROM calls\n  WHERE", "FROM tagged\n  WHERE NOT late AND"))(STREAMS.stream_bounded_counts)
 register("stream_late_calls", f"WITH {_WAVES_SQL}\n" + """
 SELECT "offset", refused_by FROM tagged WHERE late""")(STREAMS.stream_late_calls)
+register("stream_distinct_calls", ORACLES["calls_distinct"] + " WHERE call_date_time IS NOT NULL")(
+    STREAMS.stream_distinct_calls)
 register("stream_window_deltas", _COUNTS_ONLY)(STREAMS.stream_window_deltas)
 register("stream_arrivals_known", ORACLES["arrivals_known"])(STREAMS.stream_arrivals_known)
 register("stream_state_counts", _COUNTS_ONLY)(STREAMS.stream_state_counts)

@@ -212,6 +212,23 @@ def stream_late_calls(spark, sf_dir):
         "offset", F.col("refused_by").cast("timestamp_ntz").alias("refused_by"))
 
 
+def stream_distinct_calls(spark, sf_dir):
+    """DED-1 within a bound: calls in waves of a week, each call twice in its
+    wave, with a restart between."""
+    out = _log(spark, "distinct")
+    c = X.calls(spark, sf_dir)
+    c = (c.withColumn("wave", wave(F.col("call_date_time"), F.lit(0)))
+         .withColumn("call_date_time", F.col("call_date_time").cast("timestamp")))
+    twice = c.unionByName(c.withColumn("offset", F.col("offset") + (1 << 40)))
+    with _feed(spark, "calls") as loc:
+        for n in range(len(WAVES) + 1):
+            publish(twice.where(F.col("wave") == n), None, [C.TIME_COL, C.TYPE_COL, C.DISPOSITION_COL],
+                    S.TOPIC_CALLS, loc, offset_col="offset")
+            good, _ = apps.call_stream(spark, loc)
+            seen = runner.start(C.distinct_calls_within(good), "distinct_calls", "append", path=out).wait()
+    return seen.read(spark).withColumn(C.TIME_COL, F.col(C.TIME_COL).cast("timestamp_ntz"))
+
+
 def stream_window_deltas(spark, sf_dir):
     """AGG-1, WIN-1: the flagship kept by changes, summed; folded on the way."""
     from dispatchboard.streaming.deltas import read_delta_counts, start_call_deltas

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from dispatchboard.operators import calls as C
 from dispatchboard.session import scratch_path
-from dispatchboard.streaming import apps
+from dispatchboard.streaming import apps, runner
 from dispatchboard.streaming.deltas import read_changes, read_delta_counts, start_call_deltas
 from dispatchboard.streaming.late import start_bounded_counts
 
@@ -114,6 +114,22 @@ def test_every_call_is_counted_or_late_over_restarts(spark):
     assert len(marks) <= 4
 
 
+def test_distinct_calls_within_a_bound_forget_what_they_passed_on(spark):
+    batches = [[(k, "a", "x") for k in range(30)] + [(k, "a", "x") for k in range(30)] + [(None, "a", "x")],
+               [(29, "a", "x"), (29, None, None), (29, None, None)],  # inside the bound
+               [(600, "a", "x")], [(601, "a", "x")],
+               [(5, "a", "x"), (601, "a", "x")]]                     # a repeat long after it, refused
+    calls, _ = _stream(spark, batches)
+    result = runner.start(C.distinct_calls_within(calls), "within", "append").wait()
+    got = [(r[C.TIME_COL], r[C.TYPE_COL], r[C.DISPOSITION_COL]) for r in result.read(spark).collect()]
+    want = {(_at(m), kind, d) for batch in batches for m, kind, d in batch if m is not None}
+    assert len(got) == len(want) and set(got) == want
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in result.query.recentProgress if p["stateOperators"]]
+    assert max(held) >= 31 and held[-1] <= 2
+    table = spark.createDataFrame([(_at(0), "a", "x", 0), (_at(0), "a", "x", 1), (None, "a", "x", 2)], DDL)
+    assert C.distinct_calls_within(table).count() == 1
+
+
 def test_app_modes(spark):
     from tests.test_stream_results import _call_log
     loc = _call_log(spark, [[(0, "a", "x")], [(0, "a", "x"), (30, "a", "x")]])
