@@ -1,14 +1,15 @@
 """Result versions of a micro-batch sink.
 
-A version is the folder ``<path>/v=<batch_id>``; it counts once its
-``_COMMITTED`` marker exists, written after Spark's write returned (our own
+A version is the folder ``<path>/v=<batch_id>``; it counts once its marker
+``<path>/_committed/<batch_id>`` exists, written after Spark's write returned (our own
 marker, so clusters that switch off the writer's ``_SUCCESS`` file work the
-same). Readers take the newest committed version, found by one listing of
-``<path>`` (no pointer table that grows with every trigger). A commit
-removes versions that were superseded more than ``retain`` seconds ago, so a
-reader has that long to finish, and storage holds that long's results. A replayed batch rewrites its own
-folder; while it does, that folder has no marker and readers see the
-version before it, which is kept.
+same). One listing of the markers' folder tells all committed versions and
+their ages, so readers and commits make the same few file-system calls
+however many versions are kept. A commit removes versions that were
+superseded more than ``retain`` seconds ago, so a reader has that long to
+finish, and storage holds that long's results. A replayed batch takes its
+marker away and rewrites its own folder; meanwhile readers see the version
+before it, which is kept.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 RETAIN_SECONDS = 6 * 3600
 KEEP = 2
 _PREFIX = "v="
-_MARKER = "_COMMITTED"
+_MARKERS = "_committed"
 
 
 def _fs(spark: SparkSession, path: str):
@@ -29,19 +30,18 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def _marks(spark: SparkSession, path: str) -> dict[int, int]:
+    """Commit time, in milliseconds, of every committed version under ``path``."""
+    fs, root = _fs(spark, f"{path.rstrip('/')}/{_MARKERS}")
+    if not fs.exists(root):
+        return {}
+    return {int(st.getPath().getName()): st.getModificationTime() for st in fs.listStatus(root)
+            if st.getPath().getName().isdigit()}
+
+
 def committed(spark: SparkSession, path: str) -> list[int]:
     """Batch ids of the committed versions under ``path``, ascending."""
-    fs, root = _fs(spark, path)
-    if not fs.exists(root):
-        return []
-    jvm = spark.sparkContext._jvm
-    ids = []
-    for st in fs.listStatus(root):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith(_PREFIX) and name[len(_PREFIX):].isdigit():
-            if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), _MARKER)):
-                ids.append(int(name[len(_PREFIX):]))
-    return sorted(ids)
+    return sorted(_marks(spark, path))
 
 
 def latest(spark: SparkSession, path: str, below: int | None = None) -> int | None:
@@ -62,17 +62,17 @@ def commit(df: DataFrame, path: str, batch_id: int, retain: float = RETAIN_SECON
     """Write ``df`` as version ``batch_id``, then drop the committed versions
     that a newer one replaced more than ``retain`` seconds ago, all but the
     newest ``KEEP``."""
-    df.write.mode("overwrite").parquet(version_path(path, batch_id))
     spark = df.sparkSession
-    fs, _ = _fs(spark, path)
-    jvm = spark.sparkContext._jvm
 
     def marker(v: int):
-        return jvm.org.apache.hadoop.fs.Path(version_path(path, v), _MARKER)
-    # The overwrite above removed any marker of an earlier attempt.
-    fs.create(marker(batch_id), True).close()
-    ids = committed(spark, path)
-    made = {v: fs.getFileStatus(marker(v)).getModificationTime() for v in ids}
+        return _fs(spark, f"{path.rstrip('/')}/{_MARKERS}/{v:020d}")
+    fs, own = marker(batch_id)
+    fs.delete(own, False)  # of an earlier attempt
+    df.write.mode("overwrite").parquet(version_path(path, batch_id))
+    fs.create(own, True).close()
+    made = _marks(spark, path)
+    ids = sorted(made)
     for old, newer in zip(ids[:-KEEP], ids[1:]):
         if made[batch_id] - made[newer] >= retain * 1000:
-            fs.delete(jvm.org.apache.hadoop.fs.Path(version_path(path, old)), True)
+            fs.delete(marker(old)[1], False)
+            fs.delete(_fs(spark, version_path(path, old))[1], True)

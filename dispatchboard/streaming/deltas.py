@@ -51,9 +51,10 @@ def read_changes(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SCHEMA).parquet(f"{path}/parts")
 
 
-def read_delta_counts(spark: SparkSession, path: str) -> DataFrame:
-    """Window counts: the newest base and the parts after it, summed."""
-    folded = versions.latest(spark, f"{path}/base")
+def read_delta_counts(spark: SparkSession, path: str, below: int | None = None) -> DataFrame:
+    """Window counts: the newest base (of a trigger ``below`` the given one)
+    and the parts after it, summed."""
+    folded = versions.latest(spark, f"{path}/base", below)
     rows = read_changes(spark, path)
     if folded is not None:
         base = spark.read.schema(StructType(SCHEMA.fields[:-1])).parquet(
@@ -62,6 +63,16 @@ def read_delta_counts(spark: SparkSession, path: str) -> DataFrame:
     return rows.groupBy(*GROUP).agg(F.sum("change").alias("call_count"))
 
 
+def fold_parts(spark: SparkSession, path: str, batch_id: int, fold: int) -> None:
+    """Sum all up to trigger ``batch_id`` into a base, and remove the parts of
+    the fold before, whose readers have had ``fold`` triggers to end. Replayed,
+    it makes the same base from the one before."""
+    base = read_delta_counts(spark, path, below=batch_id).withColumnRenamed("call_count", "change")
+    versions.commit(base, f"{path}/base", batch_id)
+    for old in range(max(0, batch_id - 2 * fold + 1), batch_id - fold + 1):
+        drop_path(spark, _part(path, old))
+
+
 def start_call_deltas(calls: DataFrame, out: str, trigger: str = "10 seconds",
                       name: str = "crime_type_deltas", fold: int = FOLD) -> StreamResult:
     """The flagship's counts as changes under ``out``, read with
@@ -71,14 +82,8 @@ def start_call_deltas(calls: DataFrame, out: str, trigger: str = "10 seconds",
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         window_changes(batch).write.mode("overwrite").parquet(_part(path, batch_id))
-        if (batch_id + 1) % fold:
-            return
-        base = read_delta_counts(spark, path).withColumnRenamed("call_count", "change")
-        versions.commit(base, f"{path}/base", batch_id)
-        # The fold before has had `fold` triggers for its readers to end.
-        for old in range(batch_id - 2 * fold + 1, batch_id - fold + 1):
-            if old >= 0:
-                drop_path(spark, _part(path, old))
+        if (batch_id + 1) % fold == 0:
+            fold_parts(spark, path, batch_id, fold)
 
     q = (triples.writeStream.queryName(name).outputMode("append")
          .option("checkpointLocation", f"{path}/_checkpoint").foreachBatch(sink)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from dispatchboard.operators import calls as C
 from dispatchboard.session import scratch_path
 from dispatchboard.streaming import apps, runner
-from dispatchboard.streaming.deltas import read_changes, read_delta_counts, start_call_deltas
+from dispatchboard.streaming.deltas import fold_parts, read_changes, read_delta_counts, start_call_deltas
 from dispatchboard.streaming.late import start_bounded_counts
 
 DDL = "call_date_time timestamp, original_crime_type_name string, disposition string, offset long"
@@ -79,6 +79,9 @@ def test_changes_go_on_after_a_restart_and_old_parts_go(spark):
     kept = [tuple(r) for r in spark.read.parquet(last).collect()]
     spark.createDataFrame(kept, spark.read.parquet(last).schema).write.mode("overwrite").parquet(last)
     assert _rows(read_delta_counts(spark, out)) == _rows(_table(spark, BATCHES))
+    for _ in range(2):  # a trigger that folds, replayed
+        fold_parts(spark, out, 4, 1)
+        assert _rows(read_delta_counts(spark, out)) == _rows(_table(spark, BATCHES))
 
 
 # Trigger by trigger; a trigger's late calls are those no later than the
