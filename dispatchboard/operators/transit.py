@@ -14,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dispatchboard.functions.scalars import (DEFAULT_TEMPERATURE,
@@ -107,8 +107,8 @@ def summary_json(entries: DataFrame) -> DataFrame:
 
 # STR-6 step 1: each arrival becomes a clear event (seq 0) for the slot it
 # left and a set event (seq 1) for the slot it entered, in one pass.
-def slot_events(arrivals: DataFrame, time_col: str = "timestamp",
-                offset_col: str = "offset") -> DataFrame:
+def slot_pair() -> Column:
+    """The one or two slot events of an arrival's columns, as an array."""
     left_slot = F.when(
         F.col("prev_station_id").isNotNull() & F.col("prev_direction").isNotNull(),
         F.struct(F.col("line"), F.col("prev_station_id").alias("station_id"),
@@ -118,9 +118,14 @@ def slot_events(arrivals: DataFrame, time_col: str = "timestamp",
     entered = F.struct(F.col("line"), F.col("station_id"),
                        slot_of("direction").alias("slot"), F.lit(1).alias("seq"),
                        F.col("train_id"), spaced("train_status").alias("status"))
+    return F.array_compact(F.array(left_slot, entered))
+
+
+def slot_events(arrivals: DataFrame, time_col: str = "timestamp",
+                offset_col: str = "offset") -> DataFrame:
     return arrivals.select(
         F.col(time_col).alias("event_time"), F.col(offset_col).alias("event_offset"),
-        F.inline(F.array_compact(F.array(left_slot, entered))))
+        F.inline(slot_pair()))
 
 
 # STR-6: which train stands in slot a and slot b of each known station.

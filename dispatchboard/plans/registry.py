@@ -354,6 +354,37 @@ def q_incremental_pull(spark, sf_dir):
     return pulled[-1]
 
 
+@register("incremental_pieces", "SELECT * FROM orders WHERE o_orderkey > (SELECT max(o_orderkey) // 2 FROM orders)")
+def q_incremental_pieces(spark, sf_dir):
+    """A poll of the newer half of a table in eight ranges of near equal rows."""
+    from dispatchboard.sources.incremental import pull_in_pieces, upper_bound
+    orders = X.table(spark, sf_dir, "orders")
+    last = upper_bound(orders, "o_orderkey")
+    return pull_in_pieces(orders, "o_orderkey", 8, None if last is None else last // 2, last).drop("piece")
+
+
+@register("quarantine_reasons", _with(X.CALLS_SQL) + """
+SELECT "offset", CASE original_crime_type_name WHEN 'purchase' THEN 'crime_id' WHEN 'click' THEN 'call_date_time'
+       END AS field,
+       CASE original_crime_type_name WHEN 'error' THEN 'not JSON' WHEN 'view' THEN 'not an object'
+            WHEN 'purchase' THEN 'missing' ELSE 'wrong type' END AS problem,
+       CASE original_crime_type_name WHEN 'view' THEN 'ARRAY<STRING>' WHEN 'click' THEN 'BOOLEAN' END AS "found"
+FROM calls WHERE original_crime_type_name IN ('error', 'view', 'purchase', 'click')""")
+def q_quarantine_reasons(spark, sf_dir):
+    """PRJ-20 with reasons, over every call's message, broken by its type."""
+    from dispatchboard.schemas import CALL
+    from dispatchboard.streaming.quarantine import with_reasons
+    c, kind = X.calls(spark, sf_dir), F.col("original_crime_type_name")
+    body = F.to_json(F.struct("crime_id", F.col("call_date_time").cast("timestamp").alias("call_date_time")))
+    value = (F.when(kind == "error", F.concat(F.lit("<"), body))
+             .when(kind == "view", F.to_json(F.array("crime_id")))
+             .when(kind == "purchase", F.to_json(F.struct("call_date_time")))
+             .when(kind == "click", F.to_json(F.struct("crime_id", F.lit(True).alias("call_date_time"))))
+             .otherwise(body))
+    wire = c.select("offset", value.cast("binary").alias("value"))
+    return with_reasons(wire, CALL, required=["crime_id"]).drop("value")
+
+
 # Event types published as the board's feeds (SET-1 input).
 FEED_TOPICS = {"view": S.TOPIC_WEATHER, "click": S.TOPIC_ARRIVALS,
                "signup": S.TOPIC_STATIONS_TABLE, "purchase": S.TOPIC_SUMMARY,
@@ -513,6 +544,25 @@ register("stream_board_bad_records", _with(
     X.LINE_STATIONS_SQL, _feed_sql(X.ARRIVALS_SQL), SLOTS_SQL, _feed_sql(X.TURNSTILE_SQL),
     ENTRIES_SQL, _feed_sql(X.WEATHER_SQL), WEATHER_NOW_SQL)
     + STATUS_BOARD_SQL)(STREAMS.stream_board_bad_records)
+register("stream_board_changes", ORACLES["status_board"])(STREAMS.stream_board_changes)
+register("stream_board_replayed", ORACLES["status_board"])(STREAMS.stream_board_replayed)
+_FAULTS = {"not_null_stop_id": "stop_id IS NULL", "not_null_direction_id": "direction_id IS NULL",
+           "not_null_stop_name": "stop_name IS NULL", "not_null_station_name": "station_name IS NULL",
+           "not_null_station_descriptive_name": "station_descriptive_name IS NULL",
+           "not_null_station_id": "station_id IS NULL", "not_null_red": "red IS NULL",
+           "not_null_blue": "blue IS NULL", "not_null_green": "green IS NULL",
+           "max_length_direction_id": "length(direction_id) > 1", "max_length_stop_name": "length(stop_name) > 70",
+           "max_length_station_name": "length(station_name) > 70",
+           "max_length_station_descriptive_name": "length(station_descriptive_name) > 200"}
+register("stream_station_checks", _with(X.STOPS_SQL, """hurt AS (
+  SELECT * REPLACE (CASE WHEN stop_id % 11 = 5 THEN repeat(stop_name, 5) ELSE stop_name END AS stop_name,
+                    CASE WHEN stop_id % 13 = 4 THEN NULL ELSE station_name END AS station_name)
+  FROM stops)""", """faulty AS (SELECT * FROM hurt UNION ALL SELECT * FROM hurt WHERE stop_id % 7 = 3)""")
+    + " UNION ALL ".join(
+        f"SELECT '{check}' AS \"check\", stop_id, count(*) AS refused FROM faulty WHERE {broken} GROUP BY stop_id\n"
+        for check, broken in _FAULTS.items())
+    + """UNION ALL SELECT 'unique_stop_id', stop_id, count(*) - 1 FROM faulty WHERE stop_id IS NOT NULL
+GROUP BY stop_id HAVING count(*) > 1""")(STREAMS.stream_station_checks)
 register("stream_entries_table", ORACLES["entries_table_count"])(STREAMS.stream_entries_table)
 register("stream_quarantine", _with(X.CALLS_SQL) + """
 SELECT "offset" FROM calls WHERE "offset" % 7 = 3""")(STREAMS.stream_quarantine)

@@ -17,9 +17,12 @@ from dispatchboard.plans import fixtures as X
 from dispatchboard.schemas import ARRIVAL, STATION, STOPS, TURNSTILE
 from dispatchboard.session import drop_path, scratch_path
 from dispatchboard.sinks.topics import as_records, publish, topic_files
-from dispatchboard.sources.topics import LOG_COLUMNS, read_topic
+from dispatchboard.sources.topics import LOG_COLUMNS, read_topic, read_topic_list
 from dispatchboard.streaming import apps, runner
-from dispatchboard.streaming.quarantine import split_malformed
+from dispatchboard.streaming.board import BoardState
+from dispatchboard.streaming.board_changes import read_board_changes, start_board_changes
+from dispatchboard.streaming.checks import start_checked_load
+from dispatchboard.streaming.quarantine import replay, split_malformed
 
 # Triggers that a registered stream takes its log in at least, and rows that
 # each has at least; logs are written by their table's own scan tasks.
@@ -392,6 +395,66 @@ def stream_board_bad_records(spark, sf_dir):
         return _run_board(spark, root, _log(spark, "board-state")).read()
 
 
+def _publish_board(spark, sf_dir, root) -> None:
+    """All four feeds of the board in ``root``: the summary query has run."""
+    _stations(spark, sf_dir, root)
+    for topic, (df, key, fields, options) in _board_feeds(spark, sf_dir).items():
+        publish_parts(df, key, fields, topic, root, **options)
+    turn = apps.turnstile_stream(spark, root, max_files_per_trigger=intake(spark, root, S.TOPIC_TURNSTILE))
+    _ended(apps.start_summary_query(spark, turn, root, "availableNow", _log(spark, "summary-ck")))
+
+
+def stream_board_changes(spark, sf_dir):
+    """JOI-4 by changed rows: every trigger writes the board rows it touched,
+    folded every other trigger; the board is each row's last change."""
+    out = _log(spark, "board-changes")
+    names = list(T.DEFAULT_TOPICS.values())
+    with _feed(spark, "board") as root:
+        _publish_board(spark, sf_dir, root)
+        feeds = read_topic_list(spark, root, names, max_files_per_trigger=intake(spark, root, *names))
+        start_board_changes(feeds, out, "availableNow", fold=2).wait()
+    return read_board_changes(spark, out)
+
+
+def stream_board_replayed(spark, sf_dir):
+    """PRJ-20 with replay: arrivals and readings that lost their first
+    character go to quarantine, are mended and put back; the board is then
+    that of the clean feeds."""
+    state = _log(spark, "board-state")
+    with _feed(spark, "board") as root:
+        _stations(spark, sf_dir, root)
+        for topic, (df, key, fields, options) in _board_feeds(spark, sf_dir).items():
+            hurt = F.lit(False) if topic == S.TOPIC_TURNSTILE else F.col("offset") % 5 == 2
+            _broken(df, hurt, key, fields, topic, root, **options)
+        _run_board(spark, root, state)
+        kept = BoardState(spark, state).quarantined()
+        replay(spark, kept, F.concat(F.lit("{"), F.col("value").cast("string")), root, 0)
+        return _run_board(spark, root, state).read()
+
+
+def faulty_stops(spark, sf_dir) -> DataFrame:
+    """Stop rows with over-long and missing names and repeated stop ids; a
+    repeat lies 2^40 offsets behind its first."""
+    stops, n = X.stops(spark, sf_dir), F.col("stop_id")
+    rows = (stops.withColumn("stop_name", F.when(n % 11 == 5, F.repeat("stop_name", F.lit(5))).otherwise(
+        F.col("stop_name"))).withColumn("station_name", F.when(n % 13 != 4, F.col("station_name")))
+        .withColumn("offset", n.cast("long")))
+    return rows.unionByName(rows.where(n % 7 == 3).withColumn("offset", F.col("offset") + (1 << 40)))
+
+
+def stream_station_checks(spark, sf_dir):
+    """SNK-6 over triggers: rows that each check refuses, by stop."""
+    with _feed(spark, "stops") as loc:
+        publish_parts(faulty_stops(spark, sf_dir).withColumnRenamed("station_order", "order"), ["stop_id"],
+                      STOPS.names, S.TOPIC_STATIONS_RAW, loc, offset_col="offset")
+        log = read_topic(spark, loc, S.TOPIC_STATIONS_RAW,
+                         max_files_per_trigger=intake(spark, loc, S.TOPIC_STATIONS_RAW))
+        rows, _ = split_malformed(log, STOPS)
+        load = start_checked_load(rows.select("offset", *STOPS.names), _log(spark, "station-checks"),
+                                  "availableNow").wait()
+    return load.refused(spark).groupBy("check", "stop_id").agg(F.count(F.lit(1)).alias("refused"))
+
+
 def stream_entries_table(spark, sf_dir):
     """AGG-3 as a stream: the latest station of each message key is a hash
     aggregate in the state store; a trigger writes the keys it changed, and

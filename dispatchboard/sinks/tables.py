@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dispatchboard.operators.keyed import latest_by
@@ -101,13 +101,17 @@ def save_if_absent(df: DataFrame, name: str) -> None:
 
 
 # SNK-6
+def station_rules(key: str = "stop_id") -> list[tuple[str, Column]]:
+    """Name and violation of every check that a stop row alone decides."""
+    rules = [(f"not_null_{c}", F.col(c).isNull()) for c in (key, *STOPS_NOT_NULL)]
+    return rules + [(f"max_length_{c}", F.length(c) > n) for c, n in STOPS_MAX_LENGTH.items()]
+
+
 def check_stations(stops: DataFrame, key: str = "stop_id") -> DataFrame:
     """Violations of the stop table's declared constraints, one row per check:
     key null or repeated, NOT NULL columns, VARCHAR lengths. One aggregate pass
     for the column checks and one keyed count for uniqueness."""
-    checks = [(f"not_null_{key}", F.col(key).isNull())]
-    checks += [(f"not_null_{c}", F.col(c).isNull()) for c in STOPS_NOT_NULL]
-    checks += [(f"max_length_{c}", F.length(c) > n) for c, n in STOPS_MAX_LENGTH.items()]
+    checks = station_rules(key)
     names = [n for n, _ in checks]
     exprs = [F.sum(cond.cast("int")).alias(n) for n, cond in checks]
     per_col = stops.agg(*exprs)

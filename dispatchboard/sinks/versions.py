@@ -30,6 +30,12 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a part that a sink wrote."""
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
 def _marks(spark: SparkSession, path: str) -> dict[int, int]:
     """Commit time, in milliseconds, of every committed version under ``path``."""
     fs, root = _fs(spark, f"{path.rstrip('/')}/{_MARKERS}")
@@ -75,4 +81,4 @@ def commit(df: DataFrame, path: str, batch_id: int, retain: float = RETAIN_SECON
     for old, newer in zip(ids[:-KEEP], ids[1:]):
         if made[batch_id] - made[newer] >= retain * 1000:
             fs.delete(marker(old)[1], False)
-            fs.delete(_fs(spark, version_path(path, old))[1], True)
+            remove(spark, version_path(path, old))

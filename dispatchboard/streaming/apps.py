@@ -12,7 +12,7 @@ Every application keeps undecodable messages in a quarantine folder.
 
 Sources are topic logs (parquet, one folder per topic) or Kafka
 (``fmt="kafka"``; the Kafka package must be on the classpath). Run
-``python -m dispatchboard.streaming.apps calls|stations|board ...``, or call ``main``
+``python -m dispatchboard.streaming.apps calls|stations|board|poll ...``, or call ``main``
 from a script given to spark-submit; each query checkpoints under the shared
 ``spark.checkpoint.dir``.
 """
@@ -20,6 +20,7 @@ from a script given to spark-submit; each query checkpoints under the shared
 from __future__ import annotations
 
 import argparse
+import time
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -267,6 +268,18 @@ def start_turnstile_table(turnstile: DataFrame, out: str, trigger: str = "10 sec
     return runner.start(latest, name, "changes", trigger, keys=["key"], path=out)
 
 
+def poll_table(spark: SparkSession, table: str, column: str, store: str, topic: str, location: str,
+               fmt: str = "log", every: float | None = None) -> None:
+    """SRC-6 as a job: publish what is new in a table, once or every so many
+    seconds until it is stopped. The table is listed anew for each poll."""
+    from dispatchboard.sources.incremental import poll_and_publish
+    while True:
+        poll_and_publish(spark.read.parquet(table), column, store, topic, location, fmt=fmt)
+        if every is None:
+            return
+        time.sleep(every)
+
+
 def main(argv: list[str] | None = None) -> None:
     p = argparse.ArgumentParser(prog="python -m dispatchboard.streaming.apps")
     sub = p.add_subparsers(dest="app", required=True)
@@ -302,11 +315,25 @@ def main(argv: list[str] | None = None) -> None:
     b.add_argument("--max-files-per-trigger", type=int)
     b.add_argument("--kafka", action="store_true")
     b.add_argument("--turnstile-topic", default=S.TOPIC_TURNSTILE)
+    b.add_argument("--mode", choices=("tables", "changes"), default="tables",
+                   help="tables: every trigger renders the whole board (the default); changes: it writes the rows"
+                        " it touched (read with board_changes.read_board_changes)")
     for feed, name in T.DEFAULT_TOPICS.items():
         b.add_argument(f"--{feed}-topic", default=name)
+    i = sub.add_parser("poll", help="what is new in a parquet table to a raw topic")
+    i.add_argument("--table", required=True)
+    i.add_argument("--column", default="stop_id", help="a unique, increasing whole number")
+    i.add_argument("--store", required=True, help="folder of the high-water marks")
+    i.add_argument("--logs", required=True, help="topic-log root, or Kafka servers")
+    i.add_argument("--topic", default=S.TOPIC_STATIONS_RAW)
+    i.add_argument("--kafka", action="store_true")
+    i.add_argument("--every", type=float, help="seconds from poll to poll (default: poll once)")
     a = p.parse_args(argv)
 
     spark = prepare(SparkSession.builder.appName(f"dispatchboard-{a.app}").getOrCreate())
+    if a.app == "poll":
+        poll_table(spark, a.table, a.column, a.store, a.topic, a.logs, "kafka" if a.kafka else "log", a.every)
+        return
     drain = a.trigger in ("availableNow", "once")
     fmt = "kafka" if a.kafka else "log"
     if a.app == "calls":
@@ -346,8 +373,16 @@ def main(argv: list[str] | None = None) -> None:
                                              a.trigger).query]
         if drain:  # the board should see every summary written by this run
             summary.awaitTermination()
-        board, _ = start_board(spark, a.logs, a.out, a.trigger, a.max_files_per_trigger, names, fmt)
-        queries.append(board)
+        if a.mode == "changes":
+            from dispatchboard.streaming.board_changes import malformed, start_board_changes
+            feeds = read_topic_list(spark, a.logs, list(names.values()), fmt=fmt,
+                                    max_files_per_trigger=a.max_files_per_trigger)
+            queries += [start_board_changes(feeds, f"{a.out}/board_changes", a.trigger, names).query,
+                        start_quarantine(malformed(feeds, names), "board_quarantine", f"{a.out}/board_quarantine",
+                                         a.trigger).query]
+        else:
+            board, _ = start_board(spark, a.logs, a.out, a.trigger, a.max_files_per_trigger, names, fmt)
+            queries.append(board)
     if drain:
         for q in queries:
             q.awaitTermination()

@@ -25,7 +25,6 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType, Tim
 
 from dispatchboard.operators import calls as C
 from dispatchboard.operators.keyed import distinct_calls
-from dispatchboard.session import drop_path
 from dispatchboard.sinks import versions
 from dispatchboard.streaming.runner import StreamResult
 from dispatchboard.streaming.triggers import trigger_kwargs
@@ -70,7 +69,7 @@ def fold_parts(spark: SparkSession, path: str, batch_id: int, fold: int) -> None
     base = read_delta_counts(spark, path, below=batch_id).withColumnRenamed("call_count", "change")
     versions.commit(base, f"{path}/base", batch_id)
     for old in range(max(0, batch_id - 2 * fold + 1), batch_id - fold + 1):
-        drop_path(spark, _part(path, old))
+        versions.remove(spark, _part(path, old))
 
 
 def start_call_deltas(calls: DataFrame, out: str, trigger: str = "10 seconds",

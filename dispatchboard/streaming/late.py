@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
 from dispatchboard.operators import calls as C
-from dispatchboard.session import drop_path
+from dispatchboard.sinks import versions
 from dispatchboard.streaming.runner import StreamResult, state_operator
 from dispatchboard.streaming.triggers import trigger_kwargs
 
@@ -95,7 +95,7 @@ def start_bounded_counts(calls: DataFrame, out: str, trigger: str = "10 seconds"
             (spark.createDataFrame([(latest,)], "latest long").coalesce(1)
              .write.mode("overwrite").parquet(mark_path(batch_id)))
             if batch_id > 3:
-                drop_path(spark, mark_path(batch_id - 4))
+                versions.remove(spark, mark_path(batch_id - 4))
         finally:
             batch.unpersist()
 

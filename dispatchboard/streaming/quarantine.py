@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -59,3 +59,51 @@ def start_quarantine(bad: DataFrame, name: str, out: str, trigger: str = "10 sec
     micro-batch, overwritten on replay."""
     from dispatchboard.streaming import runner
     return runner.start(bad, name, "append", trigger, path=out)
+
+
+def with_reasons(rows: DataFrame, schema: StructType, value_col: str = "value", required: Sequence[str] = ()
+                 ) -> DataFrame:
+    """What is wrong with each message, a row per fault: the columns of
+    ``rows``, ``field`` (null: the message as a whole), ``problem`` and
+    ``found``, the JSON type that is there. Problems: ``empty`` (no value),
+    ``not JSON``, ``not an object``, ``missing`` (a required field absent or
+    null) and ``wrong type`` (any field the decoder can't read). Messages
+    without a fault give no row. A repeated field makes a value no JSON here,
+    though the decoder takes its last one."""
+    text = F.col(value_col).cast("string")
+    doc, dec = F.col("_v"), F.col("_d")
+    kind = F.schema_of_variant(doc)
+
+    def fault(problem: str, field: Column, found: Column) -> Column:
+        return F.struct(field.cast("string").alias("field"), F.lit(problem).alias("problem"),
+                        found.cast("string").alias("found"))
+    per_field = []
+    for f in schema.names:
+        at = F.try_variant_get(doc, f"$['{f}']", "variant")
+        there = at.isNotNull() & ~F.is_variant_null(at)
+        wrong = F.when(there & dec[f].isNull(), fault("wrong type", F.lit(f), F.schema_of_variant(at)))
+        per_field.append(wrong if f not in required else wrong.when(
+            ~there, fault("missing", F.lit(f), F.lit(None))))
+    faults = (F.when(text.isNull() | (F.trim(text) == ""), F.array(fault("empty", F.lit(None), F.lit(None))))
+              .when(doc.isNull(), F.array(fault("not JSON", F.lit(None), F.lit(None))))
+              .when(~kind.startswith("OBJECT"), F.array(fault("not an object", F.lit(None), kind)))
+              .otherwise(F.array_compact(F.array(*per_field))))
+    parsed = rows.withColumn("_v", F.try_parse_json(text)).withColumn("_d", decode_json(value_col, schema))
+    return parsed.select(*rows.columns, F.inline(faults))
+
+
+def replay(spark: SparkSession, bad: DataFrame, mend: Column, location: str, batch: int) -> None:
+    """Put mended messages back: ``bad`` are quarantined topic-log rows, ``mend``
+    the new value of each (null: leave it in quarantine). They keep their key,
+    partition, offset and time and become part ``batch`` of their topics' logs;
+    a finished part is left alone, so a repeated replay adds nothing."""
+    from dispatchboard.sinks.topics import finish_part, part_done
+    from dispatchboard.sources.topics import LOG_COLUMNS
+    mended = bad.withColumn("value", mend.cast("binary")).where(F.col("value").isNotNull()).select(*LOG_COLUMNS)
+    # One row per topic comes to the driver.
+    for row in mended.select("topic").distinct().collect():
+        topic = row["topic"]
+        if not part_done(spark, location, topic, batch):
+            (mended.where(F.col("topic") == topic).write.mode("overwrite")
+             .parquet(f"{location}/{topic}/batch={batch:020d}"))
+            finish_part(spark, location, topic, batch)

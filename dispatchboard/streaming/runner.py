@@ -15,7 +15,9 @@ root, never in driver memory:
   the number of triggers.
 * changes mode: update mode for results that grow with the input. A
   micro-batch writes only the rows it changed, as its own part, and a reader
-  takes the newest row of each key; nothing is rewritten.
+  takes the newest row of each key. Every ``fold`` triggers the newest rows are
+  written as a base and the parts of the fold before are removed, so a reader
+  opens the base and at most ``2 * fold`` parts however long the query has run.
 
 Every query has its own checkpoint folder, so a lost executor or a restarted
 driver resumes from the last committed offsets and state.
@@ -38,6 +40,10 @@ from dispatchboard.sinks.tables import KeyedTable
 from dispatchboard.streaming.triggers import trigger_kwargs  # noqa: F401 (re-export)
 
 
+# Triggers between two bases of a query in changes mode.
+FOLD = 50
+
+
 class StreamResult:
     """A started query and the folder its results go to."""
 
@@ -57,11 +63,9 @@ class StreamResult:
             return self.table.read()
         if self.mode == "complete":
             return versions.read_latest(spark, self.path)
-        parts = spark.read.parquet(f"{self.path}/parts")
         if self.mode == "changes":
-            return latest_by(parts, self.keys, "batch",
-                             [c for c in parts.columns if c not in (*self.keys, "batch")])
-        return parts.drop("batch")
+            return read_changes(spark, self.path, self.keys)
+        return spark.read.parquet(f"{self.path}/parts").drop("batch")
 
 
 def state_operator(spark: SparkSession, checkpoint: str, operator: str = "stateStoreSave") -> tuple[int, int]:
@@ -85,17 +89,42 @@ def read_state(spark: SparkSession, checkpoint: str, operator: str = "stateStore
     return held.select("key", "value")
 
 
+def _part(path: str, batch_id: int) -> str:
+    return f"{path}/parts/batch={batch_id:020d}"
+
+
+def read_changes(spark: SparkSession, path: str, keys: Sequence[str], below: int | None = None) -> DataFrame:
+    """Newest row of each key of a query in changes mode: its newest base (of
+    a trigger ``below`` the given one) and the parts after it."""
+    folded = versions.latest(spark, f"{path}/base", below)
+    rows = spark.read.parquet(f"{path}/parts")
+    if folded is not None:
+        base = spark.read.parquet(versions.version_path(f"{path}/base", folded))
+        rows = (rows.where(F.col("batch") > folded)
+                .unionByName(base.withColumn("batch", F.lit(folded).cast(rows.schema["batch"].dataType))))
+    return latest_by(rows, keys, "batch", [c for c in rows.columns if c not in (*keys, "batch")])
+
+
+def fold_changes(spark: SparkSession, path: str, keys: Sequence[str], batch_id: int, fold: int) -> None:
+    """Write the newest rows as of trigger ``batch_id`` as a base, and remove
+    the parts of the fold before, whose readers have had ``fold`` triggers to
+    end. Replayed, it makes the same base from the one before."""
+    versions.commit(read_changes(spark, path, keys, below=batch_id), f"{path}/base", batch_id)
+    for old in range(max(0, batch_id - 2 * fold + 1), batch_id - fold + 1):
+        versions.remove(spark, _part(path, old))
+
+
 def start(df: DataFrame, name: str, mode: str = "complete",
           trigger: str = "availableNow", keys: Sequence[str] | None = None,
-          path: str | None = None, transform=None) -> StreamResult:
+          path: str | None = None, transform=None, fold: int = FOLD) -> StreamResult:
     """Start ``df`` (a streaming frame) as query ``name`` writing to a folder.
 
     ``keys`` are required for update and changes mode: later batches win. ``transform`` (complete mode) maps each micro-batch's
     full result, a static frame, before it is written; batch-only steps such
-    as a second aggregation go there.
+    as a second aggregation go there. ``fold`` is for changes mode.
     """
     spark = df.sparkSession
-    path = path or scratch_path(spark, name)
+    path = (path or scratch_path(spark, name)).rstrip("/")
     table = None
 
     if mode == "complete":
@@ -108,8 +137,9 @@ def start(df: DataFrame, name: str, mode: str = "complete",
             raise ValueError("changes mode needs keys")
 
         def sink(batch: DataFrame, batch_id: int) -> None:
-            (batch.write.mode("overwrite")
-             .parquet(f"{path}/parts/batch={batch_id:020d}"))
+            batch.write.mode("overwrite").parquet(_part(path, batch_id))
+            if mode == "changes" and (batch_id + 1) % fold == 0:
+                fold_changes(spark, path, keys, batch_id, fold)
     elif mode == "state":
         sink = None
     elif mode == "update":
