@@ -114,8 +114,18 @@ def commit_mark(df: DataFrame, column: str, bound, store: str, source: str) -> N
 
 def poll(df: DataFrame, column: str, store: str, source: str, use, tiebreak=()):
     """One poll: pull what is new, hand it to ``use`` (a function of the
-    pulled frame and the mark before it), then commit the bound."""
-    last, bound = read_mark(df.sparkSession, store, source), upper_bound(df, column)
+    pulled frame and the mark before it), then commit the bound. The bound is
+    stored as planned before ``use``: a poll that follows a crashed one pulls
+    the very same rows, whatever has come since. Where nothing is new
+    ``use`` gets no rows and no mark is stored. Returns the mark after the poll."""
+    spark, planned = df.sparkSession, f"{source}#planned"
+    last, bound = read_mark(spark, store, source), read_mark(spark, store, planned)
+    if bound is None or (last is not None and bound <= last):
+        bound = upper_bound(df, column)
+        if bound is None or (last is not None and bound <= last):
+            use(incremental_pull(df, column, last, tiebreak=tiebreak, bound=last), last)
+            return last
+        commit_mark(df, column, bound, store, planned)
     use(incremental_pull(df, column, last, tiebreak=tiebreak, bound=bound), last)
     commit_mark(df, column, bound, store, source)
     return bound
@@ -126,11 +136,13 @@ def poll_and_publish(df: DataFrame, column: str, store: str, topic: str, locatio
     """The polling job, to be run on a schedule (the reference's period is 30
     minutes): what is new in a table becomes messages of a raw topic. The
     column (a whole number) is the record offset, and a poll's part of the
-    log is numbered by the mark before it, so a repeated poll overwrites its
-    own part."""
+    log is numbered by the mark before it, so a repeated poll finds its own
+    part, with the same rows."""
     from dispatchboard.sinks.topics import publish
 
     def use(new: DataFrame, last) -> None:
+        if new.isEmpty():  # or the part of the next poll would be taken for done
+            return
         publish(new, key_cols or [column], value_cols or new.columns, topic, location,
                 offset_col=column, fmt=fmt,
                 batch=None if fmt == "kafka" else 0 if last is None else int(last) + 1)

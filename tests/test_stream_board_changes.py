@@ -182,3 +182,25 @@ def test_poll_command_publishes_what_is_new_once(spark):
         spark.createDataFrame(rows, "n int").write.mode("append").parquet(table)
         apps.main(args)
     assert sorted(r["offset"] for r in read_topic(spark, logs, "raw", stream=False).collect()) == [1, 2, 5]
+
+
+def test_a_poll_that_crashed_is_repeated_with_its_own_rows(spark):
+    """Published but not marked: the next poll must not take rows that came
+    since for published ones."""
+    store, logs = scratch_path(spark, "marks"), scratch_path(spark, "poll-logs")
+
+    def poll(rows):
+        df = spark.createDataFrame([(n,) for n in rows], "n int")
+        return df, I.poll_and_publish(df, "n", store, "raw", logs)
+    poll([1, 2])
+    more = spark.createDataFrame([(1,), (2,), (5,)], "n int")
+    with pytest.raises(RuntimeError):
+        def use(new, last):
+            from dispatchboard.sinks.topics import publish
+            publish(new, ["n"], ["n"], "raw", logs, offset_col="n", batch=int(last) + 1)
+            raise RuntimeError("lost")
+        I.poll(more, "n", store, "raw", use)
+    assert poll([1, 2, 5, 8])[1] == 5
+    assert poll([1, 2, 5, 8])[1] == 8
+    assert poll([1, 2, 5, 8])[1] == 8
+    assert sorted(r["offset"] for r in read_topic(spark, logs, "raw", stream=False).collect()) == [1, 2, 5, 8]
