@@ -12,11 +12,16 @@ links, not the links. All links of a vector lie in its component, so they are
 counted there, again block against block; every pair with the threshold's
 cosine in a component counts, whether or not a cell had brought it together.
 
-``SCALE`` sets the cell size: unrelated vectors share a home cell with
-probability about ``1 / (4 pi SCALE^2)^4``, 1 in 4,000 here. ``TABLES`` and
-``VISITS`` then find 94 of 100 pairs at cosine 0.9 and all but a few in a
-thousand at 0.93 and above; much larger collections take a larger scale and
-more tables at the same recall.
+The scale of the projections sets the cell size: unrelated vectors share a
+home cell with probability about ``1 / (4 pi scale^2)^4``, 1 in 4,000 at
+``SCALE``. ``sized`` takes scale and tables from the number of different
+vectors: the scale grows with its eighth root beyond 400,000, so that a home
+cell holds about ``CELL`` unrelated vectors however many there are, and the
+tables follow the recall of one table at that scale, measured on a fixed draw
+of pairs just at the threshold. ``RECALL`` 0.94 at cosine 0.9 leaves all but a
+few in a thousand at 0.93 and above. Tables, and with them the work for a
+vector, grow like the number of vectors to the power 0.57 (4 tables up to
+400,000 vectors, 8 for 2.4 million, 36 for 35 million).
 
 Cases: vectors that are null, empty, zero or hold null or non-finite
 components link with nothing, not even their copies; vectors of different
@@ -40,9 +45,11 @@ from dispatchboard.llm.components import components
 from dispatchboard.llm.shared import saved
 
 COSINE = 0.9
-TABLES = 4
 VISITS = 8
 SCALE = 0.8
+CELL = 100
+RECALL = 0.94
+TRIALS = 4096
 SEED = 2
 BLOCK = 1024
 # Vectors hashed at a time.
@@ -84,22 +91,41 @@ def _packed(cells: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(np.rint(2 * cells).astype(np.int8)).view("<i8")[..., 0]
 
 
-def cells(unit: np.ndarray, tables: int = TABLES, visits: int = VISITS, scale: float = SCALE,
-          seed: int = SEED) -> np.ndarray:
+def _visited(x: np.ndarray, visits: int) -> np.ndarray:
+    """(row, 1 + visits) packed cells of projected rows; the home cell is the first."""
+    steps, home = _shortest(), decode(x)
+    nearest = np.argsort(-((x - home) @ steps.T), axis=1, kind="stable")[:, :visits]
+    return np.concatenate([_packed(home)[:, None], _packed(
+        (home[:, None] + steps[nearest]).reshape(-1, 8)).reshape(-1, visits)], axis=1)
+
+
+def cells(unit: np.ndarray, tables: int, visits: int = VISITS, scale: float = SCALE, seed: int = SEED) -> np.ndarray:
     """(row, table, 1 + visits) packed cells; the home cell is the first."""
-    steps = _shortest()
     out = np.empty((len(unit), tables, 1 + visits), np.int64)
     for t in range(tables):
         spread = np.random.default_rng([seed, t, unit.shape[1]]).normal(0, scale, (unit.shape[1], 8))
-        x = unit @ spread
-        home = decode(x)
-        towards = (x - home) @ steps.T
-        nearest = np.argsort(-towards, axis=1, kind="stable")[:, :visits]
-        out[:, t, 0] = _packed(home)
-        out[:, t, 1:] = _packed((home[:, None] + steps[nearest]).reshape(-1, 8)).reshape(-1, visits)
+        out[:, t] = _visited(unit @ spread, visits)
     return out
 
 
+def table_recall(scale: float, cosine: float = COSINE, visits: int = VISITS, trials: int = TRIALS) -> float:
+    """Share of pairs at that cosine which one table brings together: a random
+    projection of two such vectors is eight pairs of correlated normals."""
+    rng = np.random.default_rng(SEED)
+    x, z = rng.normal(0, scale, (2, trials, 8))
+    a, b = _visited(x, visits), _visited(cosine * x + np.sqrt(max(0.0, 1 - cosine * cosine)) * z, visits)
+    return float(((a == b[:, :1]).any(1) | (b == a[:, :1]).any(1)).mean())
+
+
+def sized(vectors: int, cosine: float = COSINE, visits: int = VISITS, cell: float = CELL, recall: float = RECALL
+          ) -> tuple[float, int]:
+    """Scale and tables for that many different vectors."""
+    scale = max(SCALE, (vectors / cell) ** 0.125 / np.sqrt(4 * np.pi))
+    one = table_recall(scale, cosine, visits)
+    one = min(max(one, 1 / TRIALS), 1 - 1 / TRIALS)
+    return scale, int(np.ceil(np.log(1 - recall) / np.log(1 - one)))
+
+
 def _units(vectors) -> np.ndarray:
     x = np.array([np.asarray(v, float) for v in vectors])
     x = x / np.abs(x).max(1, keepdims=True)
@@ -155,8 +181,7 @@ def _forest(rid: np.ndarray, home: np.ndarray, unit: np.ndarray, cosine: float
     return [(int(rid[k]), int(rid[label[k]])) for k in range(len(rid)) if label[k] != k]
 
 
-def links(classes: DataFrame, cosine: float = COSINE, tables: int = TABLES, visits: int = VISITS,
-          scale: float = SCALE, block: int = BLOCK) -> DataFrame:
+def links(classes: DataFrame, cosine: float, tables: int, visits: int, scale: float, block: int = BLOCK) -> DataFrame:
     """Edges ``(a, b)`` that connect the classes (``rid, embedding``, a saved
     table) which pairs found connect."""
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -217,9 +242,10 @@ def _counted(members: DataFrame, cosine: float, block: int) -> DataFrame:
             .groupBy("rid").agg(F.sum("found").alias("found")))
 
 
-def near_duplicates(vectors: DataFrame, cosine: float = COSINE, tables: int = TABLES,
-                    visits: int = VISITS, scale: float = SCALE, block: int = BLOCK) -> DataFrame:
-    """A row per vector: ``vec_id, n_links, component_id, kept``."""
+def near_duplicates(vectors: DataFrame, cosine: float = COSINE, visits: int = VISITS, cell: float = CELL,
+                    recall: float = RECALL, block: int = BLOCK) -> DataFrame:
+    """A row per vector: ``vec_id, n_links, component_id, kept``. ``cell`` and
+    ``recall`` set the lattice (see ``sized``)."""
     element = vectors.schema["embedding"].dataType.elementType
     real = element if isinstance(element, (T.FloatType, T.DoubleType)) else T.DoubleType()
     rows = vectors.select("vec_id", F.col("embedding").cast(T.ArrayType(real)).alias("embedding"))
@@ -230,6 +256,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, tables: int = TA
     classes = saved(rows.where(fit).groupBy("embedding")
                     .agg(first.alias("first"), F.count(F.lit(1)).alias("copies"))
                     .withColumn("rid", F.monotonically_increasing_id()), "vectors")
+    scale, tables = sized(classes.count(), cosine, visits, cell, recall)
     linked = saved(components(links(classes, cosine, tables, visits, scale, block)), "components")
     members = saved(classes.join(linked.withColumnRenamed("node", "rid"), "rid"), "members")
     least = members.groupBy("root").agg(F.min("first").alias("least"))

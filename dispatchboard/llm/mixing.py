@@ -39,8 +39,6 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST_REPEATS = 2
 SEED = 7
-# Plans of up to so many patterns are broadcast to the join with the sizes.
-BROADCAST_PATTERNS = 10_000
 
 
 def word_count(text: Column) -> Column:
@@ -150,7 +148,6 @@ def _plan(sizes: DataFrame, most: int, weights, share) -> list[tuple]:
 def _by_pattern(rows: DataFrame, plan: list[tuple], ddl: str) -> DataFrame:
     """``rows`` with the columns of their pattern's row in ``plan``."""
     table = rows.sparkSession.createDataFrame(plan, "pattern array<string>, " + ddl)
-    table = F.broadcast(table) if len(plan) <= BROADCAST_PATTERNS else table
     return rows.join(table, F.col("sources").eqNullSafe(F.col("pattern"))).drop("pattern")
 
 

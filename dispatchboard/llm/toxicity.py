@@ -123,8 +123,9 @@ def _sample(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, float]:
     drawn = known.where((F.col("toxic") == 1)
                         & (_chance(F.col("doc_id")) * (toxic or 0) < POSITIVES)).select("doc_id")
     # Bounded by the draw: about POSITIVES ids.
-    positive = (texts.join(F.broadcast(drawn), "doc_id").dropDuplicates(["doc_id"])
-                .select("draw", F.lit(True).alias("positive"), "text"))
+    positive = (texts.join(F.broadcast(drawn), "doc_id")
+                .groupBy("doc_id").agg(F.min(F.struct("draw", "text")).alias("one"))
+                .select("one.draw", F.lit(True).alias("positive"), "one.text"))
     unlabelled = (texts.where(F.col("draw") * others < UNLABELLED)
                   .select("draw", F.lit(False).alias("positive"), "text"))
     return saved(positive.union(unlabelled), "sample"), (toxic or 0) / n if n else 0.0

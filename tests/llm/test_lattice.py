@@ -104,3 +104,38 @@ def test_cases(spark):
     assert lattice.near_duplicates(frame.where("false")).collect() == []
     nulls = lattice.near_duplicates(frame.where("vec_id is null")).collect()
     assert [(r["component_id"], r["kept"]) for r in nulls] == [(None, True)]
+
+
+def test_lattice_is_sized_by_the_table():
+    assert lattice.sized(0) == lattice.sized(400_000) == (0.8, 4)
+    last = 4
+    for n in (10 ** 6, 10 ** 7, 10 ** 8):
+        scale, tables = lattice.sized(n)
+        one = lattice.table_recall(scale)
+        assert 1 - (1 - one) ** tables >= lattice.RECALL and tables > last
+        assert n / (4 * math.pi * scale ** 2) ** 4 <= lattice.CELL * 1.001
+        assert tables < last * 10 ** 0.65 + 3  # well below the growth of the table
+        last = tables
+    # The chance of a shared home cell, and recall on vectors.
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(4000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    home = lattice.cells(x, 3, 8, 1.0)[:, :, 0]
+    shared = sum(int((c * (c - 1) // 2).sum()) for t in range(3) for c in [np.unique(home[:, t], return_counts=True)[1]])
+    assert shared / (3 * 4000 * 3999 / 2) == pytest.approx((4 * math.pi) ** -4, rel=0.6)
+
+
+def test_recall_with_a_larger_scale(spark):
+    """2,000 vectors hashed as 800,000,000 would be, by a small cell."""
+    rng = np.random.default_rng(9)
+    x, z = rng.normal(size=(2, 1000, 48))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    z -= (z * x).sum(1, keepdims=True) * x
+    z /= np.linalg.norm(z, axis=1, keepdims=True)
+    both = np.concatenate([x, 0.9 * (1 + 1e-9) * x + math.sqrt(1 - 0.81) * z])
+    assert lattice.sized(2000, cell=0.025)[1] > 4
+    rows = lattice.near_duplicates(spark.createDataFrame(
+        [(i, v.tolist()) for i, v in enumerate(both)], "vec_id long, embedding array<double>"), cell=0.025).collect()
+    want, got = plain(list(range(len(both))), both), found(rows)
+    assert sum(got[i][0] for i in got) >= 0.9 * sum(want[i][0] for i in want) > 1000
+    assert all(got[i][0] <= want[i][0] for i in want)

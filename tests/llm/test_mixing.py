@@ -1,3 +1,6 @@
+import collections
+import itertools
+import random
 import re
 from collections import defaultdict
 
@@ -110,3 +113,36 @@ def test_no_document_that_fits_is_left_out(spark):
             room = round(own[0]["targets"][0]) - sum(r["taken"] for r in own)
             base = min(r["copies"] for r in own)
             assert 0 <= room < min(r["size"] for r in own if r["copies"] == base), (seed, source)
+
+
+def _cut(capacity, targets, passes):
+    """The most that can flow: the least cut over every set of sources."""
+    names = list(targets)
+    best = None
+    for chosen in itertools.product((False, True), repeat=len(names)):
+        filled = {s for s, c in zip(names, chosen) if c}
+        worth = sum(targets[s] for s in filled) + sum(
+            passes * n for p, n in capacity.items() if set(p) - filled)
+        best = worth if best is None else min(best, worth)
+    return best
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_flow_of_overlapping_sources_against_every_cut(seed):
+    """As much as any flow can bring, and as little of it by repeats."""
+    rng = random.Random(seed)
+    names = list("abcde")[:rng.randint(1, 5)]
+    capacity = {}
+    for _ in range(rng.randint(1, 9)):
+        capacity[tuple(sorted(rng.sample(names, rng.randint(1, len(names)))))] = rng.choice([0, 1, 7, rng.randint(1, 900)])
+    targets = {s: rng.choice([0, rng.randint(0, 1500)]) for s in names}
+    routed = mixing.route(capacity, targets, 2)
+    given, got = collections.Counter(), collections.Counter()
+    for (p, s), n in routed.items():
+        assert n >= 0 and s in p
+        given[p] += n
+        got[s] += n
+    assert all(given[p] <= 2 * n for p, n in capacity.items())
+    assert all(got[s] <= n for s, n in targets.items())
+    assert sum(given.values()) == _cut(capacity, targets, 2)
+    assert sum(min(given[p], n) for p, n in capacity.items()) == _cut(capacity, targets, 1)

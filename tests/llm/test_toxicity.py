@@ -67,3 +67,14 @@ def test_cases(spark):
     kept = toxicity.drop_toxic(docs_frame(spark, [(1, "hate hate hate", "en", "a", 1), (2, None, "en", "a", 1)]),
                                labels, model)
     assert [r["doc_id"] for r in kept.collect()] == [2] and kept.columns == docs_frame(spark).columns
+
+
+def test_sample_takes_one_row_of_a_repeated_id_and_the_same_again(spark):
+    rows = [(i, f"text {i} {k}") for i in range(40) for k in range(3)]
+    labels = spark.createDataFrame([(i, 1) for i in range(40)], "doc_id long, toxic int")
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5, "text")
+    picked = [sorted(r["text"] for r in toxicity._sample(docs, labels)[0].where("positive").collect()) for _ in range(2)]
+    assert picked[0] == picked[1]
+    assert sorted({t.split()[1] for t in picked[0]}) == sorted(
+        str(i) for i in range(40) if zlib.crc32(str(i).encode()) % 5)
+    assert len(picked[0]) == len({t.split()[1] for t in picked[0]})
