@@ -41,6 +41,8 @@ from dispatchboard.streaming.quarantine import split_malformed, start_quarantine
 
 # Call fields the flagship reads (the rest of the record is skipped unparsed).
 FLAGSHIP_FIELDS = (C.TYPE_COL, C.TIME_COL, C.DISPOSITION_COL)
+# State partitions whose changed stations share a file of the summary topic.
+PARTITIONS_PER_FILE = 32
 
 
 def call_stream(spark: SparkSession, source: str, topic: str = S.TOPIC_CALLS,
@@ -186,8 +188,10 @@ def start_summary_query(spark: SparkSession, turnstile: DataFrame, location: str
         recs = as_records(batch.withColumn("_off", F.lit(batch_id))
                           .select("station_id", F.col("entries").alias("count"), "_off"),
                           ["station_id"], ["station_id", "count"], topic, offset_col="_off")
-        # One file per trigger: the rows are one per changed station.
-        _put(recs.coalesce(1), location, topic, batch_id, fmt)
+        # A shuffle between state and files: the rows, one per changed station,
+        # go to few files, and no task holds more than one state partition.
+        files = -(-int(batch.sparkSession.conf.get("spark.sql.shuffle.partitions")) // PARTITIONS_PER_FILE)
+        _put(recs.repartition(files, F.col("key")), location, topic, batch_id, fmt)
 
     return (counts.writeStream.queryName("turnstile_summary_topic").outputMode("update")
             .option("checkpointLocation", ck).foreachBatch(sink)
