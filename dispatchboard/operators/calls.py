@@ -98,9 +98,19 @@ def bounded_call_counts(calls: DataFrame, delay: str = WATERMARK_DELAY) -> DataF
     Rows later than the watermark are dropped by Spark; counts of windows
     still open are emitted once they close. Use for unbounded runs only.
     """
+    return windowed_counts(_bounded_calls(calls, delay))
+
+
+def bounded_bucket_counts(calls: DataFrame, delay: str = WATERMARK_DELAY) -> DataFrame:
+    """The same calls counted per slide bucket, emitted once the bucket has
+    closed: a call is in one row of state, not in each window that covers it.
+    ``windows_from_buckets`` adds the buckets into windows."""
+    return bucket_counts(_bounded_calls(calls, delay))
+
+
+def _bounded_calls(calls: DataFrame, delay: str) -> DataFrame:
     d = _watermarked(calls.select(TIME_COL, TYPE_COL, DISPOSITION_COL), TIME_COL, delay)
-    d = d.dropDuplicates([TIME_COL, TYPE_COL, DISPOSITION_COL])
-    return windowed_counts(d)
+    return d.dropDuplicates([TIME_COL, TYPE_COL, DISPOSITION_COL])
 
 
 def _seconds(interval: str) -> int:

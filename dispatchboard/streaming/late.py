@@ -4,18 +4,22 @@ Spark drops a row that is no later than the watermark of the trigger before
 and tells only how many. Here one query carries two branches of the same
 calls: the bounded counts (watermark below the dedup, append mode) and the
 calls as they are. Both come to the batch step in the same trigger, which
-keeps the windows that closed, and of the calls those that the watermark
+keeps the counts that closed, and of the calls those that the watermark
 refused, each with that watermark. So every call is counted or is in the late
 output, and none is in both.
 
+Counts are kept and written per slide bucket: a call is in one row of state
+and of the parts, not in the six windows that cover it.
+
 The watermark a trigger refuses by follows from the latest call times seen:
 the ``marks`` folder keeps, per trigger, the latest up to and including it.
 Trigger n refuses by the mark of trigger n - 2 less the delay (its own
 eviction uses the mark of n - 1), at 1970 before that; in whole milliseconds,
 as Spark keeps it. A call without a time is in no window and never late.
 
-Windows still open are in the state store: ``read_counts`` adds them, so
-the result holds all accepted calls at any moment, not only closed windows.
+Buckets still open are in the state store: ``read`` adds them and turns the
+buckets into windows, so the result holds all accepted calls at any moment,
+not only closed windows.
 """
 
 from __future__ import annotations
@@ -46,18 +50,17 @@ class BoundedCounts(StreamResult):
 
     def read(self, spark: SparkSession) -> DataFrame:
         """Counts per window of all accepted calls, as of the last committed
-        trigger: closed windows as written, open ones as they are in state."""
+        trigger: closed buckets as written, open ones as they are in state."""
         checkpoint = f"{self.path}/_checkpoint"
         operator, batch_id = state_operator(spark, checkpoint)
-        closed = self._parts(spark, "window").where(F.col("batch") <= batch_id).select("counted.*")
+        closed = self._parts(spark, "bucket").where(F.col("batch") <= batch_id).select("counted.*")
         held = (spark.read.format("statestore").option("operatorId", operator)
                 .option("batchId", batch_id).load(checkpoint))
-        window, kind, disposition = (F.col("key")[f] for f in held.schema["key"].dataType.names)
+        bucket, kind, disposition = (F.col("key")[f] for f in held.schema["key"].dataType.names)
         count = held.schema["value"].dataType.names[0]
-        return closed.unionByName(held.select(
-            window["start"].cast("timestamp_ntz").alias("window_start"),
-            window["end"].cast("timestamp_ntz").alias("window_end"), kind.alias(C.TYPE_COL),
-            disposition.alias(C.DISPOSITION_COL), F.col("value")[count].alias("call_count")))
+        return C.windows_from_buckets(closed.unionByName(held.select(
+            bucket["start"].alias("bucket_start"), kind.alias(C.TYPE_COL),
+            disposition.alias(C.DISPOSITION_COL), F.col("value")[count].alias("call_count"))))
 
 
 def _seconds_ms(delay: str) -> int:
@@ -70,9 +73,9 @@ def start_bounded_counts(calls: DataFrame, out: str, trigger: str = "10 seconds"
     """The bounded flagship over a decoded call stream, under ``out``. A
     replayed trigger rewrites its own part and mark."""
     spark, path, time = calls.sparkSession, out.rstrip("/"), F.col(f"call.{C.TIME_COL}")
-    counted = C.bounded_call_counts(calls, delay)
+    counted = C.bounded_bucket_counts(calls, delay)
     kinds = F.struct(*counted.columns), F.struct(*calls.columns)
-    both = (counted.select(F.lit("window").alias("kind"), kinds[0].alias("counted"))
+    both = (counted.select(F.lit("bucket").alias("kind"), kinds[0].alias("counted"))
             .unionByName(calls.select(F.lit("late").alias("kind"), kinds[1].alias("call")),
                          allowMissingColumns=True))
 
@@ -87,7 +90,7 @@ def start_bounded_counts(calls: DataFrame, out: str, trigger: str = "10 seconds"
         batch = batch.persist()  # written and measured: the stateful plan runs once
         try:
             refused = F.timestamp_millis(F.lit(max(0, mark(batch_id - 2) - _seconds_ms(delay))))
-            (batch.where((F.col("kind") == "window") | (time <= refused))
+            (batch.where((F.col("kind") == "bucket") | (time <= refused))
              .withColumn("refused_by", F.when(F.col("kind") == "late", refused))
              .write.mode("overwrite").partitionBy("kind").parquet(f"{path}/parts/batch={batch_id:020d}"))
             latest = batch.agg(F.max(F.unix_millis(time)).alias("m")).first()["m"]

@@ -5,10 +5,12 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from dispatchboard.functions import scalars as S
+from dispatchboard.operators import calls as C
 from dispatchboard.session import scratch_path
 from dispatchboard.sinks.topics import publish, topic_files
 from dispatchboard.sources.topics import read_topic
 from dispatchboard.streaming import apps
+from dispatchboard.streaming.late import start_bounded_counts
 
 DAY = dt.datetime(2024, 1, 1)
 
@@ -31,3 +33,20 @@ def test_summary_query_keeps_state_partitions_in_tasks_of_their_own(spark, monke
               .select(F.from_json(F.col("value").cast("string"), "station_id int, count long").alias("v")).select("v.*"))
     assert sorted(map(tuple, counts.collect())) == [(s, 15) for s in range(40)]
     assert topic_files(spark, loc, S.TOPIC_SUMMARY) == 1  # few rows are still one file
+
+
+def test_bounded_counts_keep_a_call_in_one_row_of_state_and_parts(spark):
+    """Not in each of the six windows that cover it."""
+    rows = spark.range(300).select(
+        F.timestamp_seconds(F.lit(1704067200) + F.col("id") * 3600).alias("call_date_time"),
+        F.lit("a").alias("original_crime_type_name"), F.lit("x").alias("disposition"), F.col("id").alias("offset"))
+    loc, out = scratch_path(spark, "log-bounded"), scratch_path(spark, "bounded")
+    publish(rows, None, rows.columns[:-1], S.TOPIC_CALLS, loc, offset_col="offset")
+    good, _ = apps.call_stream(spark, loc)
+    result = start_bounded_counts(good, out, "availableNow").wait()
+    held = [o["numRowsUpdated"] for p in result.query.recentProgress for o in p["stateOperators"]]
+    assert max(held) == 300
+    assert spark.read.parquet(f"{out}/parts").count() <= 300
+    want = C.call_counts(rows, sort=False)
+    got = result.read(spark)
+    assert got.count() == 1800 and got.exceptAll(want).isEmpty()
