@@ -81,13 +81,16 @@ def run_call_counts(spark, sf_dir, described: bool = False, publish_feed=publish
 
 def stream_call_queries(spark, sf_dir):
     """STR-4: both named queries of the flagship, from one published lineage,
-    running side by side in one session (each with its own state)."""
+    running side by side in one session (each with its own state). A trigger
+    writes what it changed, and the end each query's whole result once."""
     with _feed(spark, "calls") as loc:
         publish_calls(spark, sf_dir, loc)
         good, _ = call_stream(spark, loc)
         q1, q2 = apps.start_call_queries(good, X.codes(spark, sf_dir), "availableNow",
-                                         _log(spark, "results"))
+                                         _log(spark, "results"), mode="changes")
         q1.wait(), q2.wait()
+    for q in (q1, q2):
+        q.read(spark).write.parquet(f"{q.path}/result")
     return q1, q2
 
 

@@ -59,7 +59,7 @@ def call_stream(spark: SparkSession, source: str, topic: str = S.TOPIC_CALLS,
 
 def start_call_queries(calls: DataFrame, codes: DataFrame | None = None,
                        trigger: str = "10 seconds", out: str | None = None,
-                       described_only: bool = False, shared: bool = False) -> list:
+                       described_only: bool = False, shared: bool = False, mode: str = "complete") -> list:
     """Start the flagship's named queries over a decoded call stream.
 
     ``out=None`` prints each trigger's full result to the console (the
@@ -74,6 +74,10 @@ def start_call_queries(calls: DataFrame, codes: DataFrame | None = None,
     ``shared=True`` (with ``out`` and ``codes``) runs one stateful query
     instead of two and writes both results from its batch step, so the
     dedup and bucket state are kept once, not once per output.
+
+    ``mode="changes"`` (with ``out``) writes the buckets that a trigger
+    changed instead of the whole result; ``read`` turns the newest into
+    windows and joins the codes.
     """
     named = []
     if not described_only:
@@ -93,6 +97,10 @@ def start_call_queries(calls: DataFrame, codes: DataFrame | None = None,
     if shared and len(named) == 2:
         return _start_shared(buckets, lookup, trigger, out)
     for name, uses_codes in named:
+        if mode == "changes":
+            started.append(CallCounts(start_call_counts(calls, f"{out}/{name}", trigger, name),
+                                      None if uses_codes is None else codes))
+            continue
         if uses_codes is None:
             transform = C.windows_from_buckets
         else:
@@ -112,6 +120,18 @@ def start_call_counts(calls: DataFrame, out: str, trigger: str = "10 seconds",
                         keys=["bucket_start", C.TYPE_COL, C.DISPOSITION_COL], path=out)
 
 
+class CallCounts(runner.StreamResult):
+    """A query of the flagship in changes mode, read as windows."""
+
+    def __init__(self, started: runner.StreamResult, codes: DataFrame | None):
+        super().__init__(started.query, started.path, started.mode, keys=started.keys)
+        self._codes = codes
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        windows = C.windows_from_buckets(super().read(spark))
+        return windows if self._codes is None else C.with_disposition(windows, self._codes)
+
+
 def start_call_state(calls: DataFrame, out: str, trigger: str = "10 seconds", name: str = "crime_type_count"):
     """The flagship's counts in state mode: a trigger writes only its state's
     changes, and readers take the bucket counts from the state itself."""

@@ -6,11 +6,14 @@ from pyspark.sql import functions as F
 
 from dispatchboard.functions import scalars as S
 from dispatchboard.operators import calls as C
+from dispatchboard.plans import fixtures as X
+from dispatchboard.plans import streams
 from dispatchboard.session import scratch_path
 from dispatchboard.sinks.topics import publish, topic_files
 from dispatchboard.sources.topics import read_topic
 from dispatchboard.streaming import apps
 from dispatchboard.streaming.late import start_bounded_counts
+from tests.conftest import SF_SMALL
 
 DAY = dt.datetime(2024, 1, 1)
 
@@ -50,3 +53,17 @@ def test_bounded_counts_keep_a_call_in_one_row_of_state_and_parts(spark):
     want = C.call_counts(rows, sort=False)
     got = result.read(spark)
     assert got.count() == 1800 and got.exceptAll(want).isEmpty()
+
+
+def test_named_queries_write_a_result_once(spark):
+    """Not in every trigger again; both whole, as the batch gives them."""
+    q1, q2 = streams.stream_call_queries(spark, SF_SMALL)
+    want = C.call_counts(X.calls(spark, SF_SMALL), sort=False)
+    for q, result in ((q1, want), (q2, C.with_disposition(want, X.codes(spark, SF_SMALL)))):
+        assert len(q.query.recentProgress) >= 3
+        buckets = C.bucket_counts(C.distinct_calls(X.calls(spark, SF_SMALL)))
+        parts = spark.read.parquet(f"{q.path}/parts")
+        assert parts.select(*q.keys).distinct().count() == buckets.count()
+        assert parts.groupBy("batch").count().agg(F.sum("count")).first()[0] < 2 * buckets.count()
+        got = spark.read.parquet(f"{q.path}/result").select(result.columns)
+        assert got.count() == result.count() and got.exceptAll(result).isEmpty()
