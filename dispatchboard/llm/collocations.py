@@ -2,10 +2,12 @@
 
 A map task counts, for every word, the window of up to ``LONGEST`` words that
 starts there. Windows live under a shallow trie of word ids: the language's
-node leads to a node per first word, which holds a hash container of the rest;
-a container that grows past ``BURST`` entries bursts into one container per
-next word. When the trie holds ``HELD`` windows, whole subtrees, the largest
-first, are spilled as sorted runs until half of it is free.
+node leads to a hash container for every 64 neighbouring ids of first words; a
+container that grows past ``BURST`` entries bursts into one container per first
+word, and one of those into one per next word. Windows of many texts are
+grouped by their containers before they are counted there. When the trie holds
+``HELD`` windows, whole subtrees, the largest first, are spilled as sorted runs
+until half of it is free.
 
 The runs are merged per prefix partition: ranges of the sorted windows, cut at
 windows of a bounded sample of documents (``splitters``), so a word or word
@@ -28,7 +30,9 @@ the phrase's bytes; an empty table gives no rows; other columns are ignored.
 from __future__ import annotations
 
 from bisect import bisect_left, bisect_right
+from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -47,8 +51,10 @@ CONTAINED = 80
 # Entries of a container that bursts, and of a whole trie that spills.
 BURST = 4096
 HELD = 1 << 19
-# Words of a text that are counted at a time.
+# Words of a language that are counted at a time, and words that may wait for
+# that in all languages.
 PART = 1 << 16
+WAITING = 1 << 18
 # Runs are handed on in batches of this many windows.
 BATCH_ROWS = 1 << 14
 # Copies of a single word's row, over which the phrases that share it spread.
@@ -58,30 +64,33 @@ SAMPLED = 16
 # Languages of the sample that a key names by one byte, from this one on; the
 # others are spelled out.
 SHORT_TOKENS, FIRST_TOKEN = 200, 0x22
-# Bits of a word's id in a packed rest.
-ID_BITS = 20
+# Bits of a word's id in a window's key, and those of its first word's id that
+# are in the key too; the others name the top of its subtree.
+ID_BITS = 19
+REST_BITS = (LONGEST - 1) * ID_BITS
+LOW_BITS = 63 - REST_BITS
+# Ids of a trie that is emptied: those of the next part still fit.
+CROWDED = (1 << ID_BITS) - (1 << 17)
 # Letters in lower case, and what ends a piece of text as a line end.
 _PLAIN = bytes.maketrans(b"".join(bytes([c]) for c in range(65, 91)) + b".,;:!?\n\x0b\x0c\r",
                          b"".join(bytes([c]) for c in range(97, 123)) + b"\n" * 10)
+# The same with a full stop, which no word holds, as a word of its own.
+STOP = b"."
+_STOPPED = _PLAIN.replace(b"\n", STOP)
 # Ends every word in a window: words hold neither space nor tab.
 END = b" "
 
 
 class _Node(dict):
-    """A burst container: containers or further nodes by the ids that follow,
-    read off a packed rest by ``shift``."""
-    __slots__ = ("shift",)
-
-    def __init__(self, shift: int):
-        super().__init__()
-        self.shift = shift
+    """A burst container: containers or further nodes by what the windows'
+    keys begin with, one word more than above."""
 
 
 class _Ids(dict):
     """Word -> its id, from 1 on; 0 ends a piece of text."""
 
     def __init__(self):
-        super().__init__()
+        super().__init__({STOP: 0})
         self.words = [b""]
 
     def __missing__(self, word: bytes) -> int:
@@ -90,7 +99,7 @@ class _Ids(dict):
         return i
 
 
-def _boxes(box: dict) -> Iterator[dict]:
+def _boxes(box: dict) -> Iterator[Counter]:
     if type(box) is _Node:
         for below in box.values():
             yield from _boxes(below)
@@ -98,58 +107,106 @@ def _boxes(box: dict) -> Iterator[dict]:
         yield box
 
 
+def _groups(values: np.ndarray) -> list[int]:
+    """Where runs of equal neighbours begin, and the end."""
+    return [0, *(np.flatnonzero(values[1:] != values[:-1]) + 1).tolist(), len(values)]
+
+
 class Trie:
-    """Counts of windows of word ids, by language. A window is its first
-    word's id and its rest, the ids of the next words packed into one number."""
+    """Counts of windows of word ids, by language. A window's key packs the
+    low bits of its first word's id and the ids of the next words into one
+    number; the high bits of the first name the subtree."""
 
     def __init__(self, burst: int = BURST, held: int = HELD):
         self.burst, self.held = burst, held
         self._clear()
 
     def _clear(self) -> None:
-        self.size, self.ids = 0, _Ids()
+        self.ids, self.made = _Ids(), 0
         self.langs: dict[str, dict[int, dict]] = {}
+        # Ids that wait to be counted, a 0 behind every piece.
+        self.waiting: dict[str, list[int]] = {}
+        self.n_waiting = 0
+
+    @property
+    def size(self) -> int:
+        """Windows held."""
+        for lang, ids in self.waiting.items():
+            self._count(lang, ids, len(ids))
+        self.waiting, self.n_waiting = {}, 0
+        return self.made
+
+    def full(self) -> bool:
+        """Whether it is to be spilled; counts the words of all languages if
+        too many wait."""
+        return (self.size if self.n_waiting >= min(self.held, WAITING) else self.made) >= self.held
 
     def add(self, lang: str, ids: list[int], starts: int) -> None:
         """Count the windows that begin at the first ``starts`` ids."""
+        if starts < len(ids):
+            self._count(lang, ids, starts)
+            return
+        waiting = self.waiting.setdefault(lang, [])
+        waiting += ids
+        waiting.append(0)
+        self.n_waiting += len(ids) + 1
+        if len(waiting) >= PART:
+            del self.waiting[lang]
+            self.n_waiting -= len(waiting)
+            self._count(lang, waiting, len(waiting))
+
+    def _count(self, lang: str, ids: list[int], starts: int) -> None:
         padded = np.array(ids + [0] * (LONGEST - 1), np.int64)
-        rest, follows = np.zeros(starts, np.int64), True
+        first = padded[:starts]
+        keys, follows = first & (1 << LOW_BITS) - 1, True
         for k in range(1, LONGEST):
             word = np.where(follows, padded[k:k + starts], 0)
-            rest, follows = rest << ID_BITS | word, word > 0
-        tops, burst, made = self.langs.setdefault(lang, {}), self.burst, 0
-        some = padded[:starts] > 0
-        for first, rest in zip(padded[:starts][some].tolist(), rest[some].tolist()):
-            box = tops.get(first)
-            if box is None:
-                tops[first] = {rest: 1}
-                made += 1
-                continue
-            above, key = tops, first
-            while type(box) is _Node:
-                above, key = box, rest >> box.shift
-                box = above.get(key)
-                if box is None:
-                    box = above[key] = {}
-            n = box.get(rest)
-            if n is not None:
-                box[rest] = n + 1
-                continue
-            box[rest] = 1
-            made += 1
-            if len(box) > burst:
-                shift = (LONGEST - 1) * ID_BITS if above is tops else above.shift
-                if shift:
-                    above[key] = node = _Node(shift - ID_BITS)
-                    for old, n in box.items():
-                        node.setdefault(old >> node.shift, {})[old] = n
-        self.size += made
+            keys, follows = keys << ID_BITS | word, word > 0
+        some = first > 0
+        tops, keys = (first[some] >> LOW_BITS).astype(np.int16), keys[some]
+        if not len(keys):
+            return
+        along = np.argsort(keys)
+        along = along[np.argsort(tops[along], kind="stable")]
+        tops, keys = tops[along], keys[along]
+        at = _groups(tops)
+        below = self.langs.setdefault(lang, {})
+        for top, low, high in zip(tops[at[:-1]].tolist(), at, at[1:]):
+            self._into(below, top, keys[low:high], REST_BITS)
+
+    def _into(self, above: dict, name: int, keys: np.ndarray, shift: int) -> None:
+        """Count sorted keys in what ``above`` has under ``name``; its
+        container bursts by ``shift``."""
+        box = above.get(name)
+        if type(box) is _Node:
+            names = keys >> shift
+            at = _groups(names)
+            for name, low, high in zip(names[at[:-1]].tolist(), at, at[1:]):
+                self._into(box, name, keys[low:high], shift - ID_BITS)
+            return
+        if box is None:
+            box = above[name] = Counter()
+        before = len(box)
+        box.update(keys.tolist())
+        self.made += len(box) - before
+        if len(box) > self.burst and shift:
+            above[name] = node = _Node()
+            for key, n in box.items():
+                below = node.get(key >> shift)
+                if below is None:
+                    below = node[key >> shift] = Counter()
+                below[key] = n
 
     def parts(self, text: bytes) -> Iterator[tuple[list[int], int]]:
         """Ids of a text's words, a 0 behind every piece, in parts of bounded
         size, and how many of a part's windows begin in it. Ids hold until
         the next part is asked for."""
         out, get = [], self.ids.__getitem__
+        if len(text) < PART:
+            words = text.translate(_STOPPED).replace(STOP, b" . ").split()
+            if words:
+                yield list(map(get, words)), len(words)
+            return
         for piece in text.translate(_PLAIN).split(b"\n"):
             words = piece.split()
             if len(words) < PART:
@@ -169,51 +226,56 @@ class Trie:
             yield out, len(out)
 
     def crowded(self) -> bool:
-        return len(self.ids.words) >= 1 << (ID_BITS - 1)
+        return len(self.ids.words) >= CROWDED
 
     def spill(self, everything: bool) -> Iterator[tuple[str, pa.Array, np.ndarray]]:
         """Take out whole subtrees, the largest first, until half of the trie
         is free, or all of them: a language and its windows with their
         counts, sorted."""
-        trees = [(lang, first) for lang, tops in self.langs.items() for first in tops]
-        sizes = np.array([len(box) if type(box) is dict else sum(map(len, _boxes(box)))
+        held = self.size
+        trees = [(lang, top) for lang, tops in self.langs.items() for top in tops]
+        sizes = np.array([len(box) if type(box) is Counter else sum(map(len, _boxes(box)))
                           for tops in self.langs.values() for box in tops.values()], np.int64)
         along = np.argsort(-sizes, kind="stable")
         if not everything:
             free = np.cumsum(sizes[along])
-            along = along[:1 + np.searchsorted(free, self.size - self.held // 2)]
-        taken: dict[str, tuple[list, list, list, list]] = {}
-        for lang, first, n in ((*trees[i], n) for i, n in zip(along.tolist(), sizes[along].tolist())):
-            firsts, counted, rests, counts = taken.setdefault(lang, ([], [], [], []))
-            firsts.append(first)
+            along = along[:1 + np.searchsorted(free, held - self.held // 2)]
+        taken: dict[str, tuple[list, list, list]] = {}
+        for lang, top, n in ((*trees[i], n) for i, n in zip(along.tolist(), sizes[along].tolist())):
+            tops, counted, boxes = taken.setdefault(lang, ([], [], []))
+            tops.append(top)
             counted.append(n)
-            for box in _boxes(self.langs[lang].pop(first)):
-                rests.extend(box)
-                counts.extend(box.values())
-        self.size -= int(sizes[along].sum())
+            boxes.extend(_boxes(self.langs[lang].pop(top)))
+        self.made -= int(sizes[along].sum())
         words = self.ids.words
         if everything:
             self._clear()
-        for lang, (firsts, counted, rests, counts) in taken.items():
-            yield lang, *_sorted(words, np.repeat(firsts, counted), np.array(rests, np.int64),
-                                 np.array(counts, np.int64))
+        for lang, (tops, counted, boxes) in taken.items():
+            keys = np.fromiter(chain.from_iterable(boxes), np.int64, sum(counted))
+            counts = np.fromiter(chain.from_iterable(box.values() for box in boxes), np.int64, len(keys))
+            boxes.clear()
+            first = np.repeat(np.array(tops, np.int64), counted) << LOW_BITS | keys >> REST_BITS
+            yield lang, *_sorted(words, first, keys, counts)
 
 
-def _sorted(words: list[bytes], first: np.ndarray, rest: np.ndarray, counts: np.ndarray
+def _sorted(words: list[bytes], first: np.ndarray, keys: np.ndarray, counts: np.ndarray
             ) -> tuple[pa.Array, np.ndarray]:
     """The windows as bytes, in their order, and their counts."""
     mask = (1 << ID_BITS) - 1
-    ids = [first, *(rest >> ID_BITS * k & mask for k in reversed(range(LONGEST - 1)))]
-    used = np.unique(np.concatenate(ids))
+    ids = [first, *(keys >> ID_BITS * k & mask for k in reversed(range(LONGEST - 1)))]
+    used = np.zeros(len(words), bool)
+    for column in ids:
+        used[column] = True
+    used = np.flatnonzero(used)
     texts = pa.array([words[i] for i in used.tolist()], pa.binary())
     order = pc.sort_indices(texts).to_numpy()
-    rank = np.empty(len(used), np.int64)
-    rank[order] = np.arange(len(used))
-    ranks = [rank[np.searchsorted(used, column)] for column in ids]
+    rank = np.empty(len(words), np.int64)
+    rank[used[order]] = np.arange(len(used))
+    ranks = [rank[column] for column in ids]
     packed = ranks[1]
     for column in ranks[2:]:
         packed = packed << ID_BITS | column
-    along = np.argsort(packed, kind="stable")
+    along = np.argsort(packed)
     along = along[np.argsort(ranks[0][along], kind="stable")]
     texts = texts.take(pa.array(order))
     parts = [texts.take(pa.array(column[along])) for column in ranks]
@@ -286,7 +348,7 @@ def runs(docs: DataFrame, langs: list[str], cuts: list[bytes], burst: int = BURS
             for lang, text in zip(batch["lang"].to_pylist(), batch["text"].to_pylist()):
                 for ids, starts in trie.parts(text):
                     trie.add(lang, ids, starts)
-                    if trie.size >= held or trie.crowded():
+                    if trie.full() or trie.crowded():
                         yield from spilled(trie, trie.crowded())
         yield from spilled(trie, True)
 

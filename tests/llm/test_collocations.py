@@ -89,6 +89,35 @@ def test_half_a_trie_is_spilled_as_whole_subtrees():
     assert trie.size == size - len(gone) <= 6
 
 
+def test_rare_first_words_share_containers():
+    trie, text = C.Trie(), b" ".join(b"w%d" % i for i in range(6400))
+    for ids, starts in trie.parts(text):
+        trie.add("x", ids, starts)
+    assert trie.size == 6400
+    boxes = [box for tops in trie.langs.values() for top in tops.values() for box in C._boxes(top)]
+    assert sum(map(len, boxes)) == 6400 and len(boxes) <= 200
+
+
+@pytest.mark.parametrize("part, waiting", [(1 << 16, 1 << 18), (1 << 16, 10), (40, 1 << 18), (12, 7)])
+def test_waiting_words_stay_within_bounds_and_their_texts(monkeypatch, part, waiting):
+    monkeypatch.setattr(C, "PART", part)
+    monkeypatch.setattr(C, "WAITING", waiting)
+    texts = [("x", b"a b c"), ("y", b"c d.e"), ("x", b""), ("x", b"\td..a\r A b c "), ("y", b"c d " * 9),
+             ("x", b"! ?"), ("x", b"b c d\x0b\x0ce a"), ("z", "\u00c9 \u00a0b.c".encode())] * 3
+    trie, want = C.Trie(burst=2), Counter()
+    for lang, text in texts:
+        for ids, starts in trie.parts(text):
+            trie.add(lang, ids, starts)
+            assert not trie.full() and trie.n_waiting < waiting
+        for piece in re.split(rb"[.,;:!?\n-\r]", text):
+            words = [w.lower() for w in re.findall(rb"[^ \t]+", piece)]
+            want.update((lang, b"".join(w + b" " for w in words[i:i + 4])) for i in range(len(words)))
+    assert trie.size == len(want) and not trie.n_waiting
+    found = spilled(trie, True)
+    assert {(lang, w): n for lang, counts, _ in found for w, n in counts.items()} == want
+    assert all(order == sorted(order) for _, _, order in found) and trie.size == 0
+
+
 def test_a_prefix_may_span_partitions(spark):
     docs = from_table(spark, SF_ORACLE).limit(60)
     langs = ["en", "fr"]  # the other languages are spelled out in the keys
